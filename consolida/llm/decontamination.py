@@ -15,7 +15,6 @@ empty results (an empty benchmark: every document, with no hits).
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -110,40 +109,35 @@ def _windows(items: list[tuple], width: int) -> list[tuple[str, tuple[bytes, ...
     return out
 
 
-def _phrase(lists: list[np.ndarray]) -> np.ndarray:
-    """Starts at which the terms stand one after another; the rarest list leads."""
-    order = sorted(range(len(lists)), key=lambda i: len(lists[i]))
-    starts = lists[order[0]] - order[0]
-    for i in order[1:]:
+def _phrase(lists: list[np.ndarray], starts: np.ndarray) -> np.ndarray:
+    """Those of ``starts`` at which the terms stand one after another; the rarest lists come first."""
+    for i in sorted(range(len(lists)), key=lambda i: len(lists[i])):
         if not len(starts):
             break
-        want, have = starts + i, lists[i]
-        at = np.searchsorted(have, want)
-        at[at == len(have)] = len(have) - 1
-        starts = starts[have[at] == want]
+        starts = starts[_held(lists[i], starts + i)]
     return starts
 
 
-def _near(lists: list[np.ndarray], slop: int) -> np.ndarray:
-    """Places of the rarest term around which the terms stand in order, up to ``slop`` words between neighbours.
+def _held(have: np.ndarray, want: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(have, want)
+    at[at == len(have)] = len(have) - 1
+    return have[at] == want
 
-    From each place of the rarest term every place the next term can have is
-    followed, to the right and to the left, so no match is missed.
+
+def _near(lists: list[np.ndarray], lead: int, alive: np.ndarray, slop: int) -> np.ndarray:
+    """Those of the lead term's places around which the terms stand in order, up to ``slop`` words between neighbours.
+
+    From each place every place the next term can have is followed, to the
+    right and to the left, so no match is missed.
     """
-    lead = min(range(len(lists)), key=lambda i: len(lists[i]))
-    alive = lists[lead]
     for path, sign in ((range(lead + 1, len(lists)), 1), (range(lead - 1, -1, -1), -1)):
         anchor, place = alive, alive
         for i in path:
             if not len(place):
                 break
-            have = lists[i]
             steps = []
             for d in range(1, slop + 2):
-                want = place + sign * d
-                at = np.searchsorted(have, want)
-                at[at == len(have)] = len(have) - 1
-                ok = have[at] == want
+                ok = _held(lists[i], want := place + sign * d)
                 steps.append(np.stack([anchor[ok], want[ok]], axis=1))
             both = np.unique(np.concatenate(steps), axis=0)
             anchor, place = both[:, 0], both[:, 1]
@@ -155,6 +149,12 @@ def _searcher(windows: list[tuple[str, tuple[bytes, ...]]], slop: int | None):
     by_phrase: dict[tuple[bytes, ...], set[str]] = {}
     for item, phrase in windows:
         by_phrase.setdefault(phrase, set()).add(item)
+    number = {t: i for i, t in enumerate(dict.fromkeys(t for phrase in by_phrase for t in phrase))}
+    by_width: dict[int, list[tuple[bytes, ...]]] = {}
+    for phrase in by_phrase:
+        by_width.setdefault(len(phrase), []).append(phrase)
+    tables = [(np.array([[number[t] for t in phrase] for phrase in same]), same) for same in by_width.values()]
+    reach = 1 + (slop or 0)
 
     def search(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         meta = rows[rows["kind"] == 1]
@@ -163,33 +163,49 @@ def _searcher(windows: list[tuple[str, tuple[bytes, ...]]], slop: int | None):
         ids, lengths = np.frombuffer(raw, np.int64, count), np.frombuffer(raw, np.int64, count, 8 * count)
         starts = np.concatenate(([0], np.cumsum(lengths + GAP)[:-1]))
         terms = rows[rows["kind"] == 0]
-        lists = {t: np.frombuffer(o, np.int32).astype(np.int64) for t, o in zip(terms["term"], terms["offsets"], strict=True)}
+        lists: list[np.ndarray | None] = [None] * len(number)
+        sizes = np.zeros(len(number), dtype=np.int64)
+        for t, o in zip(terms["term"], terms["offsets"], strict=True):
+            i = number[t]
+            lists[i] = np.frombuffer(o, np.int32).astype(np.int64)
+            sizes[i] = len(lists[i])
         spans: list[np.ndarray] = []
         owners: list[np.ndarray] = []
         items: dict[int, set[str]] = {}
         near: dict[int, set[str]] = {}
-        for phrase, own in by_phrase.items():
-            if any(t not in lists for t in phrase):
-                continue
-            these = [lists[t] for t in phrase]
-            found = _phrase(these)
-            if len(found):
-                doc = np.searchsorted(starts, found, "right") - 1
-                spans.append(np.stack([found, found + len(phrase)], axis=1))
-                owners.append(doc)
-                for d in np.unique(doc).tolist():
-                    items.setdefault(d, set()).update(own)
-            if slop is not None and len(close := _near(these, slop)):
-                for d in np.unique(np.searchsorted(starts, close, "right") - 1).tolist():
-                    near.setdefault(d, set()).update(own)
+        for table, phrases in tables:
+            counts = sizes[table]
+            there = np.flatnonzero(counts.min(axis=1))
+            ranked = np.argsort(counts[there], axis=1, kind="stable")[:, :2].tolist()
+            for w, rare in zip(there.tolist(), ranked, strict=True):
+                these, width = [lists[i] for i in table[w].tolist()], table.shape[1]
+                lead = rare[0]
+                alive = these[lead]
+                if width > 1:  # the second rarest term has to be within reach
+                    step = rare[1] - lead
+                    near_by, far = (step, step * reach) if step > 0 else (step * reach, step)
+                    other = these[rare[1]]
+                    alive = alive[np.searchsorted(other, alive + far, "right") > np.searchsorted(other, alive + near_by)]
+                if not len(alive):
+                    continue
+                own = by_phrase[phrases[w]]
+                found = _phrase(these, alive - lead)
+                if len(found):
+                    doc = np.searchsorted(starts, found, "right") - 1
+                    spans.append(np.stack([found, found + width], axis=1))
+                    owners.append(doc)
+                    for d in np.unique(doc).tolist():
+                        items.setdefault(d, set()).update(own)
+                if slop is not None and len(close := _near(these, lead, alive, slop)):
+                    for d in np.unique(np.searchsorted(starts, close, "right") - 1).tolist():
+                        near.setdefault(d, set()).update(own)
         hit = np.zeros(count, dtype=np.int64)
         if spans:
             both, doc = np.concatenate(spans), np.concatenate(owners)
             order = np.lexsort((both[:, 1], both[:, 0]))
             both, doc = both[order], doc[order]
-            reach = np.maximum.accumulate(both[:, 1])
             # documents lie GAP apart, so an earlier document's end never reaches the next one's spans
-            before = np.concatenate(([0], reach[:-1]))
+            before = np.concatenate(([0], np.maximum.accumulate(both[:, 1])[:-1]))
             np.add.at(hit, doc, np.maximum(0, both[:, 1] - np.maximum(both[:, 0], before)))
         empty: set[str] = set()
         nulls = meta["term"].iloc[0]
@@ -280,7 +296,3 @@ def digest(found: DataFrame) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"),
         F.size("near_items").cast("long").alias("n_near_items"),
     )
-
-
-def empty_sha256() -> str:
-    return hashlib.sha256(b"").hexdigest()

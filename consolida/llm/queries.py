@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from consolida.llm import decontamination, packing
+from consolida.llm import decontamination, jaccard_join, packing
 from consolida.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), k=3, num=9, den=10)
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), slop=1)
     return decontamination.digest(found)
@@ -23,6 +27,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op8_best_fit_packing": op8_best_fit_packing,
 }

@@ -50,6 +50,8 @@ DOC_BLOCK_ROWS = 30_000
 REPEATS = 8
 #: Text behind one range of keys.
 RANGE_BYTES = 32_000_000
+#: Ranges of keys at least, so that the rows a pair of documents makes do not depend on the input's size.
+LEAST_PARTS = 64
 _HOT = 1 << 15
 
 _KEYED = pa.schema(
@@ -335,7 +337,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     n = shuffle_partitions(spark)
     body = text_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
     size = body.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    parts = max(n, size // RANGE_BYTES)
+    parts = max(LEAST_PARTS, n, size // RANGE_BYTES)
     keyed = materialise(body.mapInArrow(lambda it: _keyed(it, k, num, den, parts), _KEYED_DDL), "keyed")
     rows = keyed.where("kind = 0").select("node", "doc_id", "n", "hi", "lo")
     classes = materialise(rows.where("n > 0 and doc_id is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")), "classes")
@@ -355,7 +357,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     wanted = groups.select("rep").unionByName(sizes.select(F.col("hub").alias("rep"))).distinct()
 
     # A doc_id may come with several texts; only the one its class was named after counts for each class.
-    texts = body.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+    texts = body.join(wanted.withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id", "left_semi")
     sets = texts.mapInArrow(lambda it: _shingles(it, k), "rep long, hi long, lo long, shingles binary")
     sets = materialise(sets.dropDuplicates(["rep", "hi", "lo"]).where("octet_length(shingles) > 0").select("rep", "shingles"), "sets", "lz4")
 

@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from consolida.llm import decontamination, jaccard_join, packing
+from consolida.llm import decontamination, importance, jaccard_join, packing, secrets
 from consolida.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), k=3, num=9, den=10)
 
@@ -26,10 +30,16 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_importance_resampling": op1_importance_resampling,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_secret_randomness": op10_secret_randomness,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from consolida.llm import decontamination, importance, jaccard_join, packing, secrets
+from consolida.llm import decontamination, html_text, importance, jaccard_join, language_id, ledger, licenses, packing, secrets
 from consolida.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,10 +26,26 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.digest(found)
 
 
+def op5_rule_bitmask_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.report(read(spark, sf_dir, "documents"))
+
+
+def op6_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(read(spark, sf_dir, "documents")))
+
+
+def op7_html_minimum_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(read(spark, sf_dir, "pages"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_language_bitmasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.cross_identify(read(spark, sf_dir, "documents"))
+
+
 def op10_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"))
 
@@ -38,7 +54,11 @@ QUERIES: dict[str, Query] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_rule_bitmask_ledger": op5_rule_bitmask_ledger,
+    "op6_license_notices": op6_license_notices,
+    "op7_html_minimum_cut": op7_html_minimum_cut,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_language_bitmasks": op9_language_bitmasks,
     "op10_secret_randomness": op10_secret_randomness,
 }
 

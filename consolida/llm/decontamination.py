@@ -130,18 +130,15 @@ def _near(lists: list[np.ndarray], lead: int, alive: np.ndarray, slop: int) -> n
     From each place every place the next term can have is followed, to the
     right and to the left, so no match is missed.
     """
+    wide = 2 * (len(lists) * (slop + 1) + 1)  # a place is written as its anchor times this plus its distance
     for path, sign in ((range(lead + 1, len(lists)), 1), (range(lead - 1, -1, -1), -1)):
-        anchor, place = alive, alive
+        code = alive * wide + wide // 2
         for i in path:
-            if not len(place):
+            if not len(code):
                 break
-            steps = []
-            for d in range(1, slop + 2):
-                ok = _held(lists[i], want := place + sign * d)
-                steps.append(np.stack([anchor[ok], want[ok]], axis=1))
-            both = np.unique(np.concatenate(steps), axis=0)
-            anchor, place = both[:, 0], both[:, 1]
-        alive = np.unique(anchor) if len(place) else place
+            place = code // wide + code % wide - wide // 2
+            code = np.unique(np.concatenate([(code + sign * d)[_held(lists[i], place + sign * d)] for d in range(1, slop + 2)]))
+        alive = np.unique(code // wide)
     return alive
 
 
@@ -196,7 +193,11 @@ def _searcher(windows: list[tuple[str, tuple[bytes, ...]]], slop: int | None):
                     owners.append(doc)
                     for d in np.unique(doc).tolist():
                         items.setdefault(d, set()).update(own)
-                if slop is not None and len(close := _near(these, lead, alive, slop)):
+                    if slop is not None:
+                        for d in np.unique(doc).tolist():
+                            near.setdefault(d, set()).update(own)
+                        alive = np.setdiff1d(alive, found + lead, assume_unique=True)
+                if slop is not None and len(alive) and len(close := _near(these, lead, alive, slop)):
                     for d in np.unique(np.searchsorted(starts, close, "right") - 1).tolist():
                         near.setdefault(d, set()).update(own)
         hit = np.zeros(count, dtype=np.int64)

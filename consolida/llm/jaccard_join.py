@@ -342,7 +342,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     rows = keyed.where("kind = 0").select("node", "doc_id", "n", "hi", "lo")
     classes = materialise(rows.where("n > 0 and doc_id is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")), "classes")
 
-    met = keyed.where("kind = 1").select("part", "node", "keys", "owners").repartition(parts, "part").groupBy("part")
+    met = keyed.where("kind = 1").select("part", "node", "keys", "owners").repartition(n, "part").groupBy("part")
     met = materialise(met.applyInArrow(_meet, "hub long, node long, key long"), "met")
     hubs = met.where("key is not null").groupBy("key").agg(F.min("hub").alias("hub"))
     many = keyed.where("kind = 2").select("key", "node").join(hubs, "key").select("hub", "node")

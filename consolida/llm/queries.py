@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from consolida.llm import decontamination, html_text, importance, jaccard_join, language_id, ledger, licenses, packing, secrets
+from consolida.llm import decontamination, html_text, importance, jaccard_join, language_id, ledger, licenses, packing, secrets, suffix_tree
 from consolida.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(read(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), k=3, num=9, den=10)
 
@@ -52,6 +56,7 @@ def op10_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_importance_resampling": op1_importance_resampling,
+    "op2_suffix_tree": op2_suffix_tree,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_rule_bitmask_ledger": op5_rule_bitmask_ledger,

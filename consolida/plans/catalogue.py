@@ -1,10 +1,526 @@
-"""Registered queries and their SQL."""
+"""Registered queries: every operator applied to a whole driver table, and the same in SQL.
+
+The tables hold no decrees, so inputs are derived from their keys by integer
+arithmetic, in the same way on both sides.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from consolida.functions import identifiers as ids
+from consolida.functions import texts
+from consolida.operators import chunking, evaluation, relations, replay, tagging, trees, validation
+from consolida.plans import pipeline
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def registered(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(query: Query) -> Query:
+        QUERIES[query.__name__] = query
+        if sql:
+            ORACLE_SQL[query.__name__] = sql
+        return query
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def case_of(key: Column, values: list[str | None]) -> Column:
+    """The value at position ``key`` modulo their number."""
+    return F.element_at(F.array(*(F.lit(v).cast("string") for v in values)), (F.pmod(key, F.lit(len(values))) + 1).cast("int"))
+
+
+def sql_list(values: list) -> str:
+    return "[" + ", ".join("NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+# Scores ----------------------------------------------------------------------------------------
+
+_SCORES = """
+, met AS (SELECT k, {keys}, sum(d) AS d, sum(g) AS g FROM (
+    SELECT k, {keys}, 1 AS d, 0 AS g FROM detected UNION ALL SELECT k, {keys}, 0, 1 FROM truth) GROUP BY k, {keys}),
+sums AS (SELECT CASE WHEN grouping(k) = 1 THEN 'TOTAL' ELSE k END AS {by}, sum(least(d, g)) AS tp, sum(d) AS nd, sum(g) AS ng FROM met GROUP BY GROUPING SETS ((k), ())),
+ratios AS (SELECT *, CASE WHEN nd = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / nd END AS p, CASE WHEN ng = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / ng END AS r FROM sums)
+SELECT {by}, CAST(tp AS BIGINT) AS tp, CAST(nd - tp AS BIGINT) AS fp, CAST(ng - tp AS BIGINT) AS fn, round(p, 6) AS precision, round(r, 6) AS recall,
+       round(CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END, 6) AS f1 FROM ratios
+"""
+
+
+def _rounded(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
+
+
+@registered(
+    "WITH detected AS (SELECT lang AS k, doc_id, CASE WHEN n_chars > 300 THEN 1 ELSE 0 END AS q FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)), truth AS (SELECT lang AS k, l.doc_id, quality AS q FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"
+    + _SCORES.format(keys="doc_id, q", by="lang")
+)
+def q_eval_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of quality by length, held against the labels, per language and in all."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), table(spark, sf_dir, "labels")
+    detected = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi").select("lang", "doc_id", F.when(F.col("n_chars") > 300, 1).otherwise(0).alias("q"))
+    truth = labels.join(docs, "doc_id").select("lang", "doc_id", F.col("quality").alias("q"))
+    return _rounded(evaluation.scores(detected, truth, "lang", ["doc_id", "q"]))
+
+
+@registered("WITH detected AS (SELECT l_linestatus AS k, l_orderkey AS ok FROM lineitem), truth AS (SELECT o_orderstatus AS k, o_orderkey AS ok FROM orders)" + _SCORES.format(keys="ok", by="status"))
+def q_multiset_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order keys of lines against those of orders as multisets per status."""
+    detected = table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("status"), F.col("l_orderkey").alias("ok"))
+    truth = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("ok"))
+    return _rounded(evaluation.scores(detected, truth, "status", ["ok"]))
+
+
+@registered("""
+WITH a AS (SELECT l_suppkey % 100 AS k, l_linenumber AS n FROM lineitem), b AS (SELECT o_custkey % 100 AS k, 1 + o_orderkey % 7 AS n FROM orders)
+SELECT 'both' AS part, count(*) AS n_rows FROM (SELECT * FROM a INTERSECT ALL SELECT * FROM b)
+UNION ALL SELECT 'left', count(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+UNION ALL SELECT 'right', count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""")
+def q_multiset_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multiset intersection and differences, from counts of equal rows."""
+    a = table(spark, sf_dir, "lineitem").select(F.expr("l_suppkey % 100 AS k"), F.expr("cast(l_linenumber AS bigint) AS n"))
+    b = table(spark, sf_dir, "orders").select(F.expr("o_custkey % 100 AS k"), F.expr("1 + o_orderkey % 7 AS n"))
+    counted = a.groupBy("k", "n").agg(F.count("*").alias("x")).withColumn("y", F.lit(0)).unionByName(b.groupBy("k", "n").agg(F.count("*").alias("y")).withColumn("x", F.lit(0)))
+    met = counted.groupBy("k", "n").agg(F.sum("x").alias("x"), F.sum("y").alias("y"))
+    sums = met.agg(F.sum(F.least("x", "y")).alias("both"), F.sum(F.greatest(F.col("x") - F.col("y"), F.lit(0))).alias("left"), F.sum(F.greatest(F.col("y") - F.col("x"), F.lit(0))).alias("right"))
+    return sums.select(F.inline(F.array(*(F.struct(F.lit(c).alias("part"), F.coalesce(c, F.lit(0)).alias("n_rows")) for c in ("both", "left", "right")))))
+
+
+@registered("""
+WITH r AS (SELECT * FROM (VALUES ('RAIL', 1.5, 6.0), ('AIR', 0.5, 2.0)) t(model, ci, co)),
+u AS (SELECT l_returnflag AS flag, CASE l_linenumber % 3 WHEN 0 THEN 'RAIL' WHEN 1 THEN 'AIR' ELSE 'OTHER' END AS model, CAST(l_quantity AS BIGINT) AS ti, l_linenumber * 10 AS tox FROM lineitem)
+SELECT CASE WHEN grouping(flag) = 1 THEN 'TOTAL' ELSE flag END AS flag, CAST(sum(ti) AS BIGINT) AS tokens_in, CAST(sum(tox) AS BIGINT) AS tokens_out,
+       round(sum((ti * coalesce(ci, 0.0) + tox * coalesce(co, 0.0)) / 1e6), 7) AS cost
+FROM u LEFT JOIN r USING (model) GROUP BY GROUPING SETS ((flag), ())""")
+def q_cost_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens and costs per flag and in all; a model without a rate costs nothing."""
+    n = F.col("l_linenumber") % 3
+    usage = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), F.when(n == 0, "RAIL").when(n == 1, "AIR").otherwise("OTHER").alias("model"), F.col("l_quantity").cast("long").alias("tokens_in"), (F.col("l_linenumber") * 10).cast("long").alias("tokens_out"))
+    rates = spark.createDataFrame([("RAIL", 1.5, 6.0), ("AIR", 0.5, 2.0)], "model string, cost_in double, cost_out double")
+    return evaluation.costs(usage, rates, "flag").select("flag", "tokens_in", "tokens_out", F.round("cost", 7).alias("cost"))
+
+
+# Duplicates, filters, order ----------------------------------------------------------------------
+
+
+@registered("""
+SELECT o_custkey, o_orderdate, o_orderkey, o_orderpriority FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey, date_trunc('month', o_orderdate) ORDER BY CAST(substr(o_orderpriority, 1, 1) AS INT), o_orderkey) AS n FROM orders) WHERE n = 1""")
+def q_dedup_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer and month the order of the best priority, then of the smallest key."""
+    rows = table(spark, sf_dir, "orders").withColumn("m", F.date_trunc("month", "o_orderdate"))
+    best = relations.first_by(rows, ["o_custkey", "m"], F.substring("o_orderpriority", 1, 1).try_cast("int"), "o_orderkey")
+    return best.select("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority")
+
+
+@registered("SELECT md5(text) AS checksum, min(doc_id) AS doc_id, count(*) AS n_docs FROM documents GROUP BY 1")
+def q_exact_dup_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of equal checksum under the first of them."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", texts.checksum(F.col("text")).alias("checksum"))
+    return rows.groupBy("checksum").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_docs"))
+
+
+@registered("""
+SELECT page_id, length(h) AS n_chars, md5(h) AS checksum FROM (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+  '(?is)<script\\b[^>]*>.*?</script\\s*>', '', 'g'), '(?is)<style\\b[^>]*>.*?</style\\s*>', '', 'g'), '>\\s+<', '><', 'g'), '\\s{2,}', ' ', 'g') AS h FROM pages)""")
+def q_minify_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages without scripts, styles and idle blanks, and their checksums."""
+    rows = table(spark, sf_dir, "pages").select("page_id", texts.minify(F.col("html")).alias("h"))
+    return rows.select("page_id", F.length("h").cast("long").alias("n_chars"), texts.checksum(F.col("h")).alias("checksum"))
+
+
+@registered("""
+SELECT page_id, tag, CAST(len(regexp_extract_all(html, '<' || tag || '[ >]')) AS BIGINT) AS n_nodes FROM pages, (SELECT unnest(['p', 'li', 'a', 'h1', 'nav', 'article', 'footer']) AS tag)
+WHERE len(regexp_extract_all(html, '<' || tag || '[ >]')) > 0""")
+def q_page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements of every page by tag, from the node table."""
+    found = trees.nodes(table(spark, sf_dir, "pages"), "page_id").where(F.col("tag").isin("p", "li", "a", "h1", "nav", "article", "footer"))
+    return found.groupBy("page_id", "tag").agg(F.count("*").alias("n_nodes"))
+
+
+@registered("""
+WITH ops AS (SELECT l_orderkey AS source, l_partkey % 3 AS target, l_orderkey * 10 + l_linenumber AS seq, l_returnflag AS t,
+    CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_linenumber % 3 = 1 THEN 'FULL_SECTION' ELSE 'ALINEA' END AS st, l_linenumber % 2 AS pos FROM lineitem),
+p AS (SELECT *, coalesce(st, 'FULL_SECTION') = 'FULL_SECTION' AS f FROM ops),
+w AS (SELECT *, max(CASE WHEN f THEN 0 ELSE 1 END) OVER (PARTITION BY source, target) AS precise,
+    row_number() OVER (PARTITION BY source, target, f, CASE WHEN f THEN NULL ELSE st END, CASE WHEN f THEN NULL ELSE pos END, t ORDER BY seq) AS n FROM p)
+SELECT source, target, t AS operation_type, count(*) AS n_ops, CAST(sum(seq) AS BIGINT) AS seqs FROM w WHERE n = 1 AND NOT (f AND precise = 1) GROUP BY 1, 2, 3""")
+def q_redundancy_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most precise operations of each source and target."""
+    n = F.col("l_linenumber") % 3
+    ops = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("source"), (F.col("l_partkey") % 3).alias("target"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("l_returnflag").alias("operation_type"),
+        F.when(n == 1, "FULL_SECTION").when(n == 2, "ALINEA").alias("sub_type"), (F.col("l_linenumber") % 2).alias("sub_position"),
+    )
+    kept = relations.without_redundant(ops, ("source", "target"))
+    return kept.groupBy("source", "target", "operation_type").agg(F.count("*").alias("n_ops"), F.sum("seq").alias("seqs"))
+
+
+_OPS_SQL = """
+ops AS (SELECT l_suppkey % 10 AS aiot, l_orderkey * 10 + l_linenumber AS seq, CAST(l_orderkey % 25 AS VARCHAR) AS sd, CAST(l_partkey % 30 AS VARCHAR) AS td,
+  CASE WHEN l_linenumber = 1 THEN 'ALL' ELSE CAST(l_linenumber AS VARCHAR) END AS ta, CASE l_returnflag WHEN 'R' THEN 'REMOVE' WHEN 'A' THEN 'ADD' ELSE 'REPLACE' END AS t,
+  CASE WHEN l_quantity < 25 THEN NULL WHEN l_quantity < 40 THEN 'FULL_SECTION' ELSE 'ALINEA' END AS st, l_tax = 0 AS skip FROM lineitem),
+decrees AS (SELECT s_suppkey % 10 AS aiot, CAST(s_nationkey AS VARCHAR) AS td, bool_or(s_acctbal > 9000) AS principal FROM supplier GROUP BY 1, 2)"""
+
+
+def _ops(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    flag, q = F.col("l_returnflag"), F.col("l_quantity")
+    ops = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % 10).alias("aiot"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.lit("1").alias("source_article"),
+        (F.col("l_orderkey") % 25).cast("string").alias("source_decree"), (F.col("l_partkey") % 30).cast("string").alias("target_decree"),
+        F.when(F.col("l_linenumber") == 1, "ALL").otherwise(F.col("l_linenumber").cast("string")).alias("target_article"), F.when(flag == "R", "REMOVE").when(flag == "A", "ADD").otherwise("REPLACE").alias("operation_type"),
+        F.when(q < 25, None).when(q < 40, "FULL_SECTION").otherwise("ALINEA").alias("sub_type"), F.lit(None).cast("int").alias("sub_position"),
+        F.when(F.col("l_tax") == 0, F.array(F.lit("not_an_operation"))).otherwise(F.expr("cast(array() as array<string>)")).alias("error_codes"),
+    )
+    decrees = table(spark, sf_dir, "supplier").groupBy((F.col("s_suppkey") % 10).alias("aiot"), F.col("s_nationkey").cast("string").alias("decree_id")).agg(F.bool_or(F.col("s_acctbal") > 9000).alias("principal"))
+    return ops, decrees
+
+
+@registered(f"""
+WITH {_OPS_SQL},
+j AS (SELECT o.*, d.td IS NOT NULL AS there, coalesce(d.principal, false) AS principal, ta = 'ALL' AND t IN ('REMOVE', 'REPLACE') AND coalesce(st, 'FULL_SECTION') = 'FULL_SECTION' AND NOT skip AS removal
+      FROM ops o LEFT JOIN decrees d ON d.aiot = o.aiot AND d.td = o.td),
+w AS (SELECT *, max(CASE WHEN removal THEN 0 ELSE 1 END) OVER (PARTITION BY aiot, sd, td) AS others FROM j),
+c AS (SELECT *, CASE WHEN skip THEN 'not_an_operation' WHEN removal AND principal THEN 'not_an_operation' WHEN removal AND others = 1 THEN 'less_important' WHEN NOT there THEN 'missing_arrete' ELSE '' END AS code FROM w)
+SELECT aiot, code, operation_type, count(*) AS n_ops, CAST(sum(CASE WHEN removal AND code = '' THEN 1 ELSE 0 END) AS BIGINT) AS n_abrogates FROM (SELECT *, t AS operation_type FROM c) GROUP BY 1, 2, 3""")
+def q_classify_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operations by the first conflict each of them has."""
+    done = relations.classify(*_ops(spark, sf_dir)).withColumn("code", F.array_join("error_codes", ","))
+    return done.groupBy("aiot", "code", "operation_type").agg(F.count("*").alias("n_ops"), F.sum(F.col("abrogates").cast("long")).alias("n_abrogates"))
+
+
+@registered(f"""
+WITH {_OPS_SQL}
+SELECT aiot, count(*) AS n_ops, CAST(sum(CASE WHEN skip OR (t IN ('REMOVE', 'REPLACE') AND coalesce(st, '') = 'FULL_SECTION') THEN 1 ELSE 0 END) AS BIGINT) AS n_unambiguous,
+  CAST(sum(CASE WHEN skip THEN 1 ELSE 0 END) AS BIGINT) AS n_low, CAST(sum(CASE WHEN skip THEN 0 ELSE 1 END) AS BIGINT) AS n_resolved,
+  CAST(sum(CASE WHEN (ta <> 'ALL' OR t = 'REMOVE') AND (t = 'REMOVE' OR seq % 4 <> 0) THEN 1 ELSE 0 END) AS BIGINT) AS n_reliable,
+  CAST(sum(CASE WHEN ta = 'ALL' AND coalesce(st, 'FULL_SECTION') <> 'FULL_SECTION' THEN 1 ELSE 0 END) AS BIGINT) AS n_derived
+FROM ops GROUP BY 1""")
+def q_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicates on operations, counted."""
+    ops = _ops(spark, sf_dir)[0].withColumn("operand", F.when(F.col("seq") % 4 != 0, F.lit("<p/>")))
+    codes = validation.derived_codes(F.lit(None), F.col("operation_type"), F.col("target_article"), F.col("sub_type"))
+    flags = {"n_unambiguous": validation.is_unambiguous(), "n_low": texts.low_severity(F.col("error_codes")), "n_resolved": validation.is_resolved(), "n_reliable": validation.characterised(), "n_derived": F.array_contains(codes, "error_extracting_operand")}
+    return ops.groupBy("aiot").agg(F.count("*").alias("n_ops"), *(F.count_if(c).alias(n) for n, c in flags.items()))
+
+
+@registered("""
+WITH s AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(round(l_discount * 1000) AS INT) END AS score FROM lineitem)
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, score, had_low FROM (SELECT *, coalesce(bool_or(score < 50) OVER (PARTITION BY l_orderkey), false) AS had_low FROM s) WHERE score IS NULL OR score >= 50""")
+def q_confidence_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores below the threshold go, unknown ones stay; whether an order had a low one."""
+    score = F.when(F.col("l_linenumber") != 7, F.round(F.col("l_discount") * 1000).cast("int"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), score.alias("confidence_score"))
+    return validation.by_confidence(rows, 50, "l_orderkey").withColumnRenamed("confidence_score", "score")
+
+
+@registered("""
+SELECT o_custkey AS aiot, o_orderkey AS decree_id, role FROM (SELECT *, CASE WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linenumber >= 5) THEN 'modifying' ELSE 'complement' END AS role
+  FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey % 10 <> 0)""")
+def q_other_decrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active decrees beside the principal one, by whether an operation starts from them."""
+    decrees = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("aiot"), F.col("o_orderkey").alias("decree_id"), (F.col("o_orderstatus") != "F").alias("active"), (F.col("o_orderkey") % 10 == 0).alias("principal"))
+    ops = table(spark, sf_dir, "lineitem").where("l_linenumber >= 5").select(F.col("l_orderkey").alias("source_decree")).join(decrees.select("aiot", F.col("decree_id").alias("source_decree")), "source_decree")
+    return relations.other_decrees(decrees, ops).select("aiot", "decree_id", "role")
+
+
+@registered("""
+WITH d AS (SELECT o_custkey AS aiot, strftime(o_orderdate, '%Y-%m-%d') || '#' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS decree_id, o_orderstatus <> 'F' AS active, o_orderpriority = '1-URGENT' AS auth, o_orderkey % 97 = 0 AS flagged FROM orders),
+r AS (SELECT *, CASE WHEN flagged THEN 0 WHEN active AND auth THEN 1 WHEN active THEN 2 ELSE 3 END AS k, row_number() OVER (PARTITION BY aiot ORDER BY decree_id) AS place, sum(CASE WHEN flagged THEN 1 ELSE 0 END) OVER (PARTITION BY aiot) AS n_flagged FROM d),
+n AS (SELECT *, row_number() OVER (PARTITION BY aiot ORDER BY k, CASE WHEN k = 1 THEN -place ELSE place END) AS n FROM r)
+SELECT aiot, decree_id, n_flagged > 1 AS several FROM n WHERE n = 1""")
+def q_principal_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The principal decree of each site."""
+    name = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("#"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("aiot"), name.alias("decree_id"), (F.col("o_orderstatus") != "F").alias("active"), F.when(F.col("o_orderpriority") == "1-URGENT", "AP_AUTORISATION").otherwise("AUTRE").alias("file_type"), (F.col("o_orderkey") % 97 == 0).alias("principal"))
+    return relations.principal(rows).select("aiot", "decree_id", F.col("error").isNotNull().alias("several"))
+
+
+@registered("""
+WITH d AS (SELECT o_custkey AS aiot, strftime(o_orderdate, '%Y-%m-%d') AS decree_id, o_orderkey FROM orders)
+SELECT aiot, decree_id, o_orderkey FROM (SELECT *, min(decree_id) OVER (PARTITION BY aiot) AS s FROM d) WHERE decree_id > s""")
+def q_start_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decrees after the first date of their site."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("aiot"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("decree_id"), "o_orderkey")
+    return relations.start_filter(rows)
+
+
+_TITLES = ["Exécution", "FRAIS  ", "Délais et voies de recours", "Prescriptions", "échéances", "Article 1", None, "Publicité"]
+
+
+@registered(f"""
+WITH t AS (SELECT doc_id, {sql_list(_TITLES)}[1 + doc_id % {len(_TITLES)}] AS title FROM documents)
+SELECT doc_id, title FROM t WHERE title IS NULL OR lower(strip_accents(trim(title))) NOT IN ('execution', 'frais', 'delais et voies de recours', 'echeances', 'publicite')""")
+def q_superfluous_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections whose title a consolidated permit keeps."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", case_of(F.col("doc_id"), _TITLES).alias("title"))
+    return rows.where(~texts.superfluous(F.col("title")))
+
+
+# Versions ----------------------------------------------------------------------------------------
+
+
+@registered("""
+SELECT user_id, count(*) AS n_versions, arg_max(event_id, v) AS last_op, arg_max(event_type, v) AS last_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS v FROM events) GROUP BY 1""")
+def q_version_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of each target and the latest of them."""
+    rows = replay.version_numbers(table(spark, sf_dir, "events"), ["user_id"], "ts", "event_id")
+    return replay.latest(rows, ["user_id"], "event_id", "event_type").select("user_id", F.col("version").cast("long").alias("n_versions"), F.col("event_id").alias("last_op"), F.col("event_type").alias("last_type"))
+
+
+@registered("""
+WITH e AS (SELECT *, event_type = 'error' AS bad, event_type = 'signup' AS clears, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+i AS (SELECT *, sum(CASE WHEN clears THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY n) AS island FROM e)
+SELECT event_id, coalesce(bool_or(bad) OVER (PARTITION BY user_id, island ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AND NOT clears AS propagated FROM i""")
+def q_error_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operations that an earlier error blocks."""
+    rows = table(spark, sf_dir, "events").withColumn("bad", F.col("event_type") == "error").withColumn("clears", F.col("event_type") == "signup")
+    return replay.propagated(rows, ["user_id"], ["ts", "event_id"], "bad", "clears").select("event_id", "propagated")
+
+
+@registered("""
+WITH RECURSIVE e AS (SELECT event_id, user_id, event_type = 'error' AS own, event_type = 'signup' AS clears, event_id % 3 = 0 AS exempt, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+f AS (SELECT event_id, user_id, n, false AS blocked, own AS bad, CASE WHEN own THEN exempt ELSE true END AS only_exempt FROM e WHERE n = 1
+  UNION ALL SELECT e.event_id, e.user_id, e.n, f.bad AND NOT f.only_exempt AND NOT e.clears, e.own OR (f.bad AND NOT f.only_exempt AND NOT e.clears),
+    CASE WHEN NOT (e.own OR (f.bad AND NOT f.only_exempt AND NOT e.clears)) THEN true ELSE (CASE WHEN f.bad THEN f.only_exempt ELSE true END) AND e.exempt END
+  FROM f JOIN e ON e.user_id = f.user_id AND e.n = f.n + 1)
+SELECT event_id, blocked FROM f""")
+def q_propagation_exempt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, where trailing errors of abrogated decrees do not block."""
+    kind = F.col("event_type")
+    step = F.struct("ts", "event_id", (kind == "error").alias("error"), (kind == "signup").alias("clears"), (F.col("event_id") % 3 == 0).alias("exempt"))
+    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(step)).alias("s"))
+    return rows.select(F.explode(F.arrays_zip(F.transform("s", lambda x: x["event_id"]).alias("event_id"), replay.status_fold(F.col("s")).alias("blocked"))).alias("x")).select("x.event_id", "x.blocked")
+
+
+@registered("""
+WITH s AS (SELECT conv_id, turn, length(text) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations),
+t AS (SELECT s.conv_id, s.turn, s.size, s.n FROM s)
+SELECT conv_id, turn, chunk FROM (
+  WITH RECURSIVE f AS (SELECT conv_id, turn, n, 0 AS chunk, CASE WHEN size >= 300 THEN 0 ELSE size END AS at, CASE WHEN size >= 300 THEN 1 ELSE 0 END AS nxt FROM t WHERE n = 1
+    UNION ALL SELECT t.conv_id, t.turn, t.n, f.nxt, CASE WHEN f.at + t.size >= 300 THEN 0 ELSE f.at + t.size END, f.nxt + CASE WHEN f.at + t.size >= 300 THEN 1 ELSE 0 END
+    FROM f JOIN t ON t.conv_id = f.conv_id AND t.n = f.n + 1) SELECT * FROM f)""")
+def q_chunk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns packed into chunks of about 300 characters; a chunk ends with the turn that fills it."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.length("text").alias("size"))
+    return chunking.chunked(rows, "conv_id", "turn", "size", 300)
+
+
+# Identifiers and texts ---------------------------------------------------------------------------
+
+
+@registered("""
+WITH i AS (SELECT DISTINCT p_size % 12 AS a, p_partkey % 15 AS b FROM part)
+SELECT CAST(a AS VARCHAR) || '.' || CAST(b AS VARCHAR) AS article_id, row_number() OVER (ORDER BY a, b) AS by_number, row_number() OVER (ORDER BY CAST(a AS VARCHAR) || '.' || CAST(b AS VARCHAR)) AS by_text FROM i""")
+def q_article_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles in order of their numbers and in order of their text."""
+    name = F.concat_ws(".", (F.col("p_size") % 12).cast("string"), (F.col("p_partkey") % 15).cast("string"))
+    rows = table(spark, sf_dir, "part").select(name.alias("article_id")).distinct().withColumn("key", ids.sort_key(F.col("article_id")))
+    return rows.select("article_id", F.expr("cast(row_number() OVER (ORDER BY key) AS bigint) AS by_number"), F.expr("cast(row_number() OVER (ORDER BY article_id) AS bigint) AS by_text"))
+
+
+@registered("""
+WITH p AS (SELECT p_brand, p_size, p_partkey, p_partkey % 7 = 0 AS fresh FROM part)
+SELECT n.p_brand, CAST(n.p_size AS VARCHAR) || '.' || CAST(n.p_partkey AS VARCHAR) AS number, (SELECT arg_max(CAST(o.p_size AS VARCHAR) || '.' || CAST(o.p_partkey AS VARCHAR), CAST(o.p_size AS BIGINT) * 1000000000 + o.p_partkey)
+  FROM p o WHERE o.p_brand = n.p_brand AND NOT o.fresh AND (o.p_size < n.p_size OR o.p_size = n.p_size AND o.p_partkey < n.p_partkey)) AS predecessor FROM p n WHERE n.fresh""")
+def q_asof_predecessor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New articles with the greatest existing number before theirs."""
+    rows = table(spark, sf_dir, "part").select("p_brand", F.concat_ws(".", F.col("p_size").cast("string"), F.col("p_partkey").cast("string")).alias("number"), (F.col("p_partkey") % 7 == 0).alias("fresh"))
+    return relations.predecessor(rows, ["p_brand"], "number", "fresh").select("p_brand", "number", "predecessor")
+
+
+@registered("""
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, '2.' || CAST(i AS VARCHAR) AS article, CASE WHEN i = l_linenumber THEN 'REPLACE' ELSE 'REMOVE' END AS operation_type
+FROM (SELECT l_orderkey, l_linenumber, unnest(range(l_linenumber, l_linenumber + 1 + l_partkey % 4)) AS i FROM lineitem)""")
+def q_range_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of articles spelled out; the first is replaced, the others are removed."""
+    start, end = F.concat(F.lit("2."), F.col("l_linenumber").cast("string")), F.concat(F.lit("2."), (F.col("l_linenumber") + F.col("l_partkey") % 4).cast("string"))
+    rows = table(spark, sf_dir, "lineitem").withColumn("articles", ids.article_range(start, end)).withColumn("operation_type", F.lit("REPLACE"))
+    line = ["l_orderkey", "line", "l_partkey", "l_suppkey", "l_extendedprice"]
+    rows = rows.withColumn("line", F.col("l_linenumber").cast("long")).select(*line, "operation_type", F.posexplode("articles").alias("nth", "article"))
+    return relations.range_roles(rows, line, "nth").select("l_orderkey", F.col("line").alias("l_linenumber"), "article", "operation_type")
+
+
+#: (input, canonical form, valid as it is, levels) of article ids.
+_ARTICLES = [
+    ("1.2", "1.2", True, "1.2"), (" 1 . 2 ", "1.2", False, ""), ("all", "ALL", False, ""), ("ALL", "ALL", True, "999999"), ("appendix", "APPENDIX", False, ""), ("Appendix: 3 . 1", "APPENDIX:3.1", False, ""),
+    ("APPENDIX:3", "APPENDIX:3", True, "3"), ("new_article:4-1", "NEW_ARTICLE:4-1", False, ""), ("NEW_ARTICLE:2.9", "NEW_ARTICLE:2.9", True, "2.9"), ("the third one", None, False, ""), ("", None, False, ""), (None, None, False, ""),
+    ("IV", "IV", True, "4"), ("2.IX", "2.IX", True, "2.9"), ("H", "H", True, "8"), ("3.B", "3.B", True, "3.2"), ("ZZZ", None, False, ""), ("I.1", "I.1", True, "1.1"), ("C", "C", True, "3"), ("a", "a", True, "1"),
+]
+
+
+@registered(f"""
+SELECT p_partkey, l[k] AS article, c[k] AS canonical, v[k] = 'true' AS valid, CASE WHEN v[k] = 'true' THEN s[k] ELSE '' END AS levels FROM (SELECT p_partkey, 1 + p_partkey % {len(_ARTICLES)} AS k,
+ {sql_list([a[0] for a in _ARTICLES])} AS l, {sql_list([a[1] for a in _ARTICLES])} AS c, {sql_list([str(a[2]).lower() for a in _ARTICLES])} AS v, {sql_list([a[3] for a in _ARTICLES])} AS s FROM part)""")
+def q_article_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article ids: canonical form, validity, levels."""
+    rows = table(spark, sf_dir, "part").select("p_partkey", case_of(F.col("p_partkey"), [a[0] for a in _ARTICLES]).alias("article"))
+    valid = ids.valid_article(F.col("article"))
+    return rows.select("p_partkey", "article", ids.canonical_article(F.col("article")).alias("canonical"), valid.alias("valid"), F.when(valid, F.array_join(ids.sort_key(F.col("article")), ".")).otherwise("").alias("levels"))
+
+
+#: (file name, decree, kind or reason).
+_FILES = [
+    ("2020-01-31.html", "2020-01-31", "AUTRE"), ("2021-02-31_AP d'autorisation_x.html", "2021-02-31", "AP_AUTORISATION"), ("2021-1-5_arrêté préfectoral.html", "2021-1-5", "ARRETE_PREFECTORAL"),
+    ("2019-07-01_ap prescriptions complémentaires_b.html", "2019-07-01", "AP_COMPLEMENTAIRE"), ("2019-13-01_x.html", None, "date"), ("note.pdf", None, "extension"), ("1899-01-01.html", None, "date"), ("2018-05-05_lettre.html", "2018-05-05", "AUTRE"),
+]
+
+
+@registered(f"""
+SELECT o_orderkey, f[k] AS filename, d[k] AS decree_id, t[k] AS outcome FROM (SELECT o_orderkey, 1 + o_orderkey % {len(_FILES)} AS k, {sql_list([a[0] for a in _FILES])} AS f, {sql_list([a[1] for a in _FILES])} AS d, {sql_list([a[2] for a in _FILES])} AS t FROM orders)""")
+def q_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decree and kind of file names, or why there is none."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", case_of(F.col("o_orderkey"), [a[0] for a in _FILES]).alias("filename")).withColumn("n", ids.parse_filename(F.col("filename")))
+    return rows.select("o_orderkey", "filename", F.col("n.decree_id").alias("decree_id"), F.coalesce("n.reason", "n.file_type").alias("outcome"))
+
+
+#: (phrase, type, position).
+_PHRASES = [
+    ("le premier alinea", "ALINEA", 1), ("ALL", "FULL_SECTION", None), (None, "FULL_SECTION", None), ("  ", "FULL_SECTION", None), ("la 2eme phrase", "PHRASE", 2), ("la troisieme ligne du tableau", "LIGNE_TABLEAU", 3),
+    ("le premier alinea apres le tableau", "TABLEAU", None), ("dernier alinea", "ALINEA", -1), ("quatrieme colonne", "COLONNE_TABLEAU", 4), ("le mot pollution", "COMPLEX", None), ("Contenu entier", "FULL_SECTION", None), ("dixieme ligne tableau", "LIGNE_TABLEAU", 10),
+]
+
+
+@registered(f"""
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, t[k] AS sub_type, CAST(p[k] AS BIGINT) AS sub_position FROM (SELECT l_orderkey, l_linenumber, 1 + l_partkey % {len(_PHRASES)} AS k, {sql_list([a[1] for a in _PHRASES])} AS t, {sql_list([a[2] for a in _PHRASES])} AS p FROM lineitem)""")
+def q_subtarget_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type and position of sub-target phrases."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), texts.subtarget(case_of(F.col("l_partkey"), [a[0] for a in _PHRASES])).alias("s"))
+    return rows.select("l_orderkey", "l_linenumber", F.col("s.type").alias("sub_type"), F.col("s.position").cast("long").alias("sub_position"))
+
+
+_CODES = ["error_finding_subtarget", "less_important", "missing_arrete", "disabled_llm_call", "unknown_code"]
+
+
+@registered(f"""
+WITH c AS (SELECT DISTINCT user_id, {sql_list(_CODES)}[1 + event_id % {len(_CODES)}] AS code FROM events WHERE event_type = 'error'),
+m AS (SELECT user_id, code, CASE code {" ".join(f"WHEN '{c}' THEN '" + texts.MESSAGES.get(c, texts.DEFAULT_MESSAGE).replace("'", "''") + "'" for c in _CODES)} END AS text FROM c)
+SELECT user_id, string_agg(text, ' ; ' ORDER BY code) AS reason, bool_and(code IN ('less_important', 'missing_arrete')) AS low FROM m GROUP BY 1""")
+def q_error_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of each target's error codes."""
+    rows = table(spark, sf_dir, "events").where("event_type = 'error'").select("user_id", case_of(F.col("event_id"), _CODES).alias("code"))
+    sets = rows.groupBy("user_id").agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    return sets.select("user_id", texts.error_reason(F.col("codes")).alias("reason"), texts.low_severity(F.col("codes")).alias("low"))
+
+
+@registered("""
+SELECT event_id, CAST(CASE WHEN event_id % 5 = 0 THEN 0 ELSE 2 END AS BIGINT) AS n_items, CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS first_k FROM events""")
+def q_json_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays inside replies with text around them; a reply without one gives an empty list."""
+    reply = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("none: "), "props")).otherwise(F.concat(F.lit("Here:\n["), "props", F.lit(', {"k": 1}] done')))
+    items = texts.json_list(reply, "struct<k:bigint>")
+    return table(spark, sf_dir, "events").select("event_id", F.size(items).cast("long").alias("n_items"), F.get(items, F.lit(0))["k"].alias("first_k"))
+
+
+@registered("""
+SELECT doc_id, CAST(2 AS BIGINT) AS n_images, 'x<img src="u' || CAST(doc_id AS VARCHAR) || '"/>y<img src="v"/>z' AS back FROM documents""")
+def q_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images taken out of a text and put back."""
+    html = F.concat(F.lit('x<img alt="a" src="u'), F.col("doc_id").cast("string"), F.lit('">y<img data-src="v"/>z'))
+    rows = table(spark, sf_dir, "documents").select("doc_id", texts.images_out(html).alias("o"))
+    return rows.select("doc_id", F.size("o.images").cast("long").alias("n_images"), texts.images_in(F.col("o.html"), F.col("o.images")).alias("back"))
+
+
+@registered("""
+WITH t AS (SELECT doc_id, text, substr(text, 5, 12) AS m FROM documents WHERE length(text) > 40 AND trim(substr(text, 5, 12)) <> '')
+SELECT doc_id, CAST(instr(text, m) - 1 AS BIGINT) AS start_at, CAST(instr(text, m) - 1 + length(m) AS BIGINT) AS end_at FROM t""")
+def q_marker_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where a marker taken from a text stands in it first."""
+    rows = table(spark, sf_dir, "documents").where("length(text) > 40").withColumn("m", F.substring("text", 5, 12)).where("trim(m) <> ''")
+    return rows.select("doc_id", texts.marker_span(F.col("text"), F.col("m")).alias("s")).select("doc_id", F.col("s.start").cast("long").alias("start_at"), F.col("s.end").cast("long").alias("end_at"))
+
+
+_RAW = {
+    "source_article": ["1", None, "2.1", "free text", "3"],
+    "target_article": ["1.2", "ALL", None, "4", "x y z"],
+    "source_arrete": ["2020-01-01", "2020-1-1", "bad", "2020-01-01", "2021-02-31"],
+    "operation_type": ["add", "REPLACE", "delete", "autre", "replace"],
+}
+
+
+@registered(f"""
+WITH r AS (SELECT o_orderkey, {", ".join(f"{sql_list(v)}[1 + (o_orderkey // {5**i}) % 5] AS {k}" for i, (k, v) in enumerate(_RAW.items()))} FROM orders)
+SELECT reason, count(*) AS n_ops FROM (SELECT CASE WHEN source_article IS NULL THEN 'source_article' WHEN target_article IS NULL THEN 'target_article' WHEN source_arrete = 'bad' THEN 'source_arrete'
+  WHEN source_article = 'free text' THEN 'source_article_id' WHEN target_article = 'x y z' THEN 'target_article_id' WHEN operation_type = 'autre' THEN 'autre' ELSE 'kept' END AS reason FROM r) GROUP BY 1""")
+def q_raw_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw operations by the first check they fail."""
+    cases = [case_of(F.floor(F.col("o_orderkey") / F.lit(5**i)), v).alias(k) for i, (k, v) in enumerate(_RAW.items())]
+    raw = table(spark, sf_dir, "orders").select(*cases, F.lit("2019-01-01").alias("target_arrete"), F.lit(None).cast("string").alias("sub_target"))
+    return validation.from_raw(raw).groupBy(F.coalesce("reject_reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n_ops"))
+
+
+@registered("""
+WITH RECURSIVE l AS (SELECT DISTINCT n_nationkey AS src, (n_nationkey * 7 + 3) % 25 AS dst FROM nation UNION SELECT s_nationkey, CAST(s_suppkey % 25 AS INT) FROM supplier WHERE s_suppkey % 10 = 0),
+r(seed, node, steps) AS (SELECT r_regionkey, r_regionkey, 0 FROM region UNION SELECT r.seed, l.dst, r.steps + 1 FROM r JOIN l ON l.src = r.node WHERE r.steps < 25)
+SELECT CAST(seed AS BIGINT) AS seed, CAST(node AS BIGINT) AS node, CAST(min(steps) AS BIGINT) AS steps FROM r GROUP BY 1, 2""")
+def q_downstream_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes that changes reach, by their shortest way."""
+    a = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("src"), ((F.col("n_nationkey") * 7 + 3) % 25).cast("long").alias("dst"))
+    b = table(spark, sf_dir, "supplier").where("s_suppkey % 10 = 0").select(F.col("s_nationkey").cast("long").alias("src"), (F.col("s_suppkey") % 25).alias("dst"))
+    seeds = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("node"))
+    return relations.downstream(a.unionByName(b), seeds).withColumn("steps", F.col("steps").cast("long"))
+
+
+@registered("SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey, l_suppkey % 2 ORDER BY l_linenumber) - 1 AS BIGINT) AS key, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem")
+def q_parallel_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parallel edges of the operations graph, numbered."""
+    ops = table(spark, sf_dir, "lineitem").select(F.lit("a").alias("aiot"), "l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), F.col("l_orderkey").cast("string").alias("source_decree"), F.lit("1").alias("source_article"), (F.col("l_suppkey") % 2).cast("string").alias("target_decree"), F.lit("1").alias("target_article"), F.col("l_linenumber").alias("seq"))
+    return relations.nodes_and_edges(ops)[1].select("l_orderkey", F.col("key").cast("long").alias("key"), "l_linenumber")
+
+
+# Whole documents ---------------------------------------------------------------------------------
+
+
+def made_decrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A decree per page: two articles of its site's first decree, or changes to them by later ones."""
+    n = F.col("page_id")
+    text = F.substring(F.regexp_replace("html", "<[^>]*>", " "), 1, 200)
+    text = F.replace(F.replace(text, F.lit("<"), F.lit(" ")), F.lit("&"), F.lit(" "))
+    date = F.concat(F.lit("20"), F.lpad((n % 10 + 10).cast("string"), 2, "0"), F.lit("-01-01"))
+    article = lambda k: F.concat(F.lit(f'<section data-spec="section" data-type="article" data-number="{k}"><h2 data-spec="section_title">Article {k}</h2><div data-spec="alinea" data-number="1">'), text, F.lit("</div></section>"))
+    first = F.concat(F.lit('<body data-arretify_version="0.2.1"><main>'), article(1), article(2), F.lit("</main></body>"))
+    verb = F.when(n % 3 == 0, F.lit("est remplacé par les dispositions suivantes : <q>nouveau texte</q>")).when(n % 3 == 1, F.lit("est abrogé.")).otherwise(F.lit("est complété par : <q>ajout</q>"))
+    change = F.concat(
+        F.lit('<body data-arretify_version="0.2.1"><main><section data-spec="section" data-type="article" data-number="1"><div data-spec="alinea" data-number="1">L\'<a data-spec="section_reference" data-type="article" data-tag_id="r1" data-parent_reference="d1" data-start_num="'),
+        (n % 2 + 1).cast("string"),
+        F.lit('">article</a> de l\'<a data-spec="document_reference" data-tag_id="d1" data-date="2010-01-01">arrêté</a> '),
+        verb,
+        F.lit("</div></section></main></body>"),
+    )
+    return table(spark, sf_dir, "pages").select(F.floor(n / 10).cast("string").alias("aiot"), date.alias("decree_id"), F.concat(date, F.lit(".html")).alias("filename"), F.when(n % 10 == 0, first).otherwise(change).alias("html"), F.lit("AUTRE").alias("file_type"), F.lit(True).alias("active"), (n % 10 == 0).alias("principal"))
+
+
+@registered("""
+SELECT CAST(page_id // 10 AS VARCHAR) AS aiot, '20' || CAST(page_id % 10 + 10 AS VARCHAR) || '-01-01' AS decree_id, '2010-01-01' AS target_decree, CAST(page_id % 2 + 1 AS VARCHAR) AS target_article,
+  CASE page_id % 3 WHEN 0 THEN 'REPLACE' WHEN 1 THEN 'REMOVE' ELSE 'ADD' END AS operation_type, CASE page_id % 3 WHEN 0 THEN 'nouveau texte' WHEN 1 THEN NULL ELSE 'ajout' END AS operand FROM pages WHERE page_id % 10 <> 0""")
+def q_tagged_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operations that the verb grammar finds in decrees made from the pages."""
+    raw = tagging.raw_operations(tagging.tag_operations(made_decrees(spark, sf_dir)))
+    return raw.select("aiot", "decree_id", F.col("target_arrete").alias("target_decree"), "target_article", "operation_type", "operand")
+
+
+@registered("""
+WITH o AS (SELECT page_id // 10 AS a, page_id % 2 + 1 AS art, page_id % 10 AS n FROM pages WHERE page_id % 10 <> 0),
+f AS (SELECT page_id // 10 AS a, unnest([1, 2]) AS art FROM pages WHERE page_id % 10 = 0)
+SELECT CAST(f.a AS VARCHAR) AS aiot, CAST(f.art AS VARCHAR) AS article_id, count(o.n) + 1 AS n_versions FROM f LEFT JOIN o ON o.a = f.a AND o.art = f.art GROUP BY 1, 2""")
+def q_replay_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of the first decree's articles after the replay of all later decrees."""
+    decrees = made_decrees(spark, sf_dir)
+    done = pipeline.consolidate(decrees, pipeline.tagged_operations(decrees))
+    return done.versions.where("decree_id = '2010-01-01'").groupBy("aiot", "article_id").agg(F.count("*").alias("n_versions"))
+
+
+@registered()
+def q_consolidated_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consolidated permit of every site."""
+    decrees = made_decrees(spark, sf_dir)
+    return pipeline.consolidate(decrees, pipeline.tagged_operations(decrees)).permits

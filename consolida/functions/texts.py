@@ -94,6 +94,11 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, SPACE, " "))
 
 
+def trimmed(c: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def section_title(c: Column) -> Column:
     return F.lower(squeeze(strip_accents(c)))
 
@@ -185,12 +190,12 @@ def json_list(text: Column, element: str) -> Column:
 
 def fenced_html(text: Column) -> Column:
     """What a code fence of a reply holds, or else the reply."""
-    return F.trim(F.coalesce(F.nullif(F.regexp_extract(text, r"(?s)```(?:html)?\s*\n?(.*?)```", 1), F.lit("")), text))
+    return trimmed(F.coalesce(F.nullif(F.regexp_extract(text, r"(?s)```(?:html)?\s*\n?(.*?)```", 1), F.lit("")), text))
 
 
 def prompt_target(prompt: Column, start: str = "<target>", end: str = "</target>") -> Column:
     """Target HTML embedded in a prompt between two marks."""
-    return F.trim(F.split_part(F.split_part(prompt, F.lit(start), F.lit(2)), F.lit(end), F.lit(1)))
+    return trimmed(F.split_part(F.split_part(prompt, F.lit(start), F.lit(2)), F.lit(end), F.lit(1)))
 
 
 def to_int(c: Column, default: int, least: int) -> Column:

@@ -91,7 +91,7 @@ def strict_json(text: DataFrame, column: str, schema: str, allowed: list[str]) -
     keys = F.coalesce(F.json_object_keys(column), F.expr("cast(array() as array<string>)"))
     unknown = F.size(F.array_except(keys, F.array(*(F.lit(k) for k in allowed)))) > 0
     again = F.from_json(column, "map<string,string>")
-    lost = F.exists(keys, lambda k: F.element_at(again, k).isNotNull() & F.get_json_object(F.to_json(parsed), F.concat(F.lit("$."), k)).isNull())
+    lost = F.exists(keys, lambda k: F.element_at(again, k).isNotNull() & F.call_function("get_json_object", F.to_json(parsed), F.concat(F.lit("$."), k)).isNull())
     reason = F.when(F.json_object_keys(column).isNull(), F.lit("no object")).when(unknown, F.lit("unknown field")).when(lost, F.lit("type"))
     return text.withColumn("value", parsed).withColumn("reject_reason", reason)
 

@@ -281,9 +281,9 @@ def _recount(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows.assign(n_hit=hits)[["doc_id", "shard", "place", "n_words", "n_hit", "spans", "items", "near_items"]]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, slop: int | None = None) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, slop: int | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Index ``docs``, search ``benchmark`` in it; one row per document."""
-    return search(build_index(docs), benchmark, width, slop).drop("shard", "place")
+    return search(build_index(docs, shard_tokens), benchmark, width, slop).drop("shard", "place")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -123,8 +123,8 @@ def _part_bounds(parts: int) -> np.ndarray:
 
 
 class _DocBlock:
-    def __init__(self, block: int, levels: Levels, parts: int):
-        self.block, self.levels, self.parts = block, levels, parts
+    def __init__(self, block: int, levels: Levels, parts: int, repeats: int):
+        self.block, self.levels, self.parts, self.repeats = block, levels, parts, repeats
         self.docs: list[tuple] = []
         self.keys: list[np.ndarray] = []
         self.owners: list[int] = []
@@ -153,10 +153,10 @@ class _DocBlock:
         keys, owners = keys[order], owners[order]
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         run = np.diff(np.append(first, len(keys)))
-        hot = np.repeat(run > REPEATS, run)
+        hot = np.repeat(run > self.repeats, run)
         if hot.any():
             yield _batch(int(hot.sum()), kind=[2] * int(hot.sum()), key=keys[hot].astype(np.int64), node=base + owners[hot])
-            owners[first[run > REPEATS]] |= _HOT
+            owners[first[run > self.repeats]] |= _HOT
             hot[first] = False
             keys, owners = keys[~hot], owners[~hot]
         ends = np.append(np.searchsorted(keys, _part_bounds(self.parts)), len(keys)).tolist()
@@ -175,11 +175,11 @@ def _batch(rows: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in _KEYED], schema=_KEYED)
 
 
-def _keyed(batches: Iterable[pa.RecordBatch], k: int, num: int, den: int, parts: int) -> Iterator[pa.RecordBatch]:
+def _keyed(batches: Iterable[pa.RecordBatch], k: int, num: int, den: int, parts: int, repeats: int) -> Iterator[pa.RecordBatch]:
     hashes, levels, seq, at = WordHashes(), Levels(num, den), 0, TaskContext.get().partitionId()
     block = None
     for doc_id, body in rows_of(batches, "doc_id", "body"):
-        block = block or _DocBlock(at << 20 | seq, levels, parts)
+        block = block or _DocBlock(at << 20 | seq, levels, parts, repeats)
         block.add(doc_id, shingle_set(hashes.of(blank_words(body)), k), len(body))
         if block.bytes >= DOC_BLOCK_BYTES or len(block.docs) >= DOC_BLOCK_ROWS:
             yield from block.batches()
@@ -331,14 +331,14 @@ def _shingles(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
         )
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, repeats: int = REPEATS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     n = shuffle_partitions(spark)
     body = text_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
     size = body.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     parts = max(LEAST_PARTS, n, size // RANGE_BYTES)
-    keyed = materialise(body.mapInArrow(lambda it: _keyed(it, k, num, den, parts), _KEYED_DDL), "keyed")
+    keyed = materialise(body.mapInArrow(lambda it: _keyed(it, k, num, den, parts, repeats), _KEYED_DDL), "keyed")
     rows = keyed.where("kind = 0").select("node", "doc_id", "n", "hi", "lo")
     classes = materialise(rows.where("n > 0 and doc_id is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")), "classes")
 

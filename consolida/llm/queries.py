@@ -67,4 +67,31 @@ QUERIES: dict[str, Query] = {
     "op10_secret_randomness": op10_secret_randomness,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_JACCARD_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS grams FROM w),
+e AS (SELECT doc_id, unnest(grams) AS g FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN s sx ON sx.doc_id = x JOIN s sy ON sy.doc_id = y WHERE 100 * c >= 90 * (len(sx.grams) + len(sy.grams) - c)),
+b AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(id, m) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.id, b.y FROM r JOIN b ON b.x = r.m)
+SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, min(m) AS component_id FROM s JOIN r ON r.id = s.doc_id GROUP BY 1, 2"""
+
+_LEDGER_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g') AS bare, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM t),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)),
+d AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
+c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM d) GROUP BY 1),
+m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, length(bare) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+  coalesce(c.n, 0) AS n_repeat_words, CAST(len(ls) AS BIGINT) AS n_lines, length(regexp_replace(bare, '\P{Lu}+', '', 'g')) AS n_upper, length(regexp_replace(bare, '\P{L}+', '', 'g')) AS n_letters,
+  len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) AS n_same_next FROM w LEFT JOIN c ON c.doc_id = w.doc_id),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, BITS AS bits FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bits & MASK = 0 AS kept, CAST(bits AS BIGINT) AS bits FROM b"""
+
+#: The other queries hold sampling, trees, fuzzy matches, floods or packing; their tests have brute-force versions.
+ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_jaccard_join": _JACCARD_SQL,
+    "op5_rule_bitmask_ledger": _LEDGER_SQL.replace("BITS", " + ".join(f"CASE WHEN {failure} THEN {1 << k} ELSE 0 END" for k, (_, failure) in enumerate(ledger.RULES))).replace("MASK", str(ledger.mask("v1"))),
+}

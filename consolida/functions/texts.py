@@ -56,19 +56,32 @@ MESSAGES = {
 }
 DEFAULT_MESSAGE = "Opération non résolue automatiquement"
 FULL_NAMES = ("contenu entier", "all", "tout")
-#: Ordinals and elements of sub-targets (fixed values); ordinals in the order in which they are tried.
+#: Ordinals and elements of sub-targets (fixed values), in the order in which they are tried.
 ORDINALS = (
-    (r"premier|premi[eè]re|1er|1[eè]re", 1),
-    (r"deuxi[eè]me|2[eè]me", 2),
-    (r"troisi[eè]me|3[eè]me", 3),
-    (r"quatri[eè]me|4[eè]me", 4),
-    (r"cinqui[eè]me|5[eè]me", 5),
-    (r"sixi[eè]me|6[eè]me", 6),
-    (r"septi[eè]me|7[eè]me", 7),
-    (r"huiti[eè]me|8[eè]me", 8),
-    (r"neuvi[eè]me|9[eè]me", 9),
-    (r"dixi[eè]me|10[eè]me", 10),
-    (r"dernier|dernier[eè]", -1),
+    ("premier", 1),
+    ("premi[eè]re", 1),
+    ("1er", 1),
+    ("1[eè]re", 1),
+    ("deuxi[eè]me", 2),
+    ("2[eè]me", 2),
+    ("troisi[eè]me", 3),
+    ("3[eè]me", 3),
+    ("quatri[eè]me", 4),
+    ("4[eè]me", 4),
+    ("cinqui[eè]me", 5),
+    ("5[eè]me", 5),
+    ("sixi[eè]me", 6),
+    ("6[eè]me", 6),
+    ("septi[eè]me", 7),
+    ("7[eè]me", 7),
+    ("huiti[eè]me", 8),
+    ("8[eè]me", 8),
+    ("neuvi[eè]me", 9),
+    ("9[eè]me", 9),
+    ("dixi[eè]me", 10),
+    ("10[eè]me", 10),
+    ("dernier", -1),
+    ("dernier[eè]", -1),
 )
 ELEMENTS = (
     (r"phrase", "PHRASE"),
@@ -133,24 +146,26 @@ def strip_blockquotes(html: Column) -> Column:
 def subtarget(c: Column) -> Column:
     """struct(type, position, description) of a sub-target phrase.
 
-    A table named anywhere wins over ordinals, as does the first ordinal in the
-    order of ``ORDINALS``; what no pattern fits is COMPLEX.
+    A table named anywhere wins; else the first ordinal in the order of
+    ``ORDINALS`` that stands before an element; what no pattern fits is COMPLEX.
     """
     low = F.lower(F.trim(c))
-    kind, position = F.lit("COMPLEX"), F.lit(None).cast("int")
-    for ordinal, n in reversed(ORDINALS):
-        for element, label in reversed(ELEMENTS):
-            hit = low.rlike(rf"(?iU)\b(?:{ordinal})\b\s+\b(?:{element})\b")
-            kind, position = F.when(hit, F.lit(label)).otherwise(kind), F.when(hit, F.lit(n)).otherwise(position)
-    table = low.rlike(r"(?iU)\ble\s+tableau\b")
-    kind, position = F.when(table, F.lit("TABLEAU")).otherwise(kind), F.when(table, F.lit(None)).otherwise(position)
+    part = lambda kind, n: F.struct(F.lit(99).alias("rank"), F.lit(kind).alias("type"), F.lit(n).cast("int").alias("position"))
+    pairs = rf"(?iU)\b(?:{'|'.join(o for o, _ in ORDINALS)})\b\s+\b(?:{'|'.join(e for e, _ in ELEMENTS)})\b"
+    ranks = F.create_map(*(x for i, (o, n) in enumerate(ORDINALS) for x in (F.lit(o.replace("[eè]", "e")), F.struct(F.lit(i).alias("i"), F.lit(n).alias("n")))))
+
+    def ranked(found: Column) -> Column:
+        plain = F.translate(found, "èé", "ee")
+        ordinal = F.element_at(ranks, F.regexp_substr(plain, F.lit(r"^\w+")))
+        which = F.coalesce(*(F.when(F.contains(plain, F.lit(e.replace("[ée]", "e")[:5])), F.lit(k)) for k, (e, _) in enumerate(ELEMENTS)))
+        kinds = F.array(*(F.lit(label) for _, label in ELEMENTS))
+        return F.struct((ordinal["i"] * len(ELEMENTS) + which).alias("rank"), F.get(kinds, which).alias("type"), ordinal["n"].alias("position"))
+
+    best = F.array_min(F.transform(F.regexp_extract_all(low, F.lit(pairs), F.lit(0)), ranked))
+    found = F.when(low.rlike(r"(?iU)\ble\s+tableau\b"), part("TABLEAU", None)).otherwise(F.coalesce(best, part("COMPLEX", None)))
     blank = c.isNull() | (F.trim(F.regexp_replace(c, SPACE, " ")) == "")
-    full = blank | low.isin(*FULL_NAMES)
-    return F.struct(
-        F.when(full, F.lit("FULL_SECTION")).otherwise(kind).alias("type"),
-        F.when(full, F.lit(None)).otherwise(position).cast("int").alias("position"),
-        F.when(blank, F.lit("ALL")).otherwise(c).alias("description"),
-    )
+    whole = F.when(blank | low.isin(*FULL_NAMES), part("FULL_SECTION", None)).otherwise(found)
+    return F.struct(whole["type"].alias("type"), whole["position"].alias("position"), F.when(blank, F.lit("ALL")).otherwise(c).alias("description"))
 
 
 def is_simple(kind: Column) -> Column:

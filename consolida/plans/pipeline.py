@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from consolida.operators import relations, rendering, replay, tagging, trees, validation
+from consolida.plans.storage import stored
 
 
 @dataclass
@@ -19,7 +20,7 @@ class Consolidation:
 
 def articles_of(decrees: DataFrame) -> DataFrame:
     """(aiot, decree_id, article_id, pos, title, content) of every numbered section."""
-    table = trees.nodes(decrees, "aiot", "decree_id")
+    table = stored(trees.nodes(decrees, "aiot", "decree_id").where(F.coalesce(F.element_at("attrs", "data-spec"), F.lit("")).isin("section", "appendix")), "nodes")
     ids = trees.section_ids(table, "aiot", "decree_id").select("aiot", "decree_id", "article_id", F.col("node_id").alias("pos")).where("article_id is not null")
     found = ids.join(decrees.select("aiot", "decree_id", "html"), ["aiot", "decree_id"])
     parts = found.withColumn("_s", trees.split_title(trees.find_section(F.col("html"), F.col("article_id"))))
@@ -38,8 +39,8 @@ def tagged_operations(decrees: DataFrame) -> DataFrame:
 def consolidate(decrees: DataFrame, ops: DataFrame) -> Consolidation:
     """Merge, classify, replay and render; keyed by aiot throughout, so many sites run side by side."""
     kept = relations.without_redundant(ops, ("aiot", "source_decree", "source_article", "target_decree", "target_article"))
-    articles = articles_of(decrees)
-    classified = relations.classify(kept, decrees.select("aiot", "decree_id", "principal"), articles)
-    versions = replay.replay(classified, articles)
+    articles = stored(articles_of(decrees), "articles")
+    classified = stored(relations.classify(kept, decrees.select("aiot", "decree_id", "principal"), articles), "operations")
+    versions = stored(replay.replay(classified, articles), "versions")
     done = replay.written_back(classified, versions)
     return Consolidation(done, versions, rendering.permits(decrees, done, versions))

@@ -49,6 +49,13 @@ def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for df in tables:
+        for name in {f.rpartition("/")[0] for f in df.inputFiles()[:1]}:
+            _forget(df.sparkSession, name)
+
+
 def _forget(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

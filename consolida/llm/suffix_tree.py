@@ -1,19 +1,24 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Contexts are the last word or the last two words.  A context is a candidate
-when it makes up ``P_MIN`` of the training tokens (so there are at most
-``1 / P_MIN`` of each length), and it is retained when a divergence test says
-that it predicts: the leave-one-out log-likelihood of its next words under its
-own smoothed distribution has to exceed that under its suffix's distribution by
-``GAIN``.  Distributions are smoothed towards the suffix's with ``MASS``
-pseudo-counts, the root with 0.1 a word.  Every token is scored in the longest
-retained suffix of what stands before it; a context of two words is retained
-only with its suffix.
-
-Documents are cut into blocks that are coded once.  Next-word counts of the
-whole corpus are exchanged as sorted, differenced key blocks: each range of
-keys sums what all blocks hold and answers every block with its totals.  Words
-and contexts are known by 64-bit hashes.
+A context is the run of words before a token.  Its candidates grow by one word
+a level: a context of d words is weighed where its suffix of d - 1 words is
+retained, and it is retained when a divergence test says that it predicts: the
+leave-one-out log-likelihood of its next words under its own smoothed
+distribution has to exceed that under its suffix's distribution by ``GAIN``.
+Levels end when none of their contexts is retained; neither the depth nor the
+number of contexts has a bound.  ``LEAST`` = 2 leaves nothing out: a context
+that occurs once has a gain of zero.  Distributions are smoothed towards the
+suffix's with ``MASS`` pseudo-counts, the root with 0.1 a word.  Every token is
+scored in the longest retained context that stands before it.
+
+``p_min`` asks for a small tree of fixed size instead: contexts of at most two
+words that make up that share of the training tokens.
+
+Documents are cut into blocks that are coded once.  Of each level the counts of
+context and next word, then the gains and sizes of contexts, are exchanged as
+sorted, differenced key blocks: each range of keys sums what all blocks hold
+and answers every block with its totals.  Contexts stay in these answers; none
+is collected.  Words and contexts are known by 64-bit hashes.
 
 Null texts are empty and consist of the end token; a null doc_id is held out;
 repeated rows are separate documents.  Without training tokens every token has
@@ -25,6 +30,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +43,15 @@ from consolida.llm.common import U64, WordHashes, blank_words, forget, materiali
 
 FOLDS = 10
 ADDED = 0.1
-P_MIN = 1e-3
+LEAST = 2
 MASS = 50.0
 GAIN = 20.0
 BLOCK_BYTES = 12_000_000
 BLOCK_ROWS = 50_000
 PART_BYTES = 32_000_000
 LEAST_PARTS = 64
+#: Places hashed at once.
+CHUNK = 1 << 17
 #: Hash of the end token.
 END = U64(0x9E6C63D0876A9A47)
 _PACK = zstandard.ZstdCompressor(level=1)
@@ -51,7 +59,7 @@ _OPEN = zstandard.ZstdDecompressor()
 
 
 def packed(a: np.ndarray) -> bytes:
-    return _PACK.compress(np.ascontiguousarray(a).tobytes())
+    return _PACK.compress(np.ascontiguousarray(a).reshape(-1).view(np.uint8))
 
 
 def opened(raw: bytes, kind: str) -> np.ndarray:
@@ -116,11 +124,11 @@ _SENT = "part int, block long, keys binary, counts binary"
 _ANSWER = "block long, part int, totals binary, own binary"
 
 
-def _split(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+def _split(batches: Iterable[pa.RecordBatch], parts: int, kind: np.dtype) -> Iterator[pa.RecordBatch]:
     """The sorted keys of blocks by range, as byte planes of their differences."""
     bounds = np.array([(i << 64) // parts for i in range(parts)], dtype=U64)
     for block, raw, counts in rows_of(batches, "block", "keys", "counts"):
-        keys, n = np.frombuffer(raw, U64), opened(counts, np.int32)
+        keys, n = np.frombuffer(raw, U64), opened(counts, kind)
         ends = np.append(np.searchsorted(keys, bounds), len(keys)).tolist()
         full = [p for p in range(parts) if ends[p + 1] > ends[p]]
         if full:
@@ -128,24 +136,46 @@ def _split(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_pydict({"part": pa.array(full, pa.int32()), "block": [block] * len(full), "keys": [packed(x) for x in planes], "counts": [packed(n[ends[p] : ends[p + 1]]) for p in full]})
 
 
-def _summed(rows: pa.Table) -> pa.Table:
-    """Answers of one range: each block's totals, and which keys it is the first to hold."""
-    blocks, part = rows.column("block").to_pylist(), rows.column("part")[0].as_py()
+def _gathered(rows: pa.Table, kind: np.dtype) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
+    """What blocks sent to one range, in order of block: rows, first holder of each key, key of each entry, entries."""
+    rows = rows.sort_by("block")
     keys = [np.cumsum(opened(k, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel(), dtype=U64) for k in rows.column("keys").to_pylist()]
-    counts = [opened(c, np.int32) for c in rows.column("counts").to_pylist()]
     _, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    totals = np.bincount(at, np.concatenate(counts), minlength=len(first)).astype(np.int64)
+    return rows, first, at, np.concatenate([opened(c, kind) for c in rows.column("counts").to_pylist()])
+
+
+def _answer(rows: pa.Table, first: np.ndarray, at: np.ndarray, totals: np.ndarray) -> pa.Table:
+    """Answers of one range: each block's totals, and which keys it is the first to hold."""
     own = np.zeros(len(at), np.uint8)
     own[first] = 1
-    ends = np.cumsum([0, *(len(k) for k in keys)]).tolist()
+    sizes = [len(opened(k, np.uint8)) // 8 for k in rows.column("keys").to_pylist()]
+    ends = np.cumsum([0, *sizes]).tolist()
     cut = [slice(a, b) for a, b in zip(ends, ends[1:], strict=False)]
-    return pa.table({"block": blocks, "part": pa.array([part] * len(blocks), pa.int32()), "totals": [packed(totals[at[c]]) for c in cut], "own": [packed(own[c]) for c in cut]})
+    return pa.table({"block": rows.column("block"), "part": rows.column("part"), "totals": [packed(totals[at[c]]) for c in cut], "own": [packed(own[c]) for c in cut]})
+
+
+def _summed(rows: pa.Table) -> pa.Table:
+    """Counts of keys."""
+    rows, first, at, counts = _gathered(rows, np.int32)
+    return _answer(rows, first, at, np.bincount(at, counts, minlength=len(first)).astype(np.int64))
 
 
-def exchange(blocks: DataFrame, parts: int, n: int) -> DataFrame:
+#: Of a context: the part of its gain that next words add, and its occurrences.
+_SUM = np.dtype([("gain", "<f8"), ("n", "<i8")])
+
+
+def _tested(rows: pa.Table, least: float, mass: float, gain: float) -> pa.Table:
+    """Sizes of retained contexts, zero for others."""
+    rows, first, at, sums = _gathered(rows, _SUM)
+    size = np.bincount(at, sums["n"], minlength=len(first))
+    found = np.bincount(at, sums["gain"], minlength=len(first)) - size * np.log(np.maximum(size - 1, 0) + mass)
+    return _answer(rows, first, at, np.where((size >= least) & (found > gain), size, 0).astype(np.int64))
+
+
+def exchange(blocks: DataFrame, parts: int, n: int, kind: np.dtype = np.int32, summed=_summed) -> DataFrame:
     """Totals over all blocks of every block's keys (block, keys sorted, counts)."""
-    sent = blocks.select("block", "keys", "counts").mapInArrow(lambda it: _split(it, parts), _SENT)
-    return materialise(sent.repartition(n, "part").groupBy("part").applyInArrow(_summed, _ANSWER), "totals")
+    sent = blocks.select("block", "keys", "counts").mapInArrow(lambda it: _split(it, parts, kind), _SENT)
+    return materialise(sent.repartition(n, "part").groupBy("part").applyInArrow(lambda rows: summed(rows), _ANSWER), "totals")
 
 
 def _answers(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -157,153 +187,148 @@ def _answers(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([opened(totals[i], np.int64) for i in order]), np.concatenate([opened(own[i], np.uint8) for i in order])
 
 
-def _places(codes: np.ndarray, lengths: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of a block whose word before is frequent, and those whose two words before are."""
-    first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    place = np.arange(len(codes)) - np.repeat(first, lengths)
-    often = known[codes]
-    one = np.flatnonzero((place >= 1) & np.concatenate(([False], often[:-1])))
-    return one, one[(place[one] >= 2) & often[one - 2]]
-
-
-_VIEWED = "block long, ids binary, flags binary, lengths binary, codes binary, hashes binary, totals binary, keys binary, counts binary, pairs binary, triples binary"
-
-
-def _viewed(frequent: np.ndarray):
-    def view(left: pa.Table, right: pa.Table) -> pa.Table:
-        """A block with the totals of its words and the keys of its candidate contexts with what follows them.
-
-        ``pairs`` and ``triples`` number the keys at the places that ``_places`` gives.
-        """
-        row = left.to_pylist()[0]
-        lengths, codes = opened(row["lengths"], np.int64), opened(row["codes"], np.int32)
-        hashes = np.frombuffer(row["keys"], U64)
-        known = np.isin(hashes, frequent)
-        one, two = _places(codes, lengths, known)
-        h = hashes[codes]
-        pair = mixed(mixed(h[one - 1]) + h[one] + U64(1))
-        triple = mixed(mixed(mixed(h[two - 2]) + h[two - 1] + U64(1)) + h[two] + U64(2))
-        keys, at = np.unique(np.concatenate([pair, triple]), return_inverse=True)
-        learned = np.repeat(opened(row["flags"], np.uint8) < 2, lengths)
-        counts = np.bincount(at[np.concatenate([learned[one], learned[two]])], minlength=len(keys))
-        # Frequent words keep their hashes; of the others only the totals are needed from here on.
-        row |= {"hashes": packed(np.where(known, hashes, U64(0))), "totals": packed(_answers(right)[0]), "keys": keys.tobytes(), "counts": packed(counts.astype(np.int32))}
-        row |= {"pairs": packed(at[: len(one)].astype(np.int32)), "triples": packed(at[len(one) :].astype(np.int32))}
-        return pa.table({c.split()[0]: [row[c.split()[0]]] for c in _VIEWED.split(", ")})
-
-    return view
-
-
 @dataclass
-class Tree:
-    """The root's counts and the retained contexts."""
+class Root:
+    """Training tokens and distinct words."""
 
     tokens: int
     words: int
-    one: np.ndarray
-    two: np.ndarray
-    mass: float = MASS
 
-    def root(self, count: np.ndarray) -> np.ndarray:
+    def of(self, count: np.ndarray) -> np.ndarray:
         return (count + ADDED) / (self.tokens + ADDED * (self.words + 1))
 
 
-_ANSWERED = "ids binary, flags binary, lengths binary, known binary, base binary, gains binary, shares binary"
-#: What a context adds to a document's log10 probability if it is retained.
-_SHARE = np.dtype([("ctx", "<i8"), ("doc", "<i4"), ("add", "<f8")])
+#: ``bound``: of each token the occurrences of the longest run of words ending there that was counted;
+#: ``places``: tokens weighed at this level; ``events``: their keys by number;
+#: ``prior``, ``which``: probabilities of the keys' words in the suffix.
+_STATE = "block long, ids binary, flags binary, lengths binary, known binary, base binary, score binary, codes binary, hashes binary, bound binary, places binary, prior binary, which binary, events binary, keys binary, counts binary"
 
 
-def _shares(ctx: np.ndarray, doc: np.ndarray, add: np.ndarray) -> np.ndarray:
-    """Additions summed by context and document."""
-    order = np.lexsort((doc, ctx))
-    ctx, doc, add = ctx[order], doc[order], add[order]
-    first = np.flatnonzero(np.concatenate(([True], (ctx[1:] != ctx[:-1]) | (doc[1:] != doc[:-1])))) if len(ctx) else np.empty(0, np.int64)
-    out = np.empty(len(first), _SHARE)
-    out["ctx"], out["doc"], out["add"] = ctx[first].view(np.int64), doc[first], np.add.reduceat(add, first) if len(first) else 0.0
-    return out
+def _table(row: dict, columns: str) -> pa.Table:
+    return pa.table({name: pa.array([row[name]], pa.int64() if kind == "long" else pa.binary()) for name, kind in (c.split() for c in columns.split(", "))})
 
 
-def _answered(tree: Tree, least: float):
-    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        """A block's root scores, and gains and additions of its candidate contexts.
-
-        Being in a longer context adds to being in its suffix, so what remains
-        of a place are these additions.
-        """
-        row = left.to_pylist()[0]
-        lengths, codes, hashes = opened(row["lengths"], np.int64), opened(row["codes"], np.int32), opened(row["hashes"], U64)
-        totals = opened(row["totals"], np.int64)[codes]
-        one, two = _places(codes, lengths, hashes != 0)
-        pair, triple = opened(row["pairs"], np.int32), opened(row["triples"], np.int32)
-        answers, own = _answers(right)
-        doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
-        base = tree.root(totals)
-        h = hashes[codes]
-
-        n1, size1 = answers[pair], totals[one - 1]
-        p1 = (n1 + tree.mass * base[one]) / (size1 + tree.mass)
-        index, back = np.searchsorted(one, two), np.searchsorted(one, two - 1)  # the pair before has the context's size as its total
-        n2, size2 = answers[triple], answers[pair[back]]
-        p2 = (n2 + tree.mass * p1[index]) / (size2 + tree.mass)
-        ctx1, ctx2 = h[one - 1], mixed(mixed(h[two - 2]) + h[two - 1] + U64(1))
-        often = size2 >= least
-
-        # Each distinct key is weighed once in the corpus, by the block that holds it first.
-        at1, at2 = np.unique(pair, return_index=True)[1], np.unique(triple, return_index=True)[1]
-        at1, at2 = at1[own[pair[at1]] == 1], at2[(own[triple[at2]] == 1) & often[at2]]
-        gains = [_gain(ctx1[at1], n1[at1], size1[at1], base[one][at1], tree.mass), _gain(ctx2[at2], n2[at2], size2[at2], p1[index][at2], tree.mass)]
-        shares = [_shares(ctx1, doc[one], np.log10(p1) - np.log10(base[one])), _shares(ctx2[often], doc[two][often], (np.log10(p2) - np.log10(p1[index]))[often])]
-        cut = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        out = {"ids": row["ids"], "flags": row["flags"], "lengths": row["lengths"], "known": packed(np.add.reduceat((totals > 0).astype(np.int64), cut)), "base": packed(np.add.reduceat(np.log10(base), cut))}
-        out |= {"gains": packed(np.concatenate(gains)), "shares": packed(np.concatenate(shares))}
-        return pa.table({c.split()[0]: [out[c.split()[0]]] for c in _ANSWERED.split(", ")})
-
-    return answer
-
-
-_GAIN = np.dtype([("ctx", "<i8"), ("gain", "<f8")])
-
-
-def _gain(ctx: np.ndarray, n: np.ndarray, size: np.ndarray, before: np.ndarray, mass: float) -> np.ndarray:
-    """Leave-one-out log-likelihood ratio of next words, summed by context."""
-    seen = n > 0
-    ctx, n, size, before = ctx[seen], n[seen], size[seen], before[seen]
-    ratio = n * (np.log(n - 1 + mass * before) - np.log(size - 1 + mass) - np.log(before))
-    keys, at = np.unique(ctx, return_inverse=True)
-    out = np.empty(len(keys), _GAIN)
-    out["ctx"], out["gain"] = keys.view(np.int64), np.bincount(at, ratio, minlength=len(keys))
+def _contexts(hashes: np.ndarray, codes: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
+    """Hashes of the ``depth`` words before each place."""
+    out = np.zeros(len(places), U64)
+    for lo in range(0, len(places), CHUNK):
+        at, part = places[lo : lo + CHUNK], out[lo : lo + CHUNK]
+        for i in range(1, depth + 1):
+            part[:] = mixed(part + hashes[codes[at - i]] + U64(i))
     return out
 
 
-def _gains(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (raw,) in rows_of(batches, "gains"):
-        g = opened(raw, _GAIN)
-        yield pa.RecordBatch.from_pydict({"ctx": g["ctx"].copy(), "gain": g["gain"].copy()})
+def _view(row: dict, places: np.ndarray, prior: np.ndarray, bound: np.ndarray, depth: int, least: float) -> pa.Table:
+    """A block with the next words of its contexts of ``depth`` words, counted in its training documents.
+
+    A context occurs no oftener than a run of words at its end.
+    """
+    lengths, codes = opened(row["lengths"], np.int64), opened(row["codes"], np.int32)
+    hashes = opened(row["hashes"], U64)
+    begin, inside = np.cumsum(lengths) - lengths, np.ones(len(codes), bool)
+    for i in range(depth):
+        inside[begin[lengths > i] + i] = False
+    here = inside[places] & (bound[places - 1] >= least)
+    places, prior = places[here], prior[here]
+    after = _contexts(hashes, codes, places, depth)
+    for lo in range(0, len(places), CHUNK):
+        after[lo : lo + CHUNK] = mixed(after[lo : lo + CHUNK] + mixed(hashes[codes[places[lo : lo + CHUNK]]]))
+    keys, events = np.unique(after, return_inverse=True)
+    events, before = events.astype(np.int32), np.zeros(len(keys))
+    before[events] = prior
+    del after, here, inside, prior
+    learned = np.repeat(opened(row["flags"], np.uint8) < 2, lengths)[places]
+    values, which = np.unique(before, return_inverse=True)
+    row |= {"bound": packed(bound), "places": packed(np.diff(places, prepend=np.int32(0))), "prior": packed(values), "which": packed(which.astype(np.int32))}
+    row |= {"events": packed(events), "keys": keys.tobytes(), "counts": packed(np.bincount(events[learned], minlength=len(keys)).astype(np.int32))}
+    return _table(row, _STATE)
+
+
+def _begun(left: pa.Table, right: pa.Table, root: Root, least: float) -> pa.Table:
+    """A block with its scores by the root, and its contexts of one word."""
+    row = left.to_pylist()[0]
+    lengths, codes = opened(row["lengths"], np.int64), opened(row["codes"], np.int32)
+    totals = _answers(right)[0]
+    base, cut = root.of(totals), np.cumsum(lengths) - lengths
+    scores = packed(np.add.reduceat(np.log10(base)[codes], cut))
+    row |= {"hashes": packed(np.frombuffer(row["keys"], U64)), "known": packed(np.add.reduceat((totals > 0)[codes].astype(np.int64), cut)), "base": scores, "score": scores}
+    return _view(row, np.arange(len(codes), dtype=np.int32), base[codes], totals[codes], 1, least)
+
+
+def _weighed(left: pa.Table, right: pa.Table, mass: float, depth: int) -> pa.Table:
+    """A block with the sums of its contexts.
+
+    Each distinct key is weighed once in the corpus, by the block that holds it first.
+    """
+    row = left.to_pylist()[0]
+    places, events = np.cumsum(opened(row["places"], np.int32), dtype=np.int32), opened(row["events"], np.int32)
+    totals, own = _answers(right)
+    bound = opened(row["bound"], np.int64).copy()
+    bound[places] = totals[events]
+    keys, at = np.unique(_contexts(opened(row["hashes"], U64), opened(row["codes"], np.int32), places, depth), return_inverse=True)
+    of = np.zeros(len(totals), np.int32)
+    of[events] = at
+    del at
+    first = np.flatnonzero((own == 1) & (totals > 0))
+    n, before = totals[first], opened(row["prior"], np.float64)[opened(row["which"], np.int32)[first]]
+    sums = np.zeros(len(keys), _SUM)
+    sums["gain"] = np.bincount(of[first], n * (np.log(n - 1 + mass * before) - np.log(before)), minlength=len(keys))
+    sums["n"] = np.bincount(of[first], n, minlength=len(keys))
+    row |= {"bound": packed(bound), "keys": keys.tobytes(), "counts": packed(sums)}
+    return _table(row, _STATE)
+
+
+def _grown(left: pa.Table, right: pa.Table, mass: float, depth: int, least: float) -> pa.Table:
+    """A block with what retained contexts of ``depth`` words add to its scores, and its contexts of one word more."""
+    row = left.to_pylist()[0]
+    lengths, places, bound = opened(row["lengths"], np.int64), np.cumsum(opened(row["places"], np.int32), dtype=np.int32), opened(row["bound"], np.int64)
+    at = np.unique(_contexts(opened(row["hashes"], U64), opened(row["codes"], np.int32), places, depth), return_inverse=True)[1]
+    size = _answers(right)[0][at]
+    kept = size > 0
+    del at
+    places, size = places[kept], size[kept]
+    prior = opened(row["prior"], np.float64)[opened(row["which"], np.int32)[opened(row["events"], np.int32)[kept]]]
+    p = (bound[places] + mass * prior) / (size + mass)
+    doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[places]
+    row["score"] = packed(opened(row["score"], np.float64) + np.bincount(doc, np.log10(p) - np.log10(prior), minlength=len(lengths)))
+    return _view(row, places, p, bound, depth + 1, least)
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _scores(batches: Iterable[pa.RecordBatch], tree: Tree) -> Iterator[pa.RecordBatch]:
-    for ids, flags, lengths, known, base, shares in rows_of(batches, "ids", "flags", "lengths", "known", "base", "shares"):
-        flags, base, add = opened(flags, np.uint8), opened(base, np.float64), opened(shares, _SHARE)
-        add = add[np.isin(add["ctx"].view(U64), np.concatenate([tree.one, tree.two]))]
+def _scores(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for ids, flags, lengths, known, base, score in rows_of(batches, "ids", "flags", "lengths", "known", "base", "score"):
+        flags = opened(flags, np.uint8)
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": pa.array(opened(ids, np.int64).copy(), mask=(flags & 1).astype(bool)),
                 "held_out": flags >= 2,
                 "n_tokens": opened(lengths, np.int64).copy(),
                 "n_known": opened(known, np.int64).copy(),
-                "base_score": base.copy(),
-                "score": base + np.bincount(add["doc"], add["add"], minlength=len(base)),
+                "base_score": opened(base, np.float64).copy(),
+                "score": opened(score, np.float64).copy(),
             }
         )
 
 
-def score(docs: DataFrame, p_min: float = P_MIN, mass: float = MASS, gain: float = GAIN, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _joined(left: DataFrame, right: DataFrame, step, columns: str, tag: str) -> DataFrame:
+    """``step`` of each block and its answers, stored; what it was made from goes."""
+    both = left.groupBy("block").cogroup(right.groupBy("block"))
+    out = materialise(both.applyInArrow(lambda a, b: step(a, b), columns), tag)
+    forget(left, right)
+    return out
+
+
+def _owned(answers: DataFrame) -> tuple[int, int]:
+    """Distinct keys with a total above zero, and the sum of totals."""
+    sums = answers.select("totals", "own").mapInArrow(_sums, "words long, tokens long").agg(F.sum("words"), F.sum("tokens")).first()
+    return int(sums[0] or 0), int(sums[1] or 0)
+
+
+def score(docs: DataFrame, p_min: float | None = None, mass: float = MASS, gain: float = GAIN, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_contexts) of every row."""
-    spark = docs.sparkSession
-    n = shuffle_partitions(spark)
+    n = shuffle_partitions(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held = (fold(F.col("doc_id")) == 0).alias("held")
     body = text_bytes(own, "doc_id", held)
@@ -311,47 +336,28 @@ def score(docs: DataFrame, p_min: float = P_MIN, mass: float = MASS, gain: float
     parts = max(LEAST_PARTS, n, size // PART_BYTES)
     blocks = materialise(body.mapInArrow(lambda it: _coded(it, block_bytes), _BLOCKS), "blocks")
     first = exchange(blocks, parts, n)
-
-    # Totals of training tokens and words, and the frequent words: at most 1 / P_MIN of them.
-    sums = first.select("totals", "own").mapInArrow(_sums, "words long, tokens long").agg(F.sum("words"), F.sum("tokens")).first()
-    words, tokens = int(sums[0] or 0), int(sums[1] or 0)
-    least = max(1.0, p_min * tokens)
-    frequent = blocks.join(first.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "totals"))).alias("t")), "block").select("keys", "t")
-    frequent = frequent.mapInArrow(lambda it: _frequent(it, least), "h long").distinct().collect()
-    frequent = np.array(sorted(r["h"] for r in frequent), np.int64).view(U64)
-    frequent = np.sort(frequent[frequent != END])
-
-    shared = spark.sparkContext.broadcast(frequent)
-    viewed = blocks.groupBy("block").cogroup(first.groupBy("block"))
-    viewed = materialise(viewed.applyInArrow(lambda left, right: _viewed(shared.value)(left, right), _VIEWED), "viewed")
-    second = exchange(viewed, parts, n)
-    tree = Tree(tokens, words, np.empty(0, U64), np.empty(0, U64), mass)
-    forget(blocks, first)
-    light = viewed.drop("keys", "counts")
-    answered = light.groupBy("block").cogroup(second.groupBy("block"))
-    answered = materialise(answered.applyInArrow(lambda left, right: _answered(tree, least)(left, right), _ANSWERED), "answered")
-    gains = answered.select("gains").mapInArrow(_gains, "ctx long, gain double").groupBy("ctx").agg(F.sum("gain").alias("gain")).where(F.col("gain") > gain)
-    kept = np.array(sorted(r["ctx"] for r in gains.collect()), np.int64).view(U64)  # at most 2 / P_MIN
-    forget(viewed, second)
-    # A context of two words counts only with its suffix.
-    suffixes = mixed_pair(frequent[:, None], kept[np.isin(kept, frequent)][None, :]).ravel()
-    full = spark.sparkContext.broadcast(Tree(tokens, words, kept[np.isin(kept, frequent)], kept[np.isin(kept, suffixes)], mass))
-    scored = answered.drop("gains").mapInArrow(lambda it: _scores(it, full.value), SCORES)
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", F.lit(len(kept)).cast("long").alias("n_contexts"))
-
-
-def mixed_pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hash of the context of two words."""
-    return mixed(mixed(a) + b + U64(1))
+    words, tokens = _owned(first)
+    least = LEAST if p_min is None else max(1.0, p_min * tokens)
+
+    state = _joined(blocks, first, partial(_begun, root=Root(tokens, words), least=least), _STATE, "viewed")
+    depth, n_contexts = 1, 0
+    while True:
+        state = _joined(state.drop("keys", "counts"), exchange(state, parts, n), partial(_weighed, mass=mass, depth=depth), _STATE, "weighed")
+        tested = exchange(state, parts, n, _SUM, partial(_tested, least=least, mass=mass, gain=gain))
+        found = _owned(tested)[0]
+        if not found:
+            forget(tested)
+            break
+        n_contexts += found
+        state = _joined(state.drop("keys", "counts"), tested, partial(_grown, mass=mass, depth=depth, least=least), _STATE, "viewed")
+        depth += 1
+        if p_min is not None and depth > 2:
+            break
+    scored = state.select("ids", "flags", "lengths", "known", "base", "score").mapInArrow(_scores, SCORES)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", F.lit(n_contexts).cast("long").alias("n_contexts"))
 
 
 def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for totals, own in rows_of(batches, "totals", "own"):
         t = opened(totals, np.int64)[opened(own, np.uint8) == 1]
         yield pa.RecordBatch.from_pydict({"words": [int(np.count_nonzero(t))], "tokens": [int(t.sum())]})
-
-
-def _frequent(batches: Iterable[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    for keys, t in rows_of(batches, "keys", "t"):
-        totals = np.concatenate([opened(x["totals"], np.int64) for x in t])
-        yield pa.RecordBatch.from_pydict({"h": np.frombuffer(keys, U64)[totals >= least].astype(np.int64)})

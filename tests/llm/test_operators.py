@@ -426,6 +426,29 @@ def test_suffix_tree(spark):
         assert r["base_score"] == pytest.approx(sum(math.log10(p0(x)) for x in w)) and r["score"] == pytest.approx(score)
 
 
+def test_suffix_tree_grows_with_the_corpus(spark):
+    """Rare contexts and contexts of three words are retained; a larger corpus of other words doubles them."""
+    rng = random.Random(17)
+
+    def made(at, n):
+        words = []
+        for _ in range(n):
+            a = rng.randrange(2)
+            words += [f"k{a}{at}", f"m{at}", f"o{at}", f"z{a}{at}"] if rng.random() < 0.5 else [f"f{rng.randrange(40)}{at}"]
+        return " ".join(words)
+
+    def scored(many):
+        texts = {i: made(i % many, 40) for i in range(150 * many)}
+        return suffix_tree.score(docs_of(spark, texts), mass=5.0, gain=1.0, block_bytes=20_000).collect(), texts
+
+    few, texts = scored(1)
+    small = suffix_tree.score(docs_of(spark, texts), p_min=0.005, mass=5.0, gain=1.0).collect()
+    mean = lambda rows: sum(r["score"] for r in rows if r["held_out"]) / sum(r["n_tokens"] for r in rows if r["held_out"])
+    assert mean(few) > mean(small) + 0.02  # z0 or z1 follows from the word three places before
+    many, _ = scored(40)
+    assert many[0]["n_contexts"] > 20 * few[0]["n_contexts"]
+
+
 # All of them on odd tables -------------------------------------------------------------------
 
 

@@ -281,6 +281,20 @@ def test_secrets(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in by.values())
 
 
+def test_secrets_in_parts_and_short(spark):
+    """Values after a name or a separator, and keys of 20 to 23 characters, are found; words of that length are not."""
+    rng = random.Random(12)
+    base = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key, short = "".join(rng.choices(base, k=40)), "".join(rng.choices(base, k=22))
+    low, thirty = "".join(rng.choices(base[26:52], k=40)), "".join(rng.choices(base[:26] + "234567", k=26))
+    mixed = "".join(rng.choices(base + "+/", k=20)) + "+/_" + "".join(rng.choices(base + "_-", k=20))
+    texts = [f"AWS_SECRET_ACCESS_KEY={key}", f"sig={key[:30]}+{key[30:]}==", f"see path/with_name/{key}", f"auth={short}", low, thirty, f"x {mixed} y"]
+    texts += ["counterrevolutionaries telecommunications", "TheInternationalCommunity", "some_long_identifier_name/of/path"]
+    done = {r["doc_id"]: r["text"] for r in secrets.redact(docs_of(spark, texts)).collect()}
+    assert all(s not in done[i] for i, s in enumerate([key, key[:30], key, short, low, thirty, mixed]))
+    assert [done[i] for i in (7, 8, 9)] == texts[7:]
+
+
 def test_battery_follows_its_tests(spark):
     """p-values of even symbols are spread, those of words are tiny."""
     rng = random.Random(11)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -94,7 +95,7 @@ def nodes_and_edges(ops: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes, ops.withColumn("key", F.row_number().over(parallel) - 1)
 
 
-def downstream(edges: DataFrame, seeds: DataFrame, most: int = 200) -> DataFrame:
+def downstream(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """(seed, node, steps) of all nodes that can be reached along ``edges`` (src, dst), each by its shortest way.
 
     One join per step over the newest nodes only; every few steps the result so
@@ -107,14 +108,15 @@ def downstream(edges: DataFrame, seeds: DataFrame, most: int = 200) -> DataFrame
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="consolida-"))
     links = edges.select("src", "dst").distinct()
     seen = seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("steps")).distinct()
-    newest = seen
-    for step in range(1, most + 1):
+    newest, parts = seen, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for step in itertools.count(1):
         ahead = newest.join(links, newest["node"] == links["src"]).select("seed", F.col("dst").alias("node"), F.lit(step).alias("steps")).distinct()
         newest = ahead.join(seen, ["seed", "node"], "left_anti").checkpoint()
         if newest.isEmpty():
             return seen
         seen = seen.unionByName(newest)
-    return seen
+        if step % 20 == 0:
+            seen = seen.coalesce(parts).checkpoint()
 
 
 def predecessor(rows: DataFrame, keys: Sequence[str], number: str, is_new: str) -> DataFrame:

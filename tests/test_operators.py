@@ -196,3 +196,8 @@ def test_results_do_not_depend_on_partitions(spark):
     assert seen[0] == seen[1]
 
 
+def test_downstream_has_no_last_step(spark):
+    """A chain of more than 200 links is followed to its end, and a cycle at it ends."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(205)] + [(205, 203)], "src long, dst long").coalesce(1)
+    found = relations.downstream(edges, spark.createDataFrame([(0,)], "node long").coalesce(1))
+    assert {(r["node"], r["steps"]) for r in found.collect()} == {(i, i) for i in range(206)}

@@ -481,10 +481,10 @@ def q_parallel_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def made_decrees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A decree per page: two articles of its site's first decree, or changes to them by later ones."""
+    """A decree per page: two articles with its whole text of its site's first decree, or changes to them by later ones."""
     n = F.col("page_id")
-    text = F.substring(F.regexp_replace("html", "<[^>]*>", " "), 1, 200)
-    text = F.replace(F.replace(text, F.lit("<"), F.lit(" ")), F.lit("&"), F.lit(" "))
+    text = F.regexp_replace("html", "<[^>]*>", " ")
+    text = F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     date = F.concat(F.lit("20"), F.lpad((n % 10 + 10).cast("string"), 2, "0"), F.lit("-01-01"))
     article = lambda k: F.concat(F.lit(f'<section data-spec="section" data-type="article" data-number="{k}"><h2 data-spec="section_title">Article {k}</h2><div data-spec="alinea" data-number="1">'), text, F.lit("</div></section>"))
     first = F.concat(F.lit('<body data-arretify_version="0.2.1"><main>'), article(1), article(2), F.lit("</main></body>"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import html
 import math
+import re
 
 import duckdb
 import pytest
@@ -49,6 +51,18 @@ def test_permits_have_every_site(spark):
     assert all("<main><section" in r["html"] and "{{" not in r["html"] for r in rows)
 
 
+def test_versions_hold_whole_pages(spark):
+    decrees = catalogue.made_decrees(spark, SF)
+    found = catalogue.pipeline.consolidate(decrees, catalogue.pipeline.tagged_operations(decrees)).versions
+    held = {}
+    for r in found.where("decree_id = '2010-01-01'").select("aiot", "article_id", "content").collect():
+        held.setdefault((r["aiot"], r["article_id"]), []).append(" ".join(html.unescape(r["content"] or "").split()))
+    pages = catalogue.table(spark, SF, "pages").where("page_id % 10 = 0").select("page_id", "html").collect()
+    texts = {str(p["page_id"] // 10): " ".join(re.sub("<[^>]*>", " ", p["html"]).split()) for p in pages}
+    assert max(map(len, texts.values())) > 200
+    assert all(any(text in content for content in held[site, article]) for site, text in texts.items() for article in "12")
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 

@@ -1,7 +1,7 @@
 """Language identification with language-bitmask n-gram filters.
 
 The model is one bit-sliced Bloom filter: a table of 64-bit masks, one slice
-(bit) per language.  An n-gram sets its languages' bits at ``HASHES`` places;
+(bit) per language, and one such table for every 64 languages.  An n-gram sets its languages' bits at ``HASHES`` places;
 the AND of the masks at those places returns all languages that contain it at
 once.  A document's n-grams give a count per language; each slice's fill gives
 its false-positive rate, which is taken out of the counts before they decide.
@@ -14,9 +14,7 @@ table is summed by Spark and only the filter, of fixed size, reaches the driver.
 
 Texts that are null or have no letter are ``und`` with score 0; so is every
 text when nothing was learned.  Ties go to the language with more training
-documents, then to the first by name; at most 64 languages are learned, those
-with most training documents.  A null
-doc_id trains nothing and is held out.  Repeated rows are separate documents.
+documents, then to the first by name.  A null doc_id trains nothing and is held out.  Repeated rows are separate documents.
 """
 
 from __future__ import annotations
@@ -108,10 +106,10 @@ class Model:
         if not self.languages or not any(c.isalpha() for c in body.decode(errors="replace")):
             return "und", 0.0, 0
         g = grams(body)
-        masks = np.full(len(g), ~U64(0))
+        masks = np.full((len(self.table), len(g)), ~U64(0))
         for at in slots(g):
-            masks &= self.table[at]
-        hits = np.array([np.count_nonzero(masks >> U64(i) & U64(1)) for i in range(len(self.languages))], dtype=float)
+            masks &= self.table[:, at]
+        hits = np.array([np.count_nonzero(masks[i // 64] >> U64(i % 64) & U64(1)) for i in range(len(self.languages))], dtype=float)
         true = np.maximum(0.0, (hits - len(g) * self.false) / (1 - self.false))
         best = int(np.argmax(true))
         total = float(true.sum())
@@ -121,29 +119,34 @@ class Model:
 def train(rows: DataFrame) -> Model:
     """Learn from the ``lang`` and ``text`` of all ``rows``; rows without either teach nothing."""
     rows = rows.where("lang is not null and text is not null").select("lang", F.col("text").cast("binary").alias("body"))
-    languages = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect()]
+    languages = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
+    words = -(-len(languages) // 64)
     if not languages:
-        return Model([], np.zeros(1 << SLOT_BITS, U64), np.zeros(0))
-    counted = rows.where(F.col("lang").isin(languages)).mapInArrow(_counted, "lang string, gram long, n long")
+        return Model([], np.zeros((0, 1 << SLOT_BITS), U64), np.zeros(0))
+    counted = rows.mapInArrow(_counted, "lang string, gram long, n long")
     per = counted.groupBy("gram", "lang").agg(F.sum("n").alias("n"))
     totals = {r["lang"]: r["n"] for r in per.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    share = F.element_at(F.create_map(*(v for lang, n in totals.items() for v in (F.lit(lang), F.lit(1.0 / n)))), F.col("lang")) * F.col("n")
-    bit = F.element_at(F.create_map(*(v for i, lang in enumerate(languages) for v in (F.lit(lang), F.lit(1 << i if i < 63 else -(1 << 63)).cast("long")))), F.col("lang"))
-    most = per.withColumn("share", share).groupBy("gram").agg(F.collect_list(F.struct("share", "n", bit.alias("bit"))).alias("all"), F.max("share").alias("top"))
-    owners = F.aggregate(F.filter("all", lambda x: (x["share"] >= SHARE * F.col("top")) & (x["n"] >= LEAST)), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x["bit"]))
-    filled = most.select("gram", owners.alias("mask")).where("mask <> 0").mapInArrow(_placed, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask"))
-    table = np.zeros(1 << SLOT_BITS, dtype=U64)
-    found = filled.toPandas()  # at most one row per slot
-    table[found["slot"].to_numpy()] = found["mask"].to_numpy().astype(np.int64).view(U64)
-    fill = np.array([np.count_nonzero(table >> U64(i) & U64(1)) / len(table) for i in range(len(languages))])
+    of = [(lang, i // 64, 1 << i % 64 if i % 64 < 63 else -(1 << 63), 1.0 / totals[lang]) for i, lang in enumerate(languages) if totals.get(lang)]
+    if of:
+        per = per.join(F.broadcast(rows.sparkSession.createDataFrame(of, "lang string, word int, bit long, part double")), "lang")
+        most = per.withColumn("share", F.col("n") * F.col("part")).groupBy("gram").agg(F.collect_list(F.struct("share", "n", "word", "bit")).alias("all"), F.max("share").alias("top"))
+        owned = most.select("gram", F.filter("all", lambda x: (x["share"] >= SHARE * F.col("top")) & (x["n"] >= LEAST)).alias("owned"))
+        masks = F.transform(F.sequence(F.lit(0), F.lit(words - 1)), lambda w: F.aggregate(F.filter("owned", lambda x: x["word"] == w), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x["bit"])))
+        owners = owned.select("gram", F.posexplode(masks).alias("word", "mask")).where("mask <> 0")
+        filled = owners.mapInArrow(_placed, "slot long, word int, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask"))
+    table = np.zeros((words, 1 << SLOT_BITS), dtype=U64)
+    if of:
+        found = filled.toPandas()  # at most one row per slot and word
+        table[found["word"].to_numpy(), found["slot"].to_numpy()] = found["mask"].to_numpy().astype(np.int64).view(U64)
+    fill = np.array([np.count_nonzero(table[i // 64] >> U64(i % 64) & U64(1)) / table.shape[1] for i in range(len(languages))])
     return Model(languages, table, fill**HASHES)
 
 
 def _placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        gram, mask = (c.to_numpy() for c in batch.columns)
+        gram, word, mask = (c.to_numpy() for c in batch.columns)
         if len(gram):
-            yield pa.RecordBatch.from_pydict({"slot": np.concatenate(slots(gram)), "mask": np.tile(mask, HASHES)})
+            yield pa.RecordBatch.from_pydict({"slot": np.concatenate(slots(gram)), "word": np.tile(word, HASHES), "mask": np.tile(mask, HASHES)})
 
 
 def identify(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:

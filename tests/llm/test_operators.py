@@ -377,6 +377,15 @@ def test_language_held_out(spark):
     assert {r["doc_id"]: r["lang_pred"] for r in none if r["doc_id"] < 3} == {1: "und", 2: "und"}
 
 
+def test_more_languages_than_a_mask_holds(spark):
+    rng = random.Random(18)
+    words = {f"l{k:03}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(8)] for k in range(70)}
+    rows = [(20 * k + i, " ".join(rng.choices(w, k=25)), lang) for k, (lang, w) in enumerate(words.items()) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.cross_identify(docs).where("held_out").collect()}
+    assert all(got[i] == lang for i, _, lang in rows if i in got) and len(set(got.values())) > 64
+
+
 # Quality, scores -----------------------------------------------------------------------------
 
 

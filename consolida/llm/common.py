@@ -8,7 +8,7 @@ stage is written as Parquet under the folder the session names in
 from __future__ import annotations
 
 import atexit
-import tempfile
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -26,18 +26,11 @@ ALNUM_TABLE = bytes(
     for b in range(256)
 )
 
-_own_dirs: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where none is set."""
+    """The folder all executors share; where none is set, one below the warehouse, which they share too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dirs:
-        _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="consolida-")
-    return _own_dirs[app]
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/consolida"
 
 
 def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
@@ -49,11 +42,22 @@ def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of queries that are done.
+
+    Its cleaner acts when the driver collects garbage, which a driver with
+    little to do puts off while the executors' disks fill.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def forget(*tables: DataFrame) -> None:
-    """Remove stored tables that nothing reads any more."""
+    """Remove stored tables that nothing reads any more, and the shuffle files they were made from."""
     for df in tables:
         for name in {f.rpartition("/")[0] for f in df.inputFiles()[:1]}:
             _forget(df.sparkSession, name)
+        sweep(df.sparkSession)
 
 
 def _forget(spark: SparkSession, path: str) -> None:

@@ -26,6 +26,9 @@ ALNUM_TABLE = bytes(
     for b in range(256)
 )
 
+#: Tables of the catalogue by the last part of their path.
+_tables: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share; where none is set, one below the warehouse, which they share too."""
@@ -42,6 +45,20 @@ def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, tag: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``key`` in the shared folder and read it again.
+
+    Grouping it by ``key`` into as many partitions needs no shuffle.
+    """
+    spark = df.sparkSession
+    name = f"consolida_{tag}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    df.write.bucketBy(buckets, key).option("path", path).option("compression", "uncompressed").format("parquet").saveAsTable(name)
+    atexit.register(_forget, spark, path)
+    _tables[path.rpartition("/")[2]] = name
+    return spark.table(name)
+
+
 def sweep(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of queries that are done.
 
@@ -57,11 +74,14 @@ def forget(*tables: DataFrame) -> None:
     for df in tables:
         for name in {f.rpartition("/")[0] for f in df.inputFiles()[:1]}:
             _forget(df.sparkSession, name)
+    for df in tables[:1]:
         sweep(df.sparkSession)
 
 
 def _forget(spark: SparkSession, path: str) -> None:
     try:
+        if table := _tables.pop(path.rpartition("/")[2], None):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

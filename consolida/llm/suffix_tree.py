@@ -4,21 +4,23 @@ A context is the run of words before a token.  Its candidates grow by one word
 a level: a context of d words is weighed where its suffix of d - 1 words is
 retained, and it is retained when a divergence test says that it predicts: the
 leave-one-out log-likelihood of its next words under its own smoothed
-distribution has to exceed that under its suffix's distribution by ``GAIN``.
-Levels end when none of their contexts is retained; neither the depth nor the
-number of contexts has a bound.  ``LEAST`` = 2 leaves nothing out: a context
-that occurs once has a gain of zero.  Distributions are smoothed towards the
-suffix's with ``MASS`` pseudo-counts, the root with 0.1 a word.  Every token is
-scored in the longest retained context that stands before it.
-
-``p_min`` asks for a small tree of fixed size instead: contexts of at most two
-words that make up that share of the training tokens.
-
-Documents are cut into blocks that are coded once.  Of each level the counts of
-context and next word, then the gains and sizes of contexts, are exchanged as
-sorted, differenced key blocks: each range of keys sums what all blocks hold
-and answers every block with its totals.  Contexts stay in these answers; none
-is collected.  Words and contexts are known by 64-bit hashes.
+distribution has to exceed that under its suffix's distribution by ``gain``,
+by default twice the logarithm of the number of training tokens.  Levels end
+when none of their contexts is retained; neither the depth nor the number of
+contexts has a bound.  ``LEAST`` = 2 leaves nothing out: a context that occurs
+once has a gain of zero.  Distributions are smoothed towards the suffix's with
+``MASS`` pseudo-counts, the root with 0.1 a word.  Every token is scored in the
+longest retained context that stands before it.
+
+Documents are cut into blocks that are coded once.  Each level exchanges two
+lists as sorted, differenced key blocks: first the occurrences of context and
+next word, then gains and sizes of contexts.  A range of keys sums what all
+blocks hold and answers every block with its totals, so a frequent context is
+spread over all ranges in the first list and comes once a block in the second.
+Contexts stay in the answers; none is collected.  The blocks lie in tables
+bucketed by block: only keys and answers are shuffled.  Words are known by
+64-bit hashes, contexts by as many bits as keep a chance agreement of any two
+keys below one in 2 ** ``SPARE_BITS``.
 
 Null texts are empty and consist of the end token; a null doc_id is held out;
 repeated rows are separate documents.  Without training tokens every token has
@@ -27,8 +29,9 @@ the same probability, one.
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -39,17 +42,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from consolida.llm.common import U64, WordHashes, blank_words, forget, materialise, mixed, rows_of, shuffle_partitions, text_bytes
+from consolida.llm.common import U64, WordHashes, blank_words, bucketed, forget, materialise, mixed, rows_of, shuffle_partitions, sweep, text_bytes
 
 FOLDS = 10
 ADDED = 0.1
 LEAST = 2
 MASS = 50.0
-GAIN = 20.0
 BLOCK_BYTES = 12_000_000
 BLOCK_ROWS = 50_000
 PART_BYTES = 32_000_000
 LEAST_PARTS = 64
+SPARE_BITS = 24
 #: Places hashed at once.
 CHUNK = 1 << 17
 #: Hash of the end token.
@@ -66,6 +69,15 @@ def opened(raw: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(_OPEN.decompress(raw), kind)
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as byte planes of their differences."""
+    return packed(np.diff(keys, prepend=U64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T)
+
+
+def opened_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(opened(raw, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel(), dtype=U64)
+
+
 def fold(doc_id: Column) -> Column:
     """Remainder of crc32(doc_id as text) by the number of folds; null: 0."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLDS)), F.lit(0))
@@ -75,6 +87,30 @@ def crc_fold(doc_id: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % FOLDS
 
 
+@dataclass
+class Root:
+    """Training tokens and distinct words."""
+
+    tokens: int
+    words: int
+
+    def of(self, count: np.ndarray) -> np.ndarray:
+        return (count + ADDED) / (self.tokens + ADDED * (self.words + 1))
+
+
+# Blocks --------------------------------------------------------------------------------------
+
+#: ``words``: hashes of the distinct words; ``counts``: theirs in training documents, of all blocks once known;
+#: ``seen``: of each token the occurrences, up to 255, of the longest run of words ending there that was counted;
+#: ``places``: tokens with a context to be weighed at this level; ``prior``, ``which``: their probabilities in the suffix.
+_STATE = "block long, ids binary, flags binary, lengths binary, codes binary, words binary, counts binary, known binary, base binary, score binary, seen binary, places binary, prior binary, which binary"
+_COLUMNS = [c.split()[0] for c in _STATE.split(", ")]
+
+
+def _state(row: dict) -> pa.Table:
+    return pa.table({name: pa.array([row.get(name)], pa.int64() if name == "block" else pa.binary()) for name in _COLUMNS})
+
+
 @dataclass
 class _Block:
     ids: list = field(default_factory=list)
@@ -88,25 +124,20 @@ class _Block:
         self.tokens.append(np.append(tokens, END))
         self.size += size
 
-    def row(self, block: int) -> pa.RecordBatch:
+    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
         lengths = np.array([len(t) for t in self.tokens], dtype=np.int64)
         hashes, codes = np.unique(np.concatenate(self.tokens), return_inverse=True)
         learned = np.repeat(~np.array(self.held), lengths)
-        counts = np.bincount(codes[learned], minlength=len(hashes))
-        return pa.RecordBatch.from_pydict(
-            {
-                "block": [block],
-                "ids": [packed(np.array([i or 0 for i in self.ids], np.int64))],
-                "flags": [packed(np.array([(i is None) + 2 * h for i, h in zip(self.ids, self.held, strict=True)], np.uint8))],
-                "lengths": [packed(lengths)],
-                "codes": [packed(codes.astype(np.int32))],
-                "keys": [hashes.tobytes()],
-                "counts": [packed(counts.astype(np.int32))],
-            }
-        )
-
-
-_BLOCKS = "block long, ids binary, flags binary, lengths binary, codes binary, keys binary, counts binary"
+        row = {
+            "block": block,
+            "ids": packed(np.array([i or 0 for i in self.ids], np.int64)),
+            "flags": packed(np.array([(i is None) + 2 * h for i, h in zip(self.ids, self.held, strict=True)], np.uint8)),
+            "lengths": packed(lengths),
+            "codes": packed(codes.astype(np.int32)),
+            "words": packed_keys(hashes),
+            "counts": packed(np.bincount(codes[learned], minlength=len(hashes)).astype(np.int64)),
+        }
+        yield from _state(row).to_batches()
 
 
 def _coded(batches: Iterable[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -114,184 +145,210 @@ def _coded(batches: Iterable[pa.RecordBatch], block_bytes: int) -> Iterator[pa.R
     for doc_id, held, body in rows_of(batches, "doc_id", "held", "body"):
         block.add(doc_id, held, hashes.of(blank_words(body)), len(body))
         if block.size >= block_bytes or len(block.ids) >= BLOCK_ROWS:
-            yield block.row(at << 20 | seq)
+            yield from block.rows(at << 20 | seq)
             block, seq = _Block(), seq + 1
     if block.ids:
-        yield block.row(at << 20 | seq)
+        yield from block.rows(at << 20 | seq)
 
 
-_SENT = "part int, block long, keys binary, counts binary"
-_ANSWER = "block long, part int, totals binary, own binary"
+def _contexts(hashes: np.ndarray, codes: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
+    """Hashes of the ``depth`` words before each place."""
+    out = np.zeros(len(places), U64)
+    for lo in range(0, len(places), CHUNK):
+        at, part = places[lo : lo + CHUNK], out[lo : lo + CHUNK]
+        for i in range(1, depth + 1):
+            part[:] = mixed(part + hashes[codes[at - i]] + U64(i))
+    return out
 
 
-def _split(batches: Iterable[pa.RecordBatch], parts: int, kind: np.dtype) -> Iterator[pa.RecordBatch]:
-    """The sorted keys of blocks by range, as byte planes of their differences."""
-    bounds = np.array([(i << 64) // parts for i in range(parts)], dtype=U64)
-    for block, raw, counts in rows_of(batches, "block", "keys", "counts"):
-        keys, n = np.frombuffer(raw, U64), opened(counts, kind)
-        ends = np.append(np.searchsorted(keys, bounds), len(keys)).tolist()
-        full = [p for p in range(parts) if ends[p + 1] > ends[p]]
-        if full:
-            planes = [np.diff(keys[ends[p] : ends[p + 1]], prepend=U64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T for p in full]
-            yield pa.RecordBatch.from_pydict({"part": pa.array(full, pa.int32()), "block": [block] * len(full), "keys": [packed(x) for x in planes], "counts": [packed(n[ends[p] : ends[p + 1]]) for p in full]})
+@dataclass
+class _Level:
+    """The weighed places of a block: contexts and what follows, by number, where it may occur in training documents."""
+
+    learned: np.ndarray
+    prior: np.ndarray
+    places: np.ndarray
+    contexts: np.ndarray
+    context: np.ndarray
+    sent: np.ndarray
+    events: np.ndarray
+    event: np.ndarray
+
+    @classmethod
+    def of(cls, row: dict, depth: int) -> _Level:
+        lengths, codes = opened(row["lengths"], np.int64), opened(row["codes"], np.int32)
+        hashes, places = opened_keys(row["words"]), np.cumsum(opened(row["places"], np.int32), dtype=np.int32)
+        learned = np.repeat(opened(row["flags"], np.uint8) < 2, lengths)[places]
+        prior = opened(row["prior"], np.float64)[opened(row["which"], np.int32)]
+        after = _contexts(hashes, codes, places, depth)
+        contexts, context = np.unique(after, return_inverse=True)
+        sent = opened(row["seen"], np.uint8)[places] > 0
+        after = after[sent]
+        for lo in range(0, len(after), CHUNK):
+            after[lo : lo + CHUNK] = mixed(after[lo : lo + CHUNK] + mixed(hashes[codes[places[sent][lo : lo + CHUNK]]]))
+        events, event = np.unique(after, return_inverse=True)
+        return cls(learned, prior, places, contexts, context.astype(np.int32), sent, events, event.astype(np.int32))
+
+
+def _next(row: dict, places: np.ndarray, prior: np.ndarray, seen: np.ndarray, depth: int, least: int) -> pa.Table:
+    """A block with its places for contexts of ``depth`` words: those of them that occur ``least`` times."""
+    lengths = opened(row["lengths"], np.int64)
+    begin, inside = np.cumsum(lengths) - lengths, np.ones(int(lengths.sum()), bool)
+    for i in range(depth):
+        inside[begin[lengths > i] + i] = False
+    here = inside[places] & (seen[places - 1] >= min(least, 255))  # a run occurs no oftener than another at its end
+    values, which = np.unique(prior[here], return_inverse=True)
+    row |= {"seen": packed(seen), "places": packed(np.diff(places[here], prepend=np.int32(0))), "prior": packed(values), "which": packed(which.astype(np.int32))}
+    return _state(row)
 
 
-def _gathered(rows: pa.Table, kind: np.dtype) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
-    """What blocks sent to one range, in order of block: rows, first holder of each key, key of each entry, entries."""
+# Exchange ------------------------------------------------------------------------------------
+
+_SENT = "part int, block long, keys binary, values binary"
+_ANSWER = "block long, part int, totals binary, own binary"
+#: Of a context: the part of its gain that next words add, and its occurrences.
+_SUM = np.dtype([("gain", "<f8"), ("n", "<i8")])
+
+
+def _split(block: int, keys: np.ndarray, values: np.ndarray, parts: int, shift: int) -> pa.Table:
+    """The sorted keys of a block by range."""
+    bounds = np.array([(i << 64) // parts for i in range(parts)], dtype=U64)
+    ends = np.append(np.searchsorted(keys, bounds), len(keys)).tolist()
+    full = [p for p in range(parts) if ends[p + 1] > ends[p]]
+    keys = keys >> U64(shift)
+    return pa.table(
+        {
+            "part": pa.array(full, pa.int32()),
+            "block": pa.array([block] * len(full), pa.int64()),
+            "keys": pa.array([packed_keys(keys[ends[p] : ends[p + 1]]) for p in full], pa.binary()),
+            "values": pa.array([packed(values[ends[p] : ends[p + 1]]) for p in full], pa.binary()),
+        }
+    )
+
+
+def _gathered(rows: pa.Table, kind: np.dtype) -> tuple[pa.Table, list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """What blocks sent to one range, by block: rows, sizes, first holder of each key, key of each entry, entries."""
     rows = rows.sort_by("block")
-    keys = [np.cumsum(opened(k, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel(), dtype=U64) for k in rows.column("keys").to_pylist()]
+    keys = [opened_keys(k) for k in rows.column("keys").to_pylist()]
     _, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    return rows, first, at, np.concatenate([opened(c, kind) for c in rows.column("counts").to_pylist()])
+    return rows, [len(k) for k in keys], first, at, np.concatenate([opened(c, kind) for c in rows.column("values").to_pylist()])
 
 
-def _answer(rows: pa.Table, first: np.ndarray, at: np.ndarray, totals: np.ndarray) -> pa.Table:
+def _answer(rows: pa.Table, sizes: list[int], first: np.ndarray, at: np.ndarray, totals: np.ndarray) -> pa.Table:
     """Answers of one range: each block's totals, and which keys it is the first to hold."""
-    own = np.zeros(len(at), np.uint8)
-    own[first] = 1
-    sizes = [len(opened(k, np.uint8)) // 8 for k in rows.column("keys").to_pylist()]
+    own = np.zeros(len(at), bool)
+    own[first] = True
     ends = np.cumsum([0, *sizes]).tolist()
     cut = [slice(a, b) for a, b in zip(ends, ends[1:], strict=False)]
-    return pa.table({"block": rows.column("block"), "part": rows.column("part"), "totals": [packed(totals[at[c]]) for c in cut], "own": [packed(own[c]) for c in cut]})
+    # kept short: totals above a byte are rare and travel by themselves
+    return pa.table(
+        {
+            "block": rows.column("block"),
+            "part": rows.column("part"),
+            "totals": pa.array([_short(totals[at[c]]) for c in cut], pa.binary()),
+            "own": pa.array([packed(np.packbits(own[c])) for c in cut], pa.binary()),
+        }
+    )
 
 
-def _summed(rows: pa.Table) -> pa.Table:
-    """Counts of keys."""
-    rows, first, at, counts = _gathered(rows, np.int32)
-    return _answer(rows, first, at, np.bincount(at, counts, minlength=len(first)).astype(np.int64))
+def _short(totals: np.ndarray) -> bytes:
+    large = totals >= 255
+    return packed(np.concatenate([np.minimum(totals, 255).astype(np.uint8), totals[large].astype("<i8").view(np.uint8), np.array([len(totals)], "<i8").view(np.uint8)]))
 
 
-#: Of a context: the part of its gain that next words add, and its occurrences.
-_SUM = np.dtype([("gain", "<f8"), ("n", "<i8")])
+def _long(raw: bytes) -> np.ndarray:
+    raw = opened(raw, np.uint8)
+    n = int(raw[-8:].copy().view("<i8")[0])
+    totals = raw[:n].astype(np.int64)
+    totals[raw[:n] == 255] = raw[n:-8].copy().view("<i8")
+    return totals
+
+
+def _summed(rows: pa.Table) -> pa.Table:
+    """Occurrences of keys."""
+    rows, sizes, first, at, counts = _gathered(rows, np.int64)
+    return _answer(rows, sizes, first, at, np.bincount(at, counts, minlength=len(first)).astype(np.int64))
 
 
-def _tested(rows: pa.Table, least: float, mass: float, gain: float) -> pa.Table:
+def _tested(rows: pa.Table, least: int, mass: float, gain: float) -> pa.Table:
     """Sizes of retained contexts, zero for others."""
-    rows, first, at, sums = _gathered(rows, _SUM)
+    rows, sizes, first, at, sums = _gathered(rows, _SUM)
     size = np.bincount(at, sums["n"], minlength=len(first))
     found = np.bincount(at, sums["gain"], minlength=len(first)) - size * np.log(np.maximum(size - 1, 0) + mass)
-    return _answer(rows, first, at, np.where((size >= least) & (found > gain), size, 0).astype(np.int64))
+    return _answer(rows, sizes, first, at, np.where((size >= least) & (found > gain), size, 0).astype(np.int64))
 
 
-def exchange(blocks: DataFrame, parts: int, n: int, kind: np.dtype = np.int32, summed=_summed) -> DataFrame:
-    """Totals over all blocks of every block's keys (block, keys sorted, counts)."""
-    sent = blocks.select("block", "keys", "counts").mapInArrow(lambda it: _split(it, parts, kind), _SENT)
-    return materialise(sent.repartition(n, "part").groupBy("part").applyInArrow(lambda rows: summed(rows), _ANSWER), "totals")
+def _exchanged(sent: DataFrame, n: int, answer: Callable[[pa.Table], pa.Table], tag: str) -> DataFrame:
+    out = materialise(sent.repartition(n, "part").groupBy("part").applyInArrow(lambda rows: answer(rows), _ANSWER), tag)
+    sweep(out.sparkSession)
+    return out
 
 
 def _answers(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """A block's totals and first-holder marks, in the order of its keys."""
     order = np.argsort(rows.column("part").to_numpy())
     totals, own = rows.column("totals").to_pylist(), rows.column("own").to_pylist()
-    if not len(order):
-        return np.empty(0, np.int64), np.empty(0, np.uint8)
-    return np.concatenate([opened(totals[i], np.int64) for i in order]), np.concatenate([opened(own[i], np.uint8) for i in order])
-
-
-@dataclass
-class Root:
-    """Training tokens and distinct words."""
-
-    tokens: int
-    words: int
-
-    def of(self, count: np.ndarray) -> np.ndarray:
-        return (count + ADDED) / (self.tokens + ADDED * (self.words + 1))
+    every = [_long(totals[i]) for i in order]
+    marks = [np.unpackbits(opened(own[i], np.uint8), count=len(t)).astype(bool) for i, t in zip(order, every, strict=True)]
+    return np.concatenate([np.empty(0, np.int64), *every]), np.concatenate([np.empty(0, bool), *marks])
 
 
-#: ``bound``: of each token the occurrences of the longest run of words ending there that was counted;
-#: ``places``: tokens weighed at this level; ``events``: their keys by number;
-#: ``prior``, ``which``: probabilities of the keys' words in the suffix.
-_STATE = "block long, ids binary, flags binary, lengths binary, known binary, base binary, score binary, codes binary, hashes binary, bound binary, places binary, prior binary, which binary, events binary, keys binary, counts binary"
+# Steps ---------------------------------------------------------------------------------------
 
 
-def _table(row: dict, columns: str) -> pa.Table:
-    return pa.table({name: pa.array([row[name]], pa.int64() if kind == "long" else pa.binary()) for name, kind in (c.split() for c in columns.split(", "))})
+def _words_sent(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    for block, words, counts in rows_of(batches, "block", "words", "counts"):
+        yield from _split(block, opened_keys(words), opened(counts, np.int64), parts, 0).to_batches()
 
 
-def _contexts(hashes: np.ndarray, codes: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
-    """Hashes of the ``depth`` words before each place."""
-    out = np.zeros(len(places), U64)
-    for lo in range(0, len(places), CHUNK):
-        at, part = places[lo : lo + CHUNK], out[lo : lo + CHUNK]
-        for i in range(1, depth + 1):
-            part[:] = mixed(part + hashes[codes[at - i]] + U64(i))
-    return out
-
-
-def _view(row: dict, places: np.ndarray, prior: np.ndarray, bound: np.ndarray, depth: int, least: float) -> pa.Table:
-    """A block with the next words of its contexts of ``depth`` words, counted in its training documents.
-
-    A context occurs no oftener than a run of words at its end.
-    """
-    lengths, codes = opened(row["lengths"], np.int64), opened(row["codes"], np.int32)
-    hashes = opened(row["hashes"], U64)
-    begin, inside = np.cumsum(lengths) - lengths, np.ones(len(codes), bool)
-    for i in range(depth):
-        inside[begin[lengths > i] + i] = False
-    here = inside[places] & (bound[places - 1] >= least)
-    places, prior = places[here], prior[here]
-    after = _contexts(hashes, codes, places, depth)
-    for lo in range(0, len(places), CHUNK):
-        after[lo : lo + CHUNK] = mixed(after[lo : lo + CHUNK] + mixed(hashes[codes[places[lo : lo + CHUNK]]]))
-    keys, events = np.unique(after, return_inverse=True)
-    events, before = events.astype(np.int32), np.zeros(len(keys))
-    before[events] = prior
-    del after, here, inside, prior
-    learned = np.repeat(opened(row["flags"], np.uint8) < 2, lengths)[places]
-    values, which = np.unique(before, return_inverse=True)
-    row |= {"bound": packed(bound), "places": packed(np.diff(places, prepend=np.int32(0))), "prior": packed(values), "which": packed(which.astype(np.int32))}
-    row |= {"events": packed(events), "keys": keys.tobytes(), "counts": packed(np.bincount(events[learned], minlength=len(keys)).astype(np.int32))}
-    return _table(row, _STATE)
-
-
-def _begun(left: pa.Table, right: pa.Table, root: Root, least: float) -> pa.Table:
-    """A block with its scores by the root, and its contexts of one word."""
+def _begun(left: pa.Table, right: pa.Table, root: Root, least: int) -> pa.Table:
+    """A block with its scores by the root, and the places of its contexts of one word."""
     row = left.to_pylist()[0]
     lengths, codes = opened(row["lengths"], np.int64), opened(row["codes"], np.int32)
-    totals = _answers(right)[0]
-    base, cut = root.of(totals), np.cumsum(lengths) - lengths
+    totals, cut = _answers(right)[0], np.cumsum(lengths) - lengths
+    base = root.of(totals)
     scores = packed(np.add.reduceat(np.log10(base)[codes], cut))
-    row |= {"hashes": packed(np.frombuffer(row["keys"], U64)), "known": packed(np.add.reduceat((totals > 0)[codes].astype(np.int64), cut)), "base": scores, "score": scores}
-    return _view(row, np.arange(len(codes), dtype=np.int32), base[codes], totals[codes], 1, least)
+    row |= {"counts": packed(totals), "known": packed(np.add.reduceat((totals > 0)[codes].astype(np.int64), cut)), "base": scores, "score": scores}
+    return _next(row, np.arange(len(codes), dtype=np.int32), base[codes], np.minimum(totals, 255).astype(np.uint8)[codes], 1, least)
 
 
-def _weighed(left: pa.Table, right: pa.Table, mass: float, depth: int) -> pa.Table:
-    """A block with the sums of its contexts.
+def _events_sent(batches: Iterable[pa.RecordBatch], depth: int, parts: int, shift: int) -> Iterator[pa.RecordBatch]:
+    """Occurrences of contexts and next words in a block's training documents."""
+    for values in rows_of(batches, *_COLUMNS):
+        level = _Level.of(row := dict(zip(_COLUMNS, values, strict=True)), depth)
+        counts = np.bincount(level.event[level.learned[level.sent]], minlength=len(level.events)).astype(np.int64)
+        yield from _split(row["block"], level.events, counts, parts, shift).to_batches()
 
-    Each distinct key is weighed once in the corpus, by the block that holds it first.
-    """
+
+def _gains_sent(left: pa.Table, right: pa.Table, mass: float, depth: int, parts: int, shift: int) -> pa.Table:
+    """Gains and sizes of a block's contexts; each key is weighed by the block that holds it first."""
     row = left.to_pylist()[0]
-    places, events = np.cumsum(opened(row["places"], np.int32), dtype=np.int32), opened(row["events"], np.int32)
+    level = _Level.of(row, depth)
     totals, own = _answers(right)
-    bound = opened(row["bound"], np.int64).copy()
-    bound[places] = totals[events]
-    keys, at = np.unique(_contexts(opened(row["hashes"], U64), opened(row["codes"], np.int32), places, depth), return_inverse=True)
-    of = np.zeros(len(totals), np.int32)
-    of[events] = at
-    del at
-    first = np.flatnonzero((own == 1) & (totals > 0))
-    n, before = totals[first], opened(row["prior"], np.float64)[opened(row["which"], np.int32)[first]]
-    sums = np.zeros(len(keys), _SUM)
-    sums["gain"] = np.bincount(of[first], n * (np.log(n - 1 + mass * before) - np.log(before)), minlength=len(keys))
-    sums["n"] = np.bincount(of[first], n, minlength=len(keys))
-    row |= {"bound": packed(bound), "keys": keys.tobytes(), "counts": packed(sums)}
-    return _table(row, _STATE)
-
-
-def _grown(left: pa.Table, right: pa.Table, mass: float, depth: int, least: float) -> pa.Table:
-    """A block with what retained contexts of ``depth`` words add to its scores, and its contexts of one word more."""
+    first = np.flatnonzero(own & (totals > 0))
+    of, before = np.zeros(len(totals), np.int32), np.zeros(len(totals))
+    of[level.event], before[level.event] = level.context[level.sent], level.prior[level.sent]
+    n, before = totals[first], before[first]
+    sums = np.zeros(len(level.contexts), _SUM)
+    sums["gain"] = np.bincount(of[first], n * (np.log(n - 1 + mass * before) - np.log(before)), minlength=len(sums))
+    sums["n"] = np.bincount(level.context[level.learned], minlength=len(sums))
+    return _split(row["block"], level.contexts, sums, parts, shift)
+
+
+def _grown(left: pa.Table, right: pa.Table, mass: float, depth: int, least: int) -> pa.Table:
+    """A block with what retained contexts of ``depth`` words add to its scores, and its places for those of one word more."""
     row = left.to_pylist()[0]
-    lengths, places, bound = opened(row["lengths"], np.int64), np.cumsum(opened(row["places"], np.int32), dtype=np.int32), opened(row["bound"], np.int64)
-    at = np.unique(_contexts(opened(row["hashes"], U64), opened(row["codes"], np.int32), places, depth), return_inverse=True)[1]
-    size = _answers(right)[0][at]
+    level, kinds = _Level.of(row, depth), right.column("kind").to_numpy()
+    total, size = np.zeros(len(level.places), np.int64), _answers(right.filter(pa.array(kinds == 1)))[0][level.context]
+    total[level.sent] = _answers(right.filter(pa.array(kinds == 0)))[0][level.event]
+    lengths, seen = opened(row["lengths"], np.int64), opened(row["seen"], np.uint8).copy()
+    seen[level.places] = np.minimum(total, 255)
     kept = size > 0
-    del at
-    places, size = places[kept], size[kept]
-    prior = opened(row["prior"], np.float64)[opened(row["which"], np.int32)[opened(row["events"], np.int32)[kept]]]
-    p = (bound[places] + mass * prior) / (size + mass)
+    places, prior = level.places[kept], level.prior[kept]
+    p = (total[kept] + mass * prior) / (size[kept] + mass)
     doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[places]
     row["score"] = packed(opened(row["score"], np.float64) + np.bincount(doc, np.log10(p) - np.log10(prior), minlength=len(lengths)))
-    return _view(row, places, p, bound, depth + 1, least)
+    return _next(row, places, p, seen, depth + 1, least)
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -312,52 +369,58 @@ def _scores(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _joined(left: DataFrame, right: DataFrame, step, columns: str, tag: str) -> DataFrame:
-    """``step`` of each block and its answers, stored; what it was made from goes."""
-    both = left.groupBy("block").cogroup(right.groupBy("block"))
-    out = materialise(both.applyInArrow(lambda a, b: step(a, b), columns), tag)
-    forget(left, right)
-    return out
-
-
 def _owned(answers: DataFrame) -> tuple[int, int]:
     """Distinct keys with a total above zero, and the sum of totals."""
     sums = answers.select("totals", "own").mapInArrow(_sums, "words long, tokens long").agg(F.sum("words"), F.sum("tokens")).first()
     return int(sums[0] or 0), int(sums[1] or 0)
 
 
-def score(docs: DataFrame, p_min: float | None = None, mass: float = MASS, gain: float = GAIN, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_contexts) of every row."""
+def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for totals, own in rows_of(batches, "totals", "own"):
+        t = _long(totals)
+        t = t[np.unpackbits(opened(own, np.uint8), count=len(t)).astype(bool)]
+        yield pa.RecordBatch.from_pydict({"words": [int(np.count_nonzero(t))], "tokens": [int(t.sum())]})
+
+
+def score(docs: DataFrame, least: int = LEAST, mass: float = MASS, gain: float | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_contexts, depth) of every row.
+
+    ``depth``: words of the longest retained context.
+    """
     n = shuffle_partitions(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held = (fold(F.col("doc_id")) == 0).alias("held")
     body = text_bytes(own, "doc_id", held)
     size = body.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     parts = max(LEAST_PARTS, n, size // PART_BYTES)
-    blocks = materialise(body.mapInArrow(lambda it: _coded(it, block_bytes), _BLOCKS), "blocks")
-    first = exchange(blocks, parts, n)
+    blocks = bucketed(body.mapInArrow(lambda it: _coded(it, block_bytes), _STATE), "blocks", "block", n)
+    first = _exchanged(blocks.mapInArrow(lambda it: _words_sent(it, parts), _SENT), n, _summed, "words")
     words, tokens = _owned(first)
-    least = LEAST if p_min is None else max(1.0, p_min * tokens)
+    gain = 2 * math.log(max(tokens, 1)) if gain is None else gain
+    shift = max(0, 64 - SPARE_BITS - tokens.bit_length())
 
-    state = _joined(blocks, first, partial(_begun, root=Root(tokens, words), least=least), _STATE, "viewed")
-    depth, n_contexts = 1, 0
+    def met(answers: DataFrame, step: Callable, columns: str) -> DataFrame:
+        return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: step(a, b), columns)
+
+    state = blocks
+    state = bucketed(met(first, partial(_begun, root=Root(tokens, words), least=least), _STATE), "level", "block", n)
+    forget(blocks, first)
+    depth, n_contexts = 0, 0
     while True:
-        state = _joined(state.drop("keys", "counts"), exchange(state, parts, n), partial(_weighed, mass=mass, depth=depth), _STATE, "weighed")
-        tested = exchange(state, parts, n, _SUM, partial(_tested, least=least, mass=mass, gain=gain))
+        depth += 1
+        sent = state.mapInArrow(partial(_events_sent, depth=depth, parts=parts, shift=shift), _SENT)
+        events = _exchanged(sent, n, _summed, "events")
+        sent = met(events, partial(_gains_sent, mass=mass, depth=depth, parts=parts, shift=shift), _SENT)
+        tested = _exchanged(sent, n, partial(_tested, least=least, mass=mass, gain=gain), "tested")
         found = _owned(tested)[0]
         if not found:
-            forget(tested)
+            forget(events, tested)
             break
         n_contexts += found
-        state = _joined(state.drop("keys", "counts"), tested, partial(_grown, mass=mass, depth=depth, least=least), _STATE, "viewed")
-        depth += 1
-        if p_min is not None and depth > 2:
-            break
+        both = events.withColumn("kind", F.lit(0)).unionByName(tested.withColumn("kind", F.lit(1)))
+        before = state
+        state = bucketed(met(both, partial(_grown, mass=mass, depth=depth, least=least), _STATE), "level", "block", n)
+        forget(before, events, tested)
     scored = state.select("ids", "flags", "lengths", "known", "base", "score").mapInArrow(_scores, SCORES)
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", F.lit(n_contexts).cast("long").alias("n_contexts"))
-
-
-def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for totals, own in rows_of(batches, "totals", "own"):
-        t = opened(totals, np.int64)[opened(own, np.uint8) == 1]
-        yield pa.RecordBatch.from_pydict({"words": [int(np.count_nonzero(t))], "tokens": [int(t.sum())]})
+    extra = [F.lit(v).cast("long").alias(c) for c, v in (("n_contexts", n_contexts), ("depth", depth - 1))]
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", *extra)

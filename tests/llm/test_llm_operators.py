@@ -411,42 +411,55 @@ def test_kth_largest(spark):
         assert importance.kth_largest(df, k, bins=16, most=20) == sorted(values, reverse=True)[k - 1]
 
 
-def test_suffix_tree(spark):
+def grown_tree(texts, least, mass, gain):
+    """Training counts and (context: next word: probability) of retained contexts, level by level, with plain dictionaries."""
+    runs = [[*blank(t), None] for i, t in texts.items() if suffix_tree.crc_fold(i)]
+    c = Counter(x for w in runs for x in w)
+    total = sum(c.values())
+    root = lambda x: (c[x] + 0.1) / (total + 0.1 * (len(c) + 1))
+    tree, kept, depth = {}, {()}, 0
+
+    def p(before, x):
+        for d in range(len(before), 0, -1):
+            if (own := before[len(before) - d :]) in tree:
+                follow = tree[own]
+                return (follow[x] + mass * p(own[1:], x)) / (sum(follow.values()) + mass)
+        return root(x)
+
+    while kept:
+        depth += 1
+        after = {}
+        for w in runs:
+            for j in range(depth, len(w)):
+                if w[j - depth + 1 : j] == [] and depth == 1 or tuple(w[j - depth + 1 : j]) in kept:
+                    after.setdefault(tuple(w[j - depth : j]), Counter())[w[j]] += 1
+        kept = set()
+        for context, follow in after.items():
+            n = sum(follow.values())
+            won = sum(m * (math.log(m - 1 + mass * p(context[1:], x)) - math.log(n - 1 + mass) - math.log(p(context[1:], x))) for x, m in follow.items())
+            if n >= least and won > gain:
+                kept.add(context)
+        tree |= {k: after[k] for k in kept}
+    return c, root, tree, p
+
+
+@pytest.mark.parametrize("least", [2, 4])
+def test_suffix_tree(spark, least):
+    """Contexts of up to three words and more, against a tree grown with dictionaries."""
     rng = random.Random(16)
-    texts = {i: " ".join(x for _ in range(rng.randrange(0, 30)) for x in rng.choice([["the", "cat"], ["the", "dog", "ran"], ["a", f"r{rng.randrange(50)}"]])) for i in range(120)} | {500: None}
-    got = {r["doc_id"]: r for r in suffix_tree.score(docs_of(spark, texts), p_min=0.005, mass=5.0, gain=1.0, block_bytes=1000).collect()}
-    tokens = {i: [*blank(t), None] for i, t in texts.items()}
-    c, c1, c2 = Counter(), Counter(), Counter()
-    for i, w in tokens.items():
-        if suffix_tree.crc_fold(i):
-            c.update(w)
-            c1.update(zip(w, w[1:], strict=False))
-            c2.update(zip(w, w[1:], w[2:], strict=False))
-    total, least, mass = sum(c.values()), 0.005 * sum(c.values()), 5.0
-    p0 = lambda x: (c[x] + 0.1) / (total + 0.1 * (len(c) + 1))
-    p1 = lambda b, x: (c1[b, x] + mass * p0(x)) / (c[b] + mass)
-    often = {a for a, n in c.items() if a is not None and n >= least}
-    g1, g2 = Counter(), Counter()
-    for (a, x), n in c1.items():
-        if a in often:
-            g1[a] += n * (math.log(n - 1 + mass * p0(x)) - math.log(c[a] - 1 + mass) - math.log(p0(x)))
-    for (a, b, x), n in c2.items():
-        if a in often and b in often and c1[a, b] >= least:
-            g2[a, b] += n * (math.log(n - 1 + mass * p1(b, x)) - math.log(c1[a, b] - 1 + mass) - math.log(p1(b, x)))
-    one, two = {a for a in g1 if g1[a] > 1}, {a for a in g2 if g2[a] > 1}
-    assert one and two
-    for i, w in tokens.items():
-        score = 0.0
-        for j, x in enumerate(w):
-            p = p0(x)
-            if j and w[j - 1] in one:
-                p = p1(w[j - 1], x)
-                if j > 1 and w[j - 2] in often and (w[j - 2], w[j - 1]) in two:
-                    p = (c2[w[j - 2], w[j - 1], x] + mass * p) / (c1[w[j - 2], w[j - 1]] + mass)
-            score += math.log10(p)
+    pieces = [["the", "cat"], ["the", "dog", "ran"], ["k1", "m", "o", "z1"], ["k2", "m", "o", "z2"], ["x1", "p", "q", "r", "y1"], ["x2", "p", "q", "r", "y2"], ["a", "r"]]
+    texts = {i: " ".join(x if x != "r" else f"r{rng.randrange(50)}" for _ in range(rng.randrange(0, 30)) for x in rng.choice(pieces)) for i in range(120)} | {500: None}
+    got = {r["doc_id"]: r for r in suffix_tree.score(docs_of(spark, texts), least=least, mass=5.0, gain=1.0, block_bytes=1000).collect()}
+    c, root, tree, p = grown_tree(texts, least, 5.0, 1.0)
+    total = sum(c.values())
+    assert max(map(len, tree)) >= 3
+    for i, t in texts.items():
+        w = [*blank(t), None]
+        score = sum(math.log10(p(tuple(w[max(0, j - 8) : j]), x)) for j, x in enumerate(w))
         r = got[i]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (suffix_tree.crc_fold(i) == 0, len(w), sum(c[x] > 0 for x in w), total)
-        assert r["base_score"] == pytest.approx(sum(math.log10(p0(x)) for x in w)) and r["score"] == pytest.approx(score)
+        assert (r["n_contexts"], r["depth"]) == (len(tree), max(map(len, tree)))
+        assert r["base_score"] == pytest.approx(sum(math.log10(root(x)) for x in w)) and r["score"] == pytest.approx(score)
 
 
 def test_suffix_tree_grows_with_the_corpus(spark):
@@ -465,9 +478,8 @@ def test_suffix_tree_grows_with_the_corpus(spark):
         return suffix_tree.score(docs_of(spark, texts), mass=5.0, gain=1.0, block_bytes=20_000).collect(), texts
 
     few, texts = scored(1)
-    small = suffix_tree.score(docs_of(spark, texts), p_min=0.005, mass=5.0, gain=1.0).collect()
-    mean = lambda rows: sum(r["score"] for r in rows if r["held_out"]) / sum(r["n_tokens"] for r in rows if r["held_out"])
-    assert mean(few) > mean(small) + 0.02  # z0 or z1 follows from the word three places before
+    mean = lambda c: sum(r[c] for r in few if r["held_out"]) / sum(r["n_tokens"] for r in few if r["held_out"])
+    assert few[0]["depth"] >= 3 and mean("score") > mean("base_score") + 0.2  # z0 or z1 follows from the word three places before
     many, _ = scored(40)
     assert many[0]["n_contexts"] > 20 * few[0]["n_contexts"]
 

@@ -140,6 +140,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct 64-bit keys in order, the first place of each, and the number of each place's key.
+
+    Sorts the keys with their places in the low bits, which takes half the time
+    of an indirect sort; keys that differ there alone and come out of order are
+    left to the indirect one.
+    """
+    n = len(keys)
+    if n:
+        low = U64((1 << n.bit_length()) - 1)
+        order = (np.sort((keys & ~low) | np.arange(n, dtype=U64)) & low).astype(np.int64)
+        full = keys[order]
+        if (full[1:] >= full[:-1]).all():
+            new = np.concatenate(([True], full[1:] != full[:-1]))
+            at = np.empty(n, np.int32)
+            at[order] = np.cumsum(new, dtype=np.int32) - 1
+            return full[new], order[new], at
+    out, first, at = np.unique(keys, return_index=True, return_inverse=True)
+    return out, first, at.astype(np.int32)
+
+
 def shingle_set(hashes: np.ndarray, k: int) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles; fewer words: the whole sequence as one."""
     n = len(hashes)

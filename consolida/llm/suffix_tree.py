@@ -32,17 +32,18 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from consolida.llm.common import U64, WordHashes, blank_words, bucketed, forget, materialise, mixed, rows_of, shuffle_partitions, sweep, text_bytes
+from consolida.llm.common import U64, bucketed, forget, grouped, materialise, mixed, rows_of, shuffle_partitions, sweep, text_bytes
 
 FOLDS = 10
 ADDED = 0.1
@@ -111,39 +112,48 @@ def _state(row: dict) -> pa.Table:
     return pa.table({name: pa.array([row.get(name)], pa.int64() if name == "block" else pa.binary()) for name in _COLUMNS})
 
 
-@dataclass
+#: A word of its own that no text holds; it stands for the end token while a block is split.
+_STOP = b"\x00\xff\x00"
+
+
 class _Block:
-    ids: list = field(default_factory=list)
-    held: list = field(default_factory=list)
-    tokens: list = field(default_factory=list)
-    size: int = 0
+    def __init__(self) -> None:
+        self.ids: list[int | None] = []
+        self.held: list[bool] = []
+        self.bodies: list[bytes] = []
+        self.size = 0
 
-    def add(self, doc_id: int | None, held: bool, tokens: np.ndarray, size: int) -> None:
+    def add(self, doc_id: int | None, held: bool, body: bytes) -> None:
         self.ids.append(doc_id)
         self.held.append(held)
-        self.tokens.append(np.append(tokens, END))
-        self.size += size
+        self.bodies.append(body)
+        self.size += len(body)
 
     def rows(self, block: int) -> Iterator[pa.RecordBatch]:
-        lengths = np.array([len(t) for t in self.tokens], dtype=np.int64)
-        hashes, codes = np.unique(np.concatenate(self.tokens), return_inverse=True)
+        # UTF-8 holds no 0xff
+        coded = pa.array(b" ".join(x for body in self.bodies for x in (body.lower(), _STOP)).split(), pa.binary()).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        hashes = np.fromiter((END if w == _STOP else xxhash.xxh3_64_intdigest(w) for w in words), U64, len(words))
+        keys, _, number = grouped(hashes)
+        codes = number[coded.indices.to_numpy()]
+        lengths = np.diff(np.flatnonzero(codes == np.searchsorted(keys, END)), prepend=-1)
         learned = np.repeat(~np.array(self.held), lengths)
         row = {
             "block": block,
             "ids": packed(np.array([i or 0 for i in self.ids], np.int64)),
             "flags": packed(np.array([(i is None) + 2 * h for i, h in zip(self.ids, self.held, strict=True)], np.uint8)),
-            "lengths": packed(lengths),
+            "lengths": packed(lengths.astype(np.int64)),
             "codes": packed(codes.astype(np.int32)),
-            "words": packed_keys(hashes),
-            "counts": packed(np.bincount(codes[learned], minlength=len(hashes)).astype(np.int64)),
+            "words": packed_keys(keys),
+            "counts": packed(np.bincount(codes[learned], minlength=len(keys)).astype(np.int64)),
         }
         yield from _state(row).to_batches()
 
 
 def _coded(batches: Iterable[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
-    hashes, block, seq, at = WordHashes(), _Block(), 0, TaskContext.get().partitionId()
+    block, seq, at = _Block(), 0, TaskContext.get().partitionId()
     for doc_id, held, body in rows_of(batches, "doc_id", "held", "body"):
-        block.add(doc_id, held, hashes.of(blank_words(body)), len(body))
+        block.add(doc_id, held, body)
         if block.size >= block_bytes or len(block.ids) >= BLOCK_ROWS:
             yield from block.rows(at << 20 | seq)
             block, seq = _Block(), seq + 1
@@ -161,33 +171,30 @@ def _contexts(hashes: np.ndarray, codes: np.ndarray, places: np.ndarray, depth:
     return out
 
 
-@dataclass
 class _Level:
-    """The weighed places of a block: contexts and what follows, by number, where it may occur in training documents."""
-
-    learned: np.ndarray
-    prior: np.ndarray
-    places: np.ndarray
-    contexts: np.ndarray
-    context: np.ndarray
-    sent: np.ndarray
-    events: np.ndarray
-    event: np.ndarray
-
-    @classmethod
-    def of(cls, row: dict, depth: int) -> _Level:
-        lengths, codes = opened(row["lengths"], np.int64), opened(row["codes"], np.int32)
-        hashes, places = opened_keys(row["words"]), np.cumsum(opened(row["places"], np.int32), dtype=np.int32)
-        learned = np.repeat(opened(row["flags"], np.uint8) < 2, lengths)[places]
-        prior = opened(row["prior"], np.float64)[opened(row["which"], np.int32)]
-        after = _contexts(hashes, codes, places, depth)
-        contexts, context = np.unique(after, return_inverse=True)
-        sent = opened(row["seen"], np.uint8)[places] > 0
-        after = after[sent]
+    """The weighed places of a block."""
+
+    def __init__(self, row: dict, depth: int):
+        self.lengths, self.codes = opened(row["lengths"], np.int64), opened(row["codes"], np.int32)
+        self.hashes, self.places = opened_keys(row["words"]), np.cumsum(opened(row["places"], np.int32), dtype=np.int32)
+        self.learned = np.repeat(opened(row["flags"], np.uint8) < 2, self.lengths)[self.places]
+        self.prior = opened(row["prior"], np.float64)[opened(row["which"], np.int32)]
+        self.before = _contexts(self.hashes, self.codes, self.places, depth)
+        #: Whether training documents may hold context and next word.
+        self.sent = opened(row["seen"], np.uint8)[self.places] > 0
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct contexts, and the number of each place's."""
+        keys, _, number = grouped(self.before)
+        return keys, number
+
+    def events(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct contexts with next words, and the number of those of each place that is sent."""
+        after, places = self.before[self.sent], self.places[self.sent]
         for lo in range(0, len(after), CHUNK):
-            after[lo : lo + CHUNK] = mixed(after[lo : lo + CHUNK] + mixed(hashes[codes[places[sent][lo : lo + CHUNK]]]))
-        events, event = np.unique(after, return_inverse=True)
-        return cls(learned, prior, places, contexts, context.astype(np.int32), sent, events, event.astype(np.int32))
+            after[lo : lo + CHUNK] = mixed(after[lo : lo + CHUNK] + mixed(self.hashes[self.codes[places[lo : lo + CHUNK]]]))
+        keys, _, number = grouped(after)
+        return keys, number
 
 
 def _next(row: dict, places: np.ndarray, prior: np.ndarray, seen: np.ndarray, depth: int, least: int) -> pa.Table:
@@ -197,8 +204,8 @@ def _next(row: dict, places: np.ndarray, prior: np.ndarray, seen: np.ndarray, de
     for i in range(depth):
         inside[begin[lengths > i] + i] = False
     here = inside[places] & (seen[places - 1] >= min(least, 255))  # a run occurs no oftener than another at its end
-    values, which = np.unique(prior[here], return_inverse=True)
-    row |= {"seen": packed(seen), "places": packed(np.diff(places[here], prepend=np.int32(0))), "prior": packed(values), "which": packed(which.astype(np.int32))}
+    values, _, which = grouped(prior[here].view(U64))
+    row |= {"seen": packed(seen), "places": packed(np.diff(places[here], prepend=np.int32(0))), "prior": packed(values), "which": packed(which)}
     return _state(row)
 
 
@@ -230,7 +237,7 @@ def _gathered(rows: pa.Table, kind: np.dtype) -> tuple[pa.Table, list[int], np.n
     """What blocks sent to one range, by block: rows, sizes, first holder of each key, key of each entry, entries."""
     rows = rows.sort_by("block")
     keys = [opened_keys(k) for k in rows.column("keys").to_pylist()]
-    _, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    _, first, at = grouped(np.concatenate(keys))
     return rows, [len(k) for k in keys], first, at, np.concatenate([opened(c, kind) for c in rows.column("values").to_pylist()])
 
 
@@ -315,33 +322,35 @@ def _begun(left: pa.Table, right: pa.Table, root: Root, least: int) -> pa.Table:
 def _events_sent(batches: Iterable[pa.RecordBatch], depth: int, parts: int, shift: int) -> Iterator[pa.RecordBatch]:
     """Occurrences of contexts and next words in a block's training documents."""
     for values in rows_of(batches, *_COLUMNS):
-        level = _Level.of(row := dict(zip(_COLUMNS, values, strict=True)), depth)
-        counts = np.bincount(level.event[level.learned[level.sent]], minlength=len(level.events)).astype(np.int64)
-        yield from _split(row["block"], level.events, counts, parts, shift).to_batches()
+        level = _Level(row := dict(zip(_COLUMNS, values, strict=True)), depth)
+        events, event = level.events()
+        counts = np.bincount(event[level.learned[level.sent]], minlength=len(events)).astype(np.int64)
+        yield from _split(row["block"], events, counts, parts, shift).to_batches()
 
 
 def _gains_sent(left: pa.Table, right: pa.Table, mass: float, depth: int, parts: int, shift: int) -> pa.Table:
     """Gains and sizes of a block's contexts; each key is weighed by the block that holds it first."""
     row = left.to_pylist()[0]
-    level = _Level.of(row, depth)
+    level = _Level(row, depth)
     totals, own = _answers(right)
+    (contexts, context), event = level.contexts(), level.events()[1]
     first = np.flatnonzero(own & (totals > 0))
     of, before = np.zeros(len(totals), np.int32), np.zeros(len(totals))
-    of[level.event], before[level.event] = level.context[level.sent], level.prior[level.sent]
+    of[event], before[event] = context[level.sent], level.prior[level.sent]
     n, before = totals[first], before[first]
-    sums = np.zeros(len(level.contexts), _SUM)
+    sums = np.zeros(len(contexts), _SUM)
     sums["gain"] = np.bincount(of[first], n * (np.log(n - 1 + mass * before) - np.log(before)), minlength=len(sums))
-    sums["n"] = np.bincount(level.context[level.learned], minlength=len(sums))
-    return _split(row["block"], level.contexts, sums, parts, shift)
+    sums["n"] = np.bincount(context[level.learned], minlength=len(sums))
+    return _split(row["block"], contexts, sums, parts, shift)
 
 
 def _grown(left: pa.Table, right: pa.Table, mass: float, depth: int, least: int) -> pa.Table:
     """A block with what retained contexts of ``depth`` words add to its scores, and its places for those of one word more."""
     row = left.to_pylist()[0]
-    level, kinds = _Level.of(row, depth), right.column("kind").to_numpy()
-    total, size = np.zeros(len(level.places), np.int64), _answers(right.filter(pa.array(kinds == 1)))[0][level.context]
-    total[level.sent] = _answers(right.filter(pa.array(kinds == 0)))[0][level.event]
-    lengths, seen = opened(row["lengths"], np.int64), opened(row["seen"], np.uint8).copy()
+    level, kinds = _Level(row, depth), right.column("kind").to_numpy()
+    total, size = np.zeros(len(level.places), np.int64), _answers(right.filter(pa.array(kinds == 1)))[0][level.contexts()[1]]
+    total[level.sent] = _answers(right.filter(pa.array(kinds == 0)))[0][level.events()[1]]
+    lengths, seen = level.lengths, opened(row["seen"], np.uint8).copy()
     seen[level.places] = np.minimum(total, 255)
     kept = size > 0
     places, prior = level.places[kept], level.prior[kept]

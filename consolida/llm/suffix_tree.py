@@ -49,7 +49,7 @@ FOLDS = 10
 ADDED = 0.1
 LEAST = 2
 MASS = 50.0
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 8_000_000
 BLOCK_ROWS = 50_000
 PART_BYTES = 32_000_000
 LEAST_PARTS = 64
@@ -132,6 +132,7 @@ class _Block:
     def rows(self, block: int) -> Iterator[pa.RecordBatch]:
         # UTF-8 holds no 0xff
         coded = pa.array(b" ".join(x for body in self.bodies for x in (body.lower(), _STOP)).split(), pa.binary()).dictionary_encode()
+        self.bodies.clear()
         words = coded.dictionary.to_pylist()
         hashes = np.fromiter((END if w == _STOP else xxhash.xxh3_64_intdigest(w) for w in words), U64, len(words))
         keys, _, number = grouped(hashes)

@@ -101,9 +101,10 @@ class Root:
 
 # Blocks --------------------------------------------------------------------------------------
 
-#: ``words``: hashes of the distinct words; ``counts``: theirs in training documents, of all blocks once known;
+#: ``words``: hashes of the distinct words; ``counts``: theirs in training documents;
 #: ``seen``: of each token the occurrences, up to 255, of the longest run of words ending there that was counted;
-#: ``places``: tokens with a context to be weighed at this level; ``prior``, ``which``: their probabilities in the suffix.
+#: ``places``: tokens with a context to be weighed at this level; ``prior``, ``which``: their probabilities in the suffix,
+#: by word (and no ``which``) where that is the root.
 _STATE = "block long, ids binary, flags binary, lengths binary, codes binary, words binary, counts binary, known binary, base binary, score binary, seen binary, places binary, prior binary, which binary"
 _COLUMNS = [c.split()[0] for c in _STATE.split(", ")]
 
@@ -179,7 +180,10 @@ class _Level:
         self.lengths, self.codes = opened(row["lengths"], np.int64), opened(row["codes"], np.int32)
         self.hashes, self.places = opened_keys(row["words"]), np.cumsum(opened(row["places"], np.int32), dtype=np.int32)
         self.learned = np.repeat(opened(row["flags"], np.uint8) < 2, self.lengths)[self.places]
-        self.prior = opened(row["prior"], np.float64)[opened(row["which"], np.int32)]
+        if row["which"] is None:
+            self.prior = opened(row["prior"], np.float64)[self.codes[self.places]]
+        else:
+            self.prior = opened_keys(row["prior"]).astype(np.uint32).view(np.float32)[opened(row["which"], np.int32)].astype(np.float64)
         self.before = _contexts(self.hashes, self.codes, self.places, depth)
         #: Whether training documents may hold context and next word.
         self.sent = opened(row["seen"], np.uint8)[self.places] > 0
@@ -198,15 +202,17 @@ class _Level:
         return keys, number
 
 
-def _next(row: dict, places: np.ndarray, prior: np.ndarray, seen: np.ndarray, depth: int, least: int) -> pa.Table:
+def _next(row: dict, places: np.ndarray, prior: np.ndarray | None, seen: np.ndarray, depth: int, least: int) -> pa.Table:
     """A block with its places for contexts of ``depth`` words: those of them that occur ``least`` times."""
     lengths = opened(row["lengths"], np.int64)
     begin, inside = np.cumsum(lengths) - lengths, np.ones(int(lengths.sum()), bool)
     for i in range(depth):
         inside[begin[lengths > i] + i] = False
     here = inside[places] & (seen[places - 1] >= min(least, 255))  # a run occurs no oftener than another at its end
-    values, _, which = grouped(prior[here].view(U64))
-    row |= {"seen": packed(seen), "places": packed(np.diff(places[here], prepend=np.int32(0))), "prior": packed(values), "which": packed(which)}
+    row |= {"seen": packed(seen), "places": packed(np.diff(places[here], prepend=np.int32(0)))}
+    if prior is not None:
+        values, _, which = grouped(prior[here].astype(np.float32).view(np.uint32).astype(U64))
+        row |= {"prior": packed_keys(values), "which": packed(which)}
     return _state(row)
 
 
@@ -316,8 +322,8 @@ def _begun(left: pa.Table, right: pa.Table, root: Root, least: int) -> pa.Table:
     totals, cut = _answers(right)[0], np.cumsum(lengths) - lengths
     base = root.of(totals)
     scores = packed(np.add.reduceat(np.log10(base)[codes], cut))
-    row |= {"counts": packed(totals), "known": packed(np.add.reduceat((totals > 0)[codes].astype(np.int64), cut)), "base": scores, "score": scores}
-    return _next(row, np.arange(len(codes), dtype=np.int32), base[codes], np.minimum(totals, 255).astype(np.uint8)[codes], 1, least)
+    row |= {"counts": None, "known": packed(np.add.reduceat((totals > 0)[codes].astype(np.int64), cut)), "base": scores, "score": scores, "prior": packed(base)}
+    return _next(row, np.arange(len(codes), dtype=np.int32), None, np.minimum(totals, 255).astype(np.uint8)[codes], 1, least)
 
 
 def _events_sent(batches: Iterable[pa.RecordBatch], depth: int, parts: int, shift: int) -> Iterator[pa.RecordBatch]:

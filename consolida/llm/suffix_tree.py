@@ -70,15 +70,24 @@ def opened(raw: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(_OPEN.decompress(raw), kind)
 
 
+def planes(a: np.ndarray) -> np.ndarray:
+    """The bytes of a whole array by place; the upper ones of small numbers compress away."""
+    return a.view(np.uint8).reshape(-1, a.itemsize).T
+
+
 def packed_keys(keys: np.ndarray) -> bytes:
     """Ascending keys as byte planes of their differences."""
-    return packed(np.diff(keys, prepend=U64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return packed(planes(np.diff(keys, prepend=U64(0)).astype("<u8")))
 
 
 def opened_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(opened(raw, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel(), dtype=U64)
 
 
+def opened_planes(raw: bytes) -> np.ndarray:
+    return opened(raw, np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
+
+
 def fold(doc_id: Column) -> Column:
     """Remainder of crc32(doc_id as text) by the number of folds; null: 0."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLDS)), F.lit(0))
@@ -102,10 +111,11 @@ class Root:
 # Blocks --------------------------------------------------------------------------------------
 
 #: ``words``: hashes of the distinct words; ``counts``: theirs in training documents;
+#: ``lengths``: tokens of each document, zero once it has no place left; ``tokens``: of all its tokens;
 #: ``seen``: of each token the occurrences, up to 255, of the longest run of words ending there that was counted;
 #: ``places``: tokens with a context to be weighed at this level; ``prior``, ``which``: their probabilities in the suffix,
 #: by word (and no ``which``) where that is the root.
-_STATE = "block long, ids binary, flags binary, lengths binary, codes binary, words binary, counts binary, known binary, base binary, score binary, seen binary, places binary, prior binary, which binary"
+_STATE = "block long, ids binary, flags binary, lengths binary, codes binary, words binary, counts binary, tokens binary, known binary, base binary, score binary, seen binary, places binary, prior binary, which binary"
 _COLUMNS = [c.split()[0] for c in _STATE.split(", ")]
 
 
@@ -138,15 +148,19 @@ class _Block:
         hashes = np.fromiter((END if w == _STOP else xxhash.xxh3_64_intdigest(w) for w in words), U64, len(words))
         keys, _, number = grouped(hashes)
         codes = number[coded.indices.to_numpy()]
-        lengths = np.diff(np.flatnonzero(codes == np.searchsorted(keys, END)), prepend=-1)
+        order = np.argsort(-np.bincount(codes), kind="stable")  # frequent words get small numbers
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        keys, codes = keys[order], rank[codes]
+        lengths = np.diff(np.flatnonzero(codes == int(np.flatnonzero(keys == END)[0])), prepend=-1)
         learned = np.repeat(~np.array(self.held), lengths)
         row = {
             "block": block,
             "ids": packed(np.array([i or 0 for i in self.ids], np.int64)),
             "flags": packed(np.array([(i is None) + 2 * h for i, h in zip(self.ids, self.held, strict=True)], np.uint8)),
             "lengths": packed(lengths.astype(np.int64)),
-            "codes": packed(codes.astype(np.int32)),
-            "words": packed_keys(keys),
+            "codes": packed(planes(codes)),
+            "words": keys.tobytes(),
             "counts": packed(np.bincount(codes[learned], minlength=len(keys)).astype(np.int64)),
         }
         yield from _state(row).to_batches()
@@ -177,13 +191,13 @@ class _Level:
     """The weighed places of a block."""
 
     def __init__(self, row: dict, depth: int):
-        self.lengths, self.codes = opened(row["lengths"], np.int64), opened(row["codes"], np.int32)
-        self.hashes, self.places = opened_keys(row["words"]), np.cumsum(opened(row["places"], np.int32), dtype=np.int32)
+        self.lengths, self.codes = opened(row["lengths"], np.int64), opened_planes(row["codes"])
+        self.hashes, self.places = np.frombuffer(row["words"], U64), np.cumsum(opened(row["places"], np.int32), dtype=np.int32)
         self.learned = np.repeat(opened(row["flags"], np.uint8) < 2, self.lengths)[self.places]
         if row["which"] is None:
             self.prior = opened(row["prior"], np.float64)[self.codes[self.places]]
         else:
-            self.prior = opened_keys(row["prior"]).astype(np.uint32).view(np.float32)[opened(row["which"], np.int32)].astype(np.float64)
+            self.prior = opened_keys(row["prior"]).astype(np.uint32).view(np.float32)[opened_planes(row["which"])].astype(np.float64)
         self.before = _contexts(self.hashes, self.codes, self.places, depth)
         #: Whether training documents may hold context and next word.
         self.sent = opened(row["seen"], np.uint8)[self.places] > 0
@@ -205,14 +219,22 @@ class _Level:
 def _next(row: dict, places: np.ndarray, prior: np.ndarray | None, seen: np.ndarray, depth: int, least: int) -> pa.Table:
     """A block with its places for contexts of ``depth`` words: those of them that occur ``least`` times."""
     lengths = opened(row["lengths"], np.int64)
-    begin, inside = np.cumsum(lengths) - lengths, np.ones(int(lengths.sum()), bool)
+    begin, inside = np.cumsum(lengths) - lengths, np.ones(len(seen), bool)
     for i in range(depth):
         inside[begin[lengths > i] + i] = False
     here = inside[places] & (seen[places - 1] >= min(least, 255))  # a run occurs no oftener than another at its end
-    row |= {"seen": packed(seen), "places": packed(np.diff(places[here], prepend=np.int32(0)))}
+    places = places[here]
     if prior is not None:
         values, _, which = grouped(prior[here].astype(np.float32).view(np.uint32).astype(U64))
-        row |= {"prior": packed_keys(values), "which": packed(which)}
+        row |= {"prior": packed_keys(values), "which": packed(planes(which))}
+        open_docs = np.zeros(len(lengths), bool)
+        open_docs[np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[places]] = True
+        if 2 * int(lengths[open_docs].sum()) < len(seen):  # documents without places have their scores; their words may go
+            inside = np.repeat(open_docs, lengths)
+            places, seen = (np.cumsum(inside, dtype=np.int32) - 1)[places], seen[inside]
+            used, codes = np.unique(opened_planes(row["codes"])[inside], return_inverse=True)
+            row |= {"lengths": packed(np.where(open_docs, lengths, 0)), "codes": packed(planes(codes.astype(np.int32))), "words": np.frombuffer(row["words"], U64)[used].tobytes()}
+    row |= {"seen": packed(seen), "places": packed(np.diff(places, prepend=np.int32(0)))}
     return _state(row)
 
 
@@ -312,17 +334,20 @@ def _answers(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def _words_sent(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     for block, words, counts in rows_of(batches, "block", "words", "counts"):
-        yield from _split(block, opened_keys(words), opened(counts, np.int64), parts, 0).to_batches()
+        words = np.frombuffer(words, U64)
+        order = np.argsort(words)
+        yield from _split(block, words[order], opened(counts, np.int64)[order], parts, 0).to_batches()
 
 
 def _begun(left: pa.Table, right: pa.Table, root: Root, least: int) -> pa.Table:
     """A block with its scores by the root, and the places of its contexts of one word."""
     row = left.to_pylist()[0]
-    lengths, codes = opened(row["lengths"], np.int64), opened(row["codes"], np.int32)
-    totals, cut = _answers(right)[0], np.cumsum(lengths) - lengths
+    lengths, codes, words = opened(row["lengths"], np.int64), opened_planes(row["codes"]), np.frombuffer(row["words"], U64)
+    totals, cut = np.empty(len(words), np.int64), np.cumsum(lengths) - lengths
+    totals[np.argsort(words)] = _answers(right)[0]
     base = root.of(totals)
     scores = packed(np.add.reduceat(np.log10(base)[codes], cut))
-    row |= {"counts": None, "known": packed(np.add.reduceat((totals > 0)[codes].astype(np.int64), cut)), "base": scores, "score": scores, "prior": packed(base)}
+    row |= {"counts": None, "tokens": row["lengths"], "known": packed(np.add.reduceat((totals > 0)[codes].astype(np.int64), cut)), "base": scores, "score": scores, "prior": packed(base)}
     return _next(row, np.arange(len(codes), dtype=np.int32), None, np.minimum(totals, 255).astype(np.uint8)[codes], 1, least)
 
 
@@ -371,7 +396,7 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score
 
 
 def _scores(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, flags, lengths, known, base, score in rows_of(batches, "ids", "flags", "lengths", "known", "base", "score"):
+    for ids, flags, lengths, known, base, score in rows_of(batches, "ids", "flags", "tokens", "known", "base", "score"):
         flags = opened(flags, np.uint8)
         yield pa.RecordBatch.from_pydict(
             {
@@ -437,6 +462,6 @@ def score(docs: DataFrame, least: int = LEAST, mass: float = MASS, gain: float |
         before = state
         state = bucketed(met(both, partial(_grown, mass=mass, depth=depth, least=least), _STATE), "level", "block", n)
         forget(before, events, tested)
-    scored = state.select("ids", "flags", "lengths", "known", "base", "score").mapInArrow(_scores, SCORES)
+    scored = state.select("ids", "flags", "tokens", "known", "base", "score").mapInArrow(_scores, SCORES)
     extra = [F.lit(v).cast("long").alias(c) for c, v in (("n_contexts", n_contexts), ("depth", depth - 1))]
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", *extra)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from consolida.llm.common import materialise
+from consolida.llm.common import forget, materialise
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
         met = large.join(low, F.col("u") == F.col("k"))
         small = met.select("u", F.col("m").alias("v")).unionByName(met.select(F.col("v").alias("u"), F.col("m").alias("v")))
-        pairs = materialise(small.where("u <> v").distinct(), "edges")
+        old, pairs = pairs, materialise(small.where("u <> v").distinct(), "edges")
+        forget(old, large)
         before, state = state, _state(pairs)
         if state == before:
             break

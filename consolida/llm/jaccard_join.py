@@ -1,7 +1,8 @@
 """N-gram Jaccard join with signature trees.
 
 A document's set holds the hashes of its distinct k-word shingles.  Documents
-link when ``den * |x & y| >= num * |x | y|``; the result is exact.
+link when ``den * |x & y| >= num * |x | y|``; the result is exact.  Documents
+with equal sets are one node.
 
 1. The top of the tree.  Sets of a size level differ in at most ``D`` elements
    when they link, so of ``D + 1 + g`` hash ranges they agree in ``1 + g`` at
@@ -10,18 +11,19 @@ link when ``den * |x & y| >= num * |x | y|``; the result is exact.
    entry per block for keys that a block holds many times, so copies cannot
    gather in one task.  ``g`` covers the ranges that are empty by chance; a
    document with more empty ranges also sends those.
-2. Below a hub, blocks of at most ``BLOCK`` sets form a signature tree: nodes
-   hold OR-combined bitmaps and size ranges, and a dual traversal descends only
-   into node pairs whose greatest possible overlap suffices.  Sets compared at
-   the leaves are exact; pairs that are already connected are passed over.
-3. A hub with several blocks, not all in one component, is completed by cells
-   of two blocks each, and only where a block holds documents outside the
-   hub's largest component.
-
-Components come from the verified links.  Documents with equal sets are one
-node.  Null, empty or blank texts have an empty set and link with nothing;
-rows with equal doc_id count as one document of several texts; a null doc_id
-stays alone, with a null component.  An empty table gives an empty result.
+2. Below a hub, bitmaps and sizes of the sets form a signature tree: nodes hold
+   OR-combined bitmaps and size ranges, and a dual traversal descends only into
+   node pairs whose greatest possible overlap suffices.  Leaf pairs that pass
+   and connect what was apart are the candidate links; their components, over
+   all hubs, hold every link, and most documents have none.
+3. The sets of a component are compared exactly, each set sent once.
+
+Hubs and components beyond ``CELL_ROWS`` members or ``CELL_BYTES`` are dealt
+into parts, and cells of two parts each are compared; then components come from
+the links of all cells.  Null, empty or blank texts have an empty set and link
+with nothing; rows with an equal doc_id and other texts are documents of their
+own; a null doc_id stays alone, with a null component.  An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -34,15 +36,20 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from consolida.llm.common import U64, WordHashes, blank_words, materialise, mixed, rows_of, shingle_set, shuffle_partitions, text_bytes
+from consolida.llm.common import U64, WordHashes, blank_words, forget, grouped, materialise, mixed, rows_of, shingle_set, shuffle_partitions, text_bytes
 from consolida.llm.graph import components
 
-BLOCK = 256
 FANOUT = 8
-SIGNATURE_BITS = 1024
+#: Bits of a signature, by the size of its set: a power of two between these, at least ``BITS_EACH`` for each element.
+LEAST_BITS, MOST_BITS, BITS_EACH = 256, 1 << 16, 2
+#: Members that are compared in one cell, and bytes of their signatures or sets.
+CELL_ROWS = 8192
+CELL_BYTES = 16_000_000
+#: Bytes of bitmaps compared at once.
+STEP_BYTES = 1 << 22
 #: A block of documents: so many bytes of text or documents at most.
 DOC_BLOCK_BYTES = 12_000_000
 DOC_BLOCK_ROWS = 30_000
@@ -122,6 +129,29 @@ def _part_bounds(parts: int) -> np.ndarray:
     return np.array([(i << 48) // parts for i in range(parts)], dtype=U64)
 
 
+def fingerprint(shingles: np.ndarray) -> tuple[int, int]:
+    """128-bit hash of a set, as two signed numbers."""
+    digest = xxhash.xxh3_128_intdigest(shingles.tobytes())
+    return (digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63)
+
+
+def signature(shingles: np.ndarray) -> bytes:
+    """The bitmap of a set; one of half the width is the OR of its halves."""
+    width = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * len(shingles) - 1).bit_length()))
+    bits = np.zeros(width, np.uint8)
+    bits[(shingles & U64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def folded(bitmaps: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, all of the narrowest width among them."""
+    width = min(map(len, bitmaps)) // 8
+    out = np.empty((len(bitmaps), width), U64)
+    for i, raw in enumerate(bitmaps):
+        out[i] = np.bitwise_or.reduce(np.frombuffer(raw, U64).reshape(-1, width), axis=0)
+    return out
+
+
 class _DocBlock:
     def __init__(self, block: int, levels: Levels, parts: int, repeats: int):
         self.block, self.levels, self.parts, self.repeats = block, levels, parts, repeats
@@ -132,19 +162,20 @@ class _DocBlock:
         self.bytes = 0
 
     def add(self, doc_id: int | None, shingles: np.ndarray, size: int) -> None:
-        print128 = xxhash.xxh3_128_intdigest(shingles.tobytes())
-        hi, lo = (print128 >> 64) - (1 << 63), (print128 & (1 << 64) - 1) - (1 << 63)
+        hi, lo = fingerprint(shingles)
+        bitmap = None
         if len(shingles) and doc_id is not None and (hi, lo) not in self.seen:  # a copy within the block sends nothing
             self.seen.add((hi, lo))
             self.keys.append(self.levels.keys(shingles) >> U64(16))
             self.owners.append(len(self.docs))
-        self.docs.append((doc_id, len(shingles), hi, lo))
+            bitmap = signature(shingles)
+        self.docs.append((doc_id, len(shingles), hi, lo, bitmap))
         self.bytes += size
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         base, n = self.block << 16, len(self.docs)
-        doc_id, size, hi, lo = zip(*self.docs, strict=True)
-        yield _batch(n, kind=[0] * n, node=range(base, base + n), doc_id=doc_id, n=size, hi=hi, lo=lo)
+        doc_id, size, hi, lo, bitmaps = zip(*self.docs, strict=True)
+        yield _batch(n, kind=[0] * n, node=range(base, base + n), doc_id=doc_id, n=size, hi=hi, lo=lo, keys=bitmaps)
         if not self.keys:
             return
         keys = np.concatenate(self.keys)
@@ -231,55 +262,126 @@ class Forest:
         return i != j
 
 
+class Labels:
+    """Components of list positions, as an array: the least position of each."""
+
+    def __init__(self, n: int):
+        self.of = np.arange(n)
+        self.version = 0
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+        """Those of the links a[i], b[i] that connect what was apart."""
+        x, y = self.of[a], self.of[b]
+        low, high = np.minimum(x, y), np.maximum(x, y)
+        _, first = np.unique(low * len(self.of) + high, return_index=True)
+        first = first[low[first] != high[first]].tolist()
+        up: dict[int, int] = {}
+
+        def root(i: int) -> int:
+            while i in up:
+                i = up[i]
+            return i
+
+        out = []
+        for i in first:
+            p, q = root(int(x[i])), root(int(y[i]))
+            if p != q:
+                up[max(p, q)] = min(p, q)
+                out.append((int(a[i]), int(b[i])))
+        if out:
+            to = np.arange(len(self.of))
+            for i in up:
+                to[i] = root(i)
+            self.of = to[self.of]
+            self.version += 1
+        return out
+
+
 class SignatureTree:
     """Hierarchy over sets: OR-combined bitmaps, size ranges and the greatest number of elements that share bits."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        sizes = np.array([len(s) for s in sets])
-        self.order = np.lexsort((np.array([s[0] for s in sets], dtype=U64), sizes))
-        self.sets = [sets[i] for i in self.order]
-        bits = np.zeros((len(sets), SIGNATURE_BITS), dtype=np.uint8)
-        for i, s in enumerate(self.sets):
-            bits[i, (s & U64(SIGNATURE_BITS - 1)).astype(np.int64)] = 1
-        sizes = sizes[self.order]
-        maps = np.packbits(bits, axis=1).view(U64)
-        self.levels = [(maps, sizes, sizes, sizes - bits.sum(axis=1, dtype=np.int64))]
+    def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray):
+        self.order = np.lexsort((bitmaps[:, 0], sizes))
+        maps, sizes = bitmaps[self.order], sizes[self.order]
+        self.levels = [(maps, sizes, sizes, sizes - np.bitwise_count(maps).sum(axis=1, dtype=np.int64))]
         while len(self.levels[-1][0]) > 1:
             maps, low, high, shared = self.levels[-1]
             cut = np.arange(0, len(maps), FANOUT)
-            self.levels.append(
-                (np.bitwise_or.reduceat(maps, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut), np.maximum.reduceat(shared, cut))
-            )
-
-    def links(self, num: int, den: int, known: Forest, allowed=None) -> Iterator[tuple[int, int]]:
-        """Verified links (positions in the given list) that connect what was not connected before."""
-        order, top = self.order, len(self.levels) - 1
-        stack = [(top, 0, 0)]
+            self.levels.append((np.bitwise_or.reduceat(maps, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut), np.maximum.reduceat(shared, cut)))
+
+    def links(self, num: int, den: int, known: Labels) -> list[tuple[int, int]]:
+        """Pairs (positions in the given list) that may link and connect what was apart, down both trees at once.
+
+        Pairs of nodes whose leaves are all connected are passed over.
+        """
+        out, top, ranges = [], len(self.levels) - 1, {}
+        stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        most = max(64, STEP_BYTES // self.levels[0][0][0].nbytes)
         while stack:
             level, a, b = stack.pop()
-            maps, low, high, shared = self.levels[level]
-            if high[a] * den < num * low[b] or high[b] * den < num * low[a]:
-                continue
-            need = -(-num * int(low[a] + low[b]) // (num + den))
-            if a != b or level == 0:
-                overlap = int(np.bitwise_count(maps[a] & maps[b]).sum()) + int(min(shared[a], shared[b]))
-                if min(overlap, int(high[a]), int(high[b])) < need:
-                    continue
-            if level:
-                size = len(self.levels[level - 1][0])
-                for i in range(a * FANOUT, min(size, a * FANOUT + FANOUT)):
-                    for j in range(i if a == b else b * FANOUT, min(size, b * FANOUT + FANOUT)):
-                        if level > 1 or i != j:
-                            stack.append((level - 1, i, j))
-                continue
-            i, j = int(order[a]), int(order[b])
-            if known.root(i) == known.root(j) or allowed is not None and not allowed(i, j):
-                continue
-            x, y = self.sets[a], self.sets[b]
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if both * (num + den) >= num * (len(x) + len(y)):
-                known.join(i, j)
-                yield i, j
+            if len(a) > most:
+                stack.append((level, a[:-most], b[:-most]))
+                a, b = a[-most:], b[-most:]
+            if ranges.get(level, (-1,))[0] != known.version:
+                low = high = known.of[self.order]
+                for _ in range(level):
+                    cut = np.arange(0, len(low), FANOUT)
+                    low, high = np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut)
+                ranges[level] = known.version, low, high
+            _, low, high = ranges[level]
+            apart = (low[a] != high[b]) | (high[a] != low[b])
+            maps, least, largest, shared = self.levels[level]
+            a, b = a[apart], b[apart]
+            near = (largest[a] * den >= num * least[b]) & (largest[b] * den >= num * least[a])
+            a, b = a[near], b[near]
+            need = -(-num * (least[a] + least[b]) // (num + den))
+            overlap = np.bitwise_count(maps[a] & maps[b]).sum(axis=1, dtype=np.int64) + np.minimum(shared[a], shared[b])
+            enough = (a == b) | (np.minimum(overlap, np.minimum(largest[a], largest[b])) >= need)
+            a, b = a[enough], b[enough]
+            if not level:
+                out += known.join(self.order[a], self.order[b])
+            elif len(a):
+                size, step = len(self.levels[level - 1][0]), np.arange(FANOUT)
+                x = np.repeat(a[:, None] * FANOUT + step, FANOUT, axis=1).ravel()
+                y = np.tile(b[:, None] * FANOUT + step, FANOUT).ravel()
+                fits = (x < size) & (y < size) & ((x < y) if level == 1 else (x <= y))
+                stack.append((level - 1, x[fits], y[fits]))
+        return out
+
+
+def exact_links(sets: list[np.ndarray], num: int, den: int, known: Labels) -> list[tuple[int, int]]:
+    """Links of sets (positions in the given list) that connect what was apart.
+
+    Each set in turn, the smaller first, is counted against all larger ones
+    that may link and are not connected with it, over the elements they hold.
+    """
+    sizes = np.array([len(x) for x in sets])
+    order = np.argsort(sizes, kind="stable")
+    sizes = sizes[order]
+    _, first, number = grouped(np.concatenate([sets[i] for i in order]))
+    often = np.bincount(number, minlength=len(first)) > 1
+    kept = often[number]
+    ends = np.concatenate(([0], np.cumsum(kept)[np.cumsum(sizes) - 1]))  # an element of one set is in no overlap
+    elements = number[kept]
+    limit = np.searchsorted(sizes * num, sizes * den, "right")
+    inside, out = np.zeros(len(first), bool), []
+    for i in range(len(order)):
+        own = known.of[order]
+        others = np.flatnonzero(own[i + 1 : limit[i]] != own[i]) + i + 1
+        if not len(others):
+            continue
+        inside[elements[ends[i] : ends[i + 1]]] = True
+        if 4 * len(others) > limit[i] - i:
+            lo, hi = others[0], others[-1] + 1
+            sums = np.concatenate(([0], np.cumsum(inside[elements[ends[lo] : ends[hi]]])))
+            both = sums[ends[others + 1] - ends[lo]] - sums[ends[others] - ends[lo]]
+        else:
+            both = np.array([np.count_nonzero(inside[elements[ends[j] : ends[j + 1]]]) for j in others])
+        inside[elements[ends[i] : ends[i + 1]]] = False
+        linked = others[both * (num + den) >= num * (sizes[i] + sizes[others])]
+        if len(linked):
+            out += known.join(np.full(len(linked), order[i]), order[linked])
+    return out
 
 
 _LINKS = "a long, b long"
@@ -299,36 +401,51 @@ def _groups(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...], *rest: str
         yield now, held
 
 
-def _linked(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    for _, rows in _groups(batches, ("hub", "block"), "rep", "shingles"):
-        ids = [r[0] for r in rows]
-        tree = SignatureTree([np.frombuffer(r[1], U64) for r in rows])
-        found = list(tree.links(num, den, Forest(len(rows))))
-        if found:
-            yield pa.RecordBatch.from_pydict({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]})
+def _pairs(found: list[tuple[int, int]], nodes: list[int]) -> Iterator[pa.RecordBatch]:
+    if found:
+        yield pa.RecordBatch.from_pydict({"a": [nodes[i] for i, _ in found], "b": [nodes[j] for _, j in found]})
 
 
-def _crossed(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    for _, rows in _groups(batches, ("hub", "left", "right"), "rep", "component", "shingles"):
-        ids = [r[0] for r in rows]
-        tree, known, first = SignatureTree([np.frombuffer(r[2], U64) for r in rows]), Forest(len(rows)), {}
-        for i, r in enumerate(rows):
-            known.join(first.setdefault(r[1], i), i)
-        found = list(tree.links(num, den, known))
-        if found:
-            yield pa.RecordBatch.from_pydict({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]})
+def _candidates(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    for _, rows in _groups(batches, ("hub", "x", "y"), "node", "n", "bitmap"):
+        nodes, sizes, bitmaps = zip(*rows, strict=True)
+        yield from _pairs(SignatureTree(folded(bitmaps), np.array(sizes)).links(num, den, Labels(len(rows))), nodes)
+
+
+def _verified(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    for _, rows in _groups(batches, ("hub", "x", "y"), "node", "shingles"):
+        sets = dict(rows)  # a repeated row is there more than once
+        yield from _pairs(exact_links([np.frombuffer(raw, U64) for raw in sets.values()], num, den, Labels(len(sets))), list(sets))
 
 
 def _shingles(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    """The wanted sets; rows of the same doc_id with another text are not."""
+    hashes, last = WordHashes(), None
     for batch in batches:
-        ids, bodies = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "body"))
-        sets = [shingle_set(hashes.of(blank_words(b)), k) for b in bodies.to_pylist()]
-        fresh = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
-        yield pa.RecordBatch.from_arrays(
-            [ids, pa.array([(f >> 64) - (1 << 63) for f in fresh], pa.int64()), pa.array([(f & (1 << 64) - 1) - (1 << 63) for f in fresh], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-            names=["rep", "hi", "lo", "shingles"],
-        )
+        kept, sets = [], []
+        for i, (node, body, hi, lo) in enumerate(rows_of([batch], "node", "body", "hi", "lo")):
+            if node == last:
+                continue
+            own = shingle_set(hashes.of(blank_words(body)), k)
+            if fingerprint(own) == (hi, lo):
+                kept.append(i)
+                sets.append(own.tobytes())
+                last = node
+        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)).take(pa.array(kept, pa.int64())) for c in ("hub", "node", "parts")] + [pa.array(sets, pa.binary())], names=["hub", "node", "parts", "shingles"])
+
+
+def _celled(members: DataFrame, n: int, *payload: str) -> DataFrame:
+    """(hub, x, y, node, payload) sorted in cells: all of a hub, or two of its ``parts``."""
+    slot = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    others = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("parts") - 1), slot))
+    cells = members.select("hub", "node", *payload, slot.alias("slot"), F.explode(others).alias("other"))
+    cells = cells.select("hub", F.least("slot", "other").alias("x"), F.greatest("slot", "other").alias("y"), "node", *payload)
+    return cells.repartition(n, "hub", "x", "y").sortWithinPartitions("hub", "x", "y", "node")
+
+
+def _parts(size: Column) -> Column:
+    """Parts of a group of ``size`` bytes, from its members."""
+    return F.ceil(F.greatest(F.count("*") / CELL_ROWS, F.sum(size) / CELL_BYTES)).cast("int").alias("parts")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, repeats: int = REPEATS) -> DataFrame:
@@ -339,64 +456,48 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, rep
     size = body.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     parts = max(LEAST_PARTS, n, size // RANGE_BYTES)
     keyed = materialise(body.mapInArrow(lambda it: _keyed(it, k, num, den, parts, repeats), _KEYED_DDL), "keyed")
-    rows = keyed.where("kind = 0").select("node", "doc_id", "n", "hi", "lo")
-    classes = materialise(rows.where("n > 0 and doc_id is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("rep")), "classes")
 
     met = keyed.where("kind = 1").select("part", "node", "keys", "owners").repartition(n, "part").groupBy("part")
     met = materialise(met.applyInArrow(_meet, "hub long, node long, key long"), "met")
     hubs = met.where("key is not null").groupBy("key").agg(F.min("hub").alias("hub"))
     many = keyed.where("kind = 2").select("key", "node").join(hubs, "key").select("hub", "node")
-    pairs = met.where("key is null").select("hub", "node").unionByName(many).distinct()
-
-    rep_of = rows.join(classes, ["hi", "lo"]).select("node", "rep")
-    hub_of = rep_of.select(F.col("node").alias("hub"), F.col("rep").alias("hub_rep"))
-    groups = pairs.join(rep_of, "node").join(hub_of, "hub").select(F.col("hub_rep").alias("hub"), "rep").where("hub <> rep").distinct()
-    groups = materialise(groups, "groups")
-    sizes = groups.groupBy("hub").agg(F.count("*").alias("members"))
-    blocks = F.ceil(F.col("members") / (BLOCK - 1)).cast("int")
-    wanted = groups.select("rep").unionByName(sizes.select(F.col("hub").alias("rep"))).distinct()
-
-    # A doc_id may come with several texts; only the one its class was named after counts for each class.
-    texts = body.join(wanted.withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id", "left_semi")
-    sets = texts.mapInArrow(lambda it: _shingles(it, k), "rep long, hi long, lo long, shingles binary")
-    sets = materialise(sets.dropDuplicates(["rep", "hi", "lo"]).where("octet_length(shingles) > 0").select("rep", "shingles"), "sets", "lz4")
-
-    placed = groups.join(sizes, "hub").select("hub", "rep", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"))
-    heads = sizes.select("hub", F.col("hub").alias("rep"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
-    members = placed.unionByName(heads).join(sets, "rep")
-    inner = members.repartition(n, "hub", "block").sortWithinPartitions("hub", "block", "rep")
-    links = materialise(inner.mapInArrow(lambda it: _linked(it, num, den), _LINKS), "links")
-    labels = materialise(components(links), "labels")
-
-    if sizes.where(F.col("members") > BLOCK - 1).limit(1).count():
-        more = _between_blocks(groups, sizes.where(F.col("members") > BLOCK - 1), labels, sets, num, den, n)
-        labels = materialise(components(links.unionByName(more)), "labels")
-
-    named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("hi", "lo", F.coalesce("component", "rep").alias("component_id"))
-    linked = rows.where("n > 0 and doc_id is not null").join(named, ["hi", "lo"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = rows.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    pairs = materialise(met.where("key is null").select("hub", "node").unionByName(many).distinct(), "pairs")
+
+    # Classes of equal sets; ``first`` stands for a class, ``doc`` is the smallest doc_id.
+    rows = keyed.where("kind = 0").select("node", "doc_id", "n", "hi", "lo", F.col("keys").alias("bitmap"))
+    own = rows.where("n > 0 and doc_id is not null")
+    classes = own.groupBy("hi", "lo").agg(F.min("node").alias("first"), F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.max("bitmap").alias("bitmap"))
+    classes = materialise(classes, "classes")
+    nodes = materialise(rows.drop("bitmap").join(classes.select("hi", "lo", "first"), ["hi", "lo"], "left"), "nodes")
+    forget(keyed, met)
+
+    first_of = nodes.select("node", "first")
+    hub_of = first_of.select(F.col("node").alias("hub"), F.col("first").alias("hub_first"))
+    groups = pairs.join(first_of, "node").join(hub_of, "hub").select(F.col("hub_first").alias("hub"), F.col("first").alias("node")).where("hub <> node").distinct()
+    groups = materialise(groups.unionByName(groups.select("hub", F.col("hub").alias("node")).distinct()), "groups")
+    forget(pairs)
+    signed = groups.join(classes.select(F.col("first").alias("node"), "n", "bitmap"), "node")
+    sizes = signed.groupBy("hub").agg(_parts(F.octet_length("bitmap")))
+    cells = _celled(signed.join(sizes, "hub"), n, "n", "bitmap")
+    found = materialise(cells.mapInArrow(lambda it: _candidates(it, num, den), _LINKS), "candidates")
+    forget(groups)
+    near = materialise(components(found).withColumnRenamed("component", "hub"), "near")
+
+    wanted = near.join(classes.select(F.col("first").alias("id"), "doc", "n", "hi", "lo"), "id")
+    wanted = wanted.join(wanted.groupBy("hub").agg(_parts(8 * F.col("n"))), "hub").select("hub", F.col("id").alias("node"), F.col("doc").alias("doc_id"), "hi", "lo", "parts")
+    texts = body.join(materialise(wanted, "wanted").hint("merge"), "doc_id")
+    sets = texts.mapInArrow(lambda it: _shingles(it, k), "hub long, node long, parts int, shingles binary")
+    links = materialise(_celled(sets, n, "shingles").mapInArrow(lambda it: _verified(it, num, den), _LINKS), "links")
+    forget(found, near)
+
+    labels = components(links).join(classes.select(F.col("first").alias("id"), "doc"), "id")
+    labels = labels.join(labels.groupBy("component").agg(F.min("doc").alias("component_id")), "component").select("id", "component_id")
+    named = materialise(classes.select(F.col("first").alias("id"), "doc").join(labels, "id", "left").select(F.col("id").alias("first"), F.coalesce("component_id", "doc").alias("component_id")), "named")
+    linked = nodes.where("first is not null and doc_id is not null").join(named, "first").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    alone = nodes.where("first is null or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 
 
-def _between_blocks(groups: DataFrame, large: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int, n: int) -> DataFrame:
-    """Links between blocks of hubs whose members are not all connected yet."""
-    everyone = groups.join(large.select("hub"), "hub", "left_semi").unionByName(large.select("hub", F.col("hub").alias("rep")))
-    everyone = everyone.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    everyone = materialise(everyone.select("hub", "rep", "component"), "members")
-    per = everyone.groupBy("hub", "component").agg(F.count("*").alias("c"))
-    hubs = per.groupBy("hub").agg(F.max_by("component", "c").alias("main"), F.max("c").alias("inside"), (F.sum("c") - F.max("c")).alias("outside")).where("outside > 0")
-    half = BLOCK // 2
-    p, q = F.ceil(F.col("inside") / half).cast("int"), F.ceil(F.col("outside") / half).cast("int")
-    own = everyone.join(hubs, "hub").withColumn("out", F.col("component") != F.col("main"))
-    slot = F.when(F.col("out"), F.pmod(F.xxhash64("rep"), q)).otherwise(q + F.pmod(F.xxhash64("rep"), p)).cast("int")
-    # Blocks below q hold documents outside the main component; a cell has one of those at least.
-    others = F.when(F.col("out"), F.sequence(F.lit(0), p + q - 1)).otherwise(F.sequence(F.lit(0), q - 1))
-    cells = own.withColumn("slot", slot).select("hub", "rep", "component", "slot", F.explode(others).alias("other"))
-    cells = cells.select("hub", F.least("slot", "other").alias("left"), F.greatest("slot", "other").alias("right"), "rep", "component")
-    cells = cells.join(sets, "rep").repartition(n, "hub", "left", "right").sortWithinPartitions("hub", "left", "right", "rep")
-    return materialise(cells.mapInArrow(lambda it: _crossed(it, num, den), _LINKS), "links")
-
-
 def brute_force(docs: pd.DataFrame, k: int, num: int, den: int) -> dict[int, tuple[int, int]]:
     """doc_id to (n_shingles, component_id), by comparing all pairs; for tests."""
     grams = {}

@@ -225,8 +225,8 @@ def _next(row: dict, places: np.ndarray, prior: np.ndarray | None, seen: np.ndar
     here = inside[places] & (seen[places - 1] >= min(least, 255))  # a run occurs no oftener than another at its end
     places = places[here]
     if prior is not None:
-        values, _, which = grouped(prior[here].astype(np.float32).view(np.uint32).astype(U64))
-        row |= {"prior": packed_keys(values), "which": packed(planes(which))}
+        values, _, which = grouped(prior[here].astype(np.float32).view(np.uint32).astype(U64) << U64(32))
+        row |= {"prior": packed_keys(values >> U64(32)), "which": packed(planes(which))}
         open_docs = np.zeros(len(lengths), bool)
         open_docs[np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[places]] = True
         if 2 * int(lengths[open_docs].sum()) < len(seen):  # documents without places have their scores; their words may go

@@ -84,7 +84,7 @@ def near_copies(n, seed):
 
 @pytest.mark.parametrize(("k", "num", "den"), [(3, 9, 10), (5, 4, 5)])
 def test_jaccard_join_is_exact(spark, monkeypatch, k, num, den):
-    monkeypatch.setattr(jaccard_join, "BLOCK", 32)
+    monkeypatch.setattr(jaccard_join, "CELL_ROWS", 32)
     texts = near_copies(260, 5) | {500: None, 501: "", 502: "a b", 503: "A  b", 504: "a b c"}
     got = {r[0]: (r[1], r[2]) for r in jaccard_join.near_duplicates(docs_of(spark, texts), k, num, den, repeats=3).collect()}
     assert got == jaccard_join.brute_force(pd.DataFrame({"doc_id": texts.keys(), "text": texts.values()}), k, num, den)
@@ -94,14 +94,28 @@ def test_signature_tree_prunes_nothing_that_links():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 200, dtype=np.uint64)
     sets = [np.unique(np.concatenate([rng.permutation(base)[: rng.integers(150, 200)], rng.integers(0, 2**63, rng.integers(1, 20), dtype=np.uint64)])) for _ in range(80)]
-    found, want = jaccard_join.Forest(80), jaccard_join.Forest(80)
-    list(jaccard_join.SignatureTree(sets).links(4, 5, found))
+    want, found, candidates = jaccard_join.Forest(80), jaccard_join.Labels(80), jaccard_join.Labels(80)
+    bitmaps = [jaccard_join.signature(x) for x in sets]
+    for i, j in jaccard_join.exact_links(sets, 4, 5, found):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        assert both * 9 >= 4 * (len(sets[i]) + len(sets[j]))
+    jaccard_join.SignatureTree(jaccard_join.folded(bitmaps), np.array(list(map(len, sets)))).links(4, 5, candidates)
     for i in range(80):
         for j in range(i):
             both = len(np.intersect1d(sets[i], sets[j]))
             if both * 9 >= 4 * (len(sets[i]) + len(sets[j])):
                 want.join(i, j)
-    assert [found.root(i) for i in range(80)] == [want.root(i) for i in range(80)]
+                assert candidates.of[i] == candidates.of[j]
+    assert found.of.tolist() == [want.root(i) for i in range(80)]
+
+
+def test_signature_tree_tells_strangers_apart():
+    rng = np.random.default_rng(3)
+    shared = rng.integers(0, 2**63, 90, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([shared, rng.integers(0, 2**63, 210, dtype=np.uint64)])) for _ in range(100)]
+    sets += [np.append(x[:-3], x[-3:] + np.uint64(1)) for x in sets[:20]]
+    tree = jaccard_join.SignatureTree(jaccard_join.folded([jaccard_join.signature(x) for x in sets]), np.array(list(map(len, sets))))
+    assert sorted(tuple(sorted(p)) for p in tree.links(4, 5, jaccard_join.Labels(120))) == [(i, 100 + i) for i in range(20)]
 
 
 def test_keys_of_linkable_sets_meet():

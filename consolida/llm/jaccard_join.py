@@ -49,7 +49,7 @@ LEAST_BITS, MOST_BITS, BITS_EACH = 256, 1 << 16, 2
 CELL_ROWS = 8192
 CELL_BYTES = 16_000_000
 #: Bytes of bitmaps compared at once.
-STEP_BYTES = 1 << 22
+STEP_BYTES = 1 << 20
 #: A block of documents: so many bytes of text or documents at most.
 DOC_BLOCK_BYTES = 12_000_000
 DOC_BLOCK_ROWS = 30_000
@@ -315,7 +315,7 @@ class SignatureTree:
         Pairs of nodes whose leaves are all connected are passed over.
         """
         out, top, ranges = [], len(self.levels) - 1, {}
-        stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        stack = [(top, np.zeros(1, np.int32), np.zeros(1, np.int32))]
         most = max(64, STEP_BYTES // self.levels[0][0][0].nbytes)
         while stack:
             level, a, b = stack.pop()
@@ -341,7 +341,7 @@ class SignatureTree:
             if not level:
                 out += known.join(self.order[a], self.order[b])
             elif len(a):
-                size, step = len(self.levels[level - 1][0]), np.arange(FANOUT)
+                size, step = len(self.levels[level - 1][0]), np.arange(FANOUT, dtype=np.int32)
                 x = np.repeat(a[:, None] * FANOUT + step, FANOUT, axis=1).ravel()
                 y = np.tile(b[:, None] * FANOUT + step, FANOUT).ravel()
                 fits = (x < size) & (y < size) & ((x < y) if level == 1 else (x <= y))

@@ -5,7 +5,8 @@ linear classifier over tag names, class and id words, link share and length
 gives each block a cost of being content and of being boilerplate; these are
 the capacities to the two terminals.  Blocks that follow one another, and
 blocks of one container, are tied by smoothness edges that weaken with their
-distance in the tree.  The minimum cut, by augmenting paths, labels the page.
+distance in the tree.  The minimum cut labels the page: blocks whose terminal
+capacity outweighs their edges first, the rest by maximum flow.
 
 A null or empty page has an empty text; a null page_id or url is carried along;
 repeated rows are separate pages; an empty table gives an empty result.  ``br``
@@ -50,6 +51,7 @@ GOOD_WORDS = frozenset("article content entry main post story text".split())
 BIAS, OUTSIDE, UNMARKED, LINKS, LONG, SHORT = -0.2, -2.5, 1.0, -2.5, 1.5, -0.3
 LONG_TEXT = 80
 NEXT, SIBLING = 0.8, 0.6
+TINY = 1e-9
 #: Share of an edge's weight that stays between elements of other names or other evidence.
 UNLIKE = 0.25
 EXTRACTED = "page_id long, url string, text string, n_chars long, n_blocks long, cut double"
@@ -197,46 +199,100 @@ def smoothness(found: list[tuple[str, _Element, int]]) -> dict[tuple[int, int],
     return edges
 
 
+def _settled(excess: list[float], near: list[list[tuple[int, float]]]) -> tuple[list[bool | None], list[float]]:
+    """Sides of the nodes whose own excess outweighs all their edges, and what is left of the others' excess.
+
+    Such a node takes its side in a minimum cut whatever its neighbours do; its
+    edges then add to theirs, which may settle them too.
+    """
+    left, side = list(excess), [None] * len(excess)
+    tied = [sum(w for _, w in edges) for edges in near]
+    queue = list(range(len(excess)))
+    while queue:
+        i = queue.pop()
+        if side[i] is not None or -tied[i] < left[i] <= tied[i] + TINY:
+            continue
+        side[i] = left[i] > 0
+        for j, w in near[i]:
+            if side[j] is None:
+                left[j] += w if side[i] else -w
+                tied[j] = max(0.0, tied[j] - w)
+                queue.append(j)
+    return side, left
+
+
+def _flooded(left: list[float], near: list[list[tuple[int, float]]]) -> list[bool]:
+    """Which nodes residual capacity reaches from the source after a maximum flow, by blocking flows over level graphs."""
+    n, to, room = len(left), [], []
+    arcs: list[list[int]] = [[] for _ in range(n)]
+    for a in range(n):
+        for b, w in near[a]:
+            if a < b:
+                arcs[a].append(len(to))
+                arcs[b].append(len(to) + 1)
+                to += b, a
+                room += w, w
+    while True:
+        level, queue = [-1] * n, [i for i in range(n) if left[i] > TINY]
+        for i in queue:
+            level[i] = 0
+        for a in queue:
+            for e in arcs[a]:
+                if room[e] > TINY and level[to[e]] < 0:
+                    level[to[e]] = level[a] + 1
+                    queue.append(to[e])
+        if not any(left[i] < -TINY for i in queue):
+            return [x >= 0 for x in level]
+        current = [0] * n
+        for source in [i for i in queue if level[i] == 0]:
+            path: list[int] = []
+            at = source
+            while left[source] > TINY:
+                if left[at] < -TINY:
+                    push = min([left[source], -left[at], *(room[e] for e in path)])
+                    left[source] -= push
+                    left[at] += push
+                    for e in path:
+                        room[e] -= push
+                        room[e ^ 1] += push
+                    del path[next((k for k, e in enumerate(path) if room[e] <= TINY), len(path)) :]
+                    at = to[path[-1]] if path else source
+                    continue
+                while current[at] < len(arcs[at]):
+                    e = arcs[at][current[at]]
+                    if room[e] > TINY and level[to[e]] == level[at] + 1:
+                        break
+                    current[at] += 1
+                else:
+                    if not path:
+                        break
+                    at = to[path.pop() ^ 1]
+                    current[at] += 1
+                    continue
+                path.append(e)
+                at = to[e]
+
+
 def minimum_cut(excess: list[float], edges: dict[tuple[int, int], float]) -> tuple[list[bool], float]:
-    """(is on the source's side, cut beyond the smaller terminal costs) by shortest augmenting paths.
+    """(is on the source's side, cut beyond the smaller terminal costs), with as few nodes on that side as can be.
 
     ``excess`` holds what is left of the terminal capacities after the flow
     straight through each node: positive towards the source, negative the sink.
     """
-    n = len(excess)
-    left, flow = list(excess), 0.0
-    near: list[list[int]] = [[] for _ in range(n)]
-    room: dict[tuple[int, int], float] = {}
+    near: list[list[tuple[int, float]]] = [[] for _ in excess]
     for (a, b), w in edges.items():
         if w > 0:
-            near[a].append(b)
-            near[b].append(a)
-            room[a, b] = room[b, a] = room.get((a, b), 0.0) + w
-    tiny = 1e-9
-    while True:
-        came: dict[int, int] = {i: -1 for i in range(n) if left[i] > tiny}
-        queue, sink = list(came), -1
-        for a in queue:
-            if left[a] < -tiny:
-                sink = a
-                break
-            for b in near[a]:
-                if b not in came and room[a, b] > tiny:
-                    came[b] = a
-                    queue.append(b)
-        if sink < 0:
-            return [i in came for i in range(n)], flow
-        path, a = [], sink
-        while came[a] >= 0:
-            path.append((came[a], a))
-            a = came[a]
-        push = min([left[a], -left[sink], *(room[e] for e in path)])
-        left[a] -= push
-        left[sink] += push
-        flow += push
-        for x, y in path:
-            room[x, y] -= push
-            room[y, x] += push
+            near[a].append((b, w))
+            near[b].append((a, w))
+    side, left = _settled(excess, near)
+    rest = [i for i, s in enumerate(side) if s is None]
+    if rest:
+        number = {i: k for k, i in enumerate(rest)}
+        inside = [[(number[j], w) for j, w in near[i] if j in number] for i in rest]
+        for i, s in zip(rest, _flooded([left[i] for i in rest], inside), strict=True):
+            side[i] = s
+    cut = sum(w for (a, b), w in edges.items() if w > 0 and side[a] != side[b])
+    return side, cut + sum(abs(x) for x, s in zip(excess, side, strict=True) if s != (x > 0) and x)
 
 
 def extract(html: str | None) -> tuple[str, int, float]:

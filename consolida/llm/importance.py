@@ -128,10 +128,10 @@ def labelled_ids(labels: DataFrame, target: bool, bound: int = LABEL_BOUND) -> n
     return np.array(sorted(r["doc_id"] for r in rows), dtype=np.int64)
 
 
-def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """Log ratios of all buckets, from all of ``docs``."""
+def train(docs: DataFrame, labels: DataFrame, bound: int = LABEL_BOUND) -> np.ndarray:
+    """Log ratios of all buckets, from all of ``docs`` and at most ``bound`` labelled documents of either kind."""
     spark = docs.sparkSession
-    ids = spark.sparkContext.broadcast((labelled_ids(labels, True), labelled_ids(labels, False)))
+    ids = spark.sparkContext.broadcast((labelled_ids(labels, True, bound), labelled_ids(labels, False, bound)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counted = rows.mapInArrow(lambda it: _counts(it, *ids.value), "bucket long, raw long, good long, bad long")
     sums = counted.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("raw", "good", "bad")))
@@ -141,9 +141,10 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     return log_ratios(*table)
 
 
-def noise(doc_id: int | None) -> float:
-    """Standard Gumbel noise of a document."""
-    u = (xxhash.xxh3_64_intdigest(repr(doc_id).encode(), seed=11) + 0.5) / 2.0**64
+def noise(doc_id: int | None, text: str) -> float:
+    """Standard Gumbel noise of a document; rows without an id differ by their text."""
+    own = repr(doc_id) if doc_id is not None else text
+    u = (xxhash.xxh3_64_intdigest(own.encode("utf-8", "surrogatepass"), seed=11) + 0.5) / 2.0**64
     return float(-np.log(-np.log(u)))
 
 
@@ -155,7 +156,7 @@ def _scorer(ratios: np.ndarray) -> Callable[[int | None, str | None], tuple[int,
         if not n:
             return 0, float("-inf"), float("-inf")
         weight = float(np.maximum(ratios[a], ratios[b]).sum())
-        return n, weight, weight / TEMPERATURE + noise(doc_id)
+        return n, weight, weight / TEMPERATURE + noise(doc_id, text or "")
 
     return score
 
@@ -214,20 +215,23 @@ class Selection:
         return docs.mapInArrow(keep, docs.schema)
 
 
-def select(docs: DataFrame, labels: DataFrame) -> Selection:
-    """Train on ``docs`` and ``labels``, score every row of ``docs`` and set the threshold of the top k."""
+def select(docs: DataFrame, labels: DataFrame, k: int | None = None, bound: int = LABEL_BOUND) -> Selection:
+    """Train on ``docs`` and ``labels``, score every row of ``docs`` and set the threshold of the top ``k``.
+
+    Without ``k`` it is the expected size of a rejection sample with the tempered weights.
+    """
     spark = docs.sparkSession
-    ratios = train(docs, labels)
+    ratios = train(docs, labels, bound)
     model = spark.sparkContext.broadcast(ratios)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scores = materialise(rows.mapInArrow(lambda it: _scored(it, model.value), SCORES), "scores")
-    k, n = scores.agg(F.round(F.sum(F.exp(F.col("log_weight") / TEMPERATURE))), F.sum((F.col("n_tokens") > 0).cast("long"))).first()
-    k = min(int(k or 0), int(n or 0))
+    expected, n = scores.agg(F.round(F.sum(F.exp(F.col("log_weight") / TEMPERATURE))), F.sum((F.col("n_tokens") > 0).cast("long"))).first()
+    k = min(int(expected or 0) if k is None else k, int(n or 0))
     threshold = kth_largest(scores, k) if k else float("inf")
     return Selection(ratios, scores, threshold)
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, k: int | None = None, bound: int = LABEL_BOUND) -> DataFrame:
     """(doc_id, n_tokens, log_weight, key, kept) of every row."""
-    found = select(docs, labels)
+    found = select(docs, labels, k, bound)
     return found.scores.withColumn("kept", (F.col("n_tokens") > 0) & (F.col("key") >= F.lit(found.threshold)))

@@ -10,7 +10,9 @@ n-grams are ``GRAM`` bytes of the UTF-8 text, A-Z lowered and runs of other
 ASCII characters than letters made one blank.  A language contains an n-gram
 when its share there is at least ``SHARE`` of the largest share any language
 has, and it occurs ``LEAST`` times.  Counts cover all training rows; the n-gram
-table is summed by Spark and only the filter, of fixed size, reaches the driver.
+table is summed by Spark, and only the filter reaches the driver.  It has as
+many slots as the n-grams ask for, 8 MB to 128 MB for every 64 languages; a
+fuller filter has more false positives, which the correction takes out.
 
 Texts that are null or have no letter are ``und`` with score 0; so is every
 text when nothing was learned.  Ties go to the language with more training
@@ -28,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from consolida.llm.common import U64, mixed
+from consolida.llm.common import U64, materialise, mixed
 
 GRAM = 4
 SHARE, LEAST = 0.3, 3
-SLOT_BITS, HASHES = 20, 3
+HASHES = 3
+#: Slots of the filter: the power of two that holds ``SPARE`` for each place an n-gram may take, between these.
+LEAST_BITS, MOST_BITS, SPARE = 20, 24, 2
 FOLDS = 5
 #: A-Z lowered, other ASCII but letters made blanks.
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -52,11 +56,11 @@ def grams(body: bytes) -> np.ndarray:
     return out
 
 
-def slots(keys: np.ndarray) -> list[np.ndarray]:
-    """Places of each n-gram in the filter."""
+def slots(keys: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Places of each n-gram in a filter of ``2 ** bits`` slots."""
     h = mixed(keys.astype(U64) + U64(1))
     step = h >> U64(33) | U64(1)
-    mask = U64((1 << SLOT_BITS) - 1)
+    mask = U64((1 << bits) - 1)
     return [((h + step * U64(i)) & mask).astype(np.int64) for i in range(HASHES)]
 
 
@@ -107,10 +111,10 @@ class Model:
             return "und", 0.0, 0
         g = grams(body)
         masks = np.full((len(self.table), len(g)), ~U64(0))
-        for at in slots(g):
+        for at in slots(g, self.table.shape[1].bit_length() - 1):
             masks &= self.table[:, at]
         hits = np.array([np.count_nonzero(masks[i // 64] >> U64(i % 64) & U64(1)) for i in range(len(self.languages))], dtype=float)
-        true = np.maximum(0.0, (hits - len(g) * self.false) / (1 - self.false))
+        true = np.maximum(0.0, (hits - len(g) * self.false) / np.maximum(1 - self.false, 1e-9))
         best = int(np.argmax(true))
         total = float(true.sum())
         return self.languages[best], float(true[best]) / total if total else 0.0, len(g)
@@ -122,9 +126,11 @@ def train(rows: DataFrame) -> Model:
     languages = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
     words = -(-len(languages) // 64)
     if not languages:
-        return Model([], np.zeros((0, 1 << SLOT_BITS), U64), np.zeros(0))
+        return Model([], np.zeros((0, 1 << LEAST_BITS), U64), np.zeros(0))
     counted = rows.mapInArrow(_counted, "lang string, gram long, n long")
-    per = counted.groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+    per = materialise(counted.groupBy("gram", "lang").agg(F.sum("n").alias("n")), "grams")
+    places = SPARE * HASHES * per.select("gram").distinct().count()
+    bits = min(MOST_BITS, max(LEAST_BITS, (places - 1).bit_length()))
     totals = {r["lang"]: r["n"] for r in per.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     of = [(lang, i // 64, 1 << i % 64 if i % 64 < 63 else -(1 << 63), 1.0 / totals[lang]) for i, lang in enumerate(languages) if totals.get(lang)]
     if of:
@@ -133,8 +139,8 @@ def train(rows: DataFrame) -> Model:
         owned = most.select("gram", F.filter("all", lambda x: (x["share"] >= SHARE * F.col("top")) & (x["n"] >= LEAST)).alias("owned"))
         masks = F.transform(F.sequence(F.lit(0), F.lit(words - 1)), lambda w: F.aggregate(F.filter("owned", lambda x: x["word"] == w), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x["bit"])))
         owners = owned.select("gram", F.posexplode(masks).alias("word", "mask")).where("mask <> 0")
-        filled = owners.mapInArrow(_placed, "slot long, word int, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask"))
-    table = np.zeros((words, 1 << SLOT_BITS), dtype=U64)
+        filled = owners.mapInArrow(lambda it: _placed(it, bits), "slot long, word int, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask"))
+    table = np.zeros((words, 1 << bits), dtype=U64)
     if of:
         found = filled.toPandas()  # at most one row per slot and word
         table[found["word"].to_numpy(), found["slot"].to_numpy()] = found["mask"].to_numpy().astype(np.int64).view(U64)
@@ -142,11 +148,11 @@ def train(rows: DataFrame) -> Model:
     return Model(languages, table, fill**HASHES)
 
 
-def _placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _placed(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         gram, word, mask = (c.to_numpy() for c in batch.columns)
         if len(gram):
-            yield pa.RecordBatch.from_pydict({"slot": np.concatenate(slots(gram)), "word": np.tile(word, HASHES), "mask": np.tile(mask, HASHES)})
+            yield pa.RecordBatch.from_pydict({"slot": np.concatenate(slots(gram, bits)), "word": np.tile(word, HASHES), "mask": np.tile(mask, HASHES)})
 
 
 def identify(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:

@@ -51,6 +51,13 @@ def pieces(notice: bytes, errors: int) -> list[tuple[int, bytes]]:
     return [(a, notice[a:b]) for a, b in zip(cut, cut[1:], strict=False)]
 
 
+def pattern(notice: bytes, errors: int) -> regex.Pattern:
+    """The notice between blanks with at most ``errors`` errors; the first word of one with a single error has none."""
+    first, rest = notice.split(b" ", 1)
+    firm, loose = (first, b" " + rest) if errors == 1 else (b"", notice)
+    return regex.compile(rb"(?b)(?<= )" + regex.escape(firm) + rb"(?:" + regex.escape(loose) + rb"){e<=" + str(errors).encode() + rb"}(?= )")
+
+
 def places(text: bytes, part: bytes) -> Iterator[int]:
     at = text.find(part)
     while at >= 0:
@@ -61,7 +68,7 @@ def places(text: bytes, part: bytes) -> Iterator[int]:
 class Scanner:
     def __init__(self, notices: Iterable[tuple[bytes, int, str]] = NOTICES):
         self.notices = [
-            (notice, errors, label, pieces(notice, errors), regex.compile(rb"(?b)\b(?:" + regex.escape(notice) + rb"){e<=" + str(errors).encode() + rb"}(?= )"))
+            (notice, errors, label, pieces(notice, errors), pattern(notice, errors))
             for notice, errors, label in notices
         ]
 
@@ -138,5 +145,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def digest(found: DataFrame) -> DataFrame:
+    """The query's columns; ``spans``: label:first word:last word:errors of every place, comma-joined."""
     names = ("base_labels", "labels")
-    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *(F.array_join(n, ",").alias(n) for n in names), "score")
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["first_word"], s["last_word"], s["errors"]))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *(F.array_join(n, ",").alias(n) for n in names), "score", F.array_join(spans, ",").alias("spans"))

@@ -29,6 +29,7 @@ code points, ends exclusive.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,6 +84,11 @@ def _spans(found: str, gaps: str, kind: int) -> Column:
     return F.when(F.size(found) > 0, every).otherwise(F.expr(f"cast(array() as {_SPAN})"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once; a plain column would be, anew, at each use inside a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _tail(z: Column) -> Column:
     """Two-sided normal p-value, by a rational bound of Mills' ratio (relative error under one in a thousand)."""
     a = F.abs(z)
@@ -111,7 +117,7 @@ def battery(tokens: Column) -> Column:
 
     def placed(t: Column) -> Column:
         alphabet = _case(t["encoding"], [a for _, a, _ in ENCODINGS])
-        at = F.transform(F.sequence(F.lit(1), F.char_length(t["body"])), lambda i: F.instr(alphabet, F.substring(t["body"], i, F.lit(1))))
+        at = F.transform(F.split(t["body"], ""), lambda c: F.instr(alphabet, c))
         return F.struct(t.alias("t"), F.char_length(t["body"]).cast("double").alias("n"), F.length(alphabet).cast("double").alias("k"), alphabet.alias("alphabet"), at.alias("at"))
 
     def tested(s: Column) -> Column:
@@ -120,7 +126,7 @@ def battery(tokens: Column) -> Column:
         symbols = F.transform(F.split(s["alphabet"], ""), lambda c: F.pow(n - F.char_length(F.replace(body, c, F.lit(""))), F.lit(2)))
         even = total(symbols) * k / n - n
         sizes = [F.length(F.regexp_replace(s["alphabet"], f"[^{c}]", "")).cast("double") for c in ("a-z", "A-Z", "0-9")]
-        counts = [F.length(F.regexp_replace(body, f"[^{c}]", "")).cast("double") for c in ("a-z", "A-Z", "0-9")]
+        counts = [n - F.char_length(F.translate(body, c, "")) for c in (LOWER, UPPER, DIGITS)]
         parts = [F.when(m > 0, F.pow(c - n * m / k, F.lit(2)) / (n * m / k)).otherwise(F.lit(0.0)) for m, c in zip(sizes, counts, strict=True)]
         groups = sum((F.when(m > 0, 1).otherwise(0) for m in sizes[1:]), F.when(sizes[0] > 0, 1).otherwise(0))
         high = F.transform(s["at"], lambda i: (i * 2 > k).cast("int"))
@@ -149,8 +155,9 @@ def battery(tokens: Column) -> Column:
         # too even over classes is no sign of language: only the upper side counts there
         p_classes = F.when(s["classes"] <= s["groups"], F.lit(1.0)).otherwise(p_classes)
         p = F.least(F.lit(1.0), 4 * F.least(_chi(s["even"], s["k"] - 1), p_classes, p_runs, p_serial))
-        small = F.transform(F.split(F.regexp_replace(F.lower(s["body"]), "[^a-z]", ""), ""), lambda c: F.element_at(F.array(*map(F.lit, [0.0, *LETTERS])), F.when(c == "", 0).otherwise(F.instr(F.lit(LOWER), c)) + 1))
-        m = F.length(F.regexp_replace(F.lower(s["body"]), "[^a-z]", "")).cast("double")
+        low = F.when(s["short"], F.lower(s["body"])).otherwise(F.lit("-"))
+        small = F.transform(F.split(low, ""), lambda c: F.element_at(F.array(*map(F.lit, [0.0, *LETTERS])), F.instr(F.lit(LOWER), c) + 1))
+        m = (F.char_length(low) - F.char_length(F.translate(low, LOWER, ""))).cast("double")
         z = (total(small) - m * LETTER_MEAN) / (LETTER_DEV * F.sqrt(m))
         p_letters = F.when((m > 0) & (z > 0), _tail(z) / 2).otherwise(F.lit(1.0))
         p = F.when(s["short"], F.least(F.lit(1.0), 1.25 * p, 5 * p_letters)).otherwise(p)
@@ -181,10 +188,13 @@ def _located(docs: DataFrame, *others: str) -> DataFrame:
     found = found.select("*", *(F.when(F.size(f"_m{k}") > 0, F.split(text, p, -1)).alias(f"_g{k}") for k, p in enumerate(patterns)))
     spans = [_spans(f"_m{k}", f"_g{k}", min(k, 3)) for k in range(len(patterns))]
     spans[0] = F.filter(spans[0], lambda s: F.char_length(F.regexp_extract(s["body"], ASSIGN, 2)) >= 6)
-    spans[3:] = [F.array_distinct(F.concat(*spans[3:]))]
+    spans[3:] = [F.array_sort(F.concat(*spans[3:]))]
     found = found.select(*others, "_text", *(c.alias(n) for c, n in zip(spans, ("_assign", "_access", "_hex", "_tokens"), strict=True)))
+    apart = lambda a: F.filter(a, lambda t, i: (i == 0) | (t["start"] != F.get(a, i - 1)["start"]) | (t["end"] != F.get(a, i - 1)["end"]))
+    found = found.withColumn("_tokens", _let(F.col("_tokens"), apart))
     found = found.withColumn("_base", F.array_sort(F.concat("_assign", "_access", "_hex")))
-    free = F.filter("_tokens", lambda t: ~F.exists("_base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    both = F.struct(F.col("_base").alias("base"), F.col("_tokens").alias("tokens"))
+    free = _let(both, lambda s: F.filter(s["tokens"], lambda t: ~F.exists(s["base"], lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))))
     found = found.withColumn("_free", F.when(F.size("_tokens") > 0, free))
     return found.withColumn("_judged", F.when(F.size("_free") > 0, battery(F.col("_free"))))
 
@@ -201,6 +211,19 @@ def thresholds(docs: DataFrame) -> dict[tuple[int, int], float]:
     return {(r["encoding"], r["band"]): r["edge"] for r in cut.collect()}
 
 
+def _outermost(spans: Column) -> Column:
+    """Spans that stand in no other one: in order, the longer first, those that end behind all before them."""
+    ordered = F.array_sort(F.transform(spans, lambda t: F.struct(t["start"].alias("start"), (-t["end"]).alias("back"), t["kind"].alias("kind"))))
+    start = F.struct(F.lit(-1).alias("reach"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
+
+    def step(acc: Column, t: Column) -> Column:
+        here = F.struct(t["start"].alias("start"), t["kind"].alias("kind"), (-t["back"]).alias("end"), F.lit("").alias("body"))
+        out = F.when(-t["back"] > acc["reach"], F.concat(acc["out"], F.array(here))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["reach"], -t["back"]).alias("reach"), out.alias("out"))
+
+    return F.aggregate(ordered, start, step, lambda acc: acc["out"])
+
+
 def find(docs: DataFrame, *others: str) -> DataFrame:
     """The ``others`` columns of every row with ``_text``, ``_assign``, ``_access``, ``_hex``, ``_base`` and ``_spans`` (all kinds, in order)."""
     cuts = thresholds(docs)
@@ -209,8 +232,7 @@ def find(docs: DataFrame, *others: str) -> DataFrame:
     limit = F.create_map(*entries) if entries else F.expr("cast(map() as map<int,double>)")
     random = F.filter("_judged", lambda t: t["p"] > F.coalesce(F.element_at(limit, t["encoding"] * 100 + t["band"]), F.lit(0.0)))
     located = located.withColumn("_random", random)
-    random = F.filter("_random", lambda t: ~F.exists("_random", lambda o: (o["start"] <= t["start"]) & (t["end"] <= o["end"]) & (t["end"] - t["start"] < o["end"] - o["start"])))
-    extra = F.transform(random, lambda t: F.struct(t["start"].alias("start"), t["kind"].alias("kind"), t["end"].alias("end"), F.lit("").alias("body")))
+    extra = _outermost(F.col("_random"))
     spans = F.when(F.col("_judged").isNull(), F.col("_base")).otherwise(F.array_sort(F.concat("_base", extra)))
     return located.withColumn("_spans", spans)
 
@@ -228,9 +250,13 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span in ``text`` replaced, and ``n_chars`` counted again; columns as they were."""
+    """``docs`` with every span in ``text`` replaced, and ``n_chars`` counted again; columns as they were.
+
+    A null text stays null and its ``n_chars`` as it is; columns of any name are carried along.
+    """
     names = docs.columns
-    found = find(docs, *(c for c in names if c != "text"))
+    held = docs.select(*(F.col(f"`{c}`").alias(c if c == "text" else f"c{i}") for i, c in enumerate(names)), F.col("text").isNull().alias("absent"))
+    found = find(held, "absent", *(c for c in held.columns if c not in ("text", "absent")))
     text = F.col("_text")
 
     def step(acc: Column, s: Column) -> Column:
@@ -238,7 +264,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), before.alias("out"))
 
     done = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))))
-    found = found.withColumn("text", F.when(F.size("_spans") > 0, done).otherwise(text))
-    if "n_chars" in names:
-        found = found.withColumn("n_chars", F.char_length("text").cast("long"))
-    return found.select(*names)
+    done = F.when(F.size("_spans") > 0, done).otherwise(text)
+    found = found.withColumn("_done", F.when(~F.col("absent"), done))
+    chars = {"n_chars": lambda c: F.when(F.col("absent"), c).otherwise(F.char_length("_done").cast("long"))}
+    return found.select(*((F.col("_done") if c == "text" else chars.get(c, lambda x: x)(F.col(f"c{i}"))).alias(c) for i, c in enumerate(names)))

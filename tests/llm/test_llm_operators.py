@@ -292,7 +292,7 @@ def test_secrets(spark):
     assert done.columns == DOCS.replace(" long", "").replace(" string", "").split(", ")
     by = {r["doc_id"]: r for r in done.collect()}
     assert by[0]["text"] == "é [SECRET]' x"[: len(by[0]["text"])] and by[3]["text"] == "🙂 see [SECRET] here"
-    assert all(r["n_chars"] == len(r["text"]) for r in by.values())
+    assert all(r["n_chars"] == len(r["text"]) if r["text"] is not None else texts[i] is None for i, r in by.items())
 
 
 def test_secrets_in_parts_and_short(spark):
@@ -350,7 +350,7 @@ def test_seeds_find_every_bounded_match():
         for _ in range(15):
             s = bytearray(notice)
             for _ in range(rng.randrange(errors + 1)):
-                at = rng.randrange(1, len(s) - 1)
+                at = rng.randrange(len(notice.split()[0]) + 1 if errors == 1 else 1, len(s) - 1)
                 s[at : at + rng.choice([0, 1])] = rng.choice([b"", b"q"])
             assert label in {m[3] for m in scanner.fuzzy(b" some words " + bytes(s) + b" and more ")}
 
@@ -498,6 +498,92 @@ def test_suffix_tree_grows_with_the_corpus(spark):
     assert many[0]["n_contexts"] > 20 * few[0]["n_contexts"]
 
 
+# Large and awkward rows -----------------------------------------------------------------------
+
+
+def test_licenses_want_a_whole_first_word_of_short_notices():
+    scanner = licenses.Scanner()
+    for text in ("it license fees", "émit license", "submit licenses", "apach license", "api license"):
+        assert scanner.scan(text.encode())[5] == [], text
+    assert scanner.scan(b"the mit licence applies")[5] == ["mit"] and scanner.scan(b"an apache licens")[5] == ["apache"]
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_license_places_are_within_their_errors():
+    """Every reported place is that close to a notice, and every run of words that close is reported."""
+    rng, scanner = random.Random(31), licenses.Scanner([(b"all rights reserved", 2, "reserved")])
+    for _ in range(150):
+        notice = list("all rights reserved")
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(notice))
+            notice[at : at + 1] = rng.choice([[], ["x"], [notice[at], "y"]])
+        words = ["some", "text", *"".join(notice).split(), "more", "here"]
+        near = any(edit_distance(" ".join(words[i:j]), "all rights reserved") <= 2 for i in range(len(words)) for j in range(i + 1, len(words) + 1))
+        found = scanner.scan(" ".join(words).encode())
+        assert ("reserved" in found[5]) == near, words
+        for _, first, last, errors, _ in found[7]:
+            assert edit_distance(" ".join(words[first : last + 1]), "all rights reserved") <= max(errors, 2)
+
+
+def test_large_pages():
+    """Pages of 50,000 blocks, with labels as the classifier gives them where nothing is undecided."""
+    parts = ["<p>" + "long paragraph text " * 6 + "</p>" if i % 2 else "<div class=advert>buy now</div>" for i in range(50_000)]
+    text, n, _ = html_text.extract("<article>" + "".join(parts) + "</article>")
+    assert n == 50_000 and text.count("\n") == 24_999 and "buy" not in text
+    text, n, _ = html_text.extract("".join(f"<p>w{i}</p>" for i in range(50_000)))
+    assert n == 50_000
+
+
+def test_minimum_cut_of_long_chains():
+    """A chain's cut against dynamic programming."""
+    rng = random.Random(8)
+    for n in (1, 2, 500, 3000):
+        excess = [rng.choice([-1, 1]) * rng.random() * 0.6 for _ in range(n)]
+        edges = {(i, i + 1): rng.random() for i in range(n - 1)}
+        side, cut = html_text.minimum_cut(excess, edges)
+        a, b = max(0.0, -excess[0]), max(0.0, excess[0])  # cheapest with the last node on the source's side, on the sink's
+        for i in range(1, n):
+            w = edges[i - 1, i]
+            a, b = min(a, b + w) + max(0.0, -excess[i]), min(b, a + w) + max(0.0, excess[i])
+        assert cut == pytest.approx(min(a, b))
+
+
+def test_a_full_filter_gives_scores():
+    table = np.full((1, 1 << 10), ~np.uint64(0))
+    lang, score, _ = language_id.Model(["de", "en"], table, np.ones(2)).predict(b"some words")
+    assert lang == "de" and 0 <= score <= 1
+
+
+def test_a_long_token(spark):
+    """A token of 200,000 characters, judged in time that grows with its length."""
+    rng = random.Random(9)
+    token = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=200_000))
+    r = secrets.scan(docs_of(spark, {1: "see " + token + " there"}, 1)).first()
+    assert r["spans"] == "random:4:200004"
+
+
+def test_redaction_keeps_nulls_and_any_column(spark):
+    docs = odd_docs(spark).withColumn("_text", F.lit(1)).withColumn("_spans", F.lit("y")).withColumn("n_chars", F.lit(7).cast("long"))
+    out = secrets.redact(docs)
+    assert out.schema.names == docs.schema.names
+    assert sorted(map(str, out.drop("n_chars").collect())) == sorted(map(str, docs.drop("n_chars").collect()))
+
+
+def test_a_given_number_of_documents_is_resampled(spark):
+    docs = docs_of(spark, {i: f"good words here w{i % 7}" for i in range(60)} | {100 + i: f"bad bad bad x{i % 5}" for i in range(20)})
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(100 + i, 0, 1) for i in range(15)], "doc_id long, quality int, toxic int")
+    assert importance.classify(docs, labels, k=25, bound=10).where("kept").count() == 25
+    assert len(importance.labelled_ids(labels, True, 10)) == 10
+
+
 # All of them on odd tables -------------------------------------------------------------------
 
 
@@ -514,6 +600,8 @@ def applied(spark, docs):
         "packing": packing.pack(docs, TOKENIZER),
         "language_id": language_id.cross_identify(docs),
         "secrets": secrets.scan(docs),
+        "redacted": secrets.redact(docs),
+        "selected": importance.select(docs, labels, k=10**6).rows(docs.where("text rlike '\\\\S'")).unionByName(docs.where("coalesce(text, '') not rlike '\\\\S'")),
     }
 
 
@@ -525,6 +613,15 @@ def test_odd_rows(spark):
         assert set(got) == set(ids) if name == "packing" else got == ids, name
 
 
+def test_odd_pages(spark):
+    rows = [(None, "u", "<p>text of a page</p>"), (1, None, None), (2, "u", ""), (3, "u", "<p>a"), (3, "u", "<p>a"), (4, "u", "<p>" + "word " * 200_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("x")).withColumn("n_chars", F.lit(1))
+    out = html_text.main_text(pages).collect()
+    assert Counter(r["page_id"] for r in out) == Counter(r[0] for r in rows)
+    assert all(r["n_chars"] == len(r["text"]) for r in out) and max(r["n_chars"] for r in out) == 999_999
+    assert html_text.main_text(pages.limit(0)).count() == 0
+
+
 def test_empty_tables(spark):
     for name, out in applied(spark, odd_docs(spark).limit(0)).items():
         assert out.count() == 0, name

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from consolida.functions.identifiers import is_annexe, kind_rank, not_a_decree, sort_key
 from consolida.operators.validation import is_full_removal
+from consolida.plans.storage import stored
 
 
 def first_by(rows: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:
@@ -98,25 +99,22 @@ def nodes_and_edges(ops: DataFrame) -> tuple[DataFrame, DataFrame]:
 def downstream(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """(seed, node, steps) of all nodes that can be reached along ``edges`` (src, dst), each by its shortest way.
 
-    One join per step over the newest nodes only; every few steps the result so
-    far is cut from its lineage in the checkpoint folder.
+    One join per step over the newest nodes only; each step's are stored, and
+    every few steps the result so far is.
     """
     spark = edges.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="consolida-"))
     links = edges.select("src", "dst").distinct()
     seen = seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("steps")).distinct()
     newest, parts = seen, int(spark.conf.get("spark.sql.shuffle.partitions"))
     for step in itertools.count(1):
         ahead = newest.join(links, newest["node"] == links["src"]).select("seed", F.col("dst").alias("node"), F.lit(step).alias("steps")).distinct()
-        newest = ahead.join(seen, ["seed", "node"], "left_anti").checkpoint()
+        newest = ahead.join(seen, ["seed", "node"], "left_anti")
+        newest = stored(newest, "reached")
         if newest.isEmpty():
             return seen
         seen = seen.unionByName(newest)
         if step % 20 == 0:
-            seen = seen.coalesce(parts).checkpoint()
+            seen = stored(seen.coalesce(parts), "reached")
 
 
 def predecessor(rows: DataFrame, keys: Sequence[str], number: str, is_new: str) -> DataFrame:

@@ -1,13 +1,16 @@
 """Operations from tagged decrees: verbs, the references and contents they go with, raw operations.
 
-Verbs of change are found by two patterns: in the passive the reference stands
-before the verb, in the active (or at an alinea's beginning) after it.
+Verbs come from a table of infinitives and are found in the alinea's words: in
+the passive the references stand before them, after them where an act speaks of
+itself or the participle opens the alinea.  Of the references on that side those
+next to the verb count, with what is joined to them.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,37 +20,124 @@ from consolida.functions.identifiers import article_range
 from consolida.operators import fragments
 from consolida.operators.relations import range_roles
 
-_ADD = r"créée?s?|insérée?s?|ajoutée?s?|complétée?s?"
-_REPLACE = r"remplacée?s?|modifiée?s?|substituée?s?|rédigée?s?|annulée?s?\s+et\s+remplacée?s?|abrogée?s?\s+et\s+remplacée?s?|supprimée?s?\s+et\s+remplacée?s?|modifiée?s?\s+et\s+complétée?s?|mise?s?\s+à\s+jour"
-_REMOVE = r"abrogée?s?|supprimée?s?|annulée?s?|retirée?s?"
-_CONTENT = r"\s+(?:(?:par|comme\s+suit|ainsi|de\s+la\s+(?:manière|façon)\s+suivante|par\s+l(?:es|a|e)|selon|conformément)\b[^.;]*)"
-#: The reference stands on the left: passive voice.
-PASSIVE = re.compile(rf"\b(?:est|sont)\s+(?:ainsi\s+)?(?:(?P<replace>{_REPLACE})|(?P<delete>{_REMOVE})|(?P<add>{_ADD}))(?!\s+aux?\s+recueils?\s+des\s+actes\s+administratifs)(?P<content>{_CONTENT})?", re.I)
-#: The reference stands on the right: active voice, or a participle that opens the alinea.
-ACTIVE = re.compile(
-    r"^\s*(?:(?:le|la|les|l['’]|ce|cet|cette|ces)\s*)(?:présente?s?\s+)?(?:arrêté|décret|article|acte|disposition|prescription|annexe|tableau)s?(?:\s+\w+){0,3}?\s"
-    r"(?:(?P<replace>(?:annule|abroge)\s(?:et|ou)\sremplace|modifie\set\s(?:remplace|compl[èe]te)|remplace\set\scompl[èe]te|remplace|modifie)|(?P<delete>abroge|supprime|annule)|(?P<add>compl[èe]te|ajoute))"
-    r"(?P<content>\sles\sarticles?\ssuivants?(?:\sdes?)?)?\s(?:l['’]|les?|la|du|des|de\sl['’]?)",
-    re.I,
-)
-OPENING = re.compile(r"^\s*(?:est|sont)\s+(?P<add>insérée?s?|ajoutée?s?)(?P<content>\s+(?:après|avant|à\sla\ssuite\sde)\s+(?:l['’]|les?|la|du|des)\s*)", re.I)
 RAW = "op_tag int, place int, range_group int, source_article string, target_arrete string, start_num string, end_num string, operation_type string, direction string, keyword string, operand string"
 
 
-def verb(text: str) -> tuple[str, str, str, bool, int, int] | None:
-    """(type, direction, keyword, has content, begin, end) of the first verb of change in an alinea's text."""
-    for pattern, direction in ((ACTIVE, "ltr"), (OPENING, "ltr"), (PASSIVE, "rtl")):
-        m = pattern.search(text)
-        if m:
-            kind = next(k for k in ("replace", "delete", "add") if k in m.groupdict() and m[k])
-            content = kind != "delete" and bool(m["content"] or direction == "rtl" and kind in ("replace", "add"))
-            return kind, direction, m[kind], content, m.start(), m.end()
-    return None
+#: Verbs of change by what they do (fixed values).
+VERBS = {
+    "add": ("ajouter", "compléter", "créer", "insérer"),
+    "replace": ("modifier", "rédiger", "remplacer", "substituer"),
+    "delete": ("abroger", "annuler", "retirer", "supprimer"),
+}
+#: Acts that change others by themselves; words that may part an auxiliary from its participle; that announce a place (fixed values).
+ACTS = frozenset("acte arrêté article décret".split())
+ADVERBS = frozenset("ainsi donc également".split())
+AHEAD = frozenset("après avant".split())
+ARTICLES = frozenset("l' le la les du des de".split())
+#: Words and marks that join references of one list.
+JOINTS = frozenset("à au aux d' de des du et l' la le les ou , ;".split())
+_WORD = re.compile(r"[^\W\d_]+['’]?|\d+|[^\w\s]")
+
+
+def _participles(infinitive: str) -> list[str]:
+    return [infinitive[:-2] + end for end in ("é", "ée", "és", "ées")]
+
+
+def _presents(infinitive: str) -> list[str]:
+    stem = re.sub(r"é([^aeéiou]+)er$", r"è\1er", infinitive)[:-2]
+    return [s + end for s in {stem, infinitive[:-2]} for end in ("e", "ent")]
+
+
+_PARTICIPLES = {form: kind for kind, verbs in VERBS.items() for v in verbs for form in _participles(v)} | {f"mis{end} à jour": "replace" for end in ("", "e", "es")}
+_PRESENTS = {form: kind for kind, verbs in VERBS.items() for v in verbs for form in _presents(v)}
+
+
+@dataclass(frozen=True)
+class Verb:
+    """A verb of change: its references stand on the left (``rtl``) or on the right (``ltr``) of it."""
+
+    kind: str
+    direction: str
+    keyword: str
+    content: bool
+    begin: int
+    end: int
+
+
+class _Sentence:
+    """The words of an alinea, in lower case and with straight apostrophes, and where they stand."""
+
+    def __init__(self, text: str):
+        found = list(_WORD.finditer(text))
+        self.text, self.spans = text, [m.span() for m in found]
+        self.words = [m[0].lower().replace("’", "'") for m in found]
+
+    def at(self, i: int) -> str:
+        return self.words[i] if i < len(self.words) else ""
+
+    def forms(self, i: int, table: dict[str, str]) -> tuple[str, int] | None:
+        """(kind, index behind) of one form of a table, or of several joined by ``et`` or ``ou``; different ones replace."""
+        kinds, end = set(), i
+        while True:
+            size = next((n for n in (3, 1) if i + n <= len(self.words) and " ".join(self.words[i : i + n]) in table), 0)
+            if not size:
+                break
+            kinds.add(table[" ".join(self.words[i : i + size])])
+            end = i + size
+            if self.at(end) not in ("et", "ou"):
+                break
+            i = end + 1
+        return (kinds.pop() if len(kinds) == 1 else "replace", end) if kinds else None
+
+    def verb(self, kind: str, direction: str, content: bool, begin: int, first: int, end: int) -> Verb:
+        return Verb(kind, direction, self.text[self.spans[first][0] : self.spans[end - 1][1]], content, self.spans[begin][0], self.spans[end - 1][1])
+
+    def active(self) -> tuple[Verb, int] | None:
+        """``Le présent arrêté remplace ...``: an act that speaks of itself opens the alinea."""
+        i = 0
+        own = self.at(0) in ("ce", "cet", "cette")
+        if own or self.at(0) == "l'" or self.at(0) in ("le", "la") and self.at(1) in ("présent", "présente"):
+            i = 1 if own or self.at(0) == "l'" else 2
+        if not i or self.at(i) not in ACTS:
+            return None
+        found = self.forms(i + 1, _PRESENTS)
+        if not found or self.at(found[1]) not in ARTICLES:
+            return None
+        kind, end = found
+        listed = self.words[end : end + 3] in (["les", "articles", "suivants"], ["l'", "article", "suivant"])
+        return self.verb(kind, "ltr", kind != "delete" and listed, 0, i + 1, end), end
+
+    def passive(self, i: int) -> tuple[Verb, int] | None:
+        """``est`` or ``sont`` at a place, with participles of change."""
+        if self.at(i) not in ("est", "sont"):
+            return None
+        first = i + 1
+        while self.at(first) in ADVERBS:
+            first += 1
+        found = self.forms(first, _PARTICIPLES)
+        if not found or self.at(found[1]) in ("au", "aux") and self.at(found[1] + 1) in ("recueil", "recueils"):
+            return None
+        kind, end = found
+        ahead = i == 0 and kind == "add" and (self.at(end) in AHEAD or self.words[end : end + 3] == ["à", "la", "suite"])
+        return self.verb(kind, "ltr" if ahead else "rtl", kind != "delete", i, first, end), end
+
+
+def verbs(text: str) -> list[Verb]:
+    """The verbs of change of an alinea's text, in order."""
+    sentence = _Sentence(text)
+    out, i = [], 0
+    while i < len(sentence.words):
+        found = sentence.active() if i == 0 else None
+        found = found or sentence.passive(i)
+        if found:
+            out.append(found[0])
+        i = found[1] if found else i + 1
+    return out
 
 
-def _references(alinea: fragments.Node) -> list[tuple[int, fragments.Node]]:
-    """References of an alinea with the offsets in its text at which they begin."""
-    out, at = [], 0
+def _placed(alinea: fragments.Node) -> tuple[list[tuple[int, int, fragments.Node]], list[tuple[int, fragments.Node]]]:
+    """References of an alinea with where they begin and end in its text, and quotations and tables with where they begin."""
+    refs, contents, at = [], [], 0
 
     def visit(n: fragments.Node) -> None:
         nonlocal at
@@ -56,18 +146,34 @@ def _references(alinea: fragments.Node) -> list[tuple[int, fragments.Node]]:
                 at += len(c.text)
                 continue
             if c.attrs.get("data-spec") in ("section_reference", "document_reference"):
-                out.append((at, c))
+                refs.append((at, at + len(c.string()), c))
+            elif c.tag in ("q", "table"):
+                contents.append((at, c))
             visit(c)
 
     visit(alinea)
-    return out
-
-
-def _content_of(alinea: fragments.Node, after: int) -> fragments.Node | None:
-    """A quotation or table later in the alinea, else a table in the next one."""
-    later = [n for n in alinea.every("q", "table")]
-    if later:
-        return later[-1] if after else later[0]
+    return refs, contents
+
+
+def _nearest(refs: list[tuple[int, int, fragments.Node]], text: str, verb: Verb, begin: int, end: int) -> list[tuple[int, int, fragments.Node]]:
+    """The references between two places that stand next to the verb, with those joined to them."""
+    side = [r for r in refs if begin <= r[0] and r[1] <= end]
+    order = side[::-1] if verb.direction == "rtl" else side
+    out: list[tuple[int, int, fragments.Node]] = []
+    for r in order:
+        if out:
+            left, right = (r, out[-1]) if verb.direction == "rtl" else (out[-1], r)
+            if not set(_Sentence(text[left[1] : right[0]]).words) <= JOINTS:
+                break
+        out.append(r)
+    return out[::-1] if verb.direction == "rtl" else out
+
+
+def _content_of(alinea: fragments.Node, contents: list[tuple[int, fragments.Node]], behind: int) -> fragments.Node | None:
+    """The next quotation or table in the alinea, else a table in the next one."""
+    later = next((n for at, n in contents if at >= behind), None)
+    if later is not None:
+        return later
     row = alinea.parent.children
     for n in row[row.index(alinea) + 1 :]:
         if n.tag is None and not n.text.strip() or n.attrs.get("data-spec") in fragments.PAGINATION:
@@ -76,37 +182,46 @@ def _content_of(alinea: fragments.Node, after: int) -> fragments.Node | None:
     return None
 
 
+def _dated(ref: fragments.Node | None, by_id: dict[str, fragments.Node]) -> str | None:
+    """The date of a reference, or of the nearest it belongs to."""
+    seen = set()
+    while ref is not None and id(ref) not in seen:
+        if ref.attrs.get("data-date"):
+            return ref.attrs["data-date"]
+        seen.add(id(ref))
+        ref = by_id.get(ref.attrs.get("data-parent_reference", ""))
+    return None
+
+
 def _operations(html: str, own_date: str) -> list[tuple]:
     root = fragments.parse(html)
     by_id = {n.attrs["data-tag_id"]: n for n in root.walk() if n.attrs.get("data-tag_id")}
     out, tag = [], 0
     for alinea in root.spec("alinea"):
-        refs = _references(alinea)
-        found = verb(alinea.string()) if refs else None
-        if not found:
-            continue
-        kind, direction, keyword, content, begin, end = found
-        side = [(p, r) for p, r in refs if (p < begin if direction == "rtl" else p >= end - 3)]
-        sections = [r for _, r in side if r.attrs.get("data-spec") == "section_reference" and r.attrs.get("data-type") != "table"]
-        documents = [r for _, r in side if r.attrs.get("data-spec") == "document_reference"]
-        parents = {r.attrs.get("data-parent_reference") for r in sections}
-        leaves = [r for r in sections if r.attrs.get("data-tag_id") not in parents] or sections
-        if not leaves and not documents:
-            continue
-        holder, source = alinea.parent, None
-        while holder is not None and source is None:
-            source, holder = holder.attrs.get("data-number") if holder.attrs.get("data-spec") == "section" else None, holder.parent
-        operand = _content_of(alinea, begin) if content else None
-        fallback = documents[-1].attrs.get("data-date") if documents else own_date
-        for place, ref in enumerate(leaves or documents[:1]):
-            up, date = ref, None
-            for _ in range(8):
-                date = up.attrs.get("data-date") if up is not None else None
-                up = by_id.get(up.attrs.get("data-parent_reference", "")) if up is not None else None
-                if date or up is None:
-                    break
-            out.append((tag, place, int(ref.attrs.get("data-group_id", place) or place) if str(ref.attrs.get("data-group_id", "0")).isdigit() else place, source, date or fallback, ref.attrs.get("data-start_num"), ref.attrs.get("data-end_num"), kind, direction, keyword, "".join(c.html() for c in operand.children) if operand is not None and operand.tag == "q" else operand.html() if operand is not None else None))
-        tag += 1
+        refs, contents = _placed(alinea)
+        text, behind = alinea.string(), 0
+        found = verbs(text) if refs else []
+        for k, verb in enumerate(found):
+            ahead = found[k + 1].begin if k + 1 < len(found) else len(text)
+            near = _nearest(refs, text, verb, *((behind, verb.begin) if verb.direction == "rtl" else (verb.end, ahead)))
+            behind = verb.end
+            sections = [r for *_, r in near if r.attrs.get("data-spec") == "section_reference" and r.attrs.get("data-type") != "table"]
+            documents = [r for *_, r in near if r.attrs.get("data-spec") == "document_reference"]
+            parents = {r.attrs.get("data-parent_reference") for r in sections}
+            leaves = [r for r in sections if r.attrs.get("data-tag_id") not in parents] or sections
+            if not leaves and not documents:
+                continue
+            holder = alinea.parent
+            while holder is not None and not (holder.attrs.get("data-spec") == "section" and holder.attrs.get("data-number")):
+                holder = holder.parent
+            after = max(verb.end, near[-1][1]) if verb.direction == "ltr" else verb.end
+            operand = _content_of(alinea, contents, after) if verb.content else None
+            inside = None if operand is None else operand.html() if operand.tag != "q" else "".join(c.html() for c in operand.children)
+            fallback = documents[-1].attrs.get("data-date") if documents else own_date
+            for place, ref in enumerate(leaves or documents[:1]):
+                group = ref.attrs.get("data-group_id") or ""
+                out.append((tag, place, int(group) if group.isdigit() else place, holder.attrs["data-number"] if holder is not None else None, _dated(ref, by_id) or fallback, ref.attrs.get("data-start_num"), ref.attrs.get("data-end_num"), verb.kind, verb.direction, verb.keyword, inside))
+            tag += 1
     return out
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from consolida.functions.texts import superfluous
 from consolida.operators import fragments
+from consolida.plans.storage import stored
 
 NODES = "node_id int, parent_id int, path array<int>, pos int, tag string, attrs map<string,string>, text string"
 
@@ -95,14 +96,21 @@ def chunk_sections(table: DataFrame, *keys: str) -> DataFrame:
 
 
 def resolve_documents(references: DataFrame, *keys: str) -> DataFrame:
-    """The reference at the end of each chain of parents: (keys, tag_id, root, steps), one join per step."""
+    """The reference at the end of each chain of parents: (keys, tag_id, root, steps), one join per step.
+
+    Chains of any length are followed; a reference whose chain runs in a circle
+    has no end and no row.
+    """
     at = references.select(*keys, "tag_id", F.col("parent_ref").alias("root"), F.lit(1).alias("steps")).where("root is not null")
     up = references.select(*keys, F.col("tag_id").alias("root"), F.col("parent_ref").alias("next"))
     done = references.where("parent_ref is null").select(*keys, "tag_id", F.col("tag_id").alias("root"), F.lit(0).alias("steps"))
-    for _ in range(8):  # chains are section, article, decree; eight steps are more than the vocabulary allows
+    longest = references.count()
+    for _ in range(longest):
         met = at.join(up, [*keys, "root"], "left")
         done = done.unionByName(met.where("next is null").select(*keys, "tag_id", "root", "steps"))
-        at = met.where("next is not null").select(*keys, "tag_id", F.col("next").alias("root"), (F.col("steps") + 1).alias("steps"))
+        at = stored(met.where("next is not null").select(*keys, "tag_id", F.col("next").alias("root"), (F.col("steps") + 1).alias("steps")).where("root <> tag_id"), "chains")
+        if at.isEmpty():
+            break
     return done
 
 
@@ -124,3 +132,23 @@ def operand_between(section: pd.Series, whole: pd.Series, start: pd.Series, end:
 @F.pandas_udf(T.StructType([T.StructField("title", T.StringType()), T.StructField("body", T.StringType())]))
 def split_title(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([(None, None) if h is None else fragments.split_title(h) for h in html], columns=["title", "body"])
+
+
+def _changed(step):  # noqa: ANN001, ANN202
+    @F.pandas_udf(T.StringType())
+    def apply(html: pd.Series, kind: pd.Series, position: pd.Series, operand: pd.Series) -> pd.Series:
+        cells = zip(html, kind, position, operand, strict=True)
+        return pd.Series([None if h is None or k is None else step(h, k, None if pd.isna(at) else int(at), op) for h, k, at, op in cells], dtype=object)
+
+    return apply
+
+
+#: HTML with a part replaced (removed, without an operand), or with an operand behind a part; null where the part is not there.
+changed = _changed(lambda h, k, at, op: fragments.change_fragment(h, k, at, op))
+inserted = _changed(lambda h, k, at, op: fragments.insert_fragment(h, k, at, op or ""))
+
+
+@F.pandas_udf(T.StringType())
+def without_heading(operand: pd.Series, title: pd.Series) -> pd.Series:
+    """An operand without a heading that repeats its section's title."""
+    return pd.Series([None if o is None else fragments.strip_heading(o, t) for o, t in zip(operand, title, strict=True)], dtype=object)

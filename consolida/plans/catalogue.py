@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from consolida.functions import identifiers as ids
 from consolida.functions import texts
-from consolida.operators import chunking, evaluation, relations, replay, tagging, trees, validation
+from consolida.operators import chunking, detection, evaluation, relations, replay, tagging, trees, validation
 from consolida.plans import pipeline
+from consolida.sources.model_calls import CallSettings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -431,12 +432,13 @@ def q_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered("""
-WITH t AS (SELECT doc_id, text, substr(text, 5, 12) AS m FROM documents WHERE length(text) > 40 AND trim(substr(text, 5, 12)) <> '')
-SELECT doc_id, CAST(instr(text, m) - 1 AS BIGINT) AS start_at, CAST(instr(text, m) - 1 + length(m) AS BIGINT) AS end_at FROM t""")
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, substr(coalesce(text, ''), 1 + length(coalesce(text, '')) // 2, 12) AS m FROM documents)
+SELECT doc_id, CAST(CASE WHEN regexp_matches(m, '[^\x20\x09-\x0D]') THEN instr(text, m) - 1 END AS BIGINT) AS start_at, CAST(CASE WHEN regexp_matches(m, '[^\x20\x09-\x0D]') THEN instr(text, m) - 1 + length(m) END AS BIGINT) AS end_at FROM t""")
 def q_marker_span(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where a marker taken from a text stands in it first."""
-    rows = table(spark, sf_dir, "documents").where("length(text) > 40").withColumn("m", F.substring("text", 5, 12)).where("trim(m) <> ''")
-    return rows.select("doc_id", texts.marker_span(F.col("text"), F.col("m")).alias("s")).select("doc_id", F.col("s.start").cast("long").alias("start_at"), F.col("s.end").cast("long").alias("end_at"))
+    """Where a marker taken from the middle of a text stands in it first; no place for one without a word."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), F.substring(text, F.floor(F.length(text) / 2).cast("int") + 1, F.lit(12)).alias("m"))
+    return rows.select("doc_id", texts.marker_span(F.col("text"), F.when(F.col("m").rlike(r"[^\x20\x09-\x0D]"), F.col("m"))).alias("s")).select("doc_id", F.col("s.start").cast("long").alias("start_at"), F.col("s.end").cast("long").alias("end_at"))
 
 
 _RAW = {
@@ -459,15 +461,17 @@ def q_raw_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered("""
-WITH RECURSIVE l AS (SELECT DISTINCT n_nationkey AS src, (n_nationkey * 7 + 3) % 25 AS dst FROM nation UNION SELECT s_nationkey, CAST(s_suppkey % 25 AS INT) FROM supplier WHERE s_suppkey % 10 = 0),
-r(seed, node, steps) AS (SELECT r_regionkey, r_regionkey, 0 FROM region UNION SELECT r.seed, l.dst, r.steps + 1 FROM r JOIN l ON l.src = r.node WHERE r.steps < 25)
+WITH RECURSIVE l AS (SELECT DISTINCT n_nationkey AS src, (n_nationkey * 7 + 3) % 25 AS dst FROM nation UNION SELECT s_nationkey, CAST(s_suppkey % 25 AS INT) FROM supplier UNION SELECT DISTINCT 100 + o_custkey, 100 + o_custkey // 2 FROM orders),
+z AS (SELECT DISTINCT r_regionkey AS seed FROM region UNION SELECT DISTINCT 100 + o_custkey FROM orders),
+r(seed, node, steps) AS (SELECT seed, seed, 0 FROM z UNION SELECT r.seed, l.dst, r.steps + 1 FROM r JOIN l ON l.src = r.node WHERE r.steps < 60)
 SELECT CAST(seed AS BIGINT) AS seed, CAST(node AS BIGINT) AS node, CAST(min(steps) AS BIGINT) AS steps FROM r GROUP BY 1, 2""")
 def q_downstream_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes that changes reach, by their shortest way."""
     a = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("src"), ((F.col("n_nationkey") * 7 + 3) % 25).cast("long").alias("dst"))
-    b = table(spark, sf_dir, "supplier").where("s_suppkey % 10 = 0").select(F.col("s_nationkey").cast("long").alias("src"), (F.col("s_suppkey") % 25).alias("dst"))
-    seeds = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("node"))
-    return relations.downstream(a.unionByName(b), seeds).withColumn("steps", F.col("steps").cast("long"))
+    b = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("long").alias("src"), (F.col("s_suppkey") % 25).alias("dst"))
+    customers = table(spark, sf_dir, "orders").select((F.col("o_custkey") + 100).alias("src"), (F.floor(F.col("o_custkey") / 2) + 100).alias("dst")).distinct()
+    seeds = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("node")).unionByName(customers.select(F.col("src").alias("node")))
+    return relations.downstream(a.unionByName(b).unionByName(customers), seeds).withColumn("steps", F.col("steps").cast("long"))
 
 
 @registered("SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey, l_suppkey % 2 ORDER BY l_linenumber) - 1 AS BIGINT) AS key, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem")
@@ -524,3 +528,110 @@ def q_consolidated_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The consolidated permit of every site."""
     decrees = made_decrees(spark, sf_dir)
     return pipeline.consolidate(decrees, pipeline.tagged_operations(decrees)).permits
+
+
+# Parts of documents --------------------------------------------------------------------------------
+
+#: What stands before the reference and behind it; the operation: kind, direction, keyword, operand.
+_VERBS: list[tuple[str | None, ...]] = [
+    ("L'", " est abrogé.", "delete", "rtl", "abrogé", None),
+    ("L'", " est remplacé par : <q>A</q>", "replace", "rtl", "remplacé", "A"),
+    ("L'", " est annulé et remplacé par <q>B</q> puis <q>C</q>", "replace", "rtl", "annulé et remplacé", "B"),
+    ("L'", " est ainsi modifié : <q><b>C</b></q>", "replace", "rtl", "modifié", "<b>C</b>"),
+    ("L'", " est complété comme suit : <q>D</q>", "add", "rtl", "complété", "D"),
+    ("L'", " est mis à jour.", "replace", "rtl", "mis à jour", None),
+    ("L'", " est retiré.", "delete", "rtl", "retiré", None),
+    ("L'", " est supprimé et remplacé par <table><tr><td>1</td></tr></table>", "replace", "rtl", "supprimé et remplacé", "<table><tr><td>1</td></tr></table>"),
+    ("Le présent arrêté abroge l'", ".", "delete", "ltr", "abroge", None),
+    ("Le présent arrêté modifie et complète l'", ".", "replace", "ltr", "modifie et complète", None),
+    ("Sont insérés après l'", " : <q>E</q>", "add", "ltr", "insérés", "E"),
+    ("Cet article remplace l'", ".", "replace", "ltr", "remplace", None),
+    ("L'exploitant respecte l'", ".", None, None, None, None),
+    ("Les prescriptions du titre remplacent l'", ".", None, None, None, None),
+]
+
+
+@registered(f"""
+WITH v AS (SELECT p_partkey AS k, {", ".join(f"{sql_list([c[i] for c in _VERBS])}[1 + p_partkey % {len(_VERBS)}] AS {name}" for i, name in ((2, "operation_type"), (3, "direction"), (4, "keyword"), (5, "operand")))} FROM part)
+SELECT CAST(k AS VARCHAR) AS aiot, CAST(k % 9 + 1 AS VARCHAR) AS source_article, '2011-02-03' AS target_arrete, CAST(k % 5 + 1 AS VARCHAR) || '.2' AS target_article, operation_type, direction, keyword, operand FROM v WHERE operation_type IS NOT NULL""")
+def q_verb_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verbs of change of every kind and voice with references and contents, a decree per part."""
+    k = F.col("p_partkey")
+    document = F.lit('<a data-spec="document_reference" data-tag_id="d" data-date="2011-02-03">arrêté du 3 février</a>')
+    reference = F.concat(F.lit('<a data-spec="section_reference" data-type="article" data-tag_id="s" data-parent_reference="d" data-start_num="'), (k % 5 + 1).cast("string"), F.lit('.2">article</a> de l\''), document)
+    html = F.concat(F.lit('<main><section data-spec="section" data-number="'), (k % 9 + 1).cast("string"), F.lit('"><div data-spec="alinea" data-number="1">'), case_of(k, [c[0] for c in _VERBS]), reference, case_of(k, [c[1] for c in _VERBS]), F.lit("</div></section></main>"))
+    decrees = table(spark, sf_dir, "part").select(k.cast("string").alias("aiot"), F.lit("2020-01-01").alias("decree_id"), html.alias("html"))
+    return tagging.tag_operations(decrees).select("aiot", "source_article", F.col("target_arrete"), F.col("start_num").alias("target_article"), "operation_type", "direction", "keyword", "operand")
+
+
+@registered("""
+WITH p AS (SELECT doc_id, range(1, 2 + doc_id % 4) AS r FROM documents)
+SELECT doc_id, '<section data-spec="section" data-number="2"><div data-spec="alinea" data-number="1">a</div>' || array_to_string(list_transform(r, lambda i: '<div data-spec="alinea" data-number="' || (i + 1) || '">p' || i || '</div>'), '')
+  || '<div data-spec="alinea" data-number="' || (len(r) + 2) || '">z</div></section>' || CASE WHEN doc_id % 3 = 0 THEN '<section data-number="3" data-spec="section" data-title="Noise" data-type="article"><h2 data-level="0" data-spec="section_title">Article 3 : Noise</h2><div data-spec="alinea" data-number="1">more</div></section>' ELSE '' END AS html FROM p""")
+def q_quote_alineas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotations as numbered alineas; in every third document one opens the next article."""
+    lines = F.transform(F.sequence(F.lit(1), (F.col("doc_id") % 4 + 1).cast("int")), lambda i: F.concat(F.lit("<p>p"), i.cast("string"), F.lit("</p>")))
+    opened = F.lit('<div data-spec="alinea"><blockquote><a data-spec="section_reference" data-type="article" data-start_num="3">Article 3</a> : Noise<br>more</blockquote></div>')
+    html = F.concat(F.lit('<section data-spec="section" data-number="2"><div data-spec="alinea" data-number="1">a<blockquote>'), F.array_join(lines, ""), F.lit('</blockquote></div><div data-spec="alinea" data-number="2">z</div>'), F.when(F.col("doc_id") % 3 == 0, opened).otherwise(F.lit("")), F.lit("</section>"))
+    return table(spark, sf_dir, "documents").select("doc_id", trees.quotes_to_alineas(html).alias("html"))
+
+
+@registered("""
+WITH o AS (SELECT o_orderkey, CAST(o_orderkey % 4 + 1 AS BIGINT) AS n, CASE WHEN o_orderkey % 7 = 6 THEN -1 ELSE CAST(o_orderkey % 7 AS BIGINT) END AS pos, list_transform(range(1, 2 + o_orderkey % 4), lambda i: '<div data-spec="alinea">x' || i || '</div>') AS xs FROM orders),
+w AS (SELECT *, CASE WHEN pos = -1 THEN n WHEN pos BETWEEN 1 AND n THEN pos END AS k FROM o)
+SELECT o_orderkey, CASE WHEN k IS NOT NULL THEN array_to_string(xs[1:k - 1], '') || '<div data-spec="alinea">y</div>' || array_to_string(xs[k + 1:n], '') END AS replaced,
+  CASE WHEN k IS NOT NULL THEN array_to_string(xs[1:k - 1], '') || array_to_string(xs[k + 1:n], '') END AS removed, CASE WHEN k IS NOT NULL THEN array_to_string(xs[1:k], '') || '<p>y</p>' || array_to_string(xs[k + 1:n], '') END AS inserted FROM w""")
+def q_subtarget_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An alinea at a position replaced, removed, and another put behind it; null where there is none."""
+    lines = F.transform(F.sequence(F.lit(1), (F.col("o_orderkey") % 4 + 1).cast("int")), lambda i: F.concat(F.lit('<div data-spec="alinea">x'), i.cast("string"), F.lit("</div>")))
+    at = F.when(F.col("o_orderkey") % 7 == 6, F.lit(-1)).otherwise((F.col("o_orderkey") % 7).cast("int"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(lines, "").alias("h"), at.alias("at"), F.lit("ALINEA").alias("k"), F.lit("<p>y</p>").alias("p"), F.lit("y").alias("y"))
+    return rows.select("o_orderkey", trees.changed("h", "k", "at", "y").alias("replaced"), trees.changed("h", "k", "at", F.lit(None).cast("string")).alias("removed"), trees.inserted("h", "k", "at", "p").alias("inserted"))
+
+
+@registered("""
+SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '<b>go ' || doc_id || '</b> and  on</p><p>stop' WHEN 1 THEN 'and  on' WHEN 2 THEN '<b>go ' || doc_id || '</b> and  on' WHEN 3 THEN '<p>HALT ' || doc_id || '</p>' END AS operand FROM documents""")
+def q_operand_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stands between two markers that are given as they are, with other blanks, other tags, another case, or not there."""
+    k = F.col("doc_id").cast("string")
+    html = F.concat(F.lit("<p>x <b>go "), k, F.lit("</b> and  on</p><p>stop "), k, F.lit("</p><div><p>HALT "), k, F.lit("</p></div>"))
+    kind = F.col("doc_id") % 5
+    begin = F.when(kind == 0, F.concat(F.lit("<b>go "), k)).when(kind == 1, F.lit("and on")).when(kind == 2, F.concat(F.lit("go "), k, F.lit(" and on"))).when(kind == 3, F.concat(F.lit("halt <i>"), k, F.lit("</i>"))).otherwise(F.lit("go away"))
+    end = F.when(kind == 0, F.lit("stop"))
+    return table(spark, sf_dir, "documents").select("doc_id", trees.operand_between(F.lit(None).cast("string"), html, begin, end).alias("operand"))
+
+
+@registered("""
+SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN '<h3>Title ' || doc_id || '</h3>' END AS title, '<p>body</p>' AS body, CASE WHEN doc_id % 2 = 0 THEN '<p>new</p>' ELSE '<h2>Other</h2><p>new</p>' END AS operand FROM documents""")
+def q_section_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A section found by its number, split into title and body, and an operand without the title repeated."""
+    k = F.col("doc_id").cast("string")
+    heading = F.when(F.col("doc_id") % 4 != 0, F.concat(F.lit("<h3>Title "), k, F.lit("</h3>"))).otherwise(F.lit(""))
+    inner = F.concat(F.lit('<section data-spec="section" data-number="'), k, F.lit('">'), heading, F.lit("<p>body</p></section>"))
+    html = F.concat(F.lit('<main><section data-spec="section" data-number="no">other</section>'), F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("</main><footer data-spec=\"appendix\">"), inner, F.lit("</footer>"))).otherwise(F.concat(inner, F.lit("</main>"))))
+    number = F.concat(F.when(F.col("doc_id") % 3 == 0, F.lit("APPENDIX:")).otherwise(F.lit("")), k)
+    operand = F.concat(F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("<h2> title  "), k, F.lit("</h2>"))).otherwise(F.lit("<h2>Other</h2>")), F.lit("<p>new</p>"))
+    parts = table(spark, sf_dir, "documents").select("doc_id", k.alias("k"), operand.alias("o"), trees.split_title(trees.find_section(html, number)).alias("s"))
+    return parts.select("doc_id", "s.title", "s.body", trees.without_heading("o", F.concat(F.lit("<h3>Title "), "k", F.lit("</h3>"))).alias("operand"))
+
+
+def answer_of(model: str, prompt: str) -> str:
+    """A stand-in for a model: the k-th customer's changes, surer when asked by its second name."""
+    k = int(prompt.partition("key ")[2].partition(".")[0])
+    if k % 5 == 0:
+        return "nothing to see"
+    ops = [f'{{"operation_type": "replace", "source_article": "1", "target_arrete": "2010-01-01", "target_article": "{k % 3}", "new_content_start_marker": "text {k}", "new_content_end_marker": "end", "confidence_score": {40 + 10 * (i + k % 4)}}}' for i in range(k % 4)]
+    return "Here: [" + ", ".join(ops) + "] done"
+
+
+@registered("""
+WITH c AS (SELECT c_custkey AS k, unnest(range(0, c_custkey % 4)) AS i FROM customer WHERE c_custkey % 5 <> 0)
+SELECT CAST(k AS VARCHAR) AS aiot, CAST(i AS BIGINT) AS place, CAST(k % 3 AS VARCHAR) AS target_article, CAST(40 + 10 * (i + k % 4) AS BIGINT) AS confidence_score, 'text ' || k || ' to the end' AS operand,
+  CAST(CASE WHEN 40 + 10 * (k % 4) < 60 THEN 2 ELSE 1 END AS BIGINT) AS attempt FROM c WHERE 40 + 10 * (i + k % 4) >= 60""")
+def q_detection_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operations that a stand-in model finds in a chunk per customer, with a second call for unsure replies."""
+    k = F.col("c_custkey").cast("string")
+    html = F.concat(F.lit("<p>key "), k, F.lit(". text "), k, F.lit(" to the end</p>"))
+    chunks = table(spark, sf_dir, "customer").select(k.alias("aiot"), F.lit("2020-01-01").alias("decree_id"), F.lit(0).alias("chunk_index"), html.alias("html"))
+    found = detection.detect(chunks, answer_of, CallSettings(min_interval=0.0), threshold=60, retry=True)
+    return found.select("aiot", F.col("place").cast("long").alias("place"), "target_article", F.col("confidence_score").cast("long").alias("confidence_score"), "operand", F.col("attempt").cast("long").alias("attempt"))

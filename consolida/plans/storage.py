@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where the session names none."""
+    """``spark.checkpoint.dir``; where the session names none, a folder of the warehouse, which all executors see too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="consolida-plans-")
-    return _own[app]
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/consolida"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet and read again, so that later stages neither repeat nor depend on its lineage."""
-    path = f"{shared_folder(df.sparkSession)}/consolidate-{name}-{uuid.uuid4().hex}"
+    """``df`` written as Parquet and read again, so that later stages neither repeat nor depend on its lineage.
+
+    The table goes when the program ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/consolidate-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    atexit.register(removed, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a stored table; nothing where the session has ended already."""
+    try:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:
+        return

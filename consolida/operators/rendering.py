@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from consolida.functions.identifiers import display_number, sort_key
 from consolida.functions.texts import fill_template, operation_label, operation_message
 from consolida.operators.relations import other_decrees, predecessor, principal
+from consolida.operators.trees import inner_html
 
 #: Codes of a last operation that leave an abrogation open (fixed values).
 OPEN_CODES = ("error_extracting_operand", "error_finding_subtarget", "propagated_error")
@@ -21,7 +22,7 @@ def listed(rows: DataFrame, keys: list[str], order: str, html: Column, name: str
 def header(decrees: DataFrame) -> DataFrame:
     """(aiot, title, sources, visas, grounds): one row per aiot; active decrees in order of their ids."""
     active = decrees.where("active")
-    extract = lambda spec: F.regexp_extract("html", rf"""(?is)<div\b[^>]*data-spec=["']{spec}["'][^>]*>(.*?)</div>""", 1)
+    extract = lambda spec: F.coalesce(inner_html(F.col("html"), F.lit(spec)), F.lit(""))
     first = principal(decrees).select("aiot", F.concat(F.lit("Arrêté du "), "decree_id").alias("title"))
     out = first
     for name, html in (("sources", F.concat(F.lit("<li>"), "filename", F.lit("</li>"))), ("visas", extract("visa")), ("grounds", extract("motifs"))):

@@ -138,20 +138,13 @@ def verbs(text: str) -> list[Verb]:
 def _placed(alinea: fragments.Node) -> tuple[list[tuple[int, int, fragments.Node]], list[tuple[int, fragments.Node]]]:
     """References of an alinea with where they begin and end in its text, and quotations and tables with where they begin."""
     refs, contents, at = [], [], 0
-
-    def visit(n: fragments.Node) -> None:
-        nonlocal at
-        for c in n.children:
-            if c.tag is None:
-                at += len(c.text)
-                continue
-            if c.attrs.get("data-spec") in ("section_reference", "document_reference"):
-                refs.append((at, at + len(c.string()), c))
-            elif c.tag in ("q", "table"):
-                contents.append((at, c))
-            visit(c)
-
-    visit(alinea)
+    for n in alinea.walk():
+        if n.tag is None:
+            at += len(n.text)
+        elif n.attrs.get("data-spec") in ("section_reference", "document_reference"):
+            refs.append((at, at + len(n.string()), n))
+        elif n.tag in ("q", "table"):
+            contents.append((at, n))
     return refs, contents
 
 

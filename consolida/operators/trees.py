@@ -21,19 +21,50 @@ NODES = "node_id int, parent_id int, path array<int>, pos int, tag string, attrs
 
 
 def _rows(html: str | None) -> list[tuple]:
-    out: list[tuple] = []
+    """(node_id, parent_id, path, pos, tag, attrs, text) of all elements, in page order."""
+    root, out = fragments.parse(html), []
+    known: dict[int, tuple[int, list[int]]] = {id(root): (-1, [])}
+    places = {id(c): i for n in (root, *root.walk()) for i, c in enumerate(n.children)}
+    for n in root.walk():
+        if n.tag is not None:
+            parent, path = known[id(n.parent)]
+            own = len(out), [*path, len(out)]
+            known[id(n)] = own
+            out.append((own[0], parent, own[1], places[id(n)], n.tag, n.attrs, " ".join(n.string().split())))
+    return out
 
-    def visit(n: fragments.Node, parent: int, path: list[int]) -> None:
-        for pos, c in enumerate(n.children):
-            if c.tag is not None:
-                node_id = len(out)
-                out.append((node_id, parent, [*path, node_id], pos, c.tag, c.attrs, " ".join(c.string().split())))
-                visit(c, node_id, [*path, node_id])
 
-    visit(fragments.parse(html), -1, [])
+def _articles(html: str | None) -> list[tuple]:
+    """(article_id, pos, title, content) of every numbered section, read off one tree; equal ids have the first one's."""
+    root = fragments.parse(html)
+    inside = {id(n) for a in root.spec("appendix") for n in a.walk()}
+    out, first = [], {}
+    for pos, n in enumerate(x for x in root.walk() if x.tag is not None):
+        number = n.attrs.get("data-number")
+        if n.attrs.get("data-spec") == "section" and number is not None:
+            name = f"APPENDIX:{number}" if id(n) in inside else number
+            if name not in first:
+                first[name] = fragments.split_title(n.html())
+            out.append((name, pos, *first[name]))
     return out
 
 
+def articles(docs: DataFrame, *keys: str, html: str = "html") -> DataFrame:
+    """(keys, article_id, pos, title, content) of every numbered section; each document is parsed once."""
+    names = [*keys, "article_id", "pos", "title", "content"]
+
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                found = _articles(row[-1])
+                if found:
+                    yield pd.DataFrame([(*row[:-1], *f) for f in found], columns=names)
+
+    types = dict(docs.dtypes)
+    ddl = ", ".join([*(f"{k} {types[k]}" for k in keys), "article_id string, pos int, title string, content string"])
+    return docs.select(*keys, html).mapInPandas(expand, ddl)
+
+
 def nodes(docs: DataFrame, *keys: str, html: str = "html") -> DataFrame:
     """Elements of every document in page order, with parent, path, attributes and text."""
     names = [*keys, *(c.split()[0] for c in NODES.split(", "))]
@@ -134,6 +165,17 @@ def split_title(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([(None, None) if h is None else fragments.split_title(h) for h in html], columns=["title", "body"])
 
 
+@F.pandas_udf(T.StringType())
+def inner_html(html: pd.Series, spec: pd.Series) -> pd.Series:
+    """What the first element of a ``data-spec`` holds."""
+
+    def one(h: str | None, name: str) -> str | None:
+        found = next((n for n in fragments.parse(h).walk() if n.attrs.get("data-spec") == name), None)
+        return None if found is None else "".join(c.html() for c in found.children)
+
+    return pd.Series([one(h, name) for h, name in zip(html, spec, strict=True)], dtype=object)
+
+
 def _changed(step):  # noqa: ANN001, ANN202
     @F.pandas_udf(T.StringType())
     def apply(html: pd.Series, kind: pd.Series, position: pd.Series, operand: pd.Series) -> pd.Series:

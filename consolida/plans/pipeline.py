@@ -18,15 +18,6 @@ class Consolidation:
     permits: DataFrame
 
 
-def articles_of(decrees: DataFrame) -> DataFrame:
-    """(aiot, decree_id, article_id, pos, title, content) of every numbered section."""
-    table = stored(trees.nodes(decrees, "aiot", "decree_id").where(F.coalesce(F.element_at("attrs", "data-spec"), F.lit("")).isin("section", "appendix")), "nodes")
-    ids = trees.section_ids(table, "aiot", "decree_id").select("aiot", "decree_id", "article_id", F.col("node_id").alias("pos")).where("article_id is not null")
-    found = ids.join(decrees.select("aiot", "decree_id", "html"), ["aiot", "decree_id"])
-    parts = found.withColumn("_s", trees.split_title(trees.find_section(F.col("html"), F.col("article_id"))))
-    return parts.select("aiot", "decree_id", "article_id", "pos", F.col("_s.title").alias("title"), F.col("_s.body").alias("content"))
-
-
 def tagged_operations(decrees: DataFrame) -> DataFrame:
     """Operations that the verb grammar finds in tagged decrees."""
     raw = tagging.raw_operations(tagging.tag_operations(decrees))
@@ -39,7 +30,7 @@ def tagged_operations(decrees: DataFrame) -> DataFrame:
 def consolidate(decrees: DataFrame, ops: DataFrame) -> Consolidation:
     """Merge, classify, replay and render; keyed by aiot throughout, so many sites run side by side."""
     kept = relations.without_redundant(ops, ("aiot", "source_decree", "source_article", "target_decree", "target_article"))
-    articles = stored(articles_of(decrees), "articles")
+    articles = stored(trees.articles(decrees, "aiot", "decree_id"), "articles")
     classified = stored(relations.classify(kept, decrees.select("aiot", "decree_id", "principal"), articles), "operations")
     versions = stored(replay.replay(classified, articles), "versions")
     done = replay.written_back(classified, versions)

@@ -176,3 +176,19 @@ def test_lines_of_quotations():
 @pytest.mark.parametrize(("before", "after", "want"), [("2", "3", True), ("2", "4", False), ("A", "B", True), ("IX", "X", True), ("1.2", "1.3", True), ("1.2", "2", False), ("2.a", "2.b", True), ("", "1", False)])
 def test_contiguous_numbers(before, after, want):
     assert fr.contiguous_numbers(before, after) == want
+
+
+def test_deep_trees():
+    """5,000 nested elements: no limit of the call stack."""
+    from consolida.operators import trees
+
+    html = '<div data-spec="section" data-number="1">' * 5000 + "x" + "</div>" * 5000
+    assert fr.parse(html).html() == html and fr.parse(html).string() == "x"
+    assert len(trees._rows(html)) == 5000 and trees._rows(html)[-1][2][-1] == 4999
+
+
+def test_articles_of_one_tree():
+    from consolida.operators import trees
+
+    html = '<main><section data-spec="section" data-number="1"><h2>T</h2><p>b</p></section><section data-spec="section" data-number="1"><p>c</p></section></main><footer data-spec="appendix"><section data-spec="section" data-number="1"><p>d</p></section></footer>'
+    assert trees._articles(html) == [("1", 1, "<h2>T</h2>", "<p>b</p>"), ("1", 4, "<h2>T</h2>", "<p>b</p>"), ("APPENDIX:1", 7, None, "<p>d</p>")]

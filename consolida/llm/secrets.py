@@ -189,9 +189,10 @@ def _located(docs: DataFrame, *others: str) -> DataFrame:
     spans = [_spans(f"_m{k}", f"_g{k}", min(k, 3)) for k in range(len(patterns))]
     spans[0] = F.filter(spans[0], lambda s: F.char_length(F.regexp_extract(s["body"], ASSIGN, 2)) >= 6)
     spans[3:] = [F.array_sort(F.concat(*spans[3:]))]
-    found = found.select(*others, "_text", *(c.alias(n) for c, n in zip(spans, ("_assign", "_access", "_hex", "_tokens"), strict=True)))
+    found = found.select(*others, "_text", f"_m{len(patterns) - 1}", *(c.alias(n) for c, n in zip(spans, ("_assign", "_access", "_hex", "_tokens"), strict=True)))
     apart = lambda a: F.filter(a, lambda t, i: (i == 0) | (t["start"] != F.get(a, i - 1)["start"]) | (t["end"] != F.get(a, i - 1)["end"]))
-    found = found.withColumn("_tokens", _let(F.col("_tokens"), apart))
+    # every token lies in a run of all symbols
+    found = found.withColumn("_tokens", F.when(F.size(f"_m{len(patterns) - 1}") > 0, _let(F.col("_tokens"), apart)))
     found = found.withColumn("_base", F.array_sort(F.concat("_assign", "_access", "_hex")))
     both = F.struct(F.col("_base").alias("base"), F.col("_tokens").alias("tokens"))
     free = _let(both, lambda s: F.filter(s["tokens"], lambda t: ~F.exists(s["base"], lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))))

@@ -123,8 +123,18 @@ def _state(row: dict) -> pa.Table:
     return pa.table({name: pa.array([row.get(name)], pa.int64() if name == "block" else pa.binary()) for name in _COLUMNS})
 
 
-#: A word of its own that no text holds; it stands for the end token while a block is split.
+#: A word of its own that no text holds, as UTF-8 has no 0xff; it stands for the end token while a block is split.
 _STOP = b"\x00\xff\x00"
+_BLANKS = bytes([0x20, *range(0x09, 0x0E)])
+_PLAIN = bytes(0x20 if b in _BLANKS else b for b in bytes(range(256)).lower())
+
+
+def _words(text: bytes) -> pa.Array:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of a text, A-Z in lower case: its other bytes in one buffer, and where each word begins."""
+    inside = np.frombuffer(b"".join((b" ", text, b" ")).translate(_PLAIN), np.uint8) != 0x20
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    begins = np.append(0, np.cumsum(edges[1::2] - edges[::2]))
+    return pa.Array.from_buffers(pa.large_binary(), len(begins) - 1, [None, pa.py_buffer(begins), pa.py_buffer(text.translate(_PLAIN, _BLANKS))])
 
 
 class _Block:
@@ -141,11 +151,11 @@ class _Block:
         self.size += len(body)
 
     def rows(self, block: int) -> Iterator[pa.RecordBatch]:
-        # UTF-8 holds no 0xff
-        coded = pa.array(b" ".join(x for body in self.bodies for x in (body.lower(), _STOP)).split(), pa.binary()).dictionary_encode()
+        coded = _words(b" ".join(x for body in self.bodies for x in (body, _STOP))).dictionary_encode()
         self.bodies.clear()
-        words = coded.dictionary.to_pylist()
-        hashes = np.fromiter((END if w == _STOP else xxhash.xxh3_64_intdigest(w) for w in words), U64, len(words))
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), U64, len(words))
+        hashes[words.index(_STOP)] = END
         keys, _, number = grouped(hashes)
         codes = number[coded.indices.to_numpy()]
         order = np.argsort(-np.bincount(codes), kind="stable")  # frequent words get small numbers
@@ -191,6 +201,7 @@ class _Level:
     """The weighed places of a block."""
 
     def __init__(self, row: dict, depth: int):
+        self.depth = depth
         self.lengths, self.codes = opened(row["lengths"], np.int64), opened_planes(row["codes"])
         self.hashes, self.places = np.frombuffer(row["words"], U64), np.cumsum(opened(row["places"], np.int32), dtype=np.int32)
         self.learned = np.repeat(opened(row["flags"], np.uint8) < 2, self.lengths)[self.places]
@@ -204,6 +215,13 @@ class _Level:
 
     def contexts(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct contexts, and the number of each place's."""
+        if self.depth == 1:  # a number a word needs no sort of the places
+            words = self.codes[self.places - 1]
+            used = np.flatnonzero(np.bincount(words, minlength=len(self.hashes)))
+            keys, _, number = grouped(mixed(self.hashes[used] + U64(1)))
+            of = np.empty(len(self.hashes), np.int32)
+            of[used] = number
+            return keys, of[words]
         keys, _, number = grouped(self.before)
         return keys, number
 
@@ -432,9 +450,8 @@ def score(docs: DataFrame, least: int = LEAST, mass: float = MASS, gain: float |
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held = (fold(F.col("doc_id")) == 0).alias("held")
     body = text_bytes(own, "doc_id", held)
-    size = body.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    parts = max(LEAST_PARTS, n, size // PART_BYTES)
     blocks = bucketed(body.mapInArrow(lambda it: _coded(it, block_bytes), _STATE), "blocks", "block", n)
+    parts = max(LEAST_PARTS, n, blocks.count() * block_bytes // PART_BYTES)
     first = _exchanged(blocks.mapInArrow(lambda it: _words_sent(it, parts), _SENT), n, _summed, "words")
     words, tokens = _owned(first)
     gain = 2 * math.log(max(tokens, 1)) if gain is None else gain

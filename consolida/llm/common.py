@@ -45,7 +45,7 @@ def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, tag: str, key: str, buckets: int) -> DataFrame:
+def bucketed(df: DataFrame, tag: str, key: str, buckets: int, codec: str = "uncompressed") -> DataFrame:
     """Write ``df`` as a table bucketed by ``key`` in the shared folder and read it again.
 
     Grouping it by ``key`` into as many partitions needs no shuffle.
@@ -53,7 +53,7 @@ def bucketed(df: DataFrame, tag: str, key: str, buckets: int) -> DataFrame:
     spark = df.sparkSession
     name = f"consolida_{tag}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/{name}"
-    df.write.bucketBy(buckets, key).option("path", path).option("compression", "uncompressed").format("parquet").saveAsTable(name)
+    df.write.bucketBy(buckets, key).option("path", path).option("compression", codec).format("parquet").saveAsTable(name)
     atexit.register(_forget, spark, path)
     _tables[path.rpartition("/")[2]] = name
     return spark.table(name)

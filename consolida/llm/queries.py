@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from consolida.llm import conversations, decontamination, exact_dedup, html_text, importance, jaccard_join, language_id, ledger, licenses, packing, secrets, suffix_tree
+from consolida.llm import alignment, conversations, decontamination, exact_dedup, html_text, importance, jaccard_join, language_id, ledger, licenses, packing, secrets, suffix_tree
 from consolida.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,10 @@ def op10_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(read(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_language_bitmasks": op9_language_bitmasks,
     "op10_secret_randomness": op10_secret_randomness,
+    "op11_token_alignment": op11_token_alignment,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_conversation_repair": op13_conversation_repair,
 }
@@ -117,7 +122,9 @@ d AS (SELECT conv_id, turn, place, CASE WHEN how = 4 THEN 'user' ELSE role END A
   CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN how = 3 THEN [0, 1] ELSE [0] END) AS again FROM h WHERE how <> 0),
 o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, place, again) AS i FROM d),
 r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again_said, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM o),
-f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN again_said THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE '' END AS fault FROM r),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN again_said THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE '' END AS fault FROM r),
 n AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
   count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY 1),
 v AS (SELECT conv_id, n AS i, {'c': 0::BIGINT, 'a': '', 't': ''} AS s0, {'c': 4::BIGINT, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'} AS s1,

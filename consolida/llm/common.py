@@ -31,9 +31,17 @@ _tables: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; where none is set, one below the warehouse, which they share too."""
+    """The folder all executors share, from ``spark.checkpoint.dir``.
+
+    Where it is unset a local session uses its warehouse; on a cluster that may
+    be a folder of one machine, so there it is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/consolida"
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/consolida"
 
 
 def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:

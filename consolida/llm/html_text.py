@@ -9,7 +9,8 @@ distance in the tree.  The minimum cut labels the page: blocks whose terminal
 capacity outweighs their edges first, the rest by maximum flow.
 
 A null or empty page has an empty text; a null page_id or url is carried along;
-repeated rows are separate pages; an empty table gives an empty result.  ``br``
+repeated rows are separate pages; an empty table gives an empty result.  A quote
+that never closes ends with its tag, and a tag that never closes is text.  ``br``
 counts as white space; comments, declarations and the elements in ``DROPPED``
 never yield text.
 """
@@ -26,7 +27,13 @@ from pyspark.sql import functions as F
 
 from consolida.llm.common import rows_of
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Comments, declarations and tags.  A quote counts after "=" alone, and only if it closes; else the tag ends at the next ">".
+_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]*+))*+)>"
+    r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)>",
+    re.S,
+)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
@@ -57,12 +64,38 @@ UNLIKE = 0.25
 EXTRACTED = "page_id long, url string, text string, n_chars long, n_blocks long, cut double"
 
 
+#: An open element of these keeps a paragraph around it from being ended by a block.
+BARRIERS = ("table", "td", "th", "li", "div", "button")
+CELLS = ("table", "td", "th")
+
+
 class _Element:
-    __slots__ = ("depth", "good", "name", "parent", "score")
+    __slots__ = ("block", "depth", "good", "name", "parent", "score")
 
     def __init__(self, name: str, parent: _Element | None, score: float, good: bool):
         self.name, self.parent, self.score, self.good = name, parent, score, good
         self.depth = parent.depth + 1 if parent else 0
+        self.block: _Element = self if parent is None or name in BLOCKS else parent.block
+
+
+class _Stack:
+    """Open elements, and by name the places of those that are open, so that no tag walks through all of them."""
+
+    def __init__(self) -> None:
+        self.open = [_Element("", None, 0.0, False)]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, e: _Element) -> None:
+        self.places.setdefault(e.name, []).append(len(self.open))
+        self.open.append(e)
+
+    def cut(self, place: int) -> None:
+        while len(self.open) > place:
+            self.places[self.open.pop().name].pop()
+
+    def last(self, *names: str) -> int:
+        """The place of the innermost open element with one of these names; 0 if there is none."""
+        return max(p[-1] if (p := self.places.get(n)) else 0 for n in names)
 
 
 def _element(name: str, attributes: str, parent: _Element) -> _Element:
@@ -91,21 +124,20 @@ def _element(name: str, attributes: str, parent: _Element) -> _Element:
 def blocks(html: str) -> list[tuple[str, _Element, int]]:
     """(text, innermost block element, characters inside links) of each text block in page order."""
     out: list[tuple[str, _Element, int]] = []
-    root = _Element("", None, 0.0, False)
-    stack, parts, linked, in_link, at = [root], [], 0, 0, 0
+    stack, parts, linked, in_link, at = _Stack(), [], 0, 0, 0
+    ends = html.rfind(">")
 
     def end() -> None:
         nonlocal linked
         if parts:
             text = _SPACE.sub(" ", unescape("".join(parts))).strip()
             if text:
-                holder = next(e for e in reversed(stack) if e.name in BLOCKS or e is root)
-                out.append((text, holder, linked))
+                out.append((text, stack.open[-1].block, linked))
             parts.clear()
         linked = 0
 
     while True:
-        m = _TAG.search(html, at)
+        m = _TAG.search(html, at) if at <= ends or html.find("<!--", at) >= 0 else None  # past the last ">" only a comment can begin
         piece = html[at : m.start()] if m else html[at:]
         if piece:
             parts.append(piece)
@@ -113,20 +145,17 @@ def blocks(html: str) -> list[tuple[str, _Element, int]]:
         if not m:
             break
         at = m.end()
-        name = (m[2] or "").lower()
+        name = (m["name"] or m["name2"] or "").lower()
         if not name:
             continue
-        if m[1]:
+        if m["close"] or m["close2"]:
             if name in BLOCKS:
                 end()
             if name == "a":
                 in_link = max(0, in_link - 1)
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name == name:
-                    del stack[i:]
-                    break
-                if stack[i].name in ("table", "td", "th") and name not in BLOCKS:
-                    break
+            place = stack.last(name)
+            if place and (name in BLOCKS or place >= stack.last(*CELLS)):
+                stack.cut(place)
             continue
         if name == "br":
             parts.append(" ")
@@ -140,18 +169,18 @@ def blocks(html: str) -> list[tuple[str, _Element, int]]:
             continue
         if name in BLOCKS:
             end()
-            if stack[-1].name != "" and any(e.name == "p" for e in stack):  # a block element ends an open paragraph
-                at_p = max(i for i, e in enumerate(stack) if e.name == "p")
-                if not any(e.name in ("table", "td", "th", "li", "div", "button") for e in stack[at_p + 1 :]):
-                    del stack[at_p:]
+            paragraph = stack.last("p")
+            if paragraph > stack.last(*BARRIERS):  # a block element ends an open paragraph
+                stack.cut(paragraph)
         for other in CLOSES.get(name, ()):
-            if stack[-1].name == other:
-                stack.pop()
+            if stack.open[-1].name == other:
+                stack.cut(len(stack.open) - 1)
                 break
         if name == "a":
             in_link += 1
-        if name not in VOID and not m[3].rstrip().endswith("/"):
-            stack.append(_element(name, m[3], stack[-1]))
+        rest = m["rest"] if m["name"] else m["rest2"]
+        if name not in VOID and not rest.rstrip().endswith("/"):
+            stack.push(_element(name, rest, stack.open[-1]))
     end()
     return out
 

@@ -54,3 +54,35 @@ def test_entry_has_all(spark):
     import __spark_entry__ as entry
 
     assert {"pipeline", *queries.QUERIES} <= set(entry.queries())
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def made(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts], SCHEMA)
+
+
+def left(df):
+    return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+
+
+def test_near_duplicates_judge_rows(spark):
+    copy = "one two three four five six seven eight nine ten"
+    rows = [(5, "alpha beta gamma delta epsilon zeta"), (5, copy), (4, copy.upper()), (None, copy), (None, "a null id like nothing else at all"), (None, None), (7, ""), (7, ""), (9, copy)]
+    want = [(5, "alpha beta gamma delta epsilon zeta"), (4, copy.upper()), (None, "a null id like nothing else at all"), (None, None), (7, ""), (7, "")]
+    out = corpus_pipeline.near_duplicates(spark, made(spark, rows), SF)
+    assert out.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
+    assert left(out) == sorted(want, key=str)
+
+
+def test_decontamination_judges_rows(spark):
+    item = next(r["text"] for r in read(spark, SF, "benchmark").collect() if len(alnum(r["text"])) >= 10)
+    rows = [(None, item), (3, "x " + item), (3, "a quite different clean text"), (None, None), (8, ""), (8, "clean too"), (8, "clean too")]
+    assert left(corpus_pipeline.decontaminate(spark, made(spark, rows), SF)) == sorted(rows[2:], key=str)
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = made(spark, [])
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).count() == 0, name

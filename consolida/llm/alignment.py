@@ -38,7 +38,8 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
-from functools import partial
+from functools import cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +84,7 @@ class Encoders:
         self.b_lengths = np.array([len(x) for x in self.b_bytes], np.int32)
         self.blank = self.b.piece_to_id(BLANK)
         self.local = not any(re.search(rf"[^{BLANK}]{BLANK}|\n.|.\n", p, re.S) for p in pieces)
+        self.every_byte = sum(self.b.is_byte(i) for i in range(len(pieces))) == 256
 
     def segments(self, text: str) -> list[str]:
         """The segments of a blank and the text."""
@@ -98,8 +100,15 @@ class Encoders:
                 out[k] = out[k][1:]
         return out
 
-    def whole(self, segment: str, ids: list[int]) -> bool:
-        return b"".join(map(self.b_bytes.__getitem__, ids)) == segment.encode()
+    def whole(self, text: str) -> bool:
+        """Whether the second tokenizer's tokens give back the text's bytes.
+
+        With a piece for every byte nothing is unknown to it, so its tokens
+        spell what its normaliser makes of the text.
+        """
+        if self.every_byte:
+            return self.b.normalize(text).replace(BLANK, " ") == " " + text
+        return b"".join(map(self.b_bytes.__getitem__, self.b.encode(text))) == (" " + text).encode()
 
 
 class Numbers(dict):
@@ -126,14 +135,9 @@ _BLOCK_SCHEMA = pa.schema(
 )
 
 
-def _block(block: int, docs: list[tuple[int | None, np.ndarray]], numbers: Numbers, encoders: Encoders) -> Iterator[pa.RecordBatch]:
+def _block(block: int, docs: list[tuple[int | None, np.ndarray]], numbers: Numbers) -> Iterator[pa.RecordBatch]:
     """A row for each text with its segment numbers, and one for each segment with its count."""
     segments = list(numbers)
-    whole = np.empty(len(segments), bool)
-    for at in range(0, len(segments), BATCH):
-        some = segments[at : at + BATCH]
-        whole[at : at + BATCH] = [encoders.whole(s, ids) for s, ids in zip(some, encoders.b_ids(some), strict=True)]
-    docs = [(i, x if whole[x].all() else x[:0]) for i, x in docs]
     n = np.bincount(np.concatenate([x for _, x in docs]), minlength=len(segments)) if segments else np.zeros(0, np.int64)
     empty = lambda k, f: pa.nulls(k, f.type)
     for at in range(0, len(docs), 1024):
@@ -153,14 +157,14 @@ def _blocks(batches: Iterable[pa.RecordBatch], a: str, b: str, block_chars: int)
     encoders, numbers = Encoders(a, b), Numbers()
     block, docs, chars = TaskContext.get().partitionId() << 24, [], 0
     for doc_id, text in rows_of(batches, "doc_id", "text"):
-        found = encoders.segments(text) if text else []
+        found = encoders.segments(text) if text and encoders.whole(text) else []
         docs.append((doc_id, np.fromiter(map(numbers.__getitem__, found), np.int32, len(found))))
         chars += len(text or "") + 1
         if chars >= block_chars or len(numbers) >= BLOCK_SEGMENTS:
-            yield from _block(block, docs, numbers, encoders)
+            yield from _block(block, docs, numbers)
             block, docs, chars, numbers = block + 1, [], 0, Numbers()
     if docs:
-        yield from _block(block, docs, numbers, encoders)
+        yield from _block(block, docs, numbers)
 
 
 _ENCODED = "h long, k int, segment string, n long, a array<int>, la array<int>, b array<int>, lb array<int>"
@@ -168,7 +172,7 @@ _ENCODED = "h long, k int, segment string, n long, a array<int>, la array<int>,
 
 def _lists(ids: list[list[int]], lengths: np.ndarray) -> tuple[pa.Array, pa.Array]:
     offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-    flat = np.fromiter((i for x in ids for i in x), np.int32, offsets[-1])
+    flat = np.fromiter(chain.from_iterable(ids), np.int32, offsets[-1])
     return pa.ListArray.from_arrays(offsets, flat), pa.ListArray.from_arrays(offsets, lengths[flat])
 
 
@@ -239,34 +243,60 @@ def cut_masks(ends: DataFrame) -> DataFrame:
 _GROUPED = f"h long, segment string, {', '.join(c + ' long' for c in SUMS)}, groups string"
 
 
-def group_text(a: list[int], la: list[int], b: list[int], lb: list[int], ends: Iterable[int]) -> str:
-    """``a1,a2|b1;a3|b2``: the ids of either side from cut to cut."""
-    out, i, j, at_a, at_b = [], 0, 0, 0, 0
-    for end in ends:
-        i0, j0 = i, j
-        while at_a < end:
-            at_a += la[i]
-            i += 1
-        while at_b < end:
-            at_b += lb[j]
-            j += 1
-        out.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-    return ";".join(out)
+@cache
+def _spelled(most: int) -> list[str]:
+    """Every id with each of the marks that may follow it."""
+    return [f"{i}{mark}" for mark in ",|;\n" for i in range(most)]
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All items and, for each, the number of its list."""
+    return lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+
 
+def _closed(ends: np.ndarray, row: np.ndarray, mask: np.ndarray, more: dict[int, list[int]]) -> np.ndarray:
+    """Whether a token's end is a cut of its segment."""
+    out = (mask[row] >> np.minimum(ends - 1, 63) & 1).astype(bool) & (ends <= 64)
+    for k, others in more.items():
+        own = slice(*np.searchsorted(row, (k, k + 1)))
+        out[own] |= np.isin(ends[own], others)
+    return out
 
-def _ends_of(mask: int, more: list[int] | None) -> list[int]:
-    mask, out = mask & (1 << 64) - 1, []
-    while mask:
-        low = mask & -mask
-        out.append(low.bit_length())
-        mask ^= low
-    return out + (more or [])
+
+def group_texts(batch: pa.RecordBatch) -> list[str]:
+    """``a1,a2|b1;a3|b2`` of every segment: the ids of either side from cut to cut.
+
+    All tokens of a batch are put in order of segment, group and side; what
+    follows a token depends on whether it ends its side, group or segment.
+    """
+    mask = batch.column("mask").to_numpy().astype(np.uint64).view(np.int64)
+    more = {k: x for k, x in enumerate(batch.column("more").to_pylist()) if x}
+    groups = np.concatenate(([0], np.cumsum(batch.column("n_groups").to_numpy())))
+    sides = []
+    for side, (ids, lengths) in enumerate((("a", "la"), ("b", "lb"))):
+        items, row = _flat(batch.column(ids))
+        run = np.cumsum(_flat(batch.column(lengths))[0].astype(np.int64))
+        first = np.searchsorted(row, np.arange(batch.num_rows))
+        ends = run - np.concatenate(([0], run))[first][row]
+        closed = _closed(ends, row, mask, more)
+        before = np.cumsum(closed) - closed  # every group has one cut on either side
+        mark = np.where(closed, 1 + side, 0)
+        if side:
+            mark[closed & (before + 1 == groups[1:][row])] = 3
+        sides.append((2 * before + side, items + 0, mark))
+    key, items, mark = (np.concatenate(x) for x in zip(*sides, strict=True))
+    most = int(items.max(initial=0)) + 1
+    most = 1 << (most - 1).bit_length() if most > 1 else 1
+    order = np.argsort(key, kind="stable")
+    spelled = _spelled(most)
+    text = "".join([spelled[c] for c in (mark[order] * most + items[order]).tolist()])
+    return text.split("\n")[:-1]
 
 
 def _grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        groups = [group_text(a, la, b, lb, _ends_of(mask, more)) for a, la, b, lb, mask, more in rows_of([batch], "a", "la", "b", "lb", "mask", "more")]
-        yield pa.RecordBatch.from_arrays([*batch.select(["h", "segment", *SUMS]).columns, pa.array(groups, pa.string())], names=["h", "segment", *SUMS, "groups"])
+        if batch.num_rows:
+            yield pa.RecordBatch.from_arrays([*batch.select(["h", "segment", *SUMS]).columns, pa.array(group_texts(batch), pa.string())], names=["h", "segment", *SUMS, "groups"])
 
 
 # Answers ---------------------------------------------------------------------------------------

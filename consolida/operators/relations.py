@@ -117,6 +117,34 @@ def downstream(edges: DataFrame, seeds: DataFrame) -> DataFrame:
             seen = stored(seen.coalesce(parts), "reached")
 
 
+def connected(edges: DataFrame) -> DataFrame:
+    """(id, component) of every node that ``edges`` (a, b) connect with another; component: the least node of them.
+
+    In each round every node hangs its greater neighbours below the least node
+    it knows, then all its neighbours below the least of the others.  Only
+    minima are gathered, and the number of rounds grows with the logarithm of
+    the longest chain.
+    """
+    pairs = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "pairs")
+    before, now = None, _fingerprint(pairs)
+    while now[0] and now != before:
+        ways = pairs.select(F.col("hi").alias("node"), F.col("lo").alias("near")).unionByName(pairs.select(F.col("lo").alias("node"), F.col("hi").alias("near")))
+        least = ways.groupBy("node").agg(F.min(F.least("node", "near")).alias("least"))
+        hung = stored(ways.join(least, "node").where("near > node").select(F.col("near").alias("hi"), F.col("least").alias("lo")).where("hi <> lo").distinct(), "pairs")
+        low = hung.groupBy("hi").agg(F.min("lo").alias("least"))
+        met = hung.join(low, "hi")
+        pairs = met.select("hi", F.col("least").alias("lo")).unionByName(met.select(F.col("lo").alias("hi"), F.col("least").alias("lo")))
+        pairs = stored(pairs.where("hi <> lo").distinct(), "pairs")
+        before, now = now, _fingerprint(pairs)
+    own = pairs.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct()
+    return pairs.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(own)
+
+
+def _fingerprint(pairs: DataFrame) -> tuple:
+    row = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")).first()
+    return row["n"], row["h"]
+
+
 def predecessor(rows: DataFrame, keys: Sequence[str], number: str, is_new: str) -> DataFrame:
     """For each new article the greatest existing number strictly before it (an as-of lookup by one sort)."""
     order = Window.partitionBy(*keys).orderBy(sort_key(F.col(number)), F.desc(is_new), number).rowsBetween(Window.unboundedPreceding, -1)

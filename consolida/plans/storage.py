@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where the session names none, a folder of the warehouse, which all executors see too."""
+    """``spark.checkpoint.dir``; a local session without one uses its warehouse, on a cluster it has to be set."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/consolida"
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/consolida"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -107,8 +107,15 @@ def detection_prompt(chunk: Column, decree: Column) -> Column:
     return F.concat(F.lit("List the changes that the decree of "), decree, F.lit(" makes, as a JSON array.\n<decree>\n"), chunk, F.lit("\n</decree>"))
 
 
-def change_prompt(target: Column, part: Column, operand: Column) -> Column:
-    return F.concat(F.lit("Change this part: "), part, F.lit("\n<target>\n"), target, F.lit("\n</target>\n<content>\n"), F.coalesce(operand, F.lit("")), F.lit("\n</content>"))
+#: What a model is asked to do with a part of an article.
+TASKS = {"ADD": "insert the new content where the part is described", "REPLACE": "replace the described part by the new content", "REMOVE": "remove the described part"}
+
+
+def change_prompt(kind: str, article: str, target: str, part: str | None, operand: str | None = None, source: str | None = None) -> str:
+    """The request for one change of an article; the reply is the article's whole new HTML."""
+    blocks = [("source", source), ("target", target), ("part", part), ("content", operand)]
+    head = f"In article {article}, {TASKS[kind]}. Answer with the whole HTML of the article and nothing else."
+    return "\n".join([head, *(f"<{name}>\n{text}\n</{name}>" for name, text in blocks if text and text.strip())])
 
 
 def model_name(key: str | None, known: dict[str, dict], order: tuple[str, str] = ("primary", "secondary")) -> str:

@@ -187,16 +187,6 @@ def operation_label(kind: Column) -> Column:
     return F.when(kind == "REPLACE", F.lit("modification")).when(kind == "REMOVE", F.lit("abrogation")).otherwise(F.lit("ajout"))
 
 
-def target_wording(decree: Column, article: Column) -> Column:
-    """A target in words: whole decrees and annexes are named by their decree."""
-    return F.when(article.isin("ALL", "END", "APPENDIX"), F.concat(F.lit("l'arrêté du "), decree)).otherwise(F.concat(F.lit("l'article "), article, F.lit(" de l'arrêté du "), decree))
-
-
-def operation_message(kind: Column, decree: Column, article: Column, codes: Column) -> Column:
-    """Text about one operation; a no-break space stands before the colon."""
-    return F.concat(operation_label(kind), F.lit(" de "), target_wording(decree, article), F.coalesce(F.concat(F.lit(" : "), error_reason(codes)), F.lit("")))
-
-
 def json_list(text: Column, element: str) -> Column:
     """The array between the first ``[`` and the last ``]`` of a reply; an empty one where it is no JSON."""
     found = F.from_json(F.regexp_extract(text, r"(?s)\[.*\]", 0), f"array<{element}>")

@@ -75,7 +75,7 @@ def classify(ops: DataFrame, decrees: DataFrame, articles: DataFrame | None = No
     there, skip = F.col("_there").isNotNull(), F.array_contains("error_codes", "not_an_operation")
     code = (
         F.when(skip, F.lit(None))
-        .when(F.col("_removal") & F.coalesce(F.col("_principal"), F.lit(False)), F.lit("not_an_operation"))
+        .when(F.col("_removal") & F.coalesce(F.col("_principal"), F.lit(False)), F.lit("error_extracting_target"))
         .when(F.col("_removal") & (F.col("_others") == 1), F.lit("less_important"))
         .when(~there, F.lit("missing_arrete"))
     )

@@ -6,14 +6,16 @@ then relational, on the path of a node.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from html import escape, unescape
+from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from consolida.functions.texts import superfluous
 from consolida.operators import fragments
 from consolida.plans.storage import stored
 
@@ -65,6 +67,119 @@ def articles(docs: DataFrame, *keys: str, html: str = "html") -> DataFrame:
     return docs.select(*keys, html).mapInPandas(expand, ddl)
 
 
+OUTLINE = (
+    "kind string, start int, open_end int, close int, end int, article_id string, data_title string, opened string, in_main boolean, top boolean, "
+    "title_html string, heading_end int, html string, text string"
+)
+_OUTLINE = [c.split()[0] for c in OUTLINE.split(", ")]
+#: Elements whose own HTML an outline has.
+PARTS = frozenset(("identification", "arrete_title", "visa", "motifs"))
+
+
+class _Outline(HTMLParser):
+    """Main part, appendix, sections and named parts of a decree with their places in its text."""
+
+    def __init__(self, html: str):
+        super().__init__(convert_charrefs=False)
+        self.html, self.lines = html, [0, *(m.end() for m in re.finditer("\n", html))]
+        self.open: list[tuple[str, dict | None, str | None]] = []
+        self.found: list[dict] = []
+        self.sections: list[dict] = []
+        self.main = self.appendix = None
+        self.untitled: list[dict] = []
+        self.feed(html)
+        self.close()
+        while self.open:
+            self._end(len(html), len(html))
+
+    def _at(self) -> int:
+        line, column = self.getpos()
+        return self.lines[line - 1] + column
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        start, known = self._at(), {k: v or "" for k, v in attrs}
+        spec = known.get("data-spec")
+        row = {"start": start, "open_end": start + len(self.get_starttag_text())}
+        if tag == "main" and self.main is None:
+            row = self.main = {**row, "kind": "main"}
+        elif tag == "footer" and spec == "appendix" and self.appendix is None:
+            row = self.appendix = {**row, "kind": "appendix"}
+        elif tag == "section" and spec == "section":
+            number, inside = known.get("data-number"), self.appendix is not None and "end" not in self.appendix
+            named = "".join(f' {k}="{escape("section_version" if k == "data-spec" else v)}"' for k, v in known.items())
+            row |= {"kind": "section", "article_id": (f"APPENDIX:{number}" if inside else number) if number else None, "data_title": known.get("data-title"), "opened": "<section" + named}
+            row |= {"in_main": self.main is not None and "end" not in self.main, "top": bool(self.open) and self.open[-1][1] is self.main and self.main is not None}
+            self.sections.append(row)
+            self.untitled.append(row)
+        elif spec in PARTS:
+            row["kind"] = spec
+        else:
+            row = {**row, "kind": None} if spec == "section_title" or tag in fragments.HEADINGS else None
+            if row is not None and spec == "section_title":
+                row["titles"] = self.untitled
+                self.untitled = []
+            if row is not None and tag in fragments.HEADINGS and self.sections and "heading_end" not in self.sections[-1]:
+                row["heads"] = self.sections[-1]
+                self.sections[-1]["heading_end"] = None
+        if row is not None and row.get("kind"):
+            self.found.append(row)
+        if tag in fragments.VOID:
+            return
+        self.open.append((tag, row, spec))
+
+    def handle_startendtag(self, tag: str, attrs: list) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag not in fragments.VOID:
+            self._end(self._at() + len(self.get_starttag_text()), self._at() + len(self.get_starttag_text()))
+
+    def handle_endtag(self, tag: str) -> None:
+        if not any(t == tag for t, _, _ in reversed(self.open)):
+            return
+        at = self._at()
+        while self.open[-1][0] != tag:
+            self._end(at, at)
+        self._end(at, self.html.find(">", at) + 1 or len(self.html))
+
+    def _end(self, close: int, end: int) -> None:
+        _, row, _ = self.open.pop()
+        if row is None:
+            return
+        row["close"], row["end"] = close, end
+        for section in row.pop("titles", ()):
+            section["title_html"] = self.html[row["start"] : end]
+        if (section := row.pop("heads", None)) is not None:
+            section["heading_end"] = end
+        if row.get("kind") in PARTS:
+            row["html"] = self.html[row["start"] : end]
+            row["text"] = " ".join(unescape(re.sub(r"<[^>]*>", " ", row["html"])).split())
+        if row.get("kind") == "section":
+            self.sections.pop()
+            if self.untitled and self.untitled[-1] is row:
+                self.untitled.pop()
+
+
+def outline(docs: DataFrame, *keys: str, html: str = "html") -> DataFrame:
+    """(keys, kind, start, open_end, close, end, ...) of main part, appendix, sections and named parts of each document.
+
+    ``start`` and ``end`` hold an element with its tags, ``open_end`` and
+    ``close`` what is in it.  ``opened``: the tag of a section as one of a
+    version, without its end; ``heading_end``: where the section's own first
+    heading ends; ``title_html``: its first title, wherever in it.
+    """
+    names = [*keys, *_OUTLINE]
+
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                found = _Outline(row[-1]).found if row[-1] else []
+                if found:
+                    yield pd.DataFrame([(*row[:-1], *(f.get(c) for c in _OUTLINE)) for f in found], columns=names).astype(object)
+
+    types = dict(docs.dtypes)
+    ddl = ", ".join([*(f"{k} {types[k]}" for k in keys), OUTLINE])
+    return docs.select(*keys, html).mapInPandas(expand, ddl)
+
+
 def nodes(docs: DataFrame, *keys: str, html: str = "html") -> DataFrame:
     """Elements of every document in page order, with parent, path, attributes and text."""
     names = [*keys, *(c.split()[0] for c in NODES.split(", "))]
@@ -101,14 +216,6 @@ def enclosing(table: DataFrame, holders: DataFrame, *keys: str) -> DataFrame:
     return met.groupBy(*keys, "node_id").agg(F.max("holder").alias("holder"))
 
 
-def relevant_sections(sections: DataFrame, *keys: str) -> DataFrame:
-    """Sections without those of superfluous title and without what they hold."""
-    titled = sections.withColumn("_out", superfluous(F.element_at("attrs", "data-title")))
-    out = titled.where("_out")
-    held = inside(sections, out, *keys).select(*keys, "node_id").unionByName(out.select(*keys, "node_id")).distinct()
-    return sections.join(held, [*keys, "node_id"], "left_anti")
-
-
 def section_ids(table: DataFrame, *keys: str) -> DataFrame:
     """Logical id of every section: its number, with ``APPENDIX:`` before it inside the appendix."""
     sections = of_spec(table, "section")

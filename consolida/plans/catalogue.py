@@ -140,12 +140,11 @@ def q_minify_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered("""
-SELECT page_id, tag, CAST(len(regexp_extract_all(html, '<' || tag || '[ >]')) AS BIGINT) AS n_nodes FROM pages, (SELECT unnest(['p', 'li', 'a', 'h1', 'nav', 'article', 'footer']) AS tag)
-WHERE len(regexp_extract_all(html, '<' || tag || '[ >]')) > 0""")
+WITH t AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<!--.*?-->', '', 'g'), '(?is)(<script\\b[^>]*>).*?</script', '\\1</script', 'g'), '(?is)(<style\\b[^>]*>).*?</style', '\\1</style', 'g'), '<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag FROM pages)
+SELECT page_id, lower(tag) AS tag, count(*) AS n_nodes FROM t GROUP BY 1, 2""")
 def q_page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elements of every page by tag, from the node table."""
-    found = trees.nodes(table(spark, sf_dir, "pages"), "page_id").where(F.col("tag").isin("p", "li", "a", "h1", "nav", "article", "footer"))
-    return found.groupBy("page_id", "tag").agg(F.count("*").alias("n_nodes"))
+    return trees.nodes(table(spark, sf_dir, "pages"), "page_id").groupBy("page_id", "tag").agg(F.count("*").alias("n_nodes"))
 
 
 @registered("""
@@ -191,7 +190,7 @@ WITH {_OPS_SQL},
 j AS (SELECT o.*, d.td IS NOT NULL AS there, coalesce(d.principal, false) AS principal, ta = 'ALL' AND t IN ('REMOVE', 'REPLACE') AND coalesce(st, 'FULL_SECTION') = 'FULL_SECTION' AND NOT skip AS removal
       FROM ops o LEFT JOIN decrees d ON d.aiot = o.aiot AND d.td = o.td),
 w AS (SELECT *, max(CASE WHEN removal THEN 0 ELSE 1 END) OVER (PARTITION BY aiot, sd, td) AS others FROM j),
-c AS (SELECT *, CASE WHEN skip THEN 'not_an_operation' WHEN removal AND principal THEN 'not_an_operation' WHEN removal AND others = 1 THEN 'less_important' WHEN NOT there THEN 'missing_arrete' ELSE '' END AS code FROM w)
+c AS (SELECT *, CASE WHEN skip THEN 'not_an_operation' WHEN removal AND principal THEN 'error_extracting_target' WHEN removal AND others = 1 THEN 'less_important' WHEN NOT there THEN 'missing_arrete' ELSE '' END AS code FROM w)
 SELECT aiot, code, operation_type, count(*) AS n_ops, CAST(sum(CASE WHEN removal AND code = '' THEN 1 ELSE 0 END) AS BIGINT) AS n_abrogates FROM (SELECT *, t AS operation_type FROM c) GROUP BY 1, 2, 3""")
 def q_classify_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operations by the first conflict each of them has."""
@@ -485,14 +484,15 @@ def q_parallel_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def made_decrees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A decree per page: two articles with its whole text of its site's first decree, or changes to them by later ones."""
+    """A decree per page: two articles with its whole text of its site's first decree, or a change of one of them to its whole text by a later one."""
     n = F.col("page_id")
     text = F.regexp_replace("html", "<[^>]*>", " ")
     text = F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     date = F.concat(F.lit("20"), F.lpad((n % 10 + 10).cast("string"), 2, "0"), F.lit("-01-01"))
     article = lambda k: F.concat(F.lit(f'<section data-spec="section" data-type="article" data-number="{k}"><h2 data-spec="section_title">Article {k}</h2><div data-spec="alinea" data-number="1">'), text, F.lit("</div></section>"))
     first = F.concat(F.lit('<body data-arretify_version="0.2.1"><main>'), article(1), article(2), F.lit("</main></body>"))
-    verb = F.when(n % 3 == 0, F.lit("est remplacé par les dispositions suivantes : <q>nouveau texte</q>")).when(n % 3 == 1, F.lit("est abrogé.")).otherwise(F.lit("est complété par : <q>ajout</q>"))
+    quoted = F.concat(F.lit("<q>"), text, F.lit("</q>"))
+    verb = F.when(n % 3 == 0, F.concat(F.lit("est remplacé par les dispositions suivantes : "), quoted)).when(n % 3 == 1, F.concat(F.lit("est abrogé. "), quoted)).otherwise(F.concat(F.lit("est complété par : "), quoted))
     change = F.concat(
         F.lit('<body data-arretify_version="0.2.1"><main><section data-spec="section" data-type="article" data-number="1"><div data-spec="alinea" data-number="1">L\'<a data-spec="section_reference" data-type="article" data-tag_id="r1" data-parent_reference="d1" data-start_num="'),
         (n % 2 + 1).cast("string"),
@@ -503,29 +503,62 @@ def made_decrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(F.floor(n / 10).cast("string").alias("aiot"), date.alias("decree_id"), F.concat(date, F.lit(".html")).alias("filename"), F.when(n % 10 == 0, first).otherwise(change).alias("html"), F.lit("AUTRE").alias("file_type"), F.lit(True).alias("active"), (n % 10 == 0).alias("principal"))
 
 
-@registered("""
-SELECT CAST(page_id // 10 AS VARCHAR) AS aiot, '20' || CAST(page_id % 10 + 10 AS VARCHAR) || '-01-01' AS decree_id, '2010-01-01' AS target_decree, CAST(page_id % 2 + 1 AS VARCHAR) AS target_article,
-  CASE page_id % 3 WHEN 0 THEN 'REPLACE' WHEN 1 THEN 'REMOVE' ELSE 'ADD' END AS operation_type, CASE page_id % 3 WHEN 0 THEN 'nouveau texte' WHEN 1 THEN NULL ELSE 'ajout' END AS operand FROM pages WHERE page_id % 10 <> 0""")
+#: The pages' texts, and the changes made from them.
+_PAGES = """t AS (SELECT page_id, CAST(page_id // 10 AS VARCHAR) AS aiot, '20' || CAST(page_id % 10 + 10 AS VARCHAR) || '-01-01' AS d,
+  replace(replace(replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS text FROM pages),
+o AS (SELECT aiot, d, CAST(page_id % 2 + 1 AS VARCHAR) AS article, page_id % 3 AS kind, text, row_number() OVER (PARTITION BY aiot, page_id % 2 ORDER BY d) AS v,
+  CASE page_id % 3 WHEN 0 THEN 'modification' WHEN 1 THEN 'abrogation' ELSE 'ajout' END AS label FROM t WHERE page_id % 10 <> 0)"""
+#: Versions of the first decree's two articles.
+_VERSIONS = _PAGES + """,
+h AS (SELECT aiot, article, CAST(0 AS BIGINT) AS v, '<div data-spec="alinea" data-number="1">' || text || '</div>' AS content FROM t, (SELECT unnest(['1', '2']) AS article) WHERE page_id % 10 = 0
+  UNION ALL SELECT h.aiot, h.article, o.v, CASE o.kind WHEN 0 THEN o.text WHEN 1 THEN '' ELSE h.content || o.text END FROM h JOIN o ON o.aiot = h.aiot AND o.article = h.article AND o.v = h.v + 1)"""
+
+
+@registered(f"""
+WITH {_PAGES}
+SELECT aiot, d AS decree_id, '2010-01-01' AS target_decree, article AS target_article, CASE kind WHEN 0 THEN 'REPLACE' WHEN 1 THEN 'REMOVE' ELSE 'ADD' END AS operation_type, CASE WHEN kind <> 1 THEN text END AS operand FROM o""")
 def q_tagged_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operations that the verb grammar finds in decrees made from the pages."""
     raw = tagging.raw_operations(tagging.tag_operations(made_decrees(spark, sf_dir)))
-    return raw.select("aiot", "decree_id", F.col("target_arrete").alias("target_decree"), "target_article", "operation_type", "operand")
+    operand = F.when(F.col("operation_type") != "REMOVE", F.col("operand")).alias("operand")
+    return raw.select("aiot", "decree_id", F.col("target_arrete").alias("target_decree"), "target_article", "operation_type", operand)
 
 
-@registered("""
-WITH o AS (SELECT page_id // 10 AS a, page_id % 2 + 1 AS art, page_id % 10 AS n FROM pages WHERE page_id % 10 <> 0),
-f AS (SELECT page_id // 10 AS a, unnest([1, 2]) AS art FROM pages WHERE page_id % 10 = 0)
-SELECT CAST(f.a AS VARCHAR) AS aiot, CAST(f.art AS VARCHAR) AS article_id, count(o.n) + 1 AS n_versions FROM f LEFT JOIN o ON o.a = f.a AND o.art = f.art GROUP BY 1, 2""")
+@registered(f"""
+WITH RECURSIVE {_VERSIONS}
+SELECT h.aiot, h.article AS article_id, h.v AS version, '<h2 data-spec="section_title">Article ' || h.article || '</h2>' AS title, content, o.d AS changed_by, '' AS codes FROM h LEFT JOIN o ON o.aiot = h.aiot AND o.article = h.article AND o.v = h.v""")
 def q_replay_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versions of the first decree's articles after the replay of all later decrees."""
+    """All versions of the first decree's articles after the replay of all later decrees, with title, content, decree and codes."""
     decrees = made_decrees(spark, sf_dir)
-    done = pipeline.consolidate(decrees, pipeline.tagged_operations(decrees))
-    return done.versions.where("decree_id = '2010-01-01'").groupBy("aiot", "article_id").agg(F.count("*").alias("n_versions"))
+    done = pipeline.consolidate(decrees, pipeline.tagged_operations(decrees), render=False)
+    by = done.operations.select("aiot", F.col("id").alias("operation_id"), F.col("source_decree").alias("changed_by"))
+    rows = done.versions.where("decree_id = '2010-01-01'").join(by, ["aiot", "operation_id"], "left")
+    return rows.select("aiot", "article_id", F.col("version").cast("long").alias("version"), "title", "content", "changed_by", F.array_join("error_codes", ",").alias("codes"))
 
 
-@registered()
+@registered(f"""
+WITH RECURSIVE {_VERSIONS},
+w AS (SELECT h.*, o.d, o.label, o.kind, max(h.v) OVER (PARTITION BY h.aiot, h.article) AS n FROM h LEFT JOIN o ON o.aiot = h.aiot AND o.article = h.article AND o.v = h.v),
+l AS (SELECT *, CASE WHEN v = 0 THEN 'Version de l''arrêté initial' ELSE 'Version après ' || label || ' par l''article 1 de l''arrêté ' || d END AS then_text FROM w),
+b AS (SELECT aiot, article, max(n) AS n, max(CASE WHEN v = n THEN d END) AS last, max(CASE WHEN v = n THEN CASE WHEN kind = 1 THEN '<p><em>Article abrogé</em></p>' ELSE content END END) AS body, max(CASE WHEN v = 0 THEN content END) AS original,
+  '<div data-spec="section_version_history">' || max(CASE WHEN v = n THEN '<p><b>Version actuelle après ' || label || ' par l''article 1 de l''arrêté ' || d || '</b></p>' END)
+    || string_agg(CASE WHEN v = n THEN '' ELSE '<details><summary>' || then_text || '</summary><div>' || content || '</div></details>' END, '' ORDER BY v) || '</div>' AS history FROM l GROUP BY 1, 2),
+s AS (SELECT aiot, string_agg('<section data-spec="section_version" data-type="article" data-number="' || article || CASE WHEN n > 0 THEN '" data-is_modified="true" data-date_version="' || last ELSE '" data-is_modified="false" data-date_version="2010-01-01' END
+    || '"><h2 data-spec="section_title">Article ' || article || '</h2>' || CASE WHEN n > 0 THEN history || body ELSE original END || '</section>', '' ORDER BY article) AS html FROM b GROUP BY 1),
+m AS (SELECT aiot, string_agg('<article data-spec="permit_modifying" data-date="' || d || '"><main><section data-spec="section_version" data-type="article" data-number="1" data-is_modified="false" data-date_version="' || d
+    || '"><div data-spec="operation_result">Opération de consolidation résolue (' || label || ') dans l''article ' || article || ' de l''arrêté 2010-01-01</div>'
+    || '<div data-spec="alinea" data-number="1">L''<a data-spec="section_reference" data-type="article" data-tag_id="r1" data-parent_reference="d1" data-start_num="' || article
+    || '">article</a> de l''<a data-spec="document_reference" data-tag_id="d1" data-date="2010-01-01">arrêté</a> ' || CASE kind WHEN 0 THEN 'est remplacé par les dispositions suivantes : ' WHEN 1 THEN 'est abrogé. ' ELSE 'est complété par : ' END
+    || '<q>' || text || '</q></div></section></main></article>', '' ORDER BY d) AS html FROM o GROUP BY 1),
+c AS (SELECT aiot, string_agg('<li data-spec="permit_source" data-date="' || d || '" data-status="active"><p><strong>Date arrêté :</strong> ' || d || CASE WHEN page_id % 10 = 0 THEN ' <strong>(Arrêté principal)</strong>' ELSE '' END
+    || '</p><div data-spec="permit_source_title" aria-label="' || d || '.html"><div>' || d || '.html</div></div></li>', '' ORDER BY d) AS html FROM t GROUP BY 1)
+SELECT c.aiot, '<html><body><header data-spec="header"><div data-spec="permit_title"><h1>Permis d''Exploitation Consolidé</h1><p><strong>Code AIOT ICPE :</strong> ' || c.aiot
+  || '</p></div><section data-spec="permit_sources"><h2>Arrêtés sources</h2><ul>' || c.html || '</ul></section><section data-spec="permit_visa"><details><summary><h2>Visas consolidés</h2></summary></details></section>'
+  || '<section data-spec="permit_motif"><details><summary><h2>Considérants</h2></summary></details></section></header><main>' || s.html || '</main>'
+  || coalesce('<section data-spec="permit_modifying_arretes"><h2>Arrêtés préfectoraux modificatifs</h2>' || m.html || '</section>', '') || '<footer></footer></body></html>' AS html
+FROM c JOIN s ON s.aiot = c.aiot LEFT JOIN m ON m.aiot = c.aiot""")
 def q_consolidated_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The consolidated permit of every site."""
+    """The consolidated permit of every site: header, articles with their history, modifying decrees with what became of their operations."""
     decrees = made_decrees(spark, sf_dir)
     return pipeline.consolidate(decrees, pipeline.tagged_operations(decrees)).permits
 

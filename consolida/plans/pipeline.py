@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -9,13 +10,14 @@ from pyspark.sql import functions as F
 
 from consolida.operators import relations, rendering, replay, tagging, trees, validation
 from consolida.plans.storage import stored
+from consolida.sources.model_calls import CallSettings
 
 
 @dataclass
 class Consolidation:
     operations: DataFrame
     versions: DataFrame
-    permits: DataFrame
+    permits: DataFrame | None
 
 
 def tagged_operations(decrees: DataFrame) -> DataFrame:
@@ -27,11 +29,16 @@ def tagged_operations(decrees: DataFrame) -> DataFrame:
     return validation.from_raw(rows).where("reject_reason is null").drop("reject_reason").where(validation.characterised())
 
 
-def consolidate(decrees: DataFrame, ops: DataFrame) -> Consolidation:
-    """Merge, classify, replay and render; keyed by aiot throughout, so many sites run side by side."""
+def consolidate(decrees: DataFrame, ops: DataFrame, call: Callable[[str, str], str] | None = None, settings: CallSettings | None = None, render: bool = True) -> Consolidation:
+    """Merge, classify, replay and render; keyed by aiot throughout, so many sites run side by side.
+
+    With ``call``, changes that no rule can place are asked of a model; without
+    ``render`` there are no permits.
+    """
     kept = relations.without_redundant(ops, ("aiot", "source_decree", "source_article", "target_decree", "target_article"))
     articles = stored(trees.articles(decrees, "aiot", "decree_id"), "articles")
     classified = stored(relations.classify(kept, decrees.select("aiot", "decree_id", "principal"), articles), "operations")
-    versions = stored(replay.replay(classified, articles), "versions")
-    done = replay.written_back(classified, versions)
-    return Consolidation(done, versions, rendering.permits(decrees, done, versions))
+    replayed = replay.run(classified, articles, decrees, call, settings)
+    versions = stored(replayed.versions, "versions")
+    done = stored(replay.written_back(classified, versions, replayed.skipped), "resolved")
+    return Consolidation(done, versions, rendering.permits(decrees, done, versions) if render else None)

@@ -108,7 +108,7 @@ def test_cycles_end(spark):
 @pytest.mark.parametrize(
     ("rows", "codes"),
     [
-        ([("2012-01-01", "1", "2010-01-01", "ALL", "REMOVE", None, None, None)], ["not_an_operation"]),
+        ([("2012-01-01", "1", "2010-01-01", "ALL", "REMOVE", None, None, None)], ["error_extracting_target"]),
         ([("2010-01-01", "1", "2012-01-01", "ALL", "REMOVE", None, None, None)], []),
         ([("2010-01-01", "1", "1999-01-01", "ALL", "REMOVE", None, None, None)], ["missing_arrete"]),
         ([("2010-01-01", "1", "2012-01-01", "ALL", "REMOVE", None, None, None), ("2010-01-01", "1", "2012-01-01", "1", "ADD", "x", None, None)], ["less_important"]),

@@ -117,6 +117,12 @@ def downstream(edges: DataFrame, seeds: DataFrame) -> DataFrame:
             seen = stored(seen.coalesce(parts), "reached")
 
 
+def covered(flag: Column) -> Column:
+    """Whether a section lies inside an earlier one that ``flag`` is true of: sections nest, so the farthest end tells."""
+    before = Window.partitionBy("aiot", "decree_id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.max(F.when(flag, F.col("end"))).over(before) > F.col("start"), F.lit(False))
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(id, component) of every node that ``edges`` (a, b) connect with another; component: the least node of them.
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from consolida.functions.identifiers import display_number, sort_key
 from consolida.functions.texts import FULL_NAMES, error_reason, fill_template, operation_label, superfluous
-from consolida.operators.relations import other_decrees, predecessor, principal
+from consolida.operators.relations import covered, other_decrees, predecessor, principal
 from consolida.operators.trees import outline
 from consolida.plans.storage import stored
 
@@ -89,12 +89,6 @@ def messages(ops: DataFrame, versions: DataFrame) -> DataFrame:
 # Edits of a decree's text --------------------------------------------------------------------------
 
 
-def covered(flag: Column) -> Column:
-    """Whether a section lies inside an earlier one that ``flag`` is true of: sections nest, so the farthest end tells."""
-    before = Window.partitionBy(*DECREE).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.max(F.when(flag, F.col("end"))).over(before) > F.col("start"), F.lit(False))
-
-
 def relevant_sections(outlines: DataFrame) -> DataFrame:
     """Sections with ``out``: those of the main part with a superfluous title; what these hold is not there."""
     rows = outlines.where("kind = 'section'").withColumn("out", F.col("in_main") & superfluous(F.col("data_title")))

@@ -68,7 +68,7 @@ def articles(docs: DataFrame, *keys: str, html: str = "html") -> DataFrame:
 
 
 OUTLINE = (
-    "kind string, start int, open_end int, close int, end int, article_id string, data_title string, opened string, in_main boolean, top boolean, "
+    "kind string, start int, open_end int, close int, end int, article_id string, data_title string, opened string, in_main boolean, top boolean, own boolean, "
     "title_html string, heading_end int, html string, text string"
 )
 _OUTLINE = [c.split()[0] for c in OUTLINE.split(", ")]
@@ -96,9 +96,26 @@ class _Outline(HTMLParser):
         line, column = self.getpos()
         return self.lines[line - 1] + column
 
+    def _inside(self) -> None:
+        """Something that is neither section nor title stands in the innermost element."""
+        if self.open and self.open[-1][1] is not None and self.open[-1][1].get("kind") == "section":
+            self.open[-1][1]["own"] = True
+
+    def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._inside()
+
+    def handle_entityref(self, name: str) -> None:
+        self._inside()
+
+    def handle_charref(self, name: str) -> None:
+        self._inside()
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         start, known = self._at(), {k: v or "" for k, v in attrs}
         spec = known.get("data-spec")
+        if spec not in ("section", "section_title"):
+            self._inside()
         row = {"start": start, "open_end": start + len(self.get_starttag_text())}
         if tag == "main" and self.main is None:
             row = self.main = {**row, "kind": "main"}
@@ -108,7 +125,7 @@ class _Outline(HTMLParser):
             number, inside = known.get("data-number"), self.appendix is not None and "end" not in self.appendix
             named = "".join(f' {k}="{escape("section_version" if k == "data-spec" else v)}"' for k, v in known.items())
             row |= {"kind": "section", "article_id": (f"APPENDIX:{number}" if inside else number) if number else None, "data_title": known.get("data-title"), "opened": "<section" + named}
-            row |= {"in_main": self.main is not None and "end" not in self.main, "top": bool(self.open) and self.open[-1][1] is self.main and self.main is not None}
+            row |= {"own": False, "in_main": self.main is not None and "end" not in self.main, "top": bool(self.open) and self.open[-1][1] is self.main and self.main is not None}
             self.sections.append(row)
             self.untitled.append(row)
         elif spec in PARTS:
@@ -224,15 +241,6 @@ def section_ids(table: DataFrame, *keys: str) -> DataFrame:
     return sections.join(held, [*keys, "node_id"], "left").withColumn("article_id", F.when(F.col("_in"), F.concat(F.lit("APPENDIX:"), number)).otherwise(number)).drop("_in")
 
 
-def chunk_sections(table: DataFrame, *keys: str) -> DataFrame:
-    """Sections for chunking: not those of sections and titles only, and none inside a chosen one."""
-    sections = of_spec(table, "section")
-    kinds = F.coalesce(F.element_at("attrs", "data-spec"), F.lit("")).isin("section", "section_title")
-    content = table.where(~kinds).select(*keys, F.col("parent_id").alias("node_id")).distinct()
-    own = sections.join(content, [*keys, "node_id"], "left_semi")
-    return own.join(inside(own, own, *keys).select(*keys, "node_id").distinct(), [*keys, "node_id"], "left_anti")
-
-
 def resolve_documents(references: DataFrame, *keys: str) -> DataFrame:
     """The reference at the end of each chain of parents: (keys, tag_id, root, steps), one join per step.
 

@@ -668,3 +668,77 @@ def q_detection_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = table(spark, sf_dir, "customer").select(k.alias("aiot"), F.lit("2020-01-01").alias("decree_id"), F.lit(0).alias("chunk_index"), html.alias("html"))
     found = detection.detect(chunks, answer_of, CallSettings(min_interval=0.0), threshold=60, retry=True)
     return found.select("aiot", F.col("place").cast("long").alias("place"), "target_article", F.col("confidence_score").cast("long").alias("confidence_score"), "operand", F.col("attempt").cast("long").alias("attempt"))
+
+
+# Detection in chunks, and changes that a model places -------------------------------------------------
+
+
+def sectioned_decrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A decree of three sections per page, each with the page's whole text and an image, five to a site."""
+    n = F.col("page_id")
+    text = F.regexp_replace("html", "<[^>]*>", " ")
+    text = F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    section = lambda k: F.concat(F.lit(f'<section data-spec="section" data-number="{k}"> <h2 data-spec="section_title">T</h2> <p>start {k}</p>'), text, F.lit('<img src="i'), n.cast("string"), F.lit(f'.png"/><p>stop {k}</p></section>'))
+    html = F.concat(F.lit("<main>"), *(section(k) for k in (1, 2, 3)), F.lit("</main>"))
+    return table(spark, sf_dir, "pages").select(F.floor(n / 5).cast("string").alias("aiot"), F.concat(F.lit("20"), (n % 5 + 10).cast("string"), F.lit("-01-01")).alias("decree_id"), html.alias("html"))
+
+
+def changes_of(model: str, prompt: str) -> str:
+    """A stand-in for a model: a change for each section of a chunk, the third of no kind, the second unsure in chunks of some lengths."""
+    import json
+    import re
+
+    chunk = prompt.partition("<decree>")[2]
+    numbers = re.findall(r'<section data-spec="section" data-number="(\d)">', chunk)
+    unsure = len(chunk) % 3 == 0
+    ops = [{"operation_type": "AUTRE" if k == "3" else "replace", "source_article": k, "target_arrete": "2010-01-01", "target_article": k, "new_content_start_marker": f"start  {k}", "new_content_end_marker": f"<p>STOP {k}", "confidence_score": 70 if k == "2" and unsure else 90} for k in numbers]
+    return "```json\n" + json.dumps(ops) + "\n```"
+
+
+@registered("""
+WITH p AS (SELECT page_id AS n, regexp_replace(replace(replace(replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\\s{2,}', ' ', 'g') AS t FROM pages),
+b AS (SELECT n, t, list_transform([1, 2, 3], lambda k: '<section data-spec="section" data-number="' || k || '"><h2 data-spec="section_title">T</h2><p>start ' || k || '</p>' || t || 'IMG_00' || k || '<p>stop ' || k || '</p></section>') AS s FROM p WHERE n % 5 <> 0),
+z AS (SELECT *, list_transform(s, lambda x: length(x)) AS l, length('<main></main>' || s[1] || s[2] || s[3]) AS whole FROM b),
+g AS (SELECT *, CAST(ceil(whole / greatest(1, ceil(whole / 2500.0))) AS BIGINT) AS goal FROM z),
+c2 AS (SELECT *, CASE WHEN l[1] >= goal THEN 1 ELSE 0 END AS second, CASE WHEN l[1] >= goal THEN 0 ELSE l[1] END + l[2] >= goal AS full2 FROM g),
+c AS (SELECT *, second + CASE WHEN full2 THEN 1 ELSE 0 END AS third FROM c2),
+k AS (SELECT n, t, k, CASE k WHEN 1 THEN 0 WHEN 2 THEN second ELSE third END AS chunk, s, second, third FROM c, (SELECT unnest([1, 2, 3]) AS k)),
+x AS (SELECT n, chunk, sum(length(s[k])) AS size FROM k GROUP BY 1, 2),
+u AS (SELECT k.*, x2.size AS size2, (x2.size + length('</decree>') + 2) % 3 = 0 AS unsure FROM k JOIN x x2 ON x2.n = k.n AND x2.chunk = k.second)
+SELECT CAST(n // 5 AS VARCHAR) AS aiot, '20' || CAST(n % 5 + 10 AS VARCHAR) || '-01-01' AS decree_id, CAST(chunk AS BIGINT) AS chunk_index, CAST(k AS VARCHAR) AS source_article, CASE WHEN k = 3 THEN 'autre' ELSE '' END AS reject_reason,
+  CAST(CASE WHEN unsure AND chunk = second THEN 2 ELSE 1 END AS BIGINT) AS attempt, CASE WHEN k < 3 THEN 'start ' || k || '</p>' || t || '<img src="i' || n || '.png"/><p>stop ' || k END AS operand
+FROM u WHERE NOT (k = 2 AND unsure)""")
+def q_detection_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From whole decrees to chunks, prompts, checked replies and operands with their images; rejected objects with their reason."""
+    found = detection.of_decrees(sectioned_decrees(spark, sf_dir), changes_of, CallSettings(min_interval=0.0), threshold=80, retry=True, soft=2500)
+    keys = ["aiot", "decree_id", F.col("chunk_index").cast("long").alias("chunk_index")]
+    ops = found.operations.select(*keys, "source_article", F.lit("").alias("reject_reason"), F.col("attempt").cast("long").alias("attempt"), "operand")
+    out = found.rejected.select(*keys, F.get_json_object("op", "$.source_article").alias("source_article"), "reject_reason", F.col("attempt").cast("long").alias("attempt"), F.lit(None).cast("string").alias("operand"))
+    return ops.unionByName(out)
+
+
+def placed_by(model: str, prompt: str) -> str:
+    """A stand-in for a model: the target's text with the part and the new content behind it."""
+    cut = lambda name: prompt.partition(f"<{name}>\n")[2].partition(f"\n</{name}>")[0]
+    return f"```html\n{cut('target')} [{cut('part')}: {cut('content') or 'gone'}]\n```"
+
+
+@registered("""
+WITH o AS (SELECT CAST(c_nationkey AS VARCHAR) AS aiot, c_custkey AS k, c_name AS name FROM customer)
+SELECT aiot, CAST(k AS VARCHAR) AS article_id, CAST(v AS BIGINT) AS version, CASE v WHEN 0 THEN name WHEN 1 THEN name || CASE k % 3 WHEN 0 THEN ' [first line: x' || k || ']' WHEN 1 THEN ' [first line: gone]' ELSE '' END
+  ELSE name || CASE k % 3 WHEN 0 THEN ' [first line: x' || k || ']' WHEN 1 THEN ' [first line: gone]' ELSE '' END || CASE WHEN k % 3 = 2 THEN '' ELSE ' [second line: y' || k || ']' END END AS content,
+  CASE WHEN k % 3 = 2 AND v = 1 THEN 'error_extracting_source' WHEN k % 3 = 2 AND v = 2 THEN 'propagated_error' ELSE '' END AS codes FROM o, (SELECT unnest([0, 1, 2]) AS v)""")
+def q_model_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An article per customer with two changes in a row that only a model can place; a third of them have no source."""
+    k, site = F.col("c_custkey"), F.col("c_nationkey").cast("string").alias("aiot")
+    rows = table(spark, sf_dir, "customer")
+    articles = rows.select(site, F.lit("2010-01-01").alias("decree_id"), k.cast("string").alias("article_id"), F.lit(0).alias("pos"), F.lit("").alias("title"), F.col("c_name").alias("content"))
+    nth = F.explode(F.array(F.lit(0), F.lit(1))).alias("nth")
+    ops = rows.select(site, k.alias("k"), nth).select(
+        "aiot", (F.col("k") * 2 + F.col("nth")).cast("long").alias("seq"), F.concat(F.lit("op"), F.col("k") * 2 + F.col("nth")).alias("id"), F.concat(F.lit("201"), F.col("nth") + 1, F.lit("-01-01")).alias("source_decree"), F.lit("1").alias("source_article"),
+        F.lit("2010-01-01").alias("target_decree"), F.col("k").cast("string").alias("target_article"), F.when((F.col("nth") == 0) & (F.col("k") % 3 == 1), "REMOVE").when(F.col("nth") == 0, "REPLACE").otherwise("ADD").alias("operation_type"),
+        F.when(~((F.col("nth") == 0) & (F.col("k") % 3 == 1)), F.concat(F.when(F.col("nth") == 0, "x").otherwise("y"), F.col("k").cast("string"))).alias("operand"), F.lit("COMPLEX").alias("sub_type"), F.lit(None).cast("int").alias("sub_position"),
+        F.when(F.col("nth") == 0, "first line").otherwise("second line").alias("sub_description"), F.when((F.col("k") % 3 == 2) & (F.col("nth") == 0), F.array(F.lit("error_extracting_source"))).otherwise(F.expr("cast(array() as array<string>)")).alias("error_codes"), F.lit(False).alias("abrogates"),
+    )
+    done = replay.run(ops, articles, call=placed_by, settings=CallSettings(min_interval=0.0, batch=10**6))
+    return done.versions.select("aiot", "article_id", F.col("version").cast("long").alias("version"), "content", F.array_join("error_codes", ",").alias("codes"))

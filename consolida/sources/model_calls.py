@@ -9,12 +9,15 @@ from __future__ import annotations
 import random
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import BarrierTaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from consolida.plans.storage import stored
+
 
 class CallFailed(Exception):
     """A call that gave no reply; ``status`` is an HTTP status or None for time-outs and lost connections."""
@@ -35,6 +38,7 @@ class CallSettings:
     jitter: float = 0.2
     min_interval: float = 10.0
     parallelism: int = 1
+    batch: int = 1000
 
 
 def retryable(status: int | None) -> bool:
@@ -54,48 +58,119 @@ def delay_column(attempt: Column, base: float, most: float) -> Column:
 
 @dataclass
 class Caller:
+    """One task's calls; ``turns`` tells when it may call, if there is a limit on the rate."""
+
     call: Callable[[str, str], str]
     settings: CallSettings
     sleep: Callable[[float], None] = time.sleep
-    clock: Callable[[], float] = time.monotonic
-    last: float = field(default=float("-inf"))
-
-    def wait(self) -> None:
-        """Each worker takes its share of the overall rate."""
-        left = self.last + self.settings.min_interval * self.settings.parallelism - self.clock()
-        if left > 0:
-            self.sleep(left)
-        self.last = self.clock()
+    turns: Slots | None = None
 
-    def reply(self, prompt: str) -> tuple[str | None, str | None, int, str | None]:
-        """(reply, model, attempts, error) after retries with each model in turn."""
+    def reply(self, prompt: str) -> tuple:
+        """(reply, model, attempts, error, tokens in, tokens out) after retries with each model in turn."""
         attempts, error = 0, None
         for model in self.settings.models:
             for attempt in range(1, self.settings.retries + 2):
-                self.wait()
+                if self.turns:
+                    self.turns.wait()
                 attempts += 1
                 try:
-                    return self.call(model, prompt), model, attempts, None
+                    found = self.call(model, prompt)
+                    found = found if isinstance(found, Answer) else Answer(found)
+                    return found.text, model, attempts, None, found.tokens_in, found.tokens_out
                 except CallFailed as failed:
                     error = str(failed)
                     if not retryable(failed.status) or attempt > self.settings.retries:
                         break
                     self.sleep(delay(self.settings, attempt, failed.retry_after, random.random()))
-        return None, None, attempts, error
+        return None, None, attempts, error, None, None
 
 
-def with_replies(rows: DataFrame, prompt: str, call: Callable[[str, str], str], settings: CallSettings | None = None) -> DataFrame:
-    """``rows`` with ``reply``, ``model``, ``attempts`` and ``call_error``; null prompts are not sent."""
-    settings = settings or CallSettings(min_interval=0.0)
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", reply string, model string, attempts int, call_error string"
+REPLY = "reply string, model string, attempts int, call_error string, tokens_in long, tokens_out long"
+
+
+@dataclass(frozen=True)
+class Answer:
+    """A reply with the tokens it took; a call may also give the bare text."""
+
+    text: str
+    tokens_in: int | None = None
+    tokens_out: int | None = None
+
+
+def request(prompt: str, model_id: str, temperature: float | None = 0.0, reasoning: str | None = None, seed: int | None = None, max_tokens: int | None = None) -> dict:
+    """The body of a chat request for one prompt; models that reason take an effort and no temperature."""
+    more = {"reasoning_effort": reasoning} if reasoning else {"temperature": temperature}
+    body = {"model": model_id, "messages": [{"role": "user", "content": prompt}], **more, "seed": seed, "max_tokens": max_tokens}
+    return {k: v for k, v in body.items() if v is not None}
+
 
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        caller = Caller(call, settings)
-        for pdf in batches:
-            found = [caller.reply(p) if isinstance(p, str) else (None, None, 0, None) for p in pdf[prompt]]
-            yield pdf.assign(reply=[f[0] for f in found], model=[f[1] for f in found], attempts=[f[2] for f in found], call_error=[f[3] for f in found])
+def answer_of(body: dict) -> Answer:
+    """Text and usage from the body of a reply, whether it lists choices or the parts of one message; thoughts are left out."""
+    try:
+        content = body["content"] if "content" in body else body["choices"][0]["message"]["content"]
+    except (KeyError, IndexError, TypeError) as odd:
+        raise CallFailed(None) from odd
+    if isinstance(content, list):
+        content = "".join(p.get("text") or "" for p in content if isinstance(p, dict) and p.get("type", "text") == "text")
+    if not content:
+        raise CallFailed(None)
+    usage = body.get("usage") or {}
+    count = lambda *names: next((int(usage[n]) for n in names if usage.get(n) is not None), None)
+    return Answer(content, count("prompt_tokens", "input_tokens"), count("completion_tokens", "output_tokens"))
 
-    return rows.mapInPandas(ask, ddl)
+
+class Slots:
+    """Times at which one of several tasks may call: together they keep the interval, whichever is fast or slow."""
+
+    def __init__(self, begin: float, nth: int, tasks: int, interval: float, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.time):
+        self.next, self.step, self.sleep, self.clock = begin + nth * interval, tasks * interval, sleep, clock
+
+    def wait(self) -> None:
+        left = self.next - self.clock()
+        if left > 0:
+            self.sleep(left)
+        else:  # slots that have passed are not made up for
+            self.next += -(left // self.step) * self.step
+            if (late := self.next - self.clock()) > 0:
+                self.sleep(late)
+        self.next += self.step
+
+
+def _asked(batches: Iterator[pd.DataFrame], prompt: str, call: Callable[[str, str], str], settings: CallSettings) -> Iterator[pd.DataFrame]:
+    caller = Caller(call, settings)
+    if settings.min_interval > 0:
+        task = BarrierTaskContext.get()
+        begin = max(map(float, task.allGather(repr(time.time()))))  # all tasks have begun by then
+        caller.turns = Slots(begin, task.partitionId(), len(task.getTaskInfos()), settings.min_interval)
+    for pdf in batches:
+        found = [caller.reply(p) if isinstance(p, str) else (None, None, 0, None, None, None) for p in pdf[prompt]]
+        names = [c.split()[0] for c in REPLY.split(", ")]
+        yield pdf.assign(**{name: pd.Series([f[k] for f in found], dtype=object, index=pdf.index) for k, name in enumerate(names)})
+
+
+def with_replies(rows: DataFrame, prompt: str, call: Callable[[str, str], str], settings: CallSettings | None = None) -> DataFrame:
+    """``rows`` with ``reply``, ``model``, ``attempts``, ``call_error`` and tokens; null prompts are not sent.
+
+    Equal prompts are sent once.  They go out in rounds of ``settings.batch``
+    at most, and each round's replies are stored before the next, so a lost
+    executor costs the calls of one round.  With an interval, a round is one
+    barrier stage of ``settings.parallelism`` tasks that take turns by their
+    numbers; without one, prompts are spread as they come.
+    """
+    settings = settings or CallSettings(min_interval=0.0)
+    prompts = stored(rows.where(F.col(prompt).isNotNull()).select(F.sha2(prompt, 256).alias("_key"), F.col(prompt).alias("_prompt")).groupBy("_key").agg(F.first("_prompt").alias("_prompt")), "prompts")
+    rounds = max(1, -(-prompts.count() // settings.batch))
+    ddl = f"_key string, _prompt string, {REPLY}"
+    done = None
+    for k in range(rounds):
+        some = prompts.where(F.pmod(F.xxhash64("_key"), F.lit(rounds)) == k) if rounds > 1 else prompts
+        if settings.min_interval > 0:
+            some = some.repartition(settings.parallelism, "_key")
+        found = some.mapInPandas(lambda it: _asked(it, "_prompt", call, settings), ddl, barrier=settings.min_interval > 0)
+        found = stored(found.drop("_prompt"), "replies")
+        done = found if done is None else done.unionByName(found)
+    met = rows.withColumn("_key", F.sha2(prompt, 256)).join(done, "_key", "left").drop("_key")
+    return met.withColumn("attempts", F.coalesce("attempts", F.lit(0)))
 
 
 def echo_target(model: str, prompt: str) -> str:
@@ -103,8 +178,22 @@ def echo_target(model: str, prompt: str) -> str:
     return prompt.partition("<target>")[2].partition("</target>")[0].strip()
 
 
+#: What a model is asked about a chunk of a decree: fields of the JSON objects and how kinds and articles are written.
+DETECTION = """List the changes that the decree of {decree} makes to earlier decrees of the same authority, as a JSON array and nothing else; [] if it makes none.
+Announcements, plain references and decrees of ministries are no changes. One object for each changed article:
+{"operation_type": "ADD" | "REPLACE" | "REMOVE" | "AUTRE", "source_article": number of the section that says so, with "APPENDIX:" before it inside the appendix,
+"target_arrete": "YYYY-MM-DD", "target_article": number | "NEW_ARTICLE:number" | "END" | "ALL" (only to abrogate or replace a whole decree),
+"sub_target": the part of the article in the decree's words | "ALL" | null, "new_content_start_marker" and "new_content_end_marker": exact beginning and end of the new text, tags included | null,
+"confidence_score": 0 to 100}
+Abrogating and replacing is REPLACE. A postponed date is REPLACE of that part.
+<decree>
+{chunk}
+</decree>"""
+
+
 def detection_prompt(chunk: Column, decree: Column) -> Column:
-    return F.concat(F.lit("List the changes that the decree of "), decree, F.lit(" makes, as a JSON array.\n<decree>\n"), chunk, F.lit("\n</decree>"))
+    before, _, after = DETECTION.partition("{chunk}")
+    return F.concat(F.replace(F.lit(before), F.lit("{decree}"), decree), chunk, F.lit(after))
 
 
 #: What a model is asked to do with a part of an article.

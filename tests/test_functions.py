@@ -70,7 +70,7 @@ def test_calls_retry_and_fall_back():
         return "ok"
 
     caller = model_calls.Caller(call, model_calls.CallSettings(models=("a", "b"), retries=2, min_interval=0.0), sleep=slept.append)
-    assert caller.reply("p") == ("ok", "b", 4, None)
+    assert caller.reply("p") == ("ok", "b", 4, None, None, None)
     assert seen == ["a", "a", "a", "b"] and len(slept) == 2
     assert not model_calls.retryable(400) and model_calls.retryable(429) and model_calls.retryable(None)
 
@@ -81,6 +81,62 @@ def test_replies_as_columns(spark):
     assert got == {1: "T", 2: None}
 
 
+def test_equal_prompts_are_sent_once_and_in_rounds(spark):
+    rows = spark.createDataFrame([(i, f"<target>{i % 7}</target>") for i in range(40)], "i int, prompt string")
+    count = spark.sparkContext.accumulator(0)
+
+    def call(model, prompt):
+        count.add(1)
+        return model_calls.Answer(model_calls.echo_target(model, prompt), 3, 4)
+
+    out = model_calls.with_replies(rows, "prompt", call, model_calls.CallSettings(min_interval=0.0, batch=2)).collect()
+    assert {(r["i"], r["reply"], r["tokens_in"], r["tokens_out"]) for r in out} == {(i, str(i % 7), 3, 4) for i in range(40)}
+    assert count.value == 7
+
+
+def test_tasks_take_turns(spark):
+    """Four tasks of a barrier stage together keep the interval."""
+    rows = spark.createDataFrame([(f"p{i}",) for i in range(12)], "prompt string")
+
+    def call(model, prompt):
+        import time
+
+        return repr(time.time())
+
+    out = model_calls.with_replies(rows, "prompt", call, model_calls.CallSettings(min_interval=0.25, parallelism=4)).collect()
+    times = sorted(float(r["reply"]) for r in out)
+    assert len(times) == 12 and all(b - a > 0.2 for a, b in zip(times, times[1:], strict=False))
+
+
+def test_slots():
+    now, slept = [100.0], []
+
+    def sleep(seconds):
+        slept.append(seconds)
+        now[0] += seconds
+
+    turns = model_calls.Slots(100.0, 1, 4, 10.0, sleep, lambda: now[0])
+    turns.wait()
+    assert now == [110.0]
+    turns.wait()
+    assert now == [150.0]
+    now[0] = 235.0  # two slots have passed during a long call
+    turns.wait()
+    assert now == [270.0]
+
+
+def test_requests_and_answers():
+    assert model_calls.request("p", "m", seed=7) == {"model": "m", "messages": [{"role": "user", "content": "p"}], "temperature": 0.0, "seed": 7}
+    assert model_calls.request("p", "m", reasoning="high") == {"model": "m", "messages": [{"role": "user", "content": "p"}], "reasoning_effort": "high"}
+    parts = [{"type": "thinking", "text": "hm"}, {"type": "text", "text": "a"}, {"type": "text", "text": "b"}]
+    usage = {"usage": {"prompt_tokens": 5, "completion_tokens": 6}}
+    assert model_calls.answer_of({"choices": [{"message": {"content": parts}}], **usage}) == model_calls.Answer("ab", 5, 6)
+    assert model_calls.answer_of({"content": parts, "usage": {"input_tokens": 1, "output_tokens": 2}}) == model_calls.Answer("ab", 1, 2)
+    for odd in ({}, {"choices": []}, {"choices": [{"message": {"content": ""}}]}, {"error": "x"}):
+        with pytest.raises(model_calls.CallFailed):
+            model_calls.answer_of(odd)
+
+
 def test_settings_clamped():
     assert model_calls.confidence_settings({"threshold": 170, "action": "x"}) == (100, "pass")
     assert model_calls.model_name(None, {"k": {"model_id": "m", "role": "primary"}}) == "m"

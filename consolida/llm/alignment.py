@@ -36,21 +36,23 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
-from functools import cache, partial
+from functools import cache, cached_property, partial
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from consolida.llm.common import bucketed, forget, materialise, rows_of, shuffle_partitions, sweep
-from consolida.llm.packing import TokenIds
+from consolida.llm.packing import PATTERN
+from consolida.llm.packing import _byte_of_char as byte_of_char
 
 #: A block ends after so many characters, or distinct segments.
 BLOCK_CHARS = 32 << 20
@@ -69,15 +71,10 @@ SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
 class Encoders:
-    """Token ids and their lengths in bytes, segment by segment."""
+    """Token ids and their lengths in bytes, segment by segment; either tokenizer is loaded when it is first used."""
 
     def __init__(self, a_path: str, b_path: str):
-        with open(a_path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
-        self.a = TokenIds(a_path).encode
-        self.a_lengths = np.zeros(max(vocabulary.values()) + 1, np.int32)
-        for token, i in vocabulary.items():
-            self.a_lengths[i] = len(token)  # byte-level: a character is a byte
+        self.a_path = a_path
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
@@ -86,6 +83,27 @@ class Encoders:
         self.local = not any(re.search(rf"[^{BLANK}]{BLANK}|\n.|.\n", p, re.S) for p in pieces)
         self.every_byte = sum(self.b.is_byte(i) for i in range(len(pieces))) == 256
 
+    @cached_property
+    def _a(self) -> tuple[Callable[[str], list[int]], np.ndarray]:
+        with open(self.a_path, encoding="utf-8") as f:
+            model = json.load(f)
+        byte, special = byte_of_char(), {t["content"] for t in model.get("added_tokens", ())}
+        lengths = np.zeros(max(model["model"]["vocab"].values()) + 1, np.int32)
+        ranks = {}
+        for token, i in model["model"]["vocab"].items():
+            lengths[i] = len(token)  # byte-level: a character is a byte
+            if token not in special:
+                ranks[bytes(byte[c] for c in token)] = i
+        return tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, lengths
+
+    @property
+    def a(self) -> Callable[[str], list[int]]:
+        return self._a[0]
+
+    @property
+    def a_lengths(self) -> np.ndarray:
+        return self._a[1]
+
     def segments(self, text: str) -> list[str]:
         """The segments of a blank and the text."""
         return _SEGMENT.findall(" " + text) if self.local else [" " + text]

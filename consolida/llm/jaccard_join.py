@@ -55,6 +55,8 @@ DOC_BLOCK_BYTES = 12_000_000
 DOC_BLOCK_ROWS = 30_000
 #: A key that a block holds more often than this is sent once, and its documents separately.
 REPEATS = 8
+#: Pairs of a hub and a document that are made distinct at once.
+SPREAD = 1 << 20
 #: Text behind one range of keys.
 RANGE_BYTES = 32_000_000
 #: Ranges of keys at least, so that the rows a pair of documents makes do not depend on the input's size.
@@ -186,8 +188,10 @@ class _DocBlock:
         run = np.diff(np.append(first, len(keys)))
         hot = np.repeat(run > self.repeats, run)
         if hot.any():
-            yield _batch(int(hot.sum()), kind=[2] * int(hot.sum()), key=keys[hot].astype(np.int64), node=base + owners[hot])
-            owners[first[run > self.repeats]] |= _HOT
+            at, length = first[run > self.repeats], run[run > self.repeats]
+            held = [owners[a : a + n].astype("<u2").tobytes() for a, n in zip(at.tolist(), length.tolist(), strict=True)]
+            yield _batch(len(at), kind=[2] * len(at), key=keys[at].astype(np.int64), node=[base] * len(at), owners=held)
+            owners[at] |= _HOT
             hot[first] = False
             keys, owners = keys[~hot], owners[~hot]
         ends = np.append(np.searchsorted(keys, _part_bounds(self.parts)), len(keys)).tolist()
@@ -434,6 +438,26 @@ def _shingles(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)).take(pa.array(kept, pa.int64())) for c in ("hub", "node", "parts")] + [pa.array(sets, pa.binary())], names=["hub", "node", "parts", "shingles"])
 
 
+def _spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hub, node) of the documents that hold the hot keys of a block, each pair once in ``SPREAD`` of them."""
+    found: list[np.ndarray] = []
+    size = 0
+
+    def pairs() -> pa.RecordBatch:
+        each = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(each[:, 0]), pa.array(each[:, 1])], names=["hub", "node"])
+
+    for hub, base, raw in rows_of(batches, "hub", "node", "owners"):
+        own = np.frombuffer(raw, "<u2").astype(np.int64) + base
+        found.append(np.stack([np.full(len(own), hub), own], axis=1))
+        size += len(own)
+        if size >= SPREAD:
+            yield pairs()
+            found, size = [], 0
+    if found:
+        yield pairs()
+
+
 def _celled(members: DataFrame, n: int, *payload: str) -> DataFrame:
     """(hub, x, y, node, payload) sorted in cells: all of a hub, or two of its ``parts``."""
     slot = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
@@ -460,7 +484,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, rep
     met = keyed.where("kind = 1").select("part", "node", "keys", "owners").repartition(n, "part").groupBy("part")
     met = materialise(met.applyInArrow(_meet, "hub long, node long, key long"), "met")
     hubs = met.where("key is not null").groupBy("key").agg(F.min("hub").alias("hub"))
-    many = keyed.where("kind = 2").select("key", "node").join(hubs, "key").select("hub", "node")
+    many = keyed.where("kind = 2").select("key", "node", "owners").join(hubs, "key").select("hub", "node", "owners").mapInArrow(_spread, "hub long, node long")
     pairs = materialise(met.where("key is null").select("hub", "node").unionByName(many).distinct(), "pairs")
 
     # Classes of equal sets; ``first`` stands for a class, ``doc`` is the smallest doc_id.

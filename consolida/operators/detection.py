@@ -23,7 +23,7 @@ KEYS = ["aiot", "decree_id", "chunk_index"]
 def _found(chunks: DataFrame, call: Callable[[str, str], str], settings: CallSettings | None, attempt: int) -> DataFrame:
     """(the chunks' columns, usage, attempt, place, op): one row per object in a reply, one without an object for an empty reply."""
     asked = with_replies(chunks.withColumn("_prompt", detection_prompt(F.col("html"), F.col("decree_id"))), "_prompt", call, settings)
-    ops = asked.select(*chunks.columns, "model", "tokens_in", "tokens_out", "call_error", F.posexplode_outer(json_list(F.col("reply"), ELEMENT)).alias("place", "op"))
+    ops = asked.select(*chunks.columns, "model", "tokens_in", "tokens_out", "seconds", "call_error", F.posexplode_outer(json_list(F.col("reply"), ELEMENT)).alias("place", "op"))
     return stored(ops.withColumn("attempt", F.lit(attempt)), "detected")
 
 
@@ -49,7 +49,7 @@ def run(chunks: DataFrame, call: Callable[[str, str], str], settings: CallSettin
     A null or empty reply, and a call that failed, has no operations.
     """
     found = _checked(_found(chunks, call, settings, 1))
-    tokens = found.select(*KEYS, "attempt", "model", "tokens_in", "tokens_out", "call_error").distinct()
+    tokens = found.select(*KEYS, "attempt", "model", "tokens_in", "tokens_out", "seconds", "call_error").distinct()
     valid = F.col("op").isNotNull() & F.col("reject_reason").isNull()
     unsure = valid & F.coalesce(F.col("op.confidence_score") < (threshold if threshold is not None else 0), F.lit(False))
     if retry:

@@ -48,3 +48,36 @@ def costs(usage: DataFrame, rates: DataFrame, by: str) -> DataFrame:
     cost = (F.col("tokens_in") * F.coalesce("cost_in", F.lit(0.0)) + F.col("tokens_out") * F.coalesce("cost_out", F.lit(0.0))) / 1e6
     out = rows.groupingSets([[by], []], by).agg(F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"), F.sum(cost).alias("cost"), F.grouping(by).alias("_all"))
     return out.withColumn(by, F.when(F.col("_all") == 1, F.lit("TOTAL")).otherwise(F.col(by).cast("string"))).drop("_all")
+
+
+#: Columns of a score sheet in their order.
+SHEET = ("aiot", "truth", "detected", "validated", "tp", "fp", "fn", "precision", "recall", "f1", "seconds", "tokens_in", "tokens_out", "cost")
+
+
+def sheet(detected: DataFrame, classified: DataFrame, truth: DataFrame, usage: DataFrame, rates: DataFrame, seconds: DataFrame) -> DataFrame:
+    """The score sheet of an evaluation: a row per aiot with ground truth, and one in all.
+
+    ``detected``: operations as found; ``classified``: the same with the codes
+    of their conflicts, of which those of low severity alone do not count;
+    ``usage``: aiot, model, tokens_in, tokens_out; ``seconds``: aiot, seconds.
+    Operations of an aiot without ground truth are left out.
+    """
+    known = truth.select("aiot").distinct()
+    inside = lambda df: df.join(known, "aiot", "left_semi")
+    detected, classified = inside(detected), inside(classified)
+    kinds = F.col("operation_type").isin("ADD", "REPLACE", "REMOVE")
+    counts = [
+        (truth.where(kinds), "truth"),
+        (detected, "detected"),
+        (classified.where(~low_severity(F.col("error_codes"))), "validated"),
+    ]
+    found = scores(operation_key(classified), operation_key(truth), "aiot", ["source_decree", "source_number", "target_decree", "target_number", "operation_type"])
+    blank = known.select("aiot").unionByName(known.sparkSession.createDataFrame([("TOTAL",)], "aiot string"))
+    out = blank.join(found, "aiot", "left")
+    for rows, name in counts:
+        sums = rows.groupingSets([["aiot"], []], "aiot").agg(F.count("*").alias(name), F.grouping("aiot").alias("_all"))
+        out = out.join(sums.select(F.when(F.col("_all") == 1, F.lit("TOTAL")).otherwise(F.col("aiot")).alias("aiot"), name), "aiot", "left")
+    out = out.join(costs(inside(usage), rates, "aiot"), "aiot", "left")
+    times = inside(seconds).groupingSets([["aiot"], []], "aiot").agg(F.sum("seconds").alias("seconds"), F.grouping("aiot").alias("_all"))
+    out = out.join(times.select(F.when(F.col("_all") == 1, F.lit("TOTAL")).otherwise(F.col("aiot")).alias("aiot"), "seconds"), "aiot", "left")
+    return out.select("aiot", *(F.coalesce(c, F.lit(0)).alias(c) for c in SHEET[1:]))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from consolida.functions.identifiers import is_annexe, kind_rank, not_a_decree, sort_key
+from consolida.operators.trees import outline
 from consolida.operators.validation import is_full_removal
 from consolida.plans.storage import stored
 
@@ -19,17 +20,35 @@ def first_by(rows: DataFrame, keys: Sequence[str], *order: Column | str) -> Data
 
 
 def one_decree_a_date(files: DataFrame) -> DataFrame:
-    """Per date the decree of the best kind, the first by name within it; annexes join it in order of name.
+    """Per date the decree of the best kind, the first by name within it, with what its date's annexes hold in its appendix.
 
     ``files``: aiot, filename, decree_id, file_type, html.  Where a date has
     annexes only, the first of them is the decree.
     """
     kept = files.where(~not_a_decree(F.col("filename"))).withColumn("annexe", is_annexe(F.col("filename")))
-    date = Window.partitionBy("aiot", "decree_id")
-    order = date.orderBy("annexe", kind_rank(F.col("file_type")), "filename")
-    ranked = kept.withColumn("_n", F.row_number().over(order)).withColumn("dup_kind", F.when(F.md5("html") == F.first(F.md5("html")).over(order), F.lit("identical")).otherwise(F.lit("different")))
-    annexes = ranked.where("annexe and _n > 1").groupBy("aiot", "decree_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("filename", "html"))), lambda a: a["html"]), "").alias("appendix"))
-    return ranked.where("_n = 1").drop("_n", "dup_kind").join(annexes, ["aiot", "decree_id"], "left")
+    order = Window.partitionBy("aiot", "decree_id").orderBy("annexe", kind_rank(F.col("file_type")), "filename")
+    ranked = kept.withColumn("_n", F.row_number().over(order))
+    return with_annexes(ranked.where("_n = 1").drop("_n"), ranked.where("annexe and _n > 1"))
+
+
+def with_annexes(decrees: DataFrame, annexes: DataFrame) -> DataFrame:
+    """Decrees whose appendix also holds the main parts of the annexes of their date, in order of name.
+
+    A decree without an appendix gets one behind its main part, else at the end
+    of its body, else at its end.  Annexes without a main part are left out.
+    """
+    keys = ["aiot", "decree_id"]
+    mains = outline(annexes, *keys, "filename").where("kind = 'main'").select(*keys, "filename", "open_end", "close")
+    parts = annexes.select(*keys, "filename", "html").join(mains, [*keys, "filename"]).select(*keys, "filename", F.expr("substring(html, open_end + 1, close - open_end)").alias("part"))
+    held = parts.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("filename", "part"))), lambda p: p["part"]), "").alias("_held"))
+    touched = decrees.join(held.select(*keys), keys, "left_semi")
+    places = outline(touched, *keys).groupBy(*keys).agg(F.max(F.when(F.col("kind") == "appendix", F.col("close"))).alias("_in"), F.max(F.when(F.col("kind") == "main", F.col("end"))).alias("_behind"))
+    rows = decrees.join(held, keys, "left").join(places, keys, "left")
+    body_end = F.length("html") - F.nullif(F.instr(F.reverse(F.lower("html")), F.lit(">ydob/<")), F.lit(0)) - 6
+    at = F.coalesce("_in", "_behind", body_end, F.length("html"))
+    text = F.when(F.col("_in").isNotNull(), F.col("_held")).otherwise(F.concat(F.lit('<footer data-spec="appendix">'), "_held", F.lit("</footer>")))
+    html = F.concat(F.substring("html", F.lit(1), at), text, F.substring("html", at + 1, F.length("html")))
+    return rows.withColumn("html", F.when(F.col("_held").isNull(), F.col("html")).otherwise(html)).drop("_held", "_in", "_behind")
 
 
 def decree_duplicates(files: DataFrame) -> DataFrame:
@@ -54,6 +73,40 @@ def without_redundant(ops: DataFrame, keys: Sequence[str] = ("source_decree", "s
     return rows.where("_n = 1 and not (_full and _precise = 1)").drop("_full", "_precise", "_n")
 
 
+def numbered(rows: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """``rows`` with their number from 1 within ``keys``, in the given order, whatever the size of a key.
+
+    All rows are sorted by ranges; a row's number is its place behind the first
+    of its key in its partition, and what the partitions before hold of the key.
+    """
+    ranged = [*(F.col(k).asc_nulls_first() for k in keys), *(F.col(c).asc_nulls_first() for c in order)]
+    placed = rows.repartitionByRange(*ranged).sortWithinPartitions(*ranged).withColumn("_at", F.monotonically_increasing_id())
+    placed = stored(placed, "numbered").withColumn("_part", F.shiftright("_at", 33))
+    starts = placed.groupBy(*keys, "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = starts.withColumn("_before", F.coalesce(before, F.lit(0))).select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_part").alias("_p"), "_first", "_before")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    met = placed.join(starts, [*same, F.col("_part") == F.col("_p")])
+    return met.withColumn(name, F.col("_at") - F.col("_first") + F.col("_before") + 1).select(*rows.columns, *([name] if name not in rows.columns else []))
+
+
+def merged(reference: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Operations found in two ways as one table, the first ones before the others.
+
+    Of each source and target the most precise stay; ``seq`` counts on within an
+    aiot; of operations with one id the first keeps it, the k-th has ``_k`` behind it.
+    """
+    both = reference.withColumn("_side", F.lit(0)).unionByName(candidates.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    both = numbered(both, ["aiot"], ["_side", "seq", "id"], "_seq").drop("_side").withColumn("seq", F.col("_seq")).drop("_seq")
+    kept = without_redundant(both, ("aiot", "source_decree", "source_article", "target_decree", "target_article"))
+    while True:
+        nth = F.row_number().over(Window.partitionBy("aiot", "id").orderBy("seq"))
+        kept = stored(kept.withColumn("_nth", nth).withColumn("id", F.when(F.col("_nth") > 1, F.concat("id", F.lit("_"), "_nth")).otherwise(F.col("id"))), "merged")
+        if kept.where("_nth > 1").isEmpty():  # new ids may meet others
+            return kept.drop("_nth")
+        kept = kept.drop("_nth")
+
+
 def article_lookup(ops: DataFrame, articles: DataFrame, side: str) -> DataFrame:
     """Title and content of the article on one side of each operation; the first of several with one number."""
     first = first_by(articles, ["aiot", "decree_id", "article_id"], "pos")

@@ -6,6 +6,7 @@ arithmetic, in the same way on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,8 @@ from consolida.functions import identifiers as ids
 from consolida.functions import texts
 from consolida.operators import chunking, detection, evaluation, relations, replay, tagging, trees, validation
 from consolida.plans import pipeline
+from consolida.plans.storage import shared_folder
+from consolida.sources import sinks, site_files
 from consolida.sources.model_calls import CallSettings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -742,3 +745,101 @@ def q_model_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     done = replay.run(ops, articles, call=placed_by, settings=CallSettings(min_interval=0.0, batch=10**6))
     return done.versions.select("aiot", "article_id", F.col("version").cast("long").alias("version"), "content", F.array_join("error_codes", ",").alias("codes"))
+
+
+# Merged, numbered, counted, written ---------------------------------------------------------------
+
+
+@registered("""
+WITH b AS (SELECT l_suppkey % 20 AS aiot, l_linenumber - 1 AS side, l_orderkey * 10000000 + l_partkey * 100 + CAST(l_quantity AS BIGINT) AS s, 'op' || (l_orderkey % 97) AS id, l_orderkey % 11 AS sd, l_partkey % 7 AS td, l_partkey % 13 AS ta, l_returnflag AS t,
+    CASE WHEN l_quantity < 15 THEN NULL WHEN l_quantity < 30 THEN 'FULL_SECTION' ELSE 'ALINEA' END AS st, CASE WHEN l_quantity >= 30 THEN l_quantity % 2 END AS pos FROM lineitem WHERE l_linenumber <= 2),
+n AS (SELECT *, row_number() OVER (PARTITION BY aiot ORDER BY side, s) AS seq, coalesce(st, 'FULL_SECTION') = 'FULL_SECTION' AS f FROM b),
+w AS (SELECT *, max(CASE WHEN f THEN 0 ELSE 1 END) OVER (PARTITION BY aiot, sd, td, ta) AS precise,
+    row_number() OVER (PARTITION BY aiot, sd, td, ta, f, CASE WHEN f THEN NULL ELSE st END, CASE WHEN f THEN NULL ELSE pos END, t ORDER BY seq) AS k FROM n),
+r AS (SELECT *, row_number() OVER (PARTITION BY aiot, id ORDER BY seq) AS nth FROM w WHERE k = 1 AND NOT (f AND precise = 1))
+SELECT CAST(aiot AS VARCHAR) AS aiot, seq, id || CASE WHEN nth > 1 THEN '_' || nth ELSE '' END AS id FROM r""")
+def q_merged_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operations of two origins as one numbered table without redundant ones and with ids of their own."""
+    q = F.col("l_quantity")
+    rows = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % 20).cast("string").alias("aiot"), F.col("l_linenumber").alias("n"), (F.col("l_orderkey").cast("long") * 10000000 + F.col("l_partkey") * 100 + F.col("l_quantity").cast("long")).alias("seq"), F.concat(F.lit("op"), F.col("l_orderkey") % 97).alias("id"),
+        (F.col("l_orderkey") % 11).cast("string").alias("source_decree"), F.lit("1").alias("source_article"), (F.col("l_partkey") % 7).cast("string").alias("target_decree"), (F.col("l_partkey") % 13).cast("string").alias("target_article"),
+        F.col("l_returnflag").alias("operation_type"), F.when(q < 15, None).when(q < 30, "FULL_SECTION").otherwise("ALINEA").alias("sub_type"), F.when(q >= 30, (q % 2).cast("int")).alias("sub_position"),
+    )
+    sides = [rows.where(F.col("n") == k).drop("n") for k in (1, 2)]
+    return relations.merged(*sides).select("aiot", "seq", "id")
+
+
+@registered("""
+WITH p AS (SELECT page_id AS n, replace(replace(replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS t FROM pages),
+b AS (SELECT p.n // 3 AS g, coalesce('<p>' || x.t || '</p>', '') || coalesce('<p>' || y.t || '</p>', '') AS held FROM p LEFT JOIN p x ON x.n = p.n + 2 LEFT JOIN p y ON y.n = p.n + 1 WHERE p.n % 3 = 0)
+SELECT CAST(g AS VARCHAR) AS aiot, CASE g % 3 WHEN 0 THEN '<body><main>b</main><footer data-spec="appendix">f' || held || '</footer></body>'
+  WHEN 1 THEN '<body><main>b</main>' || CASE WHEN held = '' THEN '' ELSE '<footer data-spec="appendix">' || held || '</footer>' END || '</body>' ELSE '<body>b' || CASE WHEN held = '' THEN '' ELSE '<footer data-spec="appendix">' || held || '</footer>' END || '</body>' END AS html FROM b""")
+def q_annex_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decrees with what two annexes of their date hold, whole pages, in their appendix."""
+    n = F.col("page_id")
+    group = F.floor(n / 3)
+    text = F.regexp_replace("html", "<[^>]*>", " ")
+    text = F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    base = F.when(group % 3 == 0, '<body><main>b</main><footer data-spec="appendix">f</footer></body>').when(group % 3 == 1, "<body><main>b</main></body>").otherwise("<body>b</body>")
+    html = F.when(n % 3 == 0, base).otherwise(F.concat(F.lit("x<main><p>"), text, F.lit("</p></main>y")))
+    name = F.when(n % 3 == 0, "2010-01-01.html").when(n % 3 == 1, "2010-01-01_annexe 2.html").otherwise("2010-01-01_Annexe 1.html")
+    files = table(spark, sf_dir, "pages").select(group.cast("string").alias("aiot"), name.alias("filename"), F.lit("2010-01-01").alias("decree_id"), F.lit("AUTRE").alias("file_type"), html.alias("html"))
+    return relations.one_decree_a_date(files).select("aiot", "html")
+
+
+@registered("""
+WITH n AS (SELECT count(*) FILTER (page_id % 10 = 0) AS f, count(*) FILTER (page_id % 10 <> 0) AS o FROM pages)
+SELECT unnest(['decrees', 'tagged', 'articles', 'operations', 'versions', 'skipped']) AS stage, unnest([f + o, o, 2 * f + o, o, 2 * f + 2 * o, 0]) AS n_rows FROM n""")
+def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every stage of the whole plan, counted while they are written."""
+    counts: dict[str, int] = {}
+    pipeline.run(made_decrees(spark, sf_dir), render=False, counts=counts)
+    return spark.createDataFrame(list(counts.items()), "stage string, n_rows long")
+
+
+@registered("""
+WITH l AS (SELECT CAST(l_suppkey % 10 AS VARCHAR) AS aiot, l_orderkey % 13 AS a, l_linenumber AS b, l_partkey % 7 AS c, l_returnflag AS t, l_quantity AS q, l_tax AS tax FROM lineitem WHERE l_suppkey % 10 < 9),
+k AS (SELECT aiot, a, b, c, t, sum(CASE WHEN q < 30 AND tax <> 0 THEN 1 ELSE 0 END) AS d, sum(CASE WHEN q >= 20 THEN 1 ELSE 0 END) AS g FROM l GROUP BY ALL),
+s AS (SELECT coalesce(aiot, 'TOTAL') AS aiot, sum(least(d, g)) AS tp, sum(d) AS nd, sum(g) AS ng FROM k GROUP BY GROUPING SETS ((aiot), ())),
+x AS (SELECT coalesce(aiot, 'TOTAL') AS aiot, count(*) FILTER (q >= 20) AS truth, count(*) FILTER (q < 30) AS detected, count(*) FILTER (q < 30 AND tax <> 0) AS validated, sum(q) / 4.0 AS seconds, sum(q) AS ti, sum(b) AS tos,
+    sum(CASE b % 3 WHEN 0 THEN q * 1.0 + b * 2.0 WHEN 1 THEN q * 0.5 + b * 1.5 ELSE 0 END) / 1e6 AS cost FROM l GROUP BY GROUPING SETS ((aiot), ())),
+r AS (SELECT s.*, CAST(tp AS DOUBLE) / nd AS p, CAST(tp AS DOUBLE) / ng AS r FROM s)
+SELECT r.aiot, truth, detected, validated, CAST(tp AS BIGINT) AS tp, CAST(nd - tp AS BIGINT) AS fp, CAST(ng - tp AS BIGINT) AS fn, round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / (p + r), 6) AS f1, CAST(seconds AS DOUBLE) AS seconds,
+  CAST(ti AS BIGINT) AS tokens_in, CAST(tos AS BIGINT) AS tokens_out, round(cost, 4) AS cost FROM r JOIN x ON x.aiot = r.aiot""")
+def q_score_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fourteen columns of an evaluation, by site and in all; a site without ground truth is left out."""
+    site = (F.col("l_suppkey") % 10).cast("string").alias("aiot")
+    kind = F.when(F.col("l_returnflag") == "R", "REMOVE").when(F.col("l_returnflag") == "A", "ADD").otherwise("REPLACE").alias("operation_type")
+    text = lambda c, name: c.cast("string").alias(name)
+    rows = table(spark, sf_dir, "lineitem").select(site, text(F.col("l_orderkey") % 13, "source_decree"), text(F.col("l_linenumber"), "source_article"), text(F.col("l_partkey") % 7, "target_decree"), F.lit("1").alias("target_article"), kind, F.col("l_quantity").alias("q"), F.col("l_linenumber").alias("b"), F.col("l_tax").alias("tax"))
+    codes = F.when(F.col("tax") == 0, F.array(F.lit("less_important"))).otherwise(F.expr("cast(array() as array<string>)"))
+    detected = rows.where("q < 30").withColumn("error_codes", codes)
+    usage = rows.select("aiot", F.concat(F.lit("m"), F.col("b") % 3).alias("model"), F.col("q").cast("long").alias("tokens_in"), F.col("b").cast("long").alias("tokens_out"))
+    rates = spark.createDataFrame([("m0", 1.0, 2.0), ("m1", 0.5, 1.5)], "model string, cost_in double, cost_out double")
+    sheet = evaluation.sheet(detected, detected, rows.where("q >= 20 and aiot <> '9'"), usage, rates, rows.select("aiot", (F.col("q") / 4).cast("double").alias("seconds")))
+    return sheet.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")} | {"cost": F.round("cost", 4)})
+
+
+@registered("""
+WITH c AS (SELECT CAST(c_nationkey AS VARCHAR) AS aiot, c_custkey AS k, c_name AS name FROM customer),
+o AS (SELECT aiot, '[' || chr(10) || string_agg('  {' || chr(10) || CASE WHEN k % 2 = 0 THEN '    "confidence_score": 80,' || chr(10) ELSE '' END || CASE WHEN k % 3 = 0 THEN '    "error_codes": [' || chr(10) || '      "less_important"' || chr(10) || '    ],' || chr(10) ELSE '' END
+    || '    "id": "op' || k || '",' || chr(10) || '    "operand": "<p class=\\"é\\">' || name || '</p>",' || chr(10) || '    "operation_type": "ADD",' || chr(10) || '    "origin": "Regex",' || chr(10) || '    "source_id": {' || chr(10) || '      "arrete_id": "2012-01-01",' || chr(10)
+    || '      "article_id": "1"' || chr(10) || '    },' || chr(10) || '    "target_id": {' || chr(10) || '      "arrete_id": "2010-01-01",' || chr(10) || '      "article_id": "' || k || '"' || chr(10) || '    }' || chr(10) || '  }', ',' || chr(10) ORDER BY k) || chr(10) || ']' || chr(10) AS text FROM c WHERE aiot <> '3' GROUP BY 1),
+h AS (SELECT aiot, '{' || chr(10) || string_agg('  "2010-01-01#' || k || '": [' || chr(10) || '    {' || chr(10) || '      "content": "' || name || '",' || chr(10) || '      "operation_id": null,' || chr(10) || '      "title": "",' || chr(10) || '      "version": 0' || chr(10) || '    }' || chr(10) || '  ]', ',' || chr(10) ORDER BY '2010-01-01#' || k) || chr(10) || '}' || chr(10) AS text FROM c GROUP BY 1)
+SELECT aiot, 'operations.json' AS filename, text FROM o UNION ALL SELECT DISTINCT aiot, 'operations.json', '[]' || chr(10) FROM c WHERE aiot = '3'
+UNION ALL SELECT aiot, 'history.json', text FROM h UNION ALL SELECT aiot, 'permis.html', string_agg(name, '' ORDER BY k) FROM c GROUP BY 1""")
+def q_site_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of operations, versions and permits, a folder a site, as they read after they were written."""
+    k, site = F.col("c_custkey"), F.col("c_nationkey").cast("string").alias("aiot")
+    rows = table(spark, sf_dir, "customer").select(site, k.alias("k"), F.col("c_name").alias("name"))
+    ops = rows.where("aiot <> '3'").select(
+        "aiot", F.col("k").cast("long").alias("seq"), F.concat(F.lit("op"), "k").alias("id"), F.lit("Regex").alias("origin"), F.lit("2012-01-01").alias("source_decree"), F.lit("1").alias("source_article"), F.lit("2010-01-01").alias("target_decree"), F.col("k").cast("string").alias("target_article"),
+        F.lit("ADD").alias("operation_type"), F.concat(F.lit('<p class="é">'), "name", F.lit("</p>")).alias("operand"), F.lit(None).cast("string").alias("sub_type"), F.lit(None).cast("int").alias("sub_position"), F.lit(None).cast("string").alias("sub_description"),
+        F.when(F.col("k") % 3 == 0, F.array(F.lit("less_important"))).otherwise(F.expr("cast(array() as array<string>)")).alias("error_codes"), F.when(F.col("k") % 2 == 0, 80).alias("confidence_score"),
+    )
+    versions = rows.select("aiot", F.lit("2010-01-01").alias("decree_id"), F.col("k").cast("string").alias("article_id"), F.lit(0).alias("version"), F.lit("").alias("title"), F.col("name").alias("content"), F.lit(None).cast("string").alias("operation_id"), F.expr("cast(array() as array<string>)").alias("error_codes"))
+    permits = rows.select("aiot", F.lit("permis.html").alias("filename"), F.col("k").cast("long").alias("nth"), F.col("name").alias("text"))
+    path = f"{shared_folder(spark)}/sites-{uuid.uuid4().hex}"
+    site_files.write(sinks.operations_file(ops, rows).unionByName(sinks.history_file(versions, rows)).unionByName(permits), path)
+    return site_files.read(spark, path)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import atexit
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,16 +19,20 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/consolida"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, counts: dict[str, int] | None = None) -> DataFrame:
     """``df`` written as Parquet and read again, so that later stages neither repeat nor depend on its lineage.
 
-    The table goes when the program ends.
+    The table goes when the program ends.  With ``counts``, the rows that were
+    written are counted on the way and noted there under ``name``.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/consolidate-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    schema, seen = df.schema, Observation(name)
+    (df if counts is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))).write.parquet(path)
+    if counts is not None:
+        counts[name] = seen.get["rows"]
     atexit.register(removed, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def removed(spark: SparkSession, path: str) -> None:

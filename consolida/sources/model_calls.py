@@ -85,7 +85,7 @@ class Caller:
         return None, None, attempts, error, None, None
 
 
-REPLY = "reply string, model string, attempts int, call_error string, tokens_in long, tokens_out long"
+REPLY = "reply string, model string, attempts int, call_error string, tokens_in long, tokens_out long, seconds double"
 
 
 @dataclass(frozen=True)
@@ -143,7 +143,10 @@ def _asked(batches: Iterator[pd.DataFrame], prompt: str, call: Callable[[str, st
         begin = max(map(float, task.allGather(repr(time.time()))))  # all tasks have begun by then
         caller.turns = Slots(begin, task.partitionId(), len(task.getTaskInfos()), settings.min_interval)
     for pdf in batches:
-        found = [caller.reply(p) if isinstance(p, str) else (None, None, 0, None, None, None) for p in pdf[prompt]]
+        found = []
+        for p in pdf[prompt]:
+            begin = time.monotonic()
+            found.append((*caller.reply(p), time.monotonic() - begin))
         names = [c.split()[0] for c in REPLY.split(", ")]
         yield pdf.assign(**{name: pd.Series([f[k] for f in found], dtype=object, index=pdf.index) for k, name in enumerate(names)})
 

@@ -124,10 +124,48 @@ def test_decrees_of_a_date(spark):
     rows = [("a", "2020-01-01_b.html", "AUTRE"), ("a", "2020-01-01_AP d'autorisation.html", "AP_AUTORISATION"), ("a", "2020-01-01_annexe.html", "AUTRE"), ("a", "2020-01-01_rapport.html", "AUTRE")]
     df = spark.createDataFrame([(a, f, "2020-01-01", k, f) for a, f, k in rows], "aiot string, filename string, decree_id string, file_type string, html string")
     got = relations.one_decree_a_date(df).collect()
-    assert [(r["filename"], r["appendix"]) for r in got] == [("2020-01-01_AP d'autorisation.html", "2020-01-01_annexe.html")]
+    assert [(r["filename"], r["html"]) for r in got] == [("2020-01-01_AP d'autorisation.html", "2020-01-01_AP d'autorisation.html")]  # an annexe without a main part is left out
     assert [(r["filename"], r["identical"]) for r in relations.decree_duplicates(df).collect()] == [("2020-01-01_b.html", False)]
 
 
+@pytest.mark.parametrize(
+    ("base", "want"),
+    [
+        ('<body><main>b</main><footer data-spec="appendix">f</footer></body>', '<body><main>b</main><footer data-spec="appendix">f<p>1</p><p>2</p></footer></body>'),
+        ("<body><main>b</main>x</body>", '<body><main>b</main><footer data-spec="appendix"><p>1</p><p>2</p></footer>x</body>'),
+        ("<body>b</BODY>\n", '<body>b<footer data-spec="appendix"><p>1</p><p>2</p></footer></BODY>\n'),
+        ("b", 'b<footer data-spec="appendix"><p>1</p><p>2</p></footer>'),
+    ],
+)
+def test_annexes_join_the_appendix(spark, base, want):
+    rows = [("2020-01-01.html", base), ("2020-01-01_annexe 2.html", "<main><p>2</p></main>"), ("2020-01-01_annexe 1.html", "x<main><p>1</p></main>y"), ("2020-01-01_annexe 3.html", "no main")]
+    df = spark.createDataFrame([("a", f, "2020-01-01", "AUTRE", h) for f, h in rows], "aiot string, filename string, decree_id string, file_type string, html string")
+    assert [r["html"] for r in relations.one_decree_a_date(df).collect()] == [want]
+    alone = relations.one_decree_a_date(df.where("filename like '%annexe%'")).collect()
+    assert [r["html"] for r in alone] == ["x<main><p>1</p></main><footer data-spec=\"appendix\"><p>2</p></footer>y"]
+
+
+def test_numbers_of_keys_that_span_partitions(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice(["hot", "hot", "hot", "a", None]), rng.random()) for _ in range(500)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(6)
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    got = relations.numbered(df, ["k"], ["v"], "n").collect()
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for k in ("hot", "a", None):
+        assert [r["n"] for r in sorted((r for r in got if r["k"] == k), key=lambda r: r["v"])] == list(range(1, 1 + sum(x == k for x, _ in rows)))
+
+
+def test_merged_operations(spark):
+    columns = "aiot string, seq long, id string, source_decree string, source_article string, target_decree string, target_article string, operation_type string, sub_type string, sub_position int"
+    first = spark.createDataFrame([("a", 7, "x", "d", "1", "t", "1", "ADD", "FULL_SECTION", None), ("a", 9, "y", "d", "2", "t", "1", "ADD", "FULL_SECTION", None)], columns)
+    then = spark.createDataFrame([("a", 1, "x", "d", "3", "t", "1", "ADD", "ALINEA", 1), ("a", 2, "x_2", "d", "4", "t", "1", "ADD", None, None), ("a", 3, "z", "d", "1", "t", "1", "REPLACE", "ALINEA", 2), ("a", 4, "w", "d", "2", "t", "1", "ADD", "FULL_SECTION", None), ("b", 1, "x", "d", "3", "t", "1", "ADD", "ALINEA", 1)], columns)
+    got = {(r["aiot"], r["source_article"], r["operation_type"]): (r["seq"], r["id"]) for r in relations.merged(first, then).collect()}
+    assert got == {("a", "2", "ADD"): (2, "y"), ("a", "3", "ADD"): (3, "x"), ("a", "4", "ADD"): (4, "x_2"), ("a", "1", "REPLACE"): (5, "z"), ("b", "3", "ADD"): (1, "x")}
+    again = relations.merged(then.where("id = 'x' and aiot = 'a'"), then.where("id <> 'x'").unionByName(first.where("id = 'x'").withColumn("source_article", F.lit("9"))))
+    assert sorted(r["id"] for r in again.where("aiot = 'a'").collect()) == ["w", "x", "x_2", "x_2_2", "z"]
+
+
 def test_files_and_operations_round_trip(spark, tmp_path):
     folder = tmp_path / "in" / "0001"
     folder.mkdir(parents=True)

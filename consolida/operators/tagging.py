@@ -34,6 +34,9 @@ ACTS = frozenset("acte arrêté article décret".split())
 ADVERBS = frozenset("ainsi donc également".split())
 AHEAD = frozenset("après avant".split())
 ARTICLES = frozenset("l' le la les du des de".split())
+PRONOUNS = frozenset("il elle ils elles".split())
+#: Forms that tell how a content is worded.
+WORDED = frozenset("rédigé rédigée rédigés rédigées".split())
 #: Words and marks that join references of one list.
 JOINTS = frozenset("à au aux d' de des du et l' la le les ou , ;".split())
 _WORD = re.compile(r"[^\W\d_]+['’]?|\d+|[^\w\s]")
@@ -75,18 +78,35 @@ class _Sentence:
     def at(self, i: int) -> str:
         return self.words[i] if i < len(self.words) else ""
 
+    def behind_joint(self, i: int) -> int | None:
+        """Behind ``et``, ``ou``, a comma or a comma with either, and an auxiliary that is said again."""
+        j = i + (self.at(i) == ",")
+        j += self.at(j) in ("et", "ou")
+        if j == i:
+            return None
+        return self.behind_auxiliary(j) or j
+
+    def behind_auxiliary(self, i: int) -> int | None:
+        if self.at(i) not in ("est", "sont"):
+            return None
+        i += 1
+        while self.at(i) in ADVERBS:
+            i += 1
+        return i
+
     def forms(self, i: int, table: dict[str, str]) -> tuple[str, int] | None:
-        """(kind, index behind) of one form of a table, or of several joined by ``et`` or ``ou``; different ones replace."""
-        kinds, end = set(), i
-        while True:
-            size = next((n for n in (3, 1) if i + n <= len(self.words) and " ".join(self.words[i : i + n]) in table), 0)
-            if not size:
+        """(kind, index behind) of one form of a table, or of several in a row; different ones replace.
+
+        What is ``inséré et ainsi rédigé`` is inserted: the wording only announces the content.
+        """
+        kinds, end, at = set(), i, i
+        while at is not None:
+            size = next((n for n in (3, 1) if at + n <= len(self.words) and " ".join(self.words[at : at + n]) in table), 0)
+            if not size or kinds and self.words[at] in WORDED:
                 break
-            kinds.add(table[" ".join(self.words[i : i + size])])
-            end = i + size
-            if self.at(end) not in ("et", "ou"):
-                break
-            i = end + 1
+            kinds.add(table[" ".join(self.words[at : at + size])])
+            end = at + size
+            at = self.behind_joint(end)
         return (kinds.pop() if len(kinds) == 1 else "replace", end) if kinds else None
 
     def verb(self, kind: str, direction: str, content: bool, begin: int, first: int, end: int) -> Verb:
@@ -109,28 +129,34 @@ class _Sentence:
 
     def passive(self, i: int) -> tuple[Verb, int] | None:
         """``est`` or ``sont`` at a place, with participles of change."""
-        if self.at(i) not in ("est", "sont"):
-            return None
-        first = i + 1
-        while self.at(first) in ADVERBS:
-            first += 1
-        found = self.forms(first, _PARTICIPLES)
+        first = self.behind_auxiliary(i)
+        found = self.forms(first, _PARTICIPLES) if first else None
         if not found or self.at(found[1]) in ("au", "aux") and self.at(found[1] + 1) in ("recueil", "recueils"):
             return None
         kind, end = found
+        if kind == "replace" and self.words[end : end + 3] == ["par", "l'", "ajout"]:
+            kind, end = "add", end + 3
         ahead = i == 0 and kind == "add" and (self.at(end) in AHEAD or self.words[end : end + 3] == ["à", "la", "suite"])
         return self.verb(kind, "ltr" if ahead else "rtl", kind != "delete", i, first, end), end
 
 
 def verbs(text: str) -> list[Verb]:
-    """The verbs of change of an alinea's text, in order."""
+    """The verbs of change of an alinea's text, in order.
+
+    ``est supprimé. Il est remplacé ...`` is one change, and so is ``est inséré
+    ... et est ainsi rédigé``.
+    """
     sentence = _Sentence(text)
-    out, i = [], 0
+    out, i, behind = [], 0, 0
     while i < len(sentence.words):
         found = sentence.active() if i == 0 else None
         found = found or sentence.passive(i)
-        if found:
+        if found and not (out and sentence.at(i - 1) == "et" and found[0].keyword.lower() in WORDED):
+            between = sentence.words[behind:i]
+            if out and out[-1].kind == "delete" and found[0].kind == "replace" and len(between) == 2 and between[0] in (".", ";") and between[1] in PRONOUNS:
+                out.pop()
             out.append(found[0])
+            behind = found[1]
         i = found[1] if found else i + 1
     return out
 

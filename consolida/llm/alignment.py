@@ -10,8 +10,8 @@ aligned once, however often the corpus holds it:
 1. A block of texts becomes segment numbers; its distinct segments, with their
    counts, are all that is shuffled, by a hash of the segment.
 2. Distinct segments are encoded, their tokens unfolded with ``posexplode``, ends
-   are windowed sums of lengths.  An equi-join on segment and end finds the cuts,
-   a running count of cuts numbers the groups.
+   are windowed sums of lengths.  An equi-join on segment and end finds the cuts
+   of either side, a running count of cuts numbers the groups.
 3. Links join tokens of a group whose byte ranges overlap.  ``CELL`` bytes of a
    group are joined at a time, and a pair is told where the later of its two
    tokens begins, so a group without cuts costs no more than its length.
@@ -129,6 +129,12 @@ class Encoders:
         return b"".join(map(self.b_bytes.__getitem__, self.b.encode(text))) == (" " + text).encode()
 
 
+@cache
+def loaded(a: str, b: str) -> Encoders:
+    """The encoders of two files, loaded once in a worker, whatever number of tasks it runs."""
+    return Encoders(a, b)
+
+
 class Numbers(dict):
     """Segments numbered as they come."""
 
@@ -172,7 +178,7 @@ def _block(block: int, docs: list[tuple[int | None, np.ndarray]], numbers: Numbe
 
 
 def _blocks(batches: Iterable[pa.RecordBatch], a: str, b: str, block_chars: int) -> Iterator[pa.RecordBatch]:
-    encoders, numbers = Encoders(a, b), Numbers()
+    encoders, numbers = loaded(a, b), Numbers()
     block, docs, chars = TaskContext.get().partitionId() << 24, [], 0
     for doc_id, text in rows_of(batches, "doc_id", "text"):
         found = encoders.segments(text) if text and encoders.whole(text) else []
@@ -195,9 +201,8 @@ def _lists(ids: list[list[int]], lengths: np.ndarray) -> tuple[pa.Array, pa.Arra
 
 
 def _encoded(batches: Iterable[pa.RecordBatch], a: str, b: str) -> Iterator[pa.RecordBatch]:
-    encoders = None
     for batch in batches:
-        encoders = encoders or Encoders(a, b)
+        encoders = loaded(a, b)
         segments = batch.column("segment").to_pylist()
         lists = [*_lists([encoders.a(s) for s in segments], encoders.a_lengths), *_lists(encoders.b_ids(segments), encoders.b_lengths)]
         yield pa.RecordBatch.from_arrays([*batch.select(["h", "k", "segment", "n"]).columns, *lists], names=["h", "k", "segment", "n", "a", "la", "b", "lb"])
@@ -225,36 +230,39 @@ def token_ends(distinct: DataFrame, ids: str, lengths: str) -> DataFrame:
     return tokens.select("h", "k", "n", F.sum("t.length").over(until).cast("int").alias("end"), F.col("t.id").alias(ids), F.col("t.length").alias(lengths))
 
 
-def grouped_ends(distinct: DataFrame) -> DataFrame:
-    """(h, k, end, a, la, b, lb, n, cut, grp): every end, the tokens that end there, and the number of the group it lies in."""
-    met = token_ends(distinct, "a", "la").join(token_ends(distinct, "b", "lb").drop("n"), ["h", "k", "end"], "full_outer")
+def grouped_ends(distinct: DataFrame, ids: str, lengths: str, others: str, other_lengths: str) -> DataFrame:
+    """(h, k, n, end, id, length, cut, grp) of one side's tokens: whether a token of the other side ends there too, and the number of its group.
+
+    The tokens are joined with the other side's ends.  A left join keeps their
+    places in the buckets and their order, so the running count of cuts needs
+    neither a shuffle nor another sort.
+    """
+    there = token_ends(distinct, others, other_lengths).select("h", "k", "end", F.lit(True).alias("cut"))
+    met = token_ends(distinct, ids, lengths).join(there.hint("merge"), ["h", "k", "end"], "left")
     before = Window.partitionBy("h", "k").orderBy("end").rowsBetween(Window.unboundedPreceding, -1)
-    cut = F.col("a").isNotNull() & F.col("b").isNotNull()
-    return met.withColumn("cut", cut).withColumn("grp", F.coalesce(F.sum(F.col("cut").cast("int")).over(before), F.lit(0)).cast("int"))
+    met = met.withColumn("cut", F.coalesce("cut", F.lit(False)))
+    return met.withColumn("grp", F.coalesce(F.sum(F.col("cut").cast("int")).over(before), F.lit(0)).cast("int"))
 
 
-def links(ends: DataFrame) -> DataFrame:
+def links(a_ends: DataFrame, b_ends: DataFrame) -> DataFrame:
     """(h, k, a, b, n): tokens of a group whose byte ranges overlap."""
 
-    def celled(ids: str, lengths: str, *more: str) -> DataFrame:
-        side, begin = ends.where(F.col(ids).isNotNull()), F.col("end") - F.col(lengths)
+    def celled(side: DataFrame, ids: str, lengths: str, *more: str) -> DataFrame:
+        begin = F.col("end") - F.col(lengths)
         cells = F.explode(F.sequence(F.floor(begin / CELL), F.floor((F.col("end") - 1) / CELL)))
         return side.select("h", "k", "grp", ids, begin.alias(f"{ids}_from"), F.col("end").alias(f"{ids}_to"), *more, cells.alias("cell"))
 
-    met = celled("a", "la", "n").join(celled("b", "lb").hint("merge"), ["h", "k", "grp", "cell"])
+    met = celled(a_ends, "a", "la", "n").join(celled(b_ends, "b", "lb").hint("merge"), ["h", "k", "grp", "cell"])
     later = F.greatest("a_from", "b_from")
     return met.where((F.col("a_from") < F.col("b_to")) & (F.col("b_from") < F.col("a_to")) & (F.floor(later / CELL) == F.col("cell"))).select("h", "k", "a", "b", "n")
 
 
-def cut_masks(ends: DataFrame) -> DataFrame:
-    """(h, k, n_a, n_b, n_groups, mask, more): the cuts of each segment, as a mask of its first 64 ends and a list of the others."""
+def cut_masks(a_ends: DataFrame) -> DataFrame:
+    """(h, k, n_groups, mask, more): the cuts of each segment, as a mask of its first 64 ends and a list of the others."""
     early = F.col("cut") & (F.col("end") <= 64)
     bit = F.when(early, F.expr("shiftleft(1L, end - 1)")).otherwise(F.lit(0).cast("long"))
-    count = lambda c, name: F.count(F.when(c, 1)).alias(name)
-    masks = ends.groupBy("h", "k").agg(
-        count(F.col("a").isNotNull(), "n_a"), count(F.col("b").isNotNull(), "n_b"), count(F.col("cut"), "n_groups"), F.bit_or(bit).alias("mask")
-    )
-    late = ends.where("cut and end > 64").groupBy("h", "k").agg(F.sort_array(F.collect_list("end")).alias("more"))
+    masks = a_ends.groupBy("h", "k").agg(F.count(F.when(F.col("cut"), 1)).alias("n_groups"), F.bit_or(bit).alias("mask"))
+    late = a_ends.where("cut and end > 64").groupBy("h", "k").agg(F.sort_array(F.collect_list("end")).alias("more"))
     return masks.join(late, ["h", "k"], "left")
 
 
@@ -380,17 +388,20 @@ def align(docs: DataFrame, a: str, b: str, digest: bool = True, block_chars: int
     distinct = held.groupBy("h", "segment").agg(F.sum("n").alias("n")).withColumn("k", F.row_number().over(same_hash) - 1)
     distinct = bucketed(distinct.mapInArrow(partial(_encoded, a=a, b=b), _ENCODED), "distinct", "h", n, "zstd")
     with same_buckets(spark):
-        ends = bucketed(grouped_ends(distinct), "ends", "h", n, "zstd")
-        linked = bucketed(links(ends), "links", "h", n, "zstd")
+        a_ends = bucketed(grouped_ends(distinct, "a", "la", "b", "lb"), "ends", "h", n, "zstd")
+        b_ends = bucketed(grouped_ends(distinct, "b", "lb", "a", "la").drop("n", "cut"), "ends", "h", n, "zstd")
+        linked = bucketed(links(a_ends, b_ends), "links", "h", n, "zstd")
+        forget(b_ends)
         counts = materialise(linked.groupBy("a", "b").agg(F.sum("n").alias("count")), "pairs")
         highest = counts.groupBy("b").agg(F.max("count").alias("most"))  # at most a row for each id of the vocabulary
         counts = counts.join(F.broadcast(highest), "b").select("a", "b", "count", (F.col("count") == F.col("most")).cast("int").alias("best"))
         counts = materialise(counts, "pairs")
         counts = F.broadcast(counts) if counts.count() <= pairs else counts.hint("merge")
         weighed = linked.join(counts, ["a", "b"]).groupBy("h", "k").agg(F.count("*").alias("n_links"), F.sum("best").alias("n_best"), F.sum("count").alias("count_sum"))
-        aligned = distinct.join(cut_masks(ends), ["h", "k"]).join(weighed, ["h", "k"])
+        sizes = [F.size(c).cast("long").alias(f"n_{c}") for c in ("a", "b")]
+        aligned = distinct.select("*", *sizes).join(cut_masks(a_ends), ["h", "k"]).join(weighed, ["h", "k"])
         aligned = bucketed(aligned.mapInArrow(_grouped, _GROUPED), "aligned", "h", n, "zstd")
-        forget(ends, linked, distinct)
+        forget(a_ends, linked, distinct)
         answers = held.drop("n").join(aligned, ["h", "segment"]).select("block", "number", *SUMS, "groups")
         answers = materialise(answers.mapInArrow(_parcels, "block long, sums binary, texts binary"), "answers", "uncompressed")
         forget(held, aligned)

@@ -112,11 +112,12 @@ def test_hashes_that_agree(spark):
     """Segments of one hash are told apart by their number."""
     columns = "h long, k int, segment string, n long, a array<int>, la array<int>, b array<int>, lb array<int>"
     rows = [(7, 0, "xy", 2, [1], [2], [5, 6], [1, 1]), (7, 1, "abc", 3, [1, 2], [1, 2], [5], [3])]
-    ends = alignment.grouped_ends(spark.createDataFrame(rows, columns))
-    got = Counter((r["k"], r["a"], r["b"], r["n"]) for r in alignment.links(ends).collect())
+    distinct = spark.createDataFrame(rows, columns)
+    a_ends, b_ends = alignment.grouped_ends(distinct, "a", "la", "b", "lb"), alignment.grouped_ends(distinct, "b", "lb", "a", "la")
+    got = Counter((r["k"], r["a"], r["b"], r["n"]) for r in alignment.links(a_ends, b_ends).collect())
     assert got == Counter([(0, 1, 5, 2), (0, 1, 6, 2), (1, 1, 5, 3), (1, 2, 5, 3)])
-    masks = {r["k"]: (r["n_a"], r["n_b"], r["n_groups"], r["mask"]) for r in alignment.cut_masks(ends).collect()}
-    assert masks == {0: (1, 2, 1, 2), 1: (2, 1, 1, 4)}
+    masks = {r["k"]: (r["n_groups"], r["mask"]) for r in alignment.cut_masks(a_ends).collect()}
+    assert masks == {0: (1, 2), 1: (1, 4)}
 
 
 def test_no_rows(spark):

@@ -51,6 +51,16 @@ def _decrees(spark: SparkSession, args: argparse.Namespace):  # noqa: ANN202
     return rows.where(rows["aiot"].isin(*args.aiot)) if args.aiot else rows
 
 
+def _given(spark: SparkSession, args: argparse.Namespace):  # noqa: ANN202
+    """Operations that are given, without those out of form, which are told."""
+    if not args.operations_from:
+        return None
+    rows, bad = readers.valid_operations(readers.operations(spark, args.operations_from))
+    for r in bad.groupBy("reject_reason").count().collect():  # a row for each reason
+        config.LOG.warning("%d given operations out of form: %s", r["count"], r["reject_reason"])
+    return rows
+
+
 def _call(settings: config.Settings, args: argparse.Namespace):  # noqa: ANN202
     return None if args.operations_from or not settings.models else http_calls.caller(settings.models, settings.timeout)
 
@@ -63,7 +73,7 @@ def run(spark: SparkSession, args: argparse.Namespace, settings: config.Settings
     if args.principal_id and rows.where("principal").isEmpty():
         config.LOG.error("no decree of %s", args.principal_id)
         return 1
-    candidates = readers.operations(spark, args.operations_from) if args.operations_from else None
+    candidates = _given(spark, args)
     threshold, retry = settings.confidence()
     counts: dict[str, int] = {}
     done = pipeline.run(
@@ -78,7 +88,7 @@ def run(spark: SparkSession, args: argparse.Namespace, settings: config.Settings
 
 def evaluate(spark: SparkSession, args: argparse.Namespace, settings: config.Settings) -> int:
     truth = readers.ground_truth(spark, args.truth)
-    candidates = readers.operations(spark, args.operations_from) if args.operations_from else None
+    candidates = _given(spark, args)
     rates = spark.read.schema("model string, cost_in double, cost_out double").option("header", True).csv(args.rates) if args.rates else spark.createDataFrame([], "model string, cost_in double, cost_out double")
     threshold, retry = settings.confidence()
     found = pipeline.evaluate(_decrees(spark, args), truth, rates, _call(settings, args), settings.calls(), candidates, args.tagging_ops, threshold, retry)

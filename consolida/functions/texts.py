@@ -116,10 +116,6 @@ def section_title(c: Column) -> Column:
     return F.lower(squeeze(strip_accents(c)))
 
 
-def title_text(c: Column) -> Column:
-    return F.lower(squeeze(c))
-
-
 def superfluous(title: Column) -> Column:
     plain = [" ".join(unicodedata.normalize("NFD", t).encode("ascii", "ignore").decode().split()).lower() for t in SUPERFLUOUS]
     return F.coalesce(section_title(title).isin(*plain), F.lit(False))
@@ -168,10 +164,6 @@ def subtarget(c: Column) -> Column:
     return F.struct(whole["type"].alias("type"), whole["position"].alias("position"), F.when(blank, F.lit("ALL")).otherwise(c).alias("description"))
 
 
-def is_simple(kind: Column) -> Column:
-    return F.coalesce(kind != "COMPLEX", F.lit(False))
-
-
 def error_reason(codes: Column) -> Column:
     """Messages of a set of codes in the order of the codes; null without any."""
     known = F.create_map(*(F.lit(x) for pair in MESSAGES.items() for x in pair))
@@ -198,19 +190,6 @@ def fenced_html(text: Column) -> Column:
     return trimmed(F.coalesce(F.nullif(F.regexp_extract(text, r"(?s)```(?:html)?\s*\n?(.*?)```", 1), F.lit("")), text))
 
 
-def prompt_target(prompt: Column, start: str = "<target>", end: str = "</target>") -> Column:
-    """Target HTML embedded in a prompt between two marks."""
-    return trimmed(F.split_part(F.split_part(prompt, F.lit(start), F.lit(2)), F.lit(end), F.lit(1)))
-
-
-def to_int(c: Column, default: int, least: int) -> Column:
-    return F.greatest(F.coalesce(c.try_cast("int"), F.lit(default)), F.lit(least))
-
-
-def to_bool(c: Column, default: bool) -> Column:
-    return F.coalesce(c.try_cast("boolean"), F.lit(default))
-
-
 def marker_span(text: Column, marker: Column) -> Column:
     """struct(start, end) of a marker as it stands, or with blanks between its words free; null if it is not there."""
     at = F.instr(text, marker)

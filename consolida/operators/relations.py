@@ -235,7 +235,6 @@ def other_decrees(decrees: DataFrame, ops: DataFrame) -> DataFrame:
     return changed.unionByName(rest.join(sources, ["aiot", "decree_id"], "left_anti").withColumn("role", F.lit("complement")))
 
 
-def range_roles(rows: DataFrame, keys: Sequence[str], place: str) -> DataFrame:
-    """Replacing a range of articles replaces the first and removes the others."""
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(place))
-    return rows.withColumn("operation_type", F.when((F.col("operation_type") == "REPLACE") & (n > 1), F.lit("REMOVE")).otherwise(F.col("operation_type")))
+def range_roles(kind: Column, nth: Column) -> Column:
+    """Kind of an operation on the article at a place, from 0, of its range: replacing a range replaces the first and removes the others."""
+    return F.when((kind == "REPLACE") & (nth > 0), F.lit("REMOVE")).otherwise(kind)

@@ -40,20 +40,30 @@ def propagated(ops: DataFrame, keys: Sequence[str], order: Sequence[str], error:
     return rows.withColumn("propagated", before & ~F.col(clears)).drop("_island")
 
 
-def status_fold(steps: Column) -> Column:
-    """Propagation with the abrogation exemption over an ordered array of struct(error, clears, exempt).
+def blocked(steps: DataFrame, key: str, order: Sequence[str], error: str, clears: str, exempt: str) -> DataFrame:
+    """``steps`` with ``blocked``: propagation with the abrogation exemption.
 
-    Trailing errors that all come from abrogated decrees do not stand in the way.
+    Trailing errors that all come from abrogated decrees do not stand in the
+    way.  The steps of a key pass one after another, sorted by Spark, so a key
+    with any number of them takes no more memory than a batch.
     """
-    start = F.struct(F.lit(False).alias("bad"), F.lit(True).alias("only_exempt"), F.expr("cast(array() as array<boolean>)").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        blocked = acc["bad"] & ~acc["only_exempt"] & ~x["clears"]
-        bad = x["error"] | blocked
-        only = F.when(~bad, F.lit(True)).otherwise(F.when(acc["bad"], acc["only_exempt"]).otherwise(F.lit(True)) & x["exempt"])
-        return F.struct(bad.alias("bad"), only.alias("only_exempt"), F.concat(acc["out"], F.array(blocked)).alias("out"))
-
-    return F.aggregate(steps, start, step, lambda acc: acc["out"])
+    rows = steps.repartition(key).sortWithinPartitions(key, *order)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, bad, only = object(), False, True
+        for batch in batches:
+            out = []
+            for k, own, clear, free in zip(*(batch.column(c).to_pylist() for c in (key, error, clears, exempt)), strict=True):
+                if k != now:
+                    now, bad, only = k, False, True
+                stop = bad and not only and not clear
+                only = (only or not bad) and bool(free) if own or stop else True
+                bad = bool(own) or stop
+                out.append(stop)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.bool_())], names=[*batch.schema.names, "blocked"])
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in steps.schema)
+    return rows.mapInArrow(fold, f"{ddl}, blocked boolean")
 
 
 VERSIONS = "aiot string, decree_id string, article_id string, version int, title string, content string, operation_id string, error_codes array<string>"

@@ -261,5 +261,5 @@ def raw_operations(tagged: DataFrame) -> DataFrame:
     numbers = F.when(F.col("start_num").isNull(), F.array(F.lit(None).cast("string"))).when(F.col("end_num").isNull(), F.array("start_num")).otherwise(article_range(F.col("start_num"), F.col("end_num")))
     rows = tagged.select("*", F.posexplode(numbers).alias("nth", "target_article"))
     rows = rows.withColumn("operation_type", F.upper(F.when(F.col("operation_type") == "delete", F.lit("remove")).otherwise(F.col("operation_type"))))
-    rows = range_roles(rows, ["aiot", "decree_id", "op_tag", "place"], "nth")
+    rows = rows.withColumn("operation_type", range_roles(F.col("operation_type"), F.col("nth")))
     return rows.select("aiot", "decree_id", "op_tag", F.col("decree_id").alias("source_arrete"), F.coalesce("source_article", F.lit("ALL")).alias("source_article"), "target_arrete", "target_article", "operation_type", "direction", "keyword", F.when(F.col("nth") == 0, F.col("operand")).alias("operand"), F.lit(None).cast("string").alias("sub_target"), F.lit("Regex").alias("origin"), F.lit(None).cast("int").alias("confidence_score"))

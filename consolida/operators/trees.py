@@ -217,10 +217,6 @@ def of_spec(table: DataFrame, spec: str) -> DataFrame:
     return table.where(F.element_at("attrs", "data-spec") == spec)
 
 
-def first_of_spec(table: DataFrame, spec: str, *keys: str) -> DataFrame:
-    return of_spec(table, spec).groupBy(*keys).agg(F.min_by("text", "node_id").alias("text"))
-
-
 def inside(table: DataFrame, holders: DataFrame, *keys: str) -> DataFrame:
     """Rows of ``table`` that stand inside a node of ``holders``, with that node's id as ``holder``."""
     up = table.withColumn("holder", F.explode("path")).where("holder <> node_id")
@@ -280,17 +276,6 @@ def split_title(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([(None, None) if h is None else fragments.split_title(h) for h in html], columns=["title", "body"])
 
 
-@F.pandas_udf(T.StringType())
-def inner_html(html: pd.Series, spec: pd.Series) -> pd.Series:
-    """What the first element of a ``data-spec`` holds."""
-
-    def one(h: str | None, name: str) -> str | None:
-        found = next((n for n in fragments.parse(h).walk() if n.attrs.get("data-spec") == name), None)
-        return None if found is None else "".join(c.html() for c in found.children)
-
-    return pd.Series([one(h, name) for h, name in zip(html, spec, strict=True)], dtype=object)
-
-
 def _changed(step):  # noqa: ANN001, ANN202
     @F.pandas_udf(T.StringType())
     def apply(html: pd.Series, kind: pd.Series, position: pd.Series, operand: pd.Series) -> pd.Series:

@@ -100,10 +100,6 @@ def is_unambiguous() -> Column:
     return F.array_contains("error_codes", "not_an_operation") | (F.col("operation_type").isin("REMOVE", "REPLACE") & _full(False))
 
 
-def is_new_article() -> Column:
-    return (F.col("operation_type") == "ADD") & F.col("target_article").startswith("NEW_ARTICLE") & _full(True)
-
-
 def is_resolved() -> Column:
     return F.size("error_codes") == 0
 
@@ -118,3 +114,9 @@ def checked(rows: DataFrame) -> DataFrame:
         .when(~F.coalesce(F.col("operation_type").isin("ADD", "REMOVE", "REPLACE"), F.lit(False)), F.lit("operation_type"))
     )
     return rows.withColumn("reject_reason", reason)
+
+
+def with_subtarget(rows: DataFrame, phrase: str, name: str = "sub") -> DataFrame:
+    """``rows`` with the parsed sub-target of a phrase; every distinct phrase is parsed once."""
+    phrases = rows.select(F.col(phrase).alias("_phrase")).distinct().select("_phrase", subtarget(F.col("_phrase")).alias(name))
+    return rows.join(phrases, F.col(phrase).eqNullSafe(F.col("_phrase")), "left").drop("_phrase")

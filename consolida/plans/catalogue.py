@@ -16,7 +16,7 @@ from consolida.functions import identifiers as ids
 from consolida.functions import texts
 from consolida.operators import chunking, detection, evaluation, relations, replay, tagging, trees, validation
 from consolida.plans import pipeline
-from consolida.plans.storage import shared_folder
+from consolida.plans.storage import shared_folder, stored
 from consolida.sources import sinks, site_files
 from consolida.sources.model_calls import CallSettings
 
@@ -300,9 +300,8 @@ SELECT event_id, blocked FROM f""")
 def q_propagation_exempt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, where trailing errors of abrogated decrees do not block."""
     kind = F.col("event_type")
-    step = F.struct("ts", "event_id", (kind == "error").alias("error"), (kind == "signup").alias("clears"), (F.col("event_id") % 3 == 0).alias("exempt"))
-    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(step)).alias("s"))
-    return rows.select(F.explode(F.arrays_zip(F.transform("s", lambda x: x["event_id"]).alias("event_id"), replay.status_fold(F.col("s")).alias("blocked"))).alias("x")).select("x.event_id", "x.blocked")
+    steps = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", (kind == "error").alias("error"), (kind == "signup").alias("clears"), (F.col("event_id") % 3 == 0).alias("exempt"))
+    return replay.blocked(steps, "user_id", ["ts", "event_id"], "error", "clears", "exempt").select("event_id", "blocked")
 
 
 @registered("""
@@ -348,9 +347,8 @@ def q_range_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranges of articles spelled out; the first is replaced, the others are removed."""
     start, end = F.concat(F.lit("2."), F.col("l_linenumber").cast("string")), F.concat(F.lit("2."), (F.col("l_linenumber") + F.col("l_partkey") % 4).cast("string"))
     rows = table(spark, sf_dir, "lineitem").withColumn("articles", ids.article_range(start, end)).withColumn("operation_type", F.lit("REPLACE"))
-    line = ["l_orderkey", "line", "l_partkey", "l_suppkey", "l_extendedprice"]
-    rows = rows.withColumn("line", F.col("l_linenumber").cast("long")).select(*line, "operation_type", F.posexplode("articles").alias("nth", "article"))
-    return relations.range_roles(rows, line, "nth").select("l_orderkey", F.col("line").alias("l_linenumber"), "article", "operation_type")
+    rows = rows.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "operation_type", F.posexplode("articles").alias("nth", "article"))
+    return rows.select("l_orderkey", "l_linenumber", "article", relations.range_roles(F.col("operation_type"), F.col("nth")).alias("operation_type"))
 
 
 #: (input, canonical form, valid as it is, levels) of article ids.
@@ -397,8 +395,8 @@ _PHRASES = [
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, t[k] AS sub_type, CAST(p[k] AS BIGINT) AS sub_position FROM (SELECT l_orderkey, l_linenumber, 1 + l_partkey % {len(_PHRASES)} AS k, {sql_list([a[1] for a in _PHRASES])} AS t, {sql_list([a[2] for a in _PHRASES])} AS p FROM lineitem)""")
 def q_subtarget_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Type and position of sub-target phrases."""
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), texts.subtarget(case_of(F.col("l_partkey"), [a[0] for a in _PHRASES])).alias("s"))
-    return rows.select("l_orderkey", "l_linenumber", F.col("s.type").alias("sub_type"), F.col("s.position").cast("long").alias("sub_position"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), case_of(F.col("l_partkey"), [a[0] for a in _PHRASES]).alias("phrase"))
+    return validation.with_subtarget(rows, "phrase", "s").select("l_orderkey", "l_linenumber", F.col("s.type").alias("sub_type"), F.col("s.position").cast("long").alias("sub_position"))
 
 
 _CODES = ["error_finding_subtarget", "less_important", "missing_arrete", "disabled_llm_call", "unknown_code"]
@@ -452,14 +450,25 @@ _RAW = {
 
 
 @registered(f"""
-WITH r AS (SELECT o_orderkey, {", ".join(f"{sql_list(v)}[1 + (o_orderkey // {5**i}) % 5] AS {k}" for i, (k, v) in enumerate(_RAW.items()))} FROM orders)
-SELECT reason, count(*) AS n_ops FROM (SELECT CASE WHEN source_article IS NULL THEN 'source_article' WHEN target_article IS NULL THEN 'target_article' WHEN source_arrete = 'bad' THEN 'source_arrete'
-  WHEN source_article = 'free text' THEN 'source_article_id' WHEN target_article = 'x y z' THEN 'target_article_id' WHEN operation_type = 'autre' THEN 'autre' ELSE 'kept' END AS reason FROM r) GROUP BY 1""")
+WITH r AS (SELECT o_orderkey, {", ".join(f"{sql_list(v)}[1 + (o_orderkey // {5**i}) % 5] AS {k}" for i, (k, v) in enumerate(_RAW.items()))} FROM orders),
+c AS (SELECT *, CASE WHEN source_article IS NULL THEN 'source_article' WHEN target_article IS NULL THEN 'target_article' WHEN source_arrete = 'bad' THEN 'source_arrete'
+  WHEN source_article = 'free text' THEN 'source_article_id' WHEN target_article = 'x y z' THEN 'target_article_id' WHEN operation_type = 'autre' THEN 'autre' ELSE 'kept' END AS reason,
+  CASE WHEN target_article = 'ALL' AND lower(operation_type) = 'replace' THEN 'REMOVE' ELSE CASE operation_type WHEN 'add' THEN 'ADD' WHEN 'delete' THEN 'REMOVE' ELSE 'REPLACE' END END AS kind FROM r),
+k AS (SELECT reason, CASE WHEN reason = 'kept' THEN source_arrete || '#' || source_article || ' ' || target_article || ' ' || kind || ' ' || CASE WHEN o_orderkey % 2 = 0 THEN 'ALINEA 1 premier alinéa' ELSE 'FULL_SECTION - ALL' END || ' '
+  || CASE WHEN target_article = 'ALL' AND lower(operation_type) = 'replace' THEN '-' ELSE 'text' END || ' '
+  || CASE WHEN target_article = 'ALL' AND o_orderkey % 2 = 0 THEN 'error_extracting_operand' WHEN target_article = 'ALL' AND kind = 'ADD' THEN 'not_an_operation' ELSE '' END ELSE '' END AS converted FROM c)
+SELECT reason, converted, count(*) AS n_ops FROM k GROUP BY 1, 2""")
 def q_raw_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw operations by the first check they fail."""
+    """Raw operations by the first check they fail, or by what they are converted to."""
     cases = [case_of(F.floor(F.col("o_orderkey") / F.lit(5**i)), v).alias(k) for i, (k, v) in enumerate(_RAW.items())]
-    raw = table(spark, sf_dir, "orders").select(*cases, F.lit("2019-01-01").alias("target_arrete"), F.lit(None).cast("string").alias("sub_target"))
-    return validation.from_raw(raw).groupBy(F.coalesce("reject_reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n_ops"))
+    sub = F.when(F.col("o_orderkey") % 2 == 0, "premier alinéa").alias("sub_target")
+    raw = table(spark, sf_dir, "orders").select(*cases, F.lit("2019-01-01").alias("target_arrete"), sub, F.lit("text").alias("operand"))
+    done = validation.from_raw(raw)
+    node = F.concat_ws("#", "source_decree", "source_article")
+    position = F.coalesce(F.col("sub_position").cast("string"), F.lit("-"))
+    converted = F.concat_ws(" ", node, "target_article", "operation_type", "sub_type", position, "sub_description", F.coalesce("operand", F.lit("-")), F.array_join("error_codes", ","))
+    kept = F.col("reject_reason").isNull()
+    return done.groupBy(F.coalesce("reject_reason", F.lit("kept")).alias("reason"), F.when(kept, converted).otherwise(F.lit("")).alias("converted")).agg(F.count("*").alias("n_ops"))
 
 
 @registered("""
@@ -843,3 +852,42 @@ def q_site_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/sites-{uuid.uuid4().hex}"
     site_files.write(sinks.operations_file(ops, rows).unionByName(sinks.history_file(versions, rows)).unionByName(permits), path)
     return site_files.read(spark, path)
+
+
+@registered("""
+WITH RECURSIVE t AS (SELECT c_custkey AS tag, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_custkey - 1 - c_custkey % 2 END AS parent, c_nationkey % 3 AS g FROM customer WHERE c_custkey > 2),
+r(tag, g, root, steps) AS (SELECT tag, g, tag, 0 FROM t UNION ALL SELECT r.tag, r.g, t.parent, r.steps + 1 FROM r JOIN t ON t.tag = r.root AND t.g = r.g WHERE t.parent IS NOT NULL)
+SELECT CAST(g AS VARCHAR) AS decree_id, CAST(r.tag AS VARCHAR) AS tag_id, CAST(root AS VARCHAR) AS root, CAST(steps AS BIGINT) AS steps FROM r
+WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.tag = r.root AND t.g = r.g AND t.parent IS NOT NULL)""")
+def q_reference_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References followed to the end of their chains of parents, within each decree."""
+    k = F.col("c_custkey")
+    parent = F.when(k % 5 != 0, (k - 1 - k % 2).cast("string"))
+    rows = table(spark, sf_dir, "customer").where("c_custkey > 2").select((F.col("c_nationkey") % 3).cast("string").alias("decree_id"), k.cast("string").alias("tag_id"), parent.alias("parent_ref"))
+    return trees.resolve_documents(rows, "decree_id").select("decree_id", "tag_id", "root", F.col("steps").cast("long").alias("steps"))
+
+
+@registered("""
+WITH s AS (SELECT page_id, k FROM pages, (SELECT unnest([1, 2, 3]) AS k))
+SELECT page_id, CASE WHEN k = 3 THEN 'APPENDIX:' ELSE '' END || k AS article_id, CASE k WHEN 2 THEN '1' END AS holder, CAST(CASE WHEN k = 3 THEN 1 ELSE 3 - k END AS BIGINT) AS n_links FROM s""")
+def q_section_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of sections, the number of the section around each, and the links inside each, from the node table of decrees made from the pages."""
+    text = F.replace(F.regexp_replace("html", "<[^>]*>", " "), F.lit("<"), F.lit(""))
+    section = lambda k, inner: F.concat(F.lit(f'<section data-spec="section" data-number="{k}"><a data-spec="link">'), text, F.lit("</a>"), inner, F.lit("</section>"))
+    html = F.concat(F.lit("<main>"), section(1, section(2, F.lit(""))), F.lit('</main><footer data-spec="appendix">'), section(3, F.lit("")), F.lit("</footer>"))
+    nodes = stored(trees.nodes(table(spark, sf_dir, "pages").select("page_id", html.alias("html")), "page_id"), "nodes")
+    sections = trees.section_ids(nodes, "page_id").select("page_id", "node_id", "article_id")
+    around = trees.enclosing(trees.of_spec(nodes, "section"), trees.of_spec(nodes, "section"), "page_id")
+    links = trees.inside(trees.of_spec(nodes, "link"), sections, "page_id").groupBy("page_id", F.col("holder").alias("node_id")).agg(F.count("*").alias("n_links"))
+    named = sections.select("page_id", F.col("node_id").alias("holder"), F.col("article_id").alias("holder_id"))
+    rows = sections.join(around, ["page_id", "node_id"], "left").join(named, ["page_id", "holder"], "left").join(links, ["page_id", "node_id"], "left")
+    return rows.select("page_id", "article_id", F.col("holder_id").alias("holder"), "n_links")
+
+
+@registered("""
+WITH f AS (SELECT page_id % 20 AS aiot, page_id || '.html' AS name, trim(regexp_replace(html, '(?m)[ \\t]+$', '', 'g'), ' ') AS html FROM pages)
+SELECT CAST(aiot AS VARCHAR) AS aiot, '<tr><td>' || aiot || '</td><td>' || string_agg('<a href="' || md5(html) || '">' || name || '</a>', ' ' ORDER BY name) || '</td></tr>' AS row FROM f GROUP BY aiot""")
+def q_site_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table row a site with links to its pages, named by the checksum of their normal form."""
+    rows = table(spark, sf_dir, "pages").select((F.col("page_id") % 20).cast("string").alias("aiot"), F.concat("page_id", F.lit(".html")).alias("filename"), F.md5(sinks.normal_html(F.col("html"))).alias("path"))
+    return sinks.index_rows(rows)

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from consolida.functions.identifiers import parse_filename
+from consolida.functions.identifiers import node_of, parse_filename
 from consolida.functions.texts import strip_blockquotes, strip_page_separators
 from consolida.operators.relations import one_decree_a_date
 from consolida.operators.trees import quotes_to_alineas
 from consolida.operators.validation import checked, derived_codes
+from consolida.sources import site_files
 
 NODE = "struct<arrete_id:string,article_id:string>"
 OPERATION = f"id string, origin string, source_id {NODE}, target_id {NODE}, operation_type string, operand string, sub_target struct<type:string,position:int,description:string>, error_codes array<string>, confidence_score int"
@@ -74,6 +73,15 @@ def operations(spark: SparkSession, path: str) -> DataFrame:
     return flat.withColumn("error_codes", codes).withColumn("seq", place)
 
 
+def histories(spark: SparkSession, path: str) -> DataFrame:
+    """Versions of the ``history.json`` files below the sites' folders; what is no such file gives no rows."""
+    version = "struct<version:int,title:string,content:string,operation_id:string,error_codes:array<string>>"
+    rows = site_files.read(spark, path, "history.json").select("aiot", F.explode(F.from_json("text", f"map<string,array<{version}>>")).alias("key", "versions"))
+    rows = rows.select("aiot", "key", F.explode("versions").alias("v")).withColumn("n", node_of(F.col("key")))
+    codes = F.coalesce("v.error_codes", F.expr("cast(array() as array<string>)"))
+    return rows.select("aiot", F.col("n.arrete_id").alias("decree_id"), "n.article_id", "v.version", "v.title", "v.content", "v.operation_id", codes.alias("error_codes"))
+
+
 def ground_truth(spark: SparkSession, path: str) -> DataFrame:
     """Operations to compare with, of the three kinds that change a text."""
     return operations(spark, path).where(F.col("operation_type").isin("ADD", "REPLACE", "REMOVE"))
@@ -94,16 +102,3 @@ def strict_json(text: DataFrame, column: str, schema: str, allowed: list[str]) -
     lost = F.exists(keys, lambda k: F.element_at(again, k).isNotNull() & F.call_function("get_json_object", F.to_json(parsed), F.concat(F.lit("$."), k)).isNull())
     reason = F.when(F.json_object_keys(column).isNull(), F.lit("no object")).when(unknown, F.lit("unknown field")).when(lost, F.lit("type"))
     return text.withColumn("value", parsed).withColumn("reject_reason", reason)
-
-
-def settings(spark: SparkSession, path: str | None, default: dict) -> dict:
-    """A JSON object of settings over its defaults; the defaults where there is no file."""
-    if not path:
-        return dict(default)
-    try:
-        text = spark.read.option("wholetext", True).text(path).first()
-        return {**default, **json.loads(text[0])} if text else dict(default)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return dict(default)

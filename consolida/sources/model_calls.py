@@ -52,10 +52,6 @@ def delay(settings: CallSettings, attempt: int, asked: float | None, draw: float
     return min(settings.base_delay * 2 ** (attempt - 1), settings.max_delay) * (1 - settings.jitter + 2 * settings.jitter * draw)
 
 
-def delay_column(attempt: Column, base: float, most: float) -> Column:
-    return F.least(F.lit(base) * F.pow(F.lit(2), attempt - 1), F.lit(most))
-
-
 @dataclass
 class Caller:
     """One task's calls; ``turns`` tells when it may call, if there is a limit on the rate."""

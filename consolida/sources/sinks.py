@@ -98,7 +98,7 @@ def without_nulls(value: Column) -> Column:
 
 
 def normal_html(html: Column) -> Column:
-    return F.trim(F.regexp_replace(html, r"(?m)[ \t]+$", ""))
+    return F.trim(F.regexp_replace(html, r"(?md)[ \t]+$", ""))
 
 
 def index_rows(files: DataFrame) -> DataFrame:

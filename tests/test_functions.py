@@ -51,7 +51,6 @@ def test_template_needs_every_name(spark):
 
 def test_fenced_reply(spark):
     assert one(spark, texts.fenced_html(F.col("t")), t="so:\n```html\n<p>x</p>\n```") == "<p>x</p>"
-    assert one(spark, texts.prompt_target(F.col("t")), t="a<target>\nT\n</target>") == "T"
 
 
 def test_images_keep_order(spark):

@@ -28,19 +28,19 @@ PHRASES = (
     (b"cc by", "cc-by"),
     (b"mit license", "mit"),
 )
-#: (notice, errors allowed, label).
+#: (notice, errors allowed, label); few enough that no other word of a notice's length fits in place of one of its words.
 NOTICES = (
     (b"gnu general public license", 3, "gpl"),
     (b"gnu lesser general public license", 3, "lgpl"),
     (b"licensed under the apache license version 2 0", 5, "apache"),
     (b"apache license", 1, "apache"),
-    (b"released under the mit license", 3, "mit"),
+    (b"released under the mit license", 2, "mit"),
     (b"mit license", 1, "mit"),
     (b"permission is hereby granted free of charge to any person obtaining a copy", 7, "mit"),
     (b"redistribution and use in source and binary forms", 5, "bsd"),
     (b"mozilla public license", 2, "mpl"),
-    (b"creative commons attribution", 3, "cc-by"),
-    (b"all rights reserved", 2, "reserved"),
+    (b"creative commons attribution", 2, "cc-by"),
+    (b"all rights reserved", 1, "reserved"),
 )
 FOUND = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, labels array<string>, score double, spans array<struct<label:string,first_word:long,last_word:long,errors:int,exact:boolean>>"
 

@@ -508,6 +508,14 @@ def test_licenses_want_a_whole_first_word_of_short_notices():
     assert scanner.scan(b"the mit licence applies")[5] == ["mit"] and scanner.scan(b"an apache licens")[5] == ["apache"]
 
 
+def test_other_words_are_no_errors():
+    scanner = licenses.Scanner()
+    for text in ("hall lights reserved", "all rights observed", "released under the bsd license", "creative commons contribution", "ball rights reserved", "all eights preserved"):
+        assert scanner.scan(text.encode())[5] == [], text
+    for text, label in (("all rights reservd", "reserved"), ("all right reserved", "reserved"), ("relased under the mit licence", "mit"), ("creative comons atribution", "cc-by"), ("mozila public licence", "mpl")):
+        assert label in scanner.scan(text.encode())[5], text
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):

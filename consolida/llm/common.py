@@ -39,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/consolida"
 

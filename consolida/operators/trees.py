@@ -32,7 +32,8 @@ def _rows(html: str | None) -> list[tuple]:
             parent, path = known[id(n.parent)]
             own = len(out), [*path, len(out)]
             known[id(n)] = own
-            out.append((own[0], parent, own[1], places[id(n)], n.tag, n.attrs, " ".join(n.string().split())))
+            said = " ".join("".join(c.text for c in n.children if c.tag is None).split())
+            out.append((own[0], parent, own[1], places[id(n)], n.tag, n.attrs, said))
     return out
 
 
@@ -198,7 +199,7 @@ def outline(docs: DataFrame, *keys: str, html: str = "html") -> DataFrame:
 
 
 def nodes(docs: DataFrame, *keys: str, html: str = "html") -> DataFrame:
-    """Elements of every document in page order, with parent, path, attributes and text."""
+    """Elements of every document in page order, with parent, path, attributes and the text that is directly in them."""
     names = [*keys, *(c.split()[0] for c in NODES.split(", "))]
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -6,6 +6,7 @@ arithmetic, in the same way on both sides.
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Callable
 
@@ -16,7 +17,7 @@ from consolida.functions import identifiers as ids
 from consolida.functions import texts
 from consolida.operators import chunking, detection, evaluation, relations, replay, tagging, trees, validation
 from consolida.plans import pipeline
-from consolida.plans.storage import shared_folder, stored
+from consolida.plans.storage import removed, shared_folder, stored
 from consolida.sources import sinks, site_files
 from consolida.sources.model_calls import CallSettings
 
@@ -850,6 +851,7 @@ def q_site_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = rows.select("aiot", F.lit("2010-01-01").alias("decree_id"), F.col("k").cast("string").alias("article_id"), F.lit(0).alias("version"), F.lit("").alias("title"), F.col("name").alias("content"), F.lit(None).cast("string").alias("operation_id"), F.expr("cast(array() as array<string>)").alias("error_codes"))
     permits = rows.select("aiot", F.lit("permis.html").alias("filename"), F.col("k").cast("long").alias("nth"), F.col("name").alias("text"))
     path = f"{shared_folder(spark)}/sites-{uuid.uuid4().hex}"
+    atexit.register(removed, spark, path)
     site_files.write(sinks.operations_file(ops, rows).unionByName(sinks.history_file(versions, rows)).unionByName(permits), path)
     return site_files.read(spark, path)
 

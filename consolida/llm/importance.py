@@ -28,11 +28,13 @@ is one.  An empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +50,7 @@ RUN = 4
 FLOOR, CEILING = -6.0, -1.6
 TEMPERATURE = 0.25
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
+_MARKS = {c: xxhash.xxh3_64_intdigest(c) for c in ".,;:!?"}
 #: Two tables for tokens, two for pairs, and places of their own for: every document; a run of equal tokens.
 _SIZES = (1 << UNIGRAM_BITS, 1 << UNIGRAM_BITS, 1 << BIGRAM_BITS, 1 << BIGRAM_BITS, 2)
 _STARTS = np.concatenate(([0], np.cumsum(_SIZES)))
@@ -55,48 +58,115 @@ BUCKETS = int(_STARTS[-1])
 SCORES = "doc_id long, n_tokens long, log_weight double, key double"
 
 
+#: Documents and bytes that are hashed together, at most; a longer document stands alone.
+BLOCK_DOCS, BLOCK_BYTES = 4096, 2_000_000
+_BUCKET_BITS = U64(BUCKETS.bit_length())
+
+
 class _Tokens(dict):
-    def __missing__(self, token: str) -> int:
+    """Number of each piece between blanks, and the hashes of the tokens in it; emptied when it holds 400,000 pieces."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.hashes, self.ends = array("Q"), array("q", [0])
+
+    def __missing__(self, piece: str) -> int:
+        # letters alone are one token, and most other pieces a word with a mark behind it
+        if piece.isalpha():
+            self.hashes.append(xxhash.xxh3_64_intdigest(piece))
+        elif piece[-1:] in _MARKS and piece[:-1].isalpha():
+            self.hashes.extend((xxhash.xxh3_64_intdigest(piece[:-1]), _MARKS[piece[-1]]))
+        else:
+            self.hashes.extend(map(xxhash.xxh3_64_intdigest, _TOKEN.findall(piece)))
+        self.ends.append(len(self.hashes))
+        n = self[piece] = len(self)
+        return n
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the tokens of all texts one after another, and how many each has."""
         if len(self) > 400_000:
             self.clear()
-        h = self[token] = xxhash.xxh3_64_intdigest(token)
-        return h
-
-
-def features(text: str | None, seen: _Tokens) -> tuple[int, np.ndarray, np.ndarray]:
-    """(tokens, bucket of each distinct n-gram in the first table, and in the second)."""
-    tokens = _TOKEN.findall(text or "")
-    n = len(tokens)
-    one = np.fromiter(map(seen.__getitem__, tokens), dtype=U64, count=n)
-    two = mixed(one[:-1] * U64(3) + one[1:])
-    run = n >= RUN and np.all([one[i : n - RUN + 1 + i] == one[: n - RUN + 1] for i in range(1, RUN)], axis=0).any()
-    one, two = np.unique(one), np.unique(two)
-    own = np.arange(_STARTS[4], _STARTS[4] + 1 + bool(run))
-    first, second = [own], [own]
-    for grams, bits, at in ((one, UNIGRAM_BITS, 0), (two, BIGRAM_BITS, 2)):
-        h = mixed(grams)
-        mask = U64((1 << bits) - 1)
-        first.append((h & mask).astype(np.int64) + _STARTS[at])
-        second.append((h >> U64(40) & mask).astype(np.int64) + _STARTS[at + 1])
-    return n, np.concatenate(first), np.concatenate(second)
+            self.hashes, self.ends = array("Q"), array("q", [0])
+        pieces = pc.ascii_split_whitespace(texts)  # other blanks part tokens inside a piece
+        told = pieces.flatten().dictionary_encode()
+        known = np.array(list(map(self.__getitem__, told.dictionary.to_numpy(zero_copy_only=False))), np.int64)
+        every = known[told.indices.to_numpy()] if len(known) else known
+        flat, ends = np.array(self.hashes, U64), np.array(self.ends, np.int64)
+        begin, size = ends[every], ends[every + 1] - ends[every]
+        last = np.cumsum(size)
+        hashes = flat[np.arange(size.sum()) + np.repeat(begin - last + size, size)]
+        sizes = np.diff(np.append(0, last)[np.append(0, np.cumsum(pc.list_value_length(pieces).to_numpy()))])
+        return hashes, sizes
 
 
-def _holds(ids: np.ndarray, doc_id: int | None) -> bool:
-    return doc_id is not None and len(ids) > 0 and ids[min(np.searchsorted(ids, doc_id), len(ids) - 1)] == doc_id
+@dataclass
+class Block:
+    """Tokens of some documents one after another; pairs of neighbours, and documents with a run of equal tokens."""
+
+    sizes: np.ndarray
+    one: np.ndarray
+    one_doc: np.ndarray
+    two: np.ndarray
+    two_doc: np.ndarray
+    runs: np.ndarray
+
+    def buckets(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(document, n-gram, its bucket in the first table, and in the second) of tokens, then of pairs."""
+        for grams, doc, bits, at in ((self.one, self.one_doc, UNIGRAM_BITS, 0), (self.two, self.two_doc, BIGRAM_BITS, 2)):
+            h, mask = mixed(grams), U64((1 << bits) - 1)
+            yield doc, grams, (h & mask).astype(np.int64) + _STARTS[at], (h >> U64(40) & mask).astype(np.int64) + _STARTS[at + 1]
+
+
+def _block(one: np.ndarray, sizes: np.ndarray) -> Block:
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    inner = doc[1:] == doc[:-1]
+    two = mixed(one[:-1] * U64(3) + one[1:])[inner]
+    same = inner & (one[1:] == one[:-1])
+    n = max(len(same) - RUN + 2, 0)
+    long = np.all([same[i : n + i] for i in range(RUN - 1)], axis=0)
+    return Block(sizes, one, doc, two, doc[1:][inner], np.unique(doc[:n][long]))
+
+
+def blocks(texts: pa.Array, seen: _Tokens) -> Iterator[Block]:
+    """Texts (null: empty) in order, hashed in blocks."""
+    texts = pc.fill_null(texts, "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+    lo = 0
+    while lo < len(texts):
+        before = ends[lo - 1] if lo else 0
+        hi = min(max(int(np.searchsorted(ends, before + BLOCK_BYTES, "right")), lo + 1), lo + BLOCK_DOCS)
+        yield _block(*seen.of(texts[lo:hi]))
+        lo = hi
+
+
+def _holds(ids: np.ndarray, doc_ids: list[int | None]) -> np.ndarray:
+    """Whether each document is one of the sorted ``ids``."""
+    if not len(ids):
+        return np.zeros(len(doc_ids), bool)
+    there = np.array([d is not None for d in doc_ids], bool)
+    asked = np.array([0 if d is None else d for d in doc_ids], np.int64)
+    return there & (ids[np.minimum(np.searchsorted(ids, asked), len(ids) - 1)] == asked)
 
 
 def _counts(batches: Iterable[pa.RecordBatch], target: np.ndarray, other: np.ndarray) -> Iterator[pa.RecordBatch]:
     seen = _Tokens()
     raw, good, bad = (np.zeros(BUCKETS, np.int64) for _ in range(3))
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            _, a, b = features(text, seen)
-            both = np.unique(np.concatenate([a, b]))
-            np.add.at(raw, both, 1)
-            if _holds(target, doc_id):
-                np.add.at(good, both, 1)
-            elif _holds(other, doc_id):
-                np.add.at(bad, both, 1)
+        ids, at = batch.column(0).to_pylist(), 0
+        is_good = _holds(target, ids)
+        is_bad = ~is_good & _holds(other, ids)
+        for block in blocks(batch.column(1), seen):
+            n = len(block.sizes)
+            keys = [np.arange(n).astype(U64) << _BUCKET_BITS | U64(_STARTS[4]), block.runs.astype(U64) << _BUCKET_BITS | U64(_STARTS[4] + 1)]
+            for doc, _, a, b in block.buckets():
+                keys += [doc.astype(U64) << _BUCKET_BITS | x.astype(U64) for x in (a, b)]
+            key = np.sort(np.concatenate(keys))
+            key = key[np.append(True, key[1:] != key[:-1])]
+            doc, bucket = (key >> _BUCKET_BITS).astype(np.int64) + at, (key & U64((1 << int(_BUCKET_BITS)) - 1)).astype(np.int64)
+            for counts, of in ((raw, bucket), (good, bucket[is_good[doc]]), (bad, bucket[is_bad[doc]])):
+                if len(of):
+                    counts += np.bincount(of, minlength=BUCKETS)
+            at += n
     full = np.flatnonzero(raw)
     for lo in range(0, len(full), 50_000):
         part = full[lo : lo + 50_000]
@@ -148,24 +218,35 @@ def noise(doc_id: int | None, text: str) -> float:
     return float(-np.log(-np.log(u)))
 
 
-def _scorer(ratios: np.ndarray) -> Callable[[int | None, str | None], tuple[int, float, float]]:
-    seen = _Tokens()
+def _weights(block: Block, ratios: np.ndarray) -> np.ndarray:
+    """Log weight of each document: the milder ratio of each distinct n-gram, summed; only those below zero are told apart."""
+    docs = np.arange(len(block.sizes))
+    weight = ratios[_STARTS[4]] + np.where(np.isin(docs, block.runs), ratios[_STARTS[4] + 1], 0.0)
+    for doc, grams, a, b in block.buckets():
+        value = np.maximum(ratios[a], ratios[b])
+        at = np.flatnonzero(value)
+        at = at[np.lexsort((grams[at], doc[at]))]
+        new = np.append(True, (doc[at][1:] != doc[at][:-1]) | (grams[at][1:] != grams[at][:-1]))[: len(at)]
+        at = at[new]
+        weight += np.bincount(doc[at], weights=value[at], minlength=len(docs))
+    return weight
 
-    def score(doc_id: int | None, text: str | None) -> tuple[int, float, float]:
-        n, a, b = features(text, seen)
-        if not n:
-            return 0, float("-inf"), float("-inf")
-        weight = float(np.maximum(ratios[a], ratios[b]).sum())
-        return n, weight, weight / TEMPERATURE + noise(doc_id, text or "")
 
-    return score
+def _scores(ids: list[int | None], texts: pa.Array, ratios: np.ndarray, seen: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens, log weight, key) of each document."""
+    found = [(b.sizes, _weights(b, ratios)) for b in blocks(texts, seen)]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+    n, weight = (np.concatenate(parts) for parts in zip(*found, strict=True))
+    weight = np.where(n > 0, weight, -np.inf)
+    return n, weight, weight / TEMPERATURE + np.array([noise(i, "" if i is not None else texts[k].as_py() or "") for k, i in enumerate(ids)])
 
 
 def _scored(batches: Iterable[pa.RecordBatch], ratios: np.ndarray) -> Iterator[pa.RecordBatch]:
-    score = _scorer(ratios)
+    seen = _Tokens()
     for batch in batches:
         ids = batch.column(0).to_pylist()
-        n, weight, key = zip(*map(score, ids, batch.column(1).to_pylist()), strict=True) if ids else ((), (), ())
+        n, weight, key = _scores(ids, batch.column(1), ratios, seen)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(weight, pa.float64()), pa.array(key, pa.float64())], names=["doc_id", "n_tokens", "log_weight", "key"])
 
 
@@ -205,12 +286,10 @@ class Selection:
         names = docs.columns
 
         def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ratios, threshold = model.value
-            score = _scorer(ratios)
+            (ratios, threshold), seen = model.value, _Tokens()
             for batch in batches:
-                ids, texts = (batch.column(names.index(c)).to_pylist() for c in ("doc_id", "text"))
-                mask = [(s := score(i, t))[0] > 0 and s[2] >= threshold for i, t in zip(ids, texts, strict=True)]
-                yield batch.filter(pa.array(mask, pa.bool_()))
+                n, _, key = _scores(batch.column(names.index("doc_id")).to_pylist(), batch.column(names.index("text")), ratios, seen)
+                yield batch.filter(pa.array((n > 0) & (key >= threshold), pa.bool_()))
 
         return docs.mapInArrow(keep, docs.schema)
 

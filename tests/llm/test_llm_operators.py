@@ -417,6 +417,49 @@ def test_importance(spark):
     assert importance.classify(docs, labels.limit(0)).where("kept").count() == 400
 
 
+def test_importance_hashes_documents_in_blocks(monkeypatch):
+    """Counts and weights of blocks are those of the documents one by one."""
+    import pyarrow as pa
+    import xxhash
+
+    rng = random.Random(31)
+    parts = ["alpha", "été", "a_b", "x1y22", "...", "end.", "no-break\u00a0space", "file\x1csep", "漢字", "٣٤", "²", "__", "", "  ", "\n", "!?", "İ,", ";"]
+    texts = [None, "", " \t", "a a a a", "a. a. a.", "b"] + [rng.choice([" ", "\u2003", "\t"]).join(rng.choices(parts, k=rng.randrange(1, 40))) for _ in range(60)]
+    ids = [None if i % 11 == 3 else i for i in range(len(texts))]
+    start = importance._STARTS
+
+    def grams_of(text):
+        tokens = np.array([xxhash.xxh3_64_intdigest(t) for t in re.findall(r"[^\W\d_]+|\d+|[^\w\s]+|_+", text or "")], dtype=np.uint64)
+        run = any(len(set(tokens[i : i + 4].tolist())) == 1 for i in range(len(tokens) - 3))
+        pairs = [(start[4] + k, start[4] + k) for k in range(1 + run)]
+        for grams, bits, at in ((tokens, importance.UNIGRAM_BITS, 0), (common.mixed(tokens[:-1] * np.uint64(3) + tokens[1:]), importance.BIGRAM_BITS, 2)):
+            for h in common.mixed(np.array(sorted(set(grams.tolist())), dtype=np.uint64)).tolist():
+                pairs.append((start[at] + h % (1 << bits), start[at + 1] + (h >> 40) % (1 << bits)))
+        return len(tokens), pairs
+
+    monkeypatch.setattr(importance, "BLOCK_DOCS", 7)
+    monkeypatch.setattr(importance, "BLOCK_BYTES", 300)
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    want = np.zeros((3, importance.BUCKETS), np.int64)
+    for i, text in zip(ids, texts, strict=True):
+        for bucket in {b for pair in grams_of(text)[1] for b in pair}:
+            want[0, bucket] += 1
+            if i is not None:
+                want[1 if i % 2 else 2, bucket] += 1
+    got = np.zeros((3, importance.BUCKETS), np.int64)
+    odd, even = np.arange(1, 99, 2), np.arange(0, 99, 2)
+    for found in importance._counts([batch, batch.slice(0, 0)], odd, even):
+        rows = found.to_pydict()
+        got[:, rows["bucket"]] = rows["raw"], rows["good"], rows["bad"]
+    assert (got == want).all()
+    ratios = np.where(np.arange(importance.BUCKETS) % 3 > 0, -(np.arange(importance.BUCKETS) % 7) / 4.0, 0.0)
+    scored = pa.Table.from_batches(importance._scored([batch], ratios)).to_pylist()
+    for row, text in zip(scored, texts, strict=True):
+        n, pairs = grams_of(text)
+        assert row["n_tokens"] == n
+        assert row["log_weight"] == (pytest.approx(sum(max(ratios[a], ratios[b]) for a, b in pairs)) if n else float("-inf"))
+
+
 def test_kth_largest(spark):
     rng = random.Random(15)
     values = [rng.gauss(0, 1) for _ in range(3000)] + [0.5] * 50

@@ -19,22 +19,43 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/consolida"
 
 
-def stored(df: DataFrame, name: str, counts: dict[str, int] | None = None) -> DataFrame:
+def _path(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder; what is there goes when the program ends."""
+    path = f"{shared_folder(spark)}/consolidate-{name}-{uuid.uuid4().hex}"
+    atexit.register(removed, spark, path)
+    return path
+
+
+def stored(df: DataFrame, name: str, counts: dict[str, int] | None = None, by: str | None = None) -> DataFrame:
     """``df`` written as Parquet and read again, so that later stages neither repeat nor depend on its lineage.
 
     The table goes when the program ends.  With ``counts``, the rows that were
-    written are counted on the way and noted there under ``name``.
+    written are counted on the way and noted there under ``name``.  ``by``: a
+    column whose values have folders of their own.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/consolidate-{name}-{uuid.uuid4().hex}"
+    path = _path(spark, name)
     schema, seen = df.schema, Observation(name)
-    (df if counts is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))).write.parquet(path)
+    (df if counts is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))).write.partitionBy(*([by] if by else [])).parquet(path)
     if counts is not None:
         counts[name] = seen.get["rows"]
-    atexit.register(removed, spark, path)
     return spark.read.schema(schema).parquet(path)
 
 
+class Appended:
+    """A table that grows by parts, each stored when it is added."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.schema = spark, _path(spark, name), None
+
+    def add(self, part: DataFrame) -> None:
+        self.schema = part.schema
+        part.write.mode("append").parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a stored table; nothing where the session has ended already."""
     try:

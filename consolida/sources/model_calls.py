@@ -16,7 +16,7 @@ from pyspark import BarrierTaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from consolida.plans.storage import stored
+from consolida.plans.storage import Appended, stored
 
 
 class CallFailed(Exception):
@@ -150,24 +150,29 @@ def _asked(batches: Iterator[pd.DataFrame], prompt: str, call: Callable[[str, st
 def with_replies(rows: DataFrame, prompt: str, call: Callable[[str, str], str], settings: CallSettings | None = None) -> DataFrame:
     """``rows`` with ``reply``, ``model``, ``attempts``, ``call_error`` and tokens; null prompts are not sent.
 
-    Equal prompts are sent once.  They go out in rounds of ``settings.batch``
-    at most, and each round's replies are stored before the next, so a lost
-    executor costs the calls of one round.  With an interval, a round is one
+    Equal prompts are sent once.  Without an interval they go out in one stage,
+    ``settings.batch`` or so to a task, and each task's replies are stored when
+    it ends, so a lost executor costs the calls of its running tasks.  With an
+    interval they go out in rounds of about ``settings.batch``: a round is one
     barrier stage of ``settings.parallelism`` tasks that take turns by their
-    numbers; without one, prompts are spread as they come.
+    numbers, reads its own prompts only, and is stored before the next begins.
     """
     settings = settings or CallSettings(min_interval=0.0)
     prompts = stored(rows.where(F.col(prompt).isNotNull()).select(F.sha2(prompt, 256).alias("_key"), F.col(prompt).alias("_prompt")).groupBy("_key").agg(F.first("_prompt").alias("_prompt")), "prompts")
     rounds = max(1, -(-prompts.count() // settings.batch))
     ddl = f"_key string, _prompt string, {REPLY}"
-    done = None
-    for k in range(rounds):
-        some = prompts.where(F.pmod(F.xxhash64("_key"), F.lit(rounds)) == k) if rounds > 1 else prompts
-        if settings.min_interval > 0:
-            some = some.repartition(settings.parallelism, "_key")
-        found = some.mapInPandas(lambda it: _asked(it, "_prompt", call, settings), ddl, barrier=settings.min_interval > 0)
-        found = stored(found.drop("_prompt"), "replies")
-        done = found if done is None else done.unionByName(found)
+    if settings.min_interval > 0:
+        replies = Appended(rows.sparkSession, "replies")
+        if rounds > 1:
+            prompts = stored(prompts.withColumn("_round", F.pmod(F.xxhash64("_key"), F.lit(rounds))).repartition("_round"), "rounds", by="_round")
+        for k in range(rounds):
+            some = prompts.where(F.col("_round") == k).drop("_round") if rounds > 1 else prompts
+            found = some.repartition(settings.parallelism, "_key").mapInPandas(lambda it: _asked(it, "_prompt", call, settings), ddl, barrier=True)
+            replies.add(found.drop("_prompt"))
+        done = replies.read()
+    else:
+        found = prompts.repartition(rounds, "_key").mapInPandas(lambda it: _asked(it, "_prompt", call, settings), ddl)
+        done = stored(found.drop("_prompt"), "replies")
     met = rows.withColumn("_key", F.sha2(prompt, 256)).join(done, "_key", "left").drop("_key")
     return met.withColumn("attempts", F.coalesce("attempts", F.lit(0)))
 

@@ -93,6 +93,35 @@ def test_equal_prompts_are_sent_once_and_in_rounds(spark):
     assert count.value == 7
 
 
+def test_jobs_do_not_grow_with_prompts(spark):
+    """Without an interval all prompts go out in one stage, with about a batch to a task."""
+
+    def jobs(n):
+        before = spark.sparkContext.statusTracker().getJobIdsForGroup(f"prompts{n}")
+        assert not before
+        spark.sparkContext.setJobGroup(f"prompts{n}", "")
+        rows = spark.createDataFrame([(f"<target>{i}</target>",) for i in range(n)], "prompt string")
+        out = model_calls.with_replies(rows, "prompt", model_calls.echo_target, model_calls.CallSettings(min_interval=0.0, batch=10)).collect()
+        assert sorted(int(r["reply"]) for r in out) == list(range(n))
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"prompts{n}"))
+
+    few, many = jobs(20), jobs(200)
+    spark.sparkContext._jsc.clearJobGroup()
+    assert many <= few + 2
+
+
+def test_rounds_with_an_interval_read_their_own_prompts(spark):
+    rows = spark.createDataFrame([(f"<target>{i % 9}</target>",) for i in range(12)], "prompt string")
+    count = spark.sparkContext.accumulator(0)
+
+    def call(model, prompt):
+        count.add(1)
+        return model_calls.echo_target(model, prompt)
+
+    out = model_calls.with_replies(rows, "prompt", call, model_calls.CallSettings(min_interval=0.01, parallelism=2, batch=2)).collect()
+    assert sorted(int(r["reply"]) for r in out) == sorted(i % 9 for i in range(12)) and count.value == 9
+
+
 def test_tasks_take_turns(spark):
     """Four tasks of a barrier stage together keep the interval."""
     rows = spark.createDataFrame([(f"p{i}",) for i in range(12)], "prompt string")

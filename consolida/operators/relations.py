@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Sequence
 
@@ -11,7 +12,11 @@ from pyspark.sql import functions as F
 from consolida.functions.identifiers import is_annexe, kind_rank, not_a_decree, sort_key
 from consolida.operators.trees import outline
 from consolida.operators.validation import is_full_removal
-from consolida.plans.storage import stored
+from consolida.plans.storage import bucketed, stored
+
+
+#: Tables of steps that are merged into one (fixed value).
+MERGED = 6
 
 
 def first_by(rows: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:
@@ -152,22 +157,29 @@ def nodes_and_edges(ops: DataFrame) -> tuple[DataFrame, DataFrame]:
 def downstream(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """(seed, node, steps) of all nodes that can be reached along ``edges`` (src, dst), each by its shortest way.
 
-    One join per step over the newest nodes only; each step's are stored, and
-    every few steps the result so far is.
+    One join per step over the newest nodes only.  Links are stored once, and
+    what was reached in buckets of seed and node, so a step shuffles the newest
+    nodes and those ahead of them, and nothing that was reached before.  Every
+    ``MERGED`` tables of steps become one, and as many of those one again.
     """
-    spark = edges.sparkSession
-    links = edges.select("src", "dst").distinct()
-    seen = seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("steps")).distinct()
-    newest, parts = seen, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["seed", "node"]
+    links = stored(edges.select("src", "dst").distinct(), "links")
+    newest = bucketed(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("steps")).dropDuplicates(keys), "reached", *keys)
+    seen = [[newest]]  # tables by how often they were merged
     for step in itertools.count(1):
-        ahead = newest.join(links, newest["node"] == links["src"]).select("seed", F.col("dst").alias("node"), F.lit(step).alias("steps")).distinct()
-        newest = ahead.join(seen, ["seed", "node"], "left_anti")
-        newest = stored(newest, "reached")
+        fresh = newest.join(links, newest["node"] == links["src"]).select("seed", F.col("dst").alias("node")).distinct()
+        for table in itertools.chain.from_iterable(seen):
+            fresh = fresh.join(table.select(*keys).hint("merge"), keys, "left_anti")
+        newest = bucketed(fresh.withColumn("steps", F.lit(step)), "reached", *keys)
         if newest.isEmpty():
-            return seen
-        seen = seen.unionByName(newest)
-        if step % 20 == 0:
-            seen = stored(seen.coalesce(parts), "reached")
+            return functools.reduce(DataFrame.unionByName, itertools.chain.from_iterable(seen))
+        seen[0].append(newest)
+        for level in itertools.takewhile(lambda level: len(seen[level]) >= MERGED, itertools.count()):
+            whole = bucketed(functools.reduce(DataFrame.unionByName, seen[level]).repartition(*keys), "reached", *keys)
+            seen[level] = []
+            if level + 1 == len(seen):
+                seen.append([])
+            seen[level + 1].append(whole)
 
 
 def covered(flag: Column) -> Column:

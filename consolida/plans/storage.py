@@ -56,6 +56,23 @@ class Appended:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
 
+def bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """``df`` stored in buckets of ``keys``, as many as a shuffle has partitions: joins on all of them do not shuffle it again."""
+    spark = df.sparkSession
+    path = _path(spark, name)
+    table = f"consolidate_{name}_{path[-32:]}"
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).option("path", path).format("parquet").saveAsTable(table)
+    atexit.register(_dropped, spark, table)
+    return spark.table(table)
+
+
+def _dropped(spark: SparkSession, table: str) -> None:
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    except Exception:
+        return
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a stored table; nothing where the session has ended already."""
     try:

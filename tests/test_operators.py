@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from consolida.operators import chunking, relations, replay, validation
+from consolida.plans import storage
 from consolida.sources import decrees, sinks
 from consolida.streaming import incremental
 
@@ -259,3 +260,22 @@ def test_downstream_has_no_last_step(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(205)] + [(205, 203)], "src long, dst long").coalesce(1)
     found = relations.downstream(edges, spark.createDataFrame([(0,)], "node long").coalesce(1))
     assert {(r["node"], r["steps"]) for r in found.collect()} == {(i, i) for i in range(206)}
+
+
+def test_reached_nodes_are_not_shuffled_again(spark, monkeypatch):
+    """Chains longer than the tables that are merged, a cycle and a fork; what is stored in buckets is joined where it is."""
+    monkeypatch.setattr(relations, "MERGED", 2)
+    chain = [(i, i + 1) for i in range(7)] + [(7, 3), (1, 5), (4, 4)]
+    edges = spark.createDataFrame(chain, "src long, dst long")
+    got = {(r["seed"], r["node"]): r["steps"] for r in relations.downstream(edges, spark.createDataFrame([(0,), (6,), (0,), (99,)], "node long")).collect()}
+    want = {}
+    for seed in (0, 6, 99):
+        at, step = {seed}, 0
+        while at:
+            want |= {(seed, n): step for n in at}
+            at, step = {d for s, d in chain if s in at} - {n for s, n in want if s == seed}, step + 1
+    assert got == want
+    pairs = spark.range(100).selectExpr("id AS seed", "id * 2 AS node")
+    held = storage.bucketed(pairs, "reached", "seed", "node")
+    plan = pairs.repartition("node").join(held.hint("merge"), ["seed", "node"], "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(seed") == 1

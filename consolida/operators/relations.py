@@ -71,11 +71,11 @@ def without_redundant(ops: DataFrame, keys: Sequence[str] = ("source_decree", "s
     of equal scope and type the first by ``seq`` stays.
     """
     full = F.coalesce(F.col("sub_type") == "FULL_SECTION", F.lit(True))
-    group = Window.partitionBy(*keys)
-    rows = ops.withColumn("_full", full).withColumn("_precise", F.max((~full).cast("int")).over(group))
+    rows = ops.repartition(*keys).withColumn("_full", full)
     scope = Window.partitionBy(*keys, "_full", F.when(~full, F.col("sub_type")), F.when(~full, F.col("sub_position")), "operation_type").orderBy(seq)
-    rows = rows.withColumn("_n", F.row_number().over(scope))
-    return rows.where("_n = 1 and not (_full and _precise = 1)").drop("_full", "_precise", "_n")
+    rows = rows.withColumn("_n", F.row_number().over(scope)).where("_n = 1")
+    rows = rows.withColumn("_precise", F.max((~F.col("_full")).cast("int")).over(Window.partitionBy(*keys)))
+    return rows.where("not (_full and _precise = 1)").drop("_full", "_precise", "_n")
 
 
 def numbered(rows: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:

@@ -279,3 +279,10 @@ def test_reached_nodes_are_not_shuffled_again(spark, monkeypatch):
     held = storage.bucketed(pairs, "reached", "seed", "node")
     plan = pairs.repartition("node").join(held.hint("merge"), ["seed", "node"], "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(seed") == 1
+
+
+def test_redundancy_sorts_once(spark):
+    """A task holds the rows of one sort, for both windows."""
+    ops = spark.createDataFrame([("a", "b", 1, "ADD", "ALINEA", 0)], "source string, target string, seq int, operation_type string, sub_type string, sub_position int")
+    plan = relations.without_redundant(ops, ("source", "target"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from consolida.functions.texts import fenced_html
 from consolida.operators.fragments import append_body, change_fragment, insert_fragment, split_title, without_title
 from consolida.operators.relations import connected
+from consolida.operators.trees import sliced
 from consolida.plans.storage import stored
 from consolida.sources.model_calls import CallSettings, change_prompt, with_replies
 
@@ -271,7 +272,8 @@ def _folded(batches: Iterator[pa.RecordBatch], ask: bool) -> Iterator[pa.RecordB
 
     now: list[dict] = []
     for batch in batches:
-        for row in batch.to_pylist():
+        for cells in sliced(batch):
+            row = dict(zip(batch.schema.names, cells, strict=True))
             if now and row["component"] != now[0]["component"]:
                 yield from done(now)
                 now = []

@@ -7,11 +7,12 @@ then relational, on the path of a node.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from html import escape, unescape
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,20 +53,36 @@ def _articles(html: str | None) -> list[tuple]:
     return out
 
 
-def articles(docs: DataFrame, *keys: str, html: str = "html") -> DataFrame:
-    """(keys, article_id, pos, title, content) of every numbered section; each document is parsed once."""
-    names = [*keys, "article_id", "pos", "title", "content"]
+#: Documents of a batch that are Python objects at a time (fixed value).
+SLICE = 64
+_ARROW = {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                found = _articles(row[-1])
-                if found:
-                    yield pd.DataFrame([(*row[:-1], *f) for f in found], columns=names)
 
-    types = dict(docs.dtypes)
-    ddl = ", ".join([*(f"{k} {types[k]}" for k in keys), "article_id string, pos int, title string, content string"])
-    return docs.select(*keys, html).mapInPandas(expand, ddl)
+def per_document(docs: DataFrame, keys: Sequence[str], html: str, columns: str, step: Callable[[str | None], list]) -> DataFrame:
+    """The keys and ``columns`` of the rows that ``step`` gives for each document, a few documents of a batch at a time."""
+    names, kinds = zip(*(c.split() for c in columns.split(", ")), strict=True)
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            types = [*batch.schema.types[:-1], *(_ARROW[k] for k in kinds)]
+            for row in sliced(batch):
+                if found := step(row[-1]):
+                    cells = zip(*((*row[:-1], *f) for f in found), strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, types, strict=True)], names=[*keys, *names])
+
+    held = dict(docs.dtypes)
+    return docs.select(*keys, html).mapInArrow(expand, ", ".join([*(f"{k} {held[k]}" for k in keys), columns]))
+
+
+def sliced(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of a batch as tuples, ``SLICE`` of them Python objects at a time."""
+    for at in range(0, batch.num_rows, SLICE):
+        yield from zip(*(c.to_pylist() for c in batch.slice(at, SLICE).columns), strict=True)
+
+
+def articles(docs: DataFrame, *keys: str, html: str = "html") -> DataFrame:
+    """(keys, article_id, pos, title, content) of every numbered section; each document is parsed once."""
+    return per_document(docs, keys, html, "article_id string, pos int, title string, content string", _articles)
 
 
 OUTLINE = (
@@ -184,18 +201,7 @@ def outline(docs: DataFrame, *keys: str, html: str = "html") -> DataFrame:
     version, without its end; ``heading_end``: where the section's own first
     heading ends; ``title_html``: its first title, wherever in it.
     """
-    names = [*keys, *_OUTLINE]
-
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                found = _Outline(row[-1]).found if row[-1] else []
-                if found:
-                    yield pd.DataFrame([(*row[:-1], *(f.get(c) for c in _OUTLINE)) for f in found], columns=names).astype(object)
-
-    types = dict(docs.dtypes)
-    ddl = ", ".join([*(f"{k} {types[k]}" for k in keys), OUTLINE])
-    return docs.select(*keys, html).mapInPandas(expand, ddl)
+    return per_document(docs, keys, html, OUTLINE, lambda text: [[f.get(c) for c in _OUTLINE] for f in (_Outline(text).found if text else [])])
 
 
 def nodes(docs: DataFrame, *keys: str, html: str = "html") -> DataFrame:

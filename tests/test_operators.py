@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from consolida.operators import chunking, relations, replay, validation
+from consolida.operators import chunking, relations, replay, trees, validation
 from consolida.plans import storage
 from consolida.sources import decrees, sinks
 from consolida.streaming import incremental
@@ -286,3 +286,21 @@ def test_redundancy_sorts_once(spark):
     ops = spark.createDataFrame([("a", "b", 1, "ADD", "ALINEA", 0)], "source string, target string, seq int, operation_type string, sub_type string, sub_position int")
     plan = relations.without_redundant(ops, ("source", "target"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_batches_become_objects_in_slices():
+    """Of a batch of documents only a few at a time are Python objects."""
+    import pyarrow as pa
+
+    seen = []
+
+    class Batch:
+        num_rows = 200
+
+        def slice(self, at, n):
+            seen.append((at, n))
+            return pa.RecordBatch.from_pydict({"html": ["x"] * min(n, 200 - at)})
+
+    rows = trees.sliced(Batch())
+    assert next(rows) == ("x",) and seen == [(0, trees.SLICE)]
+    assert len(list(rows)) == 199 and len(seen) == -(-200 // trees.SLICE)

@@ -7,15 +7,16 @@ by joins and windows over that outline; only the last step cuts the text.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from consolida.functions.identifiers import display_number, sort_key
 from consolida.functions.texts import FULL_NAMES, error_reason, fill_template, operation_label, superfluous
 from consolida.operators.relations import covered, other_decrees, predecessor, principal
-from consolida.operators.trees import outline
+from consolida.operators.trees import outline, sliced
 from consolida.plans.storage import stored
 
 DECREE = ["aiot", "decree_id"]
@@ -140,22 +141,23 @@ def new_articles(outlines: DataFrame, sections: DataFrame, states: DataFrame) ->
     return rows.select(*DECREE, at.alias("start"), at.alias("end"), html.alias("text"), sort_key(F.col("article_id")).alias("place"))
 
 
-@F.pandas_udf(T.StringType())
-def spliced(html: pd.Series, spans: pd.Series, edits: pd.Series) -> pd.Series:
-    """The spans of a text, each with its edits."""
+def _spliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans of each text with their edits, from rows of (aiot, decree_id, html, spans, edits)."""
 
-    def one(text: str, parts, changes) -> str:  # noqa: ANN001
+    def one(text: str, parts: list[dict], changes: list[dict] | None) -> str:
         out = []
         for part in parts:
             at = part["start"]
-            for e in changes if changes is not None else ():
+            for e in changes or ():
                 if part["start"] <= e["start"] and e["end"] <= part["end"]:
                     out += [text[at : e["start"]], e["text"]]
                     at = e["end"]
             out.append(text[at : part["end"]])
         return "".join(out)
 
-    return pd.Series([one(h, s, e) for h, s, e in zip(html, spans, edits, strict=True)], dtype=object)
+    for batch in batches:
+        for aiot, decree, *row in sliced(batch):
+            yield pa.RecordBatch.from_arrays([pa.array([v], pa.string()) for v in (aiot, decree, one(*row))], names=[*DECREE, "content"])
 
 
 def contents(decrees: DataFrame, outlines: DataFrame, ops: DataFrame, versions: DataFrame) -> DataFrame:
@@ -165,7 +167,7 @@ def contents(decrees: DataFrame, outlines: DataFrame, ops: DataFrame, versions:
     ordered = edits.groupBy(*DECREE).agg(F.array_sort(F.collect_list(F.struct("start", "end", "place", "text"))).alias("edits"))
     spans = outlines.where("kind in ('main', 'appendix')").groupBy(*DECREE).agg(F.array_sort(F.collect_list(F.struct(F.when(F.col("kind") == "main", 0).otherwise(1).alias("nth"), "start", "end"))).alias("spans"))
     rows = decrees.select(*DECREE, "html").join(spans, DECREE).join(ordered, DECREE, "left")
-    return rows.select(*DECREE, spliced("html", "spans", "edits").alias("content"))
+    return rows.select(*DECREE, "html", "spans", "edits").mapInArrow(_spliced, "aiot string, decree_id string, content string")
 
 
 # The permit ------------------------------------------------------------------------------------

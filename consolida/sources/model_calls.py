@@ -156,6 +156,8 @@ def with_replies(rows: DataFrame, prompt: str, call: Callable[[str, str], str],
     interval they go out in rounds of about ``settings.batch``: a round is one
     barrier stage of ``settings.parallelism`` tasks that take turns by their
     numbers, reads its own prompts only, and is stored before the next begins.
+    Replies meet their rows by sorting: a table of like replies is small as a
+    file, by which Spark would take it for one to be broadcast, and not in memory.
     """
     settings = settings or CallSettings(min_interval=0.0)
     prompts = stored(rows.where(F.col(prompt).isNotNull()).select(F.sha2(prompt, 256).alias("_key"), F.col(prompt).alias("_prompt")).groupBy("_key").agg(F.first("_prompt").alias("_prompt")), "prompts")
@@ -173,7 +175,7 @@ def with_replies(rows: DataFrame, prompt: str, call: Callable[[str, str], str],
     else:
         found = prompts.repartition(rounds, "_key").mapInPandas(lambda it: _asked(it, "_prompt", call, settings), ddl)
         done = stored(found.drop("_prompt"), "replies")
-    met = rows.withColumn("_key", F.sha2(prompt, 256)).join(done, "_key", "left").drop("_key")
+    met = rows.withColumn("_key", F.sha2(prompt, 256)).join(done.hint("merge"), "_key", "left").drop("_key")
     return met.withColumn("attempts", F.coalesce("attempts", F.lit(0)))
 
 

@@ -110,6 +110,14 @@ def test_jobs_do_not_grow_with_prompts(spark):
     assert many <= few + 2
 
 
+def test_replies_are_not_broadcast(spark):
+    """The replies grow with the input, and their files are small where they are alike."""
+    rows = spark.createDataFrame([(i, f"<target>{i % 7}</target>" if i else None) for i in range(40)], "i int, prompt string")
+    out = model_calls.with_replies(rows, "prompt", model_calls.echo_target, model_calls.CallSettings(min_interval=0.0))
+    assert {(r["i"], r["reply"]) for r in out.collect()} == {(i, str(i % 7) if i else None) for i in range(40)}
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rounds_with_an_interval_read_their_own_prompts(spark):
     rows = spark.createDataFrame([(f"<target>{i % 9}</target>",) for i in range(12)], "prompt string")
     count = spark.sparkContext.accumulator(0)

@@ -17,7 +17,8 @@ lists as sorted, differenced key blocks: first the occurrences of context and
 next word, then gains and sizes of contexts.  A range of keys sums what all
 blocks hold and answers every block with its totals, so a frequent context is
 spread over all ranges in the first list and comes once a block in the second.
-Contexts stay in the answers; none is collected.  The blocks lie in tables
+Contexts stay in the answers; none is collected.  No context is weighed that
+occurs too seldom for any next words to reach ``gain``.  The blocks lie in tables
 bucketed by block: only keys and answers are shuffled.  Words are known by
 64-bit hashes, contexts by as many bits as keep a chance agreement of any two
 keys below one in 2 ** ``SPARE_BITS``.
@@ -256,6 +257,21 @@ def _next(row: dict, places: np.ndarray, prior: np.ndarray | None, seen: np.ndar
     return _state(row)
 
 
+def fewest(root: Root, mass: float, gain: float) -> int:
+    """Occurrences below which no context can exceed ``gain``, whatever words follow it.
+
+    A next word that stands m times there stands m times behind every suffix
+    too, so its probability is m / (tokens + the most that is added) at least.
+    A word's gain grows with m; a context of n occurrences has at most that of
+    n times one word.  A thousandth is left for rounding.
+    """
+    most = root.tokens + max(mass, ADDED * (root.words + 1))
+    n = 1
+    while n < 255 and n * (math.log((n - 1) / n * most + mass) - math.log(n - 1 + mass)) + 1e-3 * (n + abs(gain)) <= gain:
+        n += 1
+    return n
+
+
 # Exchange ------------------------------------------------------------------------------------
 
 _SENT = "part int, block long, keys binary, values binary"
@@ -455,13 +471,15 @@ def score(docs: DataFrame, least: int = LEAST, mass: float = MASS, gain: float |
     first = _exchanged(blocks.mapInArrow(lambda it: _words_sent(it, parts), _SENT), n, _summed, "words")
     words, tokens = _owned(first)
     gain = 2 * math.log(max(tokens, 1)) if gain is None else gain
+    root = Root(tokens, words)
+    least = max(least, fewest(root, mass, gain))
     shift = max(0, 64 - SPARE_BITS - tokens.bit_length())
 
     def met(answers: DataFrame, step: Callable, columns: str) -> DataFrame:
         return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: step(a, b), columns)
 
     state = blocks
-    state = bucketed(met(first, partial(_begun, root=Root(tokens, words), least=least), _STATE), "level", "block", n)
+    state = bucketed(met(first, partial(_begun, root=root, least=least), _STATE), "level", "block", n)
     forget(blocks, first)
     depth, n_contexts = 0, 0
     while True:

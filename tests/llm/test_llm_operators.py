@@ -519,6 +519,27 @@ def test_suffix_tree(spark, least):
         assert r["base_score"] == pytest.approx(sum(math.log10(root(x)) for x in w)) and r["score"] == pytest.approx(score)
 
 
+def test_contexts_that_cannot_reach_the_gain_are_not_weighed(spark, monkeypatch):
+    """With the default gain contexts that occur twice are left out beforehand; the result is that of weighing them."""
+    rng = random.Random(18)
+    texts = {i: " ".join([f"a{i // 2}", "b", f"c{i // 2}"] + [x for a in rng.choices("01", k=20) for x in (f"k{a}", "m", f"z{a}")]) for i in range(400)}
+    sent, exchanged = [], suffix_tree._exchanged
+
+    def counting(rows, n, answer, tag):
+        out = exchanged(rows, n, answer, tag)
+        sent.append(int(out.agg(F.sum(F.length("totals"))).first()[0] or 0) if tag == "events" else 0)
+        return out
+
+    monkeypatch.setattr(suffix_tree, "_exchanged", counting)
+    few = suffix_tree.score(docs_of(spark, texts), mass=5.0).collect()
+    short, fewest = sum(sent), suffix_tree.fewest
+    monkeypatch.setattr(suffix_tree, "fewest", lambda *of: 1)
+    sent.clear()
+    every = suffix_tree.score(docs_of(spark, texts), mass=5.0).collect()
+    assert sorted(few) == sorted(every) and few[0]["depth"] >= 2 and short < sum(sent)
+    assert fewest(suffix_tree.Root(10**7, 10**5), 50.0, 2 * math.log(10**7)) == 3 and fewest(suffix_tree.Root(100, 9), 5.0, 0.0) == 1
+
+
 def test_suffix_tree_grows_with_the_corpus(spark):
     """Rare contexts and contexts of three words are retained; a larger corpus of other words doubles them."""
     rng = random.Random(17)

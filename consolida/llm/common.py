@@ -67,6 +67,15 @@ def bucketed(df: DataFrame, tag: str, key: str, buckets: int, codec: str = "unco
     return spark.table(name)
 
 
+def added(df: DataFrame, table: DataFrame, key: str, buckets: int, codec: str = "uncompressed") -> DataFrame:
+    """Write ``df`` into a table of ``bucketed`` and read the whole; grouping it needs no shuffle, which a union would."""
+    names = [_tables[f.rsplit("/", 2)[-2]] for f in table.inputFiles()[:1]]
+    if not names:  # nothing was written
+        return table.unionByName(df)
+    df.write.mode("append").bucketBy(buckets, key).option("compression", codec).format("parquet").saveAsTable(names[0])
+    return df.sparkSession.table(names[0])
+
+
 def sweep(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of queries that are done.
 
@@ -158,7 +167,11 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(keys)
     if n:
         low = U64((1 << n.bit_length()) - 1)
-        order = (np.sort((keys & ~low) | np.arange(n, dtype=U64)) & low).astype(np.int64)
+        order = keys & ~low
+        order |= np.arange(n, dtype=U64)
+        order.sort()
+        order &= low
+        order = order.view(np.int64)
         full = keys[order]
         if (full[1:] >= full[:-1]).all():
             new = np.concatenate(([True], full[1:] != full[:-1]))

@@ -18,8 +18,10 @@ next word, then gains and sizes of contexts.  A range of keys sums what all
 blocks hold and answers every block with its totals, so a frequent context is
 spread over all ranges in the first list and comes once a block in the second.
 Contexts stay in the answers; none is collected.  No context is weighed that
-occurs too seldom for any next words to reach ``gain``.  The blocks lie in tables
-bucketed by block: only keys and answers are shuffled.  Words are known by
+occurs too seldom for any next words to reach ``gain``: behind a retained suffix
+they have a share of its occurrences at least, so the fewer these are the more
+it takes.  Blocks and answers lie in tables bucketed by block: keys are
+shuffled once, and so are answers.  Words are known by
 64-bit hashes, contexts by as many bits as keep a chance agreement of any two
 keys below one in 2 ** ``SPARE_BITS``.
 
@@ -33,6 +35,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import partial
 
@@ -41,10 +44,10 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from consolida.llm.common import U64, bucketed, forget, grouped, materialise, mixed, rows_of, shuffle_partitions, sweep, text_bytes
+from consolida.llm.common import U64, added, bucketed, forget, grouped, mixed, rows_of, shuffle_partitions, sweep, text_bytes
 
 FOLDS = 10
 ADDED = 0.1
@@ -55,6 +58,8 @@ BLOCK_ROWS = 50_000
 PART_BYTES = 32_000_000
 LEAST_PARTS = 64
 SPARE_BITS = 24
+#: Whole texts that go to a worker at once.
+SLICE = 256
 #: Places hashed at once.
 CHUNK = 1 << 17
 #: Hash of the end token.
@@ -63,6 +68,25 @@ _PACK = zstandard.ZstdCompressor(level=1)
 _OPEN = zstandard.ZstdDecompressor()
 
 
+def lean(out: pa.Table) -> pa.Table:
+    """Passes a result on and gives the memory its making took back to the system; a worker would keep it while others need it."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+    return out
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most ``rows`` rows for Python, as those of the default size hold tens of MB of whole texts, twice over, in every task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def packed(a: np.ndarray) -> bytes:
     return _PACK.compress(np.ascontiguousarray(a).reshape(-1).view(np.uint8))
 
@@ -108,12 +132,15 @@ class Root:
     def of(self, count: np.ndarray) -> np.ndarray:
         return (count + ADDED) / (self.tokens + ADDED * (self.words + 1))
 
+    def count(self, probability: np.ndarray) -> np.ndarray:
+        return np.rint(probability * (self.tokens + ADDED * (self.words + 1)) - ADDED).astype(np.int64)
+
 
 # Blocks --------------------------------------------------------------------------------------
 
 #: ``words``: hashes of the distinct words; ``counts``: theirs in training documents;
 #: ``lengths``: tokens of each document, zero once it has no place left; ``tokens``: of all its tokens;
-#: ``seen``: of each token the occurrences, up to 255, of the longest run of words ending there that was counted;
+#: ``seen``: of each token the occurrences, up to 255, of the longest run of words ending there that was counted, or the most that one left out can have;
 #: ``places``: tokens with a context to be weighed at this level; ``prior``, ``which``: their probabilities in the suffix,
 #: by word (and no ``which``) where that is the root.
 _STATE = "block long, ids binary, flags binary, lengths binary, codes binary, words binary, counts binary, tokens binary, known binary, base binary, score binary, seen binary, places binary, prior binary, which binary"
@@ -151,9 +178,11 @@ class _Block:
         self.bodies.append(body)
         self.size += len(body)
 
-    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
-        coded = _words(b" ".join(x for body in self.bodies for x in (body, _STOP))).dictionary_encode()
+    def rows(self, block: int) -> pa.Table:
+        text = b" ".join(x for body in self.bodies for x in (body, _STOP))
         self.bodies.clear()
+        coded = _words(text).dictionary_encode()
+        del text
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), U64, len(words))
         hashes[words.index(_STOP)] = END
@@ -174,7 +203,7 @@ class _Block:
             "words": keys.tobytes(),
             "counts": packed(np.bincount(codes[learned], minlength=len(keys)).astype(np.int64)),
         }
-        yield from _state(row).to_batches()
+        return _state(row)
 
 
 def _coded(batches: Iterable[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -182,10 +211,10 @@ def _coded(batches: Iterable[pa.RecordBatch], block_bytes: int) -> Iterator[pa.R
     for doc_id, held, body in rows_of(batches, "doc_id", "held", "body"):
         block.add(doc_id, held, body)
         if block.size >= block_bytes or len(block.ids) >= BLOCK_ROWS:
-            yield from block.rows(at << 20 | seq)
+            yield from lean(block.rows(at << 20 | seq)).to_batches()
             block, seq = _Block(), seq + 1
     if block.ids:
-        yield from block.rows(at << 20 | seq)
+        yield from lean(block.rows(at << 20 | seq)).to_batches()
 
 
 def _contexts(hashes: np.ndarray, codes: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
@@ -206,14 +235,16 @@ class _Level:
         self.lengths, self.codes = opened(row["lengths"], np.int64), opened_planes(row["codes"])
         self.hashes, self.places = np.frombuffer(row["words"], U64), np.cumsum(opened(row["places"], np.int32), dtype=np.int32)
         self.learned = np.repeat(opened(row["flags"], np.uint8) < 2, self.lengths)[self.places]
-        if row["which"] is None:
-            self.prior = opened(row["prior"], np.float64)[self.codes[self.places]]
-        else:
-            self.prior = opened_keys(row["prior"]).astype(np.uint32).view(np.float32)[opened_planes(row["which"])].astype(np.float64)
         self.before = _contexts(self.hashes, self.codes, self.places, depth)
         #: Whether training documents may hold context and next word.
         self.sent = opened(row["seen"], np.uint8)[self.places] > 0
 
+    def prior(self, row: dict) -> np.ndarray:
+        """Of each place the probability in the suffix."""
+        if row["which"] is None:
+            return opened(row["prior"], np.float64)[self.codes[self.places]]
+        return opened_keys(row["prior"]).astype(np.uint32).view(np.float32)[opened_planes(row["which"])].astype(np.float64)
+
     def contexts(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct contexts, and the number of each place's."""
         if self.depth == 1:  # a number a word needs no sort of the places
@@ -235,13 +266,19 @@ class _Level:
         return keys, number
 
 
-def _next(row: dict, places: np.ndarray, prior: np.ndarray | None, seen: np.ndarray, depth: int, least: int) -> pa.Table:
-    """A block with its places for contexts of ``depth`` words: those of them that occur ``least`` times."""
+def _next(row: dict, places: np.ndarray, prior: np.ndarray | None, seen: np.ndarray, depth: int, least: int, may: np.ndarray | int = 0) -> pa.Table:
+    """A block with its places for contexts of ``depth`` words: those of them that occur ``least`` times.
+
+    ``may``: of each place the fewest occurrences with which its context can reach the gain.
+    """
     lengths = opened(row["lengths"], np.int64)
     begin, inside = np.cumsum(lengths) - lengths, np.ones(len(seen), bool)
     for i in range(depth):
         inside[begin[lengths > i] + i] = False
-    here = inside[places] & (seen[places - 1] >= min(least, 255))  # a run occurs no oftener than another at its end
+    inside, most = inside[places], seen[places - 1]  # a run occurs no oftener than another at its end
+    here = inside & (most >= min(least, 255)) & (most >= may)
+    left, seen = inside & ~here, seen.copy()
+    seen[places[left]] = np.minimum(seen[places[left]], most[left])  # nor do those that begin with it
     places = places[here]
     if prior is not None:
         values, _, which = grouped(prior[here].astype(np.float32).view(np.uint32).astype(U64) << U64(32))
@@ -272,12 +309,27 @@ def fewest(root: Root, mass: float, gain: float) -> int:
     return n
 
 
+def fewest_after(size: np.ndarray, mass: float, gain: float) -> np.ndarray:
+    """Of suffixes that occur ``size`` times, the occurrences, up to 255, below which no context of one word more can exceed ``gain``.
+
+    As ``fewest``, with the suffix in place of the root: it is retained, so a
+    next word that stands m times behind the context has a probability of
+    m / (size + mass) there at least.
+    """
+    n = np.arange(2, 255)
+    with np.errstate(over="ignore"):
+        most = np.exp((gain - 1e-3 * (n + abs(gain))) / n) * (n - 1 + mass) - mass
+    needed = np.minimum.accumulate(most * n / (n - 1) - mass)  # occurrences of a suffix that leave n of them a chance
+    once = 0 > gain - 1e-3 * (1 + abs(gain))
+    return np.where(once, 0, 2 + np.searchsorted(-needed, -size.astype(np.float64))).astype(np.uint8)
+
+
 # Exchange ------------------------------------------------------------------------------------
 
-_SENT = "part int, block long, keys binary, values binary"
+_SENT = "part int, block long, keys binary, values array<binary>"
 _ANSWER = "block long, part int, totals binary, own binary"
-#: Of a context: the part of its gain that next words add, and its occurrences.
-_SUM = np.dtype([("gain", "<f8"), ("n", "<i8")])
+#: Of a context: its occurrences, the next words that stand once behind it, and the part of its gain that the others add.
+_SUM = np.dtype([("n", "<i8"), ("once", "<i8"), ("gain", "<f8")])
 
 
 def _split(block: int, keys: np.ndarray, values: np.ndarray, parts: int, shift: int) -> pa.Table:
@@ -291,17 +343,35 @@ def _split(block: int, keys: np.ndarray, values: np.ndarray, parts: int, shift:
             "part": pa.array(full, pa.int32()),
             "block": pa.array([block] * len(full), pa.int64()),
             "keys": pa.array([packed_keys(keys[ends[p] : ends[p + 1]]) for p in full], pa.binary()),
-            "values": pa.array([packed(values[ends[p] : ends[p + 1]]) for p in full], pa.binary()),
+            "values": pa.array([_packed_values(values[ends[p] : ends[p + 1]]) for p in full], pa.list_(pa.binary())),
         }
     )
 
 
-def _gathered(rows: pa.Table, kind: np.dtype) -> tuple[pa.Table, list[int], np.ndarray, np.ndarray, np.ndarray]:
+def _packed_values(values: np.ndarray) -> list[bytes]:
+    """Counts, or sums of contexts: most of these have no gain, which one bit says."""
+    if values.dtype.names is None:
+        return [_short(values)]
+    some = values["gain"] != 0
+    return [_short(values["n"]), _short(values["once"]), packed(np.packbits(some)), packed(planes(values["gain"][some]))]
+
+
+def _opened_values(raw: list[bytes]) -> np.ndarray:
+    if len(raw) == 1:
+        return _long(raw[0])
+    n = _long(raw[0])
+    out, some = np.zeros(len(n), _SUM), np.unpackbits(opened(raw[2], np.uint8), count=len(n)).astype(bool)
+    out["n"], out["once"] = n, _long(raw[1])
+    out["gain"][some] = opened(raw[3], np.uint8).reshape(8, -1).T.copy().view("<f8").ravel()
+    return out
+
+
+def _gathered(rows: pa.Table) -> tuple[pa.Table, list[int], np.ndarray, np.ndarray, np.ndarray]:
     """What blocks sent to one range, by block: rows, sizes, first holder of each key, key of each entry, entries."""
     rows = rows.sort_by("block")
     keys = [opened_keys(k) for k in rows.column("keys").to_pylist()]
     _, first, at = grouped(np.concatenate(keys))
-    return rows, [len(k) for k in keys], first, at, np.concatenate([opened(c, kind) for c in rows.column("values").to_pylist()])
+    return rows, [len(k) for k in keys], first, at, np.concatenate([_opened_values(c) for c in rows.column("values").to_pylist()])
 
 
 def _answer(rows: pa.Table, sizes: list[int], first: np.ndarray, at: np.ndarray, totals: np.ndarray) -> pa.Table:
@@ -323,33 +393,40 @@ def _answer(rows: pa.Table, sizes: list[int], first: np.ndarray, at: np.ndarray,
 
 def _short(totals: np.ndarray) -> bytes:
     large = totals >= 255
-    return packed(np.concatenate([np.minimum(totals, 255).astype(np.uint8), totals[large].astype("<i8").view(np.uint8), np.array([len(totals)], "<i8").view(np.uint8)]))
+    more = planes(totals[large].astype("<i8")).reshape(-1)
+    return packed(np.concatenate([np.minimum(totals, 255).astype(np.uint8), more, np.array([len(totals)], "<i8").view(np.uint8)]))
 
 
 def _long(raw: bytes) -> np.ndarray:
     raw = opened(raw, np.uint8)
     n = int(raw[-8:].copy().view("<i8")[0])
     totals = raw[:n].astype(np.int64)
-    totals[raw[:n] == 255] = raw[n:-8].copy().view("<i8")
+    totals[raw[:n] == 255] = raw[n:-8].reshape(8, -1).T.copy().view("<i8").ravel()
     return totals
 
 
 def _summed(rows: pa.Table) -> pa.Table:
     """Occurrences of keys."""
-    rows, sizes, first, at, counts = _gathered(rows, np.int64)
+    rows, sizes, first, at, counts = _gathered(rows)
     return _answer(rows, sizes, first, at, np.bincount(at, counts, minlength=len(first)).astype(np.int64))
 
 
-def _tested(rows: pa.Table, least: int, mass: float, gain: float) -> pa.Table:
-    """Sizes of retained contexts, zero for others."""
-    rows, sizes, first, at, sums = _gathered(rows, _SUM)
+def _tested(rows: pa.Table, least: int, mass: float, gain: float, known: bool = False) -> pa.Table:
+    """Sizes of retained contexts, or 1 where blocks have known these from the start; zero for others."""
+    rows, sizes, first, at, sums = _gathered(rows)
     size = np.bincount(at, sums["n"], minlength=len(first))
-    found = np.bincount(at, sums["gain"], minlength=len(first)) - size * np.log(np.maximum(size - 1, 0) + mass)
-    return _answer(rows, sizes, first, at, np.where((size >= least) & (found > gain), size, 0).astype(np.int64))
+    found = np.bincount(at, sums["gain"] + sums["once"] * math.log(mass), minlength=len(first)) - size * np.log(np.maximum(size - 1, 0) + mass)
+    return _answer(rows, sizes, first, at, np.where((size >= least) & (found > gain), 1 if known else size, 0).astype(np.int64))
+
+
+def _answered(sent: DataFrame, n: int, answer: Callable[[pa.Table], pa.Table], tag: str) -> DataFrame:
+    out = sent.repartition(n, "part").groupBy("part").applyInArrow(lambda rows: lean(answer(rows)), _ANSWER)
+    return out.repartition(n, "block").withColumn("kind", F.lit(tag))
 
 
 def _exchanged(sent: DataFrame, n: int, answer: Callable[[pa.Table], pa.Table], tag: str) -> DataFrame:
-    out = materialise(sent.repartition(n, "part").groupBy("part").applyInArrow(lambda rows: answer(rows), _ANSWER), tag)
+    """Answers in a table bucketed by block; what is read twice is shuffled once."""
+    out = bucketed(_answered(sent, n, answer, tag), tag, "block", n)
     sweep(out.sparkSession)
     return out
 
@@ -385,13 +462,22 @@ def _begun(left: pa.Table, right: pa.Table, root: Root, least: int) -> pa.Table:
     return _next(row, np.arange(len(codes), dtype=np.int32), None, np.minimum(totals, 255).astype(np.uint8)[codes], 1, least)
 
 
+#: What it takes to send a block's occurrences.
+_PLACED = ["block", "flags", "lengths", "codes", "words", "seen", "places"]
+
+
 def _events_sent(batches: Iterable[pa.RecordBatch], depth: int, parts: int, shift: int) -> Iterator[pa.RecordBatch]:
     """Occurrences of contexts and next words in a block's training documents."""
-    for values in rows_of(batches, *_COLUMNS):
-        level = _Level(row := dict(zip(_COLUMNS, values, strict=True)), depth)
-        events, event = level.events()
-        counts = np.bincount(event[level.learned[level.sent]], minlength=len(events)).astype(np.int64)
-        yield from _split(row["block"], events, counts, parts, shift).to_batches()
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield from lean(_events_of(batch.slice(i, 1).to_pylist()[0], depth, parts, shift)).to_batches()
+
+
+def _events_of(row: dict, depth: int, parts: int, shift: int) -> pa.Table:
+    level = _Level(row, depth)
+    events, event = level.events()
+    counts = np.bincount(event[level.learned[level.sent]], minlength=len(events)).astype(np.int64)
+    return _split(row["block"], events, counts, parts, shift)
 
 
 def _gains_sent(left: pa.Table, right: pa.Table, mass: float, depth: int, parts: int, shift: int) -> pa.Table:
@@ -402,28 +488,31 @@ def _gains_sent(left: pa.Table, right: pa.Table, mass: float, depth: int, parts:
     (contexts, context), event = level.contexts(), level.events()[1]
     first = np.flatnonzero(own & (totals > 0))
     of, before = np.zeros(len(totals), np.int32), np.zeros(len(totals))
-    of[event], before[event] = context[level.sent], level.prior[level.sent]
+    of[event], before[event] = context[level.sent], level.prior(row)[level.sent]
+    sums, once = np.zeros(len(contexts), _SUM), totals[first] == 1  # these add log(mass) each, whatever their probability
+    sums["once"], first = np.bincount(of[first[once]], minlength=len(sums)), first[~once]
     n, before = totals[first], before[first]
-    sums = np.zeros(len(contexts), _SUM)
     sums["gain"] = np.bincount(of[first], n * (np.log(n - 1 + mass * before) - np.log(before)), minlength=len(sums))
     sums["n"] = np.bincount(context[level.learned], minlength=len(sums))
     return _split(row["block"], contexts, sums, parts, shift)
 
 
-def _grown(left: pa.Table, right: pa.Table, mass: float, depth: int, least: int) -> pa.Table:
+def _grown(left: pa.Table, right: pa.Table, root: Root, mass: float, gain: float, depth: int, least: int) -> pa.Table:
     """A block with what retained contexts of ``depth`` words add to its scores, and its places for those of one word more."""
     row = left.to_pylist()[0]
-    level, kinds = _Level(row, depth), right.column("kind").to_numpy()
-    total, size = np.zeros(len(level.places), np.int64), _answers(right.filter(pa.array(kinds == 1)))[0][level.contexts()[1]]
-    total[level.sent] = _answers(right.filter(pa.array(kinds == 0)))[0][level.events()[1]]
+    level, kinds = _Level(row, depth), right.column("kind").to_numpy(zero_copy_only=False)
+    total, size = np.zeros(len(level.places), np.int64), _answers(right.filter(pa.array(kinds == "tested")))[0][level.contexts()[1]]
+    if depth == 1:  # every occurrence of a word has a next one, so its number is that in its own probability
+        size = np.where(size > 0, root.count(opened(row["prior"], np.float64)[level.codes[level.places - 1]]), 0)
+    total[level.sent] = _answers(right.filter(pa.array(kinds == "events")))[0][level.events()[1]]
     lengths, seen = level.lengths, opened(row["seen"], np.uint8).copy()
     seen[level.places] = np.minimum(total, 255)
     kept = size > 0
-    places, prior = level.places[kept], level.prior[kept]
+    places, prior = level.places[kept], level.prior(row)[kept]
     p = (total[kept] + mass * prior) / (size[kept] + mass)
     doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[places]
     row["score"] = packed(opened(row["score"], np.float64) + np.bincount(doc, np.log10(p) - np.log10(prior), minlength=len(lengths)))
-    return _next(row, places, p, seen, depth + 1, least)
+    return _next(row, places, p, seen, depth + 1, least, fewest_after(size[kept], mass, gain))
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -466,7 +555,8 @@ def score(docs: DataFrame, least: int = LEAST, mass: float = MASS, gain: float |
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held = (fold(F.col("doc_id")) == 0).alias("held")
     body = text_bytes(own, "doc_id", held)
-    blocks = bucketed(body.mapInArrow(lambda it: _coded(it, block_bytes), _STATE), "blocks", "block", n)
+    with small_batches(docs.sparkSession, SLICE):
+        blocks = bucketed(body.mapInArrow(lambda it: _coded(it, block_bytes), _STATE), "blocks", "block", n)
     parts = max(LEAST_PARTS, n, blocks.count() * block_bytes // PART_BYTES)
     first = _exchanged(blocks.mapInArrow(lambda it: _words_sent(it, parts), _SENT), n, _summed, "words")
     words, tokens = _owned(first)
@@ -476,7 +566,7 @@ def score(docs: DataFrame, least: int = LEAST, mass: float = MASS, gain: float |
     shift = max(0, 64 - SPARE_BITS - tokens.bit_length())
 
     def met(answers: DataFrame, step: Callable, columns: str) -> DataFrame:
-        return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: step(a, b), columns)
+        return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: lean(step(a, b)), columns)
 
     state = blocks
     state = bucketed(met(first, partial(_begun, root=root, least=least), _STATE), "level", "block", n)
@@ -484,19 +574,19 @@ def score(docs: DataFrame, least: int = LEAST, mass: float = MASS, gain: float |
     depth, n_contexts = 0, 0
     while True:
         depth += 1
-        sent = state.mapInArrow(partial(_events_sent, depth=depth, parts=parts, shift=shift), _SENT)
+        sent = state.select(_PLACED).mapInArrow(partial(_events_sent, depth=depth, parts=parts, shift=shift), _SENT)
         events = _exchanged(sent, n, _summed, "events")
         sent = met(events, partial(_gains_sent, mass=mass, depth=depth, parts=parts, shift=shift), _SENT)
-        tested = _exchanged(sent, n, partial(_tested, least=least, mass=mass, gain=gain), "tested")
-        found = _owned(tested)[0]
+        tested = added(_answered(sent, n, partial(_tested, least=least, mass=mass, gain=gain, known=depth == 1), "tested"), events, "block", n)
+        sweep(docs.sparkSession)
+        found = _owned(tested.where("kind = 'tested'"))[0]
         if not found:
-            forget(events, tested)
+            forget(tested)
             break
         n_contexts += found
-        both = events.withColumn("kind", F.lit(0)).unionByName(tested.withColumn("kind", F.lit(1)))
         before = state
-        state = bucketed(met(both, partial(_grown, mass=mass, depth=depth, least=least), _STATE), "level", "block", n)
-        forget(before, events, tested)
+        state = bucketed(met(tested, partial(_grown, root=root, mass=mass, gain=gain, depth=depth, least=least), _STATE), "level", "block", n)
+        forget(before, tested)
     scored = state.select("ids", "flags", "tokens", "known", "base", "score").mapInArrow(_scores, SCORES)
     extra = [F.lit(v).cast("long").alias(c) for c, v in (("n_contexts", n_contexts), ("depth", depth - 1))]
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", *extra)

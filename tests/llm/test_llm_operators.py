@@ -540,6 +540,32 @@ def test_contexts_that_cannot_reach_the_gain_are_not_weighed(spark, monkeypatch)
     assert fewest(suffix_tree.Root(10**7, 10**5), 50.0, 2 * math.log(10**7)) == 3 and fewest(suffix_tree.Root(100, 9), 5.0, 0.0) == 1
 
 
+def test_contexts_are_weighed_by_what_their_suffix_leaves_them():
+    """Behind a rare suffix it takes more occurrences to reach the gain; runs that begin with a context left out occur no oftener."""
+    for gain, mass in ((34.0, 50.0), (12.5, 5.0), (1.0, 5.0), (0.0, 5.0)):
+        sizes = np.array([2, 5, 17, 60, 100, 900, 10**4, 10**6, 10**8])
+        for size, least in zip(sizes.tolist(), suffix_tree.fewest_after(sizes, mass, gain).tolist(), strict=True):
+            won = [n * (math.log((n - 1) / n * (size + mass) + mass) - math.log(n - 1 + mass)) for n in range(1, 255)]
+            assert all(w <= gain for w in won[: max(0, least - 1)]) and (gain < 0.1 or least == 255 or won[least - 1] > gain - 0.01 * (255 + gain))
+    assert suffix_tree.fewest_after(np.array([40, 10**4, 10**6]), 50.0, 37.0).tolist() == [255, 8, 4]
+    row = {"block": 0, "lengths": suffix_tree.packed(np.array([6]))}
+    seen = np.array([9, 9, 3, 9, 9, 9], np.uint8)
+    out = suffix_tree._next(row, np.arange(6, dtype=np.int32), None, seen, 1, 2, np.full(6, 5)).to_pylist()[0]
+    assert np.cumsum(suffix_tree.opened(out["places"], np.int32)).tolist() == [1, 2, 4, 5]
+    assert suffix_tree.opened(out["seen"], np.uint8).tolist() == [9, 9, 3, 3, 9, 9]
+
+
+def test_suffix_tree_values_are_read_back():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 3, 500) * rng.integers(0, 10**6, 500)
+    assert (suffix_tree._opened_values(suffix_tree._packed_values(counts)) == counts).all()
+    sums = np.zeros(500, suffix_tree._SUM)
+    sums["n"], sums["once"], sums["gain"] = counts, counts // 2, np.where(counts > 9, rng.normal(size=500), 0)
+    assert (suffix_tree._opened_values(suffix_tree._packed_values(sums)) == sums).all()
+    root = suffix_tree.Root(10**9, 10**7)
+    assert (root.count(root.of(counts)) == counts).all()
+
+
 def test_suffix_tree_grows_with_the_corpus(spark):
     """Rare contexts and contexts of three words are retained; a larger corpus of other words doubles them."""
     rng = random.Random(17)
